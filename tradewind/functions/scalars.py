@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Money and rates are added up as decimals: a sum then does not depend on the order in
-# which partial results arrive, so a rerun task or another partitioning changes no digit.
-EXACT = "decimal(18,6)"
-EXACT_USD = "decimal(28,10)"
+# Amounts are added up as whole numbers of 10**-digits: such a sum does not depend on the
+# order in which partial results arrive, so a rerun task or another partitioning changes no
+# digit, and it costs a fraction of decimal arithmetic per row.
+MONEY, DOLLARS = 6, 9
 
 # The labels of the economic classes.
 ROW_FX_LABELS = ("Strong BRL (< 3.5)", "Moderate BRL (3.5-4.5)", "Weak BRL (> 4.5)")
@@ -50,17 +51,45 @@ def month_of(col: Column) -> Column:
     return F.trunc(col, "MM")
 
 
-def exact(col: Column) -> Column:
-    return col.cast(EXACT)
+def units(col: Column, digits: int = MONEY) -> Column:
+    """A number as a whole count of 10**-digits, rounded to the nearest."""
+    return F.rint(col.cast("double") * F.lit(float(10**digits))).cast("bigint")
 
 
-def in_dollars(value: Column, rate: Column) -> Column:
-    """``value / rate``; NULL where the rate is missing or zero."""
-    return value / F.nullif(exact(rate), F.lit(0).cast(EXACT))
+def from_units(col: Column, digits: int = MONEY) -> Column:
+    return col / F.lit(float(10**digits))
 
 
-def to_cents(col: Column) -> Column:
-    return F.round(col, 2).cast("double")
+def dollar_units(value: Column, rate: Column) -> Column:
+    """Money units at a rate, as dollar units; NULL where the rate is missing or zero."""
+    scale = F.lit(float(10 ** (DOLLARS - MONEY)))
+    return F.rint(value.cast("double") / F.nullif(rate.cast("double"), F.lit(0.0)) * scale).cast("bigint")
+
+
+def unit_sum(col: Column, digits: int = MONEY) -> Column:
+    """Exact sum of a column of units, as a decimal.
+
+    High and low bits are summed apart: neither sum overflows below 10**12 rows.
+    """
+    high = F.sum(F.shiftright(col, 20)).cast("decimal(19,0)")
+    low = F.sum(col.bitwiseAND(F.lit(0xFFFFF).cast("bigint"))).cast("decimal(19,0)")
+    return (high * F.lit(Decimal(1 << 20)) + low) * F.lit(Decimal(1).scaleb(-digits))
+
+
+def unit_mean(col: Column, digits: int = MONEY) -> Column:
+    """Exact mean of a column of units, as a decimal; NULL when there is nothing to average."""
+    return unit_sum(col, digits) / F.nullif(F.count(col), F.lit(0)).cast("decimal(19,0)")
+
+
+def rounded(col: Column, digits: int = 2) -> Column:
+    return F.round(col, digits).cast("double")
+
+
+def dollars_to_cents(col: Column) -> Column:
+    """Dollar units as dollars and cents, halves away from zero."""
+    cent = 10 ** (DOLLARS - 2)
+    whole = F.call_function("div", F.abs(col) + F.lit(cent // 2), F.lit(cent))
+    return F.sign(col) * whole / F.lit(100.0)
 
 
 def exact_sum(col: Column, scale: int = 4) -> Column:

@@ -11,7 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradewind.functions.scalars import exact, month_of
+from tradewind.functions.scalars import month_of, unit_mean, units
 
 FX_SERIES = "exchange_rate_usd"
 
@@ -89,7 +89,7 @@ def with_monthly(
         if dedupe == "first":
             rows = rows.groupBy("_month").agg(F.min_by(column, "indicator_date").alias(column))
         elif dedupe == "avg":
-            rows = rows.groupBy("_month").agg(F.avg(exact(F.col(column))).cast("double").alias(column))
+            rows = rows.groupBy("_month").agg(unit_mean(units(F.col(column))).cast("double").alias(column))
         elif dedupe is not None:
             raise ValueError(f"unknown dedupe {dedupe!r}: use None, 'first' or 'avg'")
         out = out.join(rows.select("_month", column), "_month", "left")

@@ -8,7 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.functions.scalars import exact
 from tradewind.operators.medians import medians
 
 
@@ -115,7 +114,7 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 def mean_rating(df: DataFrame, group: str = "product_category_english", score: str = "review_score") -> DataFrame:
     """Mean score per category to three digits, half-way cases to even."""
     return df.where(F.col(group).isNotNull()).groupBy(group).agg(
-        F.bround(F.avg(exact(F.col(score))), 3).cast("double").alias("avg_rating")
+        F.bround(F.avg(score), 3).alias("avg_rating")
     )
 
 

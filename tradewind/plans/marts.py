@@ -16,7 +16,8 @@ SOLD = ("delivered", "shipped", "approved")
 
 
 def _total() -> Column:
-    return S.exact(F.col("price")) + S.exact(F.col("freight_value"))
+    """Price and freight of an item, in money units."""
+    return S.units(F.col("price")) + S.units(F.col("freight_value"))
 
 
 def _sold_orders(orders: DataFrame, customers: DataFrame, ind: DataFrame, fx_policy: str) -> DataFrame:
@@ -40,8 +41,8 @@ def fct_orders(
 ) -> DataFrame:
     """One row per order of any status, orders without items included."""
     totals = items.groupBy("order_id").agg(
-        F.sum(S.exact(F.col("price"))).alias("price"),
-        F.sum(S.exact(F.col("freight_value"))).alias("freight"),
+        S.unit_sum(S.units(F.col("price"))).alias("price"),
+        S.unit_sum(S.units(F.col("freight_value"))).alias("freight"),
     )
     rows = orders.withColumn("order_date", F.to_date("order_purchase_timestamp")).join(
         totals, "order_id", "left"
@@ -49,6 +50,7 @@ def fct_orders(
     rows = with_fx(rows, "order_date", ind, fx_policy)
     rows = with_monthly(rows, "order_date", ind, {"ipca": "ipca_month", "selic": "selic_month"}, monthly)
     total = F.col("price") + F.col("freight")
+    dollars = S.dollar_units(S.units(total), F.col("usd_brl_rate"))
     return rows.select(
         "order_id",
         "customer_id",
@@ -59,7 +61,7 @@ def fct_orders(
         F.col("freight").cast("double").alias("freight_value_brl"),
         total.cast("double").alias("total_order_value_brl"),
         "usd_brl_rate",
-        S.to_cents(S.in_dollars(total, F.col("usd_brl_rate"))).alias("total_order_value_usd"),
+        S.dollars_to_cents(dollars).alias("total_order_value_usd"),
         "ipca_month",
         "selic_month",
     )
@@ -98,11 +100,11 @@ def fct_customer_items(
         PT,
         "price",
         "freight_value",
-        _total().cast("double").alias("total_item_value"),
+        S.from_units(_total()).alias("total_item_value"),
         "usd_brl_rate",
         "inflation_rate",
         "interest_rate",
-        S.to_cents(S.in_dollars(_total(), rate)).alias("total_item_value_usd"),
+        S.dollars_to_cents(S.dollar_units(_total(), rate)).alias("total_item_value_usd"),
         S.bucket(rate, *S.FX_LIMITS, S.ROW_FX_LABELS).alias("exchange_rate_category"),
         S.bucket(interest, *S.INTEREST_LIMITS, S.ROW_INTEREST_LABELS).alias("interest_rate_category"),
     )
@@ -132,13 +134,12 @@ def _sales(
         .join(products, "product_id", how)
         .withColumn("order_month", S.month_of(F.col("order_date")))
         .withColumn("total", _total())
-        .withColumn("rate", S.exact(F.col("usd_brl_rate")))
-        .withColumn("usd", S.in_dollars(_total(), F.col("usd_brl_rate")).cast(S.EXACT_USD))
+        .withColumn("usd", S.dollar_units(F.col("total"), F.col("usd_brl_rate")))
     )
 
 
-def _mean(column: str, digits: int = 2) -> Column:
-    return F.round(F.avg(S.exact(F.col(column))), digits).cast("double")
+def _mean(column: str) -> Column:
+    return S.unit_mean(S.units(F.col(column)))
 
 
 def _named(lookup: DataFrame, products: DataFrame) -> DataFrame:
@@ -150,23 +151,21 @@ def _named(lookup: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def _measures(*which: str) -> list[Column]:
-    usd = F.col("usd")
+    total, usd = F.col("total"), F.col("usd")
     measures = {
         "order_count": F.count(F.lit(1)),
-        "avg_order_value_brl": S.to_cents(F.avg("total")),
-        "total_revenue_brl": S.to_cents(F.sum("total")),
-        "avg_exchange_rate": _mean("rate", 4),
-        "avg_order_value_usd": S.to_cents(F.avg(usd)),
-        "total_revenue_usd": S.to_cents(F.sum(usd)),
-        "exchange_rate_period": S.bucket(F.avg("rate"), *S.FX_LIMITS, S.FX_LABELS),
-        "currency_strength": S.bucket(F.avg("rate"), S.FX_LIMITS[0], None, S.STRENGTH_LABELS),
         "unique_cities": F.countDistinct("customer_city"),
-        "avg_product_weight": _mean("product_weight_g"),
-        "avg_inflation": _mean("inflation_rate"),
-        "avg_interest_rate": _mean("interest_rate"),
-        "interest_rate_period": S.bucket(
-            F.avg(S.exact(F.col("interest_rate"))), *S.INTEREST_LIMITS, S.INTEREST_LABELS
-        ),
+        "avg_order_value_brl": S.rounded(S.unit_mean(total)),
+        "total_revenue_brl": S.rounded(S.unit_sum(total)),
+        "avg_product_weight": S.rounded(_mean("product_weight_g")),
+        "avg_exchange_rate": S.rounded(_mean("usd_brl_rate"), 4),
+        "avg_inflation": S.rounded(_mean("inflation_rate")),
+        "avg_interest_rate": S.rounded(_mean("interest_rate")),
+        "avg_order_value_usd": S.rounded(S.unit_mean(usd, S.DOLLARS)),
+        "total_revenue_usd": S.rounded(S.unit_sum(usd, S.DOLLARS)),
+        "exchange_rate_period": S.bucket(_mean("usd_brl_rate"), *S.FX_LIMITS, S.FX_LABELS),
+        "currency_strength": S.bucket(_mean("usd_brl_rate"), S.FX_LIMITS[0], None, S.STRENGTH_LABELS),
+        "interest_rate_period": S.bucket(_mean("interest_rate"), *S.INTEREST_LIMITS, S.INTEREST_LABELS),
     }
     return [measures[name].alias(name) for name in which]
 

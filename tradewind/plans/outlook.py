@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.functions.lookups import EN
-from tradewind.functions.scalars import exact, exact_sum
+from tradewind.functions.scalars import exact_sum, unit_sum, units
 from tradewind.operators.medians import medians
 
 
@@ -34,7 +34,7 @@ def drill_down(customer_items: DataFrame) -> DataFrame:
         .agg(
             F.grouping_id().alias("level"),
             F.count(F.lit(1)).alias("order_count"),
-            exact_sum(F.col("total_item_value"), 6).alias("total_revenue_brl"),
+            unit_sum(units(F.col("total_item_value"))).cast("double").alias("total_revenue_brl"),
         )
     )
 
@@ -68,7 +68,7 @@ def delivery_days(facts: DataFrame, category: str = EN) -> DataFrame:
         F.datediff("order_delivered_customer_date", "order_purchase_timestamp").alias("median_days"),
     )
     means = days.where(F.col(category).isNotNull()).groupBy(category).agg(
-        F.round(F.avg(exact(F.col("median_days"))), 2).cast("double").alias("mean_days")
+        F.round(F.avg("median_days"), 2).alias("mean_days")
     )
     return means.join(medians(days, [category], ["median_days"]), category)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.functions.scalars import exact_sum
+from tradewind.functions.scalars import unit_sum, units
 
 
 def windowed_totals(
@@ -23,7 +23,7 @@ def windowed_totals(
     rows = events.withWatermark(ts, delay) if events.isStreaming else events
     return (
         rows.groupBy(F.window(ts, width), kind)
-        .agg(F.count(F.lit(1)).alias("events"), exact_sum(F.col(value), 6).alias("total"))
+        .agg(F.count(F.lit(1)).alias("events"), unit_sum(units(F.col(value))).cast("double").alias("total"))
         .select(F.col("window.start").alias("window_start"), kind, "events", "total")
     )
 
