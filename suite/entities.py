@@ -19,6 +19,22 @@ CATEGORY_NAMES = [("ECONOMY", "budget"), ("SMALL", "compact"), ("LARGE", "bulky"
 FIRST_DAY, DAYS = "1995-01-01", 2557
 BAD_ORDERS = (11, 12)
 
+# Stated, so that no file has to be opened to plan a query.
+SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": """o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE,
+                 o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING""",
+    "lineitem": """l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE,
+                   l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING,
+                   l_linestatus STRING, l_shipdate TIMESTAMP_NTZ""",
+    "events": """event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE,
+                 props STRING""",
+}
+
 
 class Entities:
     """Entities over the tables in one folder."""
@@ -27,7 +43,7 @@ class Entities:
         self.spark, self.folder = configure(spark), folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     @cached_property
     def raw_orders(self) -> DataFrame:

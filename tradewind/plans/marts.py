@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -110,64 +110,149 @@ def fct_customer_items(
     )
 
 
-def _sales(
+# What the grouped marts add up: name, and how an item is counted in units.
+AMOUNTS = {
+    "total": (lambda: F.col("total"), S.MONEY),
+    "usd": (lambda: F.col("usd"), S.DOLLARS),
+    "rate": (lambda: S.units(F.col("usd_brl_rate")), S.MONEY),
+}
+WIDE_AMOUNTS = AMOUNTS | {
+    "weight": (lambda: S.units(F.col("product_weight_g")), S.MONEY),
+    "inflation": (lambda: S.units(F.col("inflation_rate")), S.MONEY),
+    "interest": (lambda: S.units(F.col("interest_rate")), S.MONEY),
+}
+BY_PLACE = ("customer_state", "customer_city", "order_month", "category_name", "category_name_pt")
+WIDE_BY_PLACE = ("customer_state", "customer_city", "order_month", PT)
+
+
+def sales_cube(
     items: DataFrame,
     orders: DataFrame,
     products: DataFrame,
     customers: DataFrame,
+    lookup: DataFrame | None,
     ind: DataFrame,
-    how: str,
-    fx_policy: str,
-    monthly: Mapping[str, str] | None = None,
+    keys: Sequence[str] = BY_PLACE,
+    wide: bool = False,
+    how: str = "left",
+    fx_policy: str = "exact",
 ) -> DataFrame:
-    """One row per sold item with the columns the grouped marts need."""
+    """Counts and exact sums of sold items per ``keys``: all that the grouped marts need.
+
+    One pass over the items; coarser marts come from the result by adding it up further.
+    The wide form keeps the original category name and adds weight, inflation and interest.
+    """
     sold = _sold_orders(
         orders.select("order_id", "customer_id", "order_status", "order_purchase_timestamp"),
         customers.select("customer_id", "customer_city", "customer_state"),
         ind, fx_policy,
     )
-    if monthly:
-        sold = with_monthly(sold, "order_date", ind, monthly)
-    return (
+    if wide:
+        sold = with_monthly(sold, "order_date", ind, {"ipca": "inflation_rate", "selic": "interest_rate"})
+        named = products.select("product_id", PT, "product_weight_g")
+    else:
+        both = translate(products.select("product_id", PT), lookup, PT, EN, default=None)
+        named = both.select(
+            "product_id", F.coalesce(EN, PT).alias("category_name"), F.col(PT).alias("category_name_pt")
+        )
+    lines = (
         items.select("order_id", "product_id", "price", "freight_value")
         .join(sold, "order_id")
-        .join(products, "product_id", how)
-        .withColumn("order_month", S.month_of(F.col("order_date")))
-        .withColumn("total", _total())
+        .join(named, "product_id", how)
+        .withColumns({"order_month": S.month_of(F.col("order_date")), "total": _total()})
         .withColumn("usd", S.dollar_units(F.col("total"), F.col("usd_brl_rate")))
     )
+    sums = [F.count(F.lit(1)).alias("order_count")]
+    for name, (unit, digits) in (WIDE_AMOUNTS if wide else AMOUNTS).items():
+        sums += [S.unit_sum(unit(), digits).alias(f"{name}_sum"), F.count(unit()).alias(f"{name}_n")]
+    return lines.groupBy(*keys).agg(*sums)
 
 
-def _mean(column: str) -> Column:
-    return S.unit_mean(S.units(F.col(column)))
+def _coarser(cube: DataFrame, *keys: str) -> DataFrame:
+    """The cube without its city, which is counted instead."""
+    sums = [F.sum(c).alias(c) for c in cube.columns if c.endswith(("_sum", "_n", "_count"))]
+    return cube.groupBy(*keys).agg(*sums, F.count("customer_city").alias("unique_cities"))
 
 
-def _named(lookup: DataFrame, products: DataFrame) -> DataFrame:
-    """Products with both names of their category; the English one falls back to the other."""
-    both = translate(products.select("product_id", PT), lookup, PT, EN, default=None)
-    return both.select(
-        "product_id", F.coalesce(EN, PT).alias("category_name"), F.col(PT).alias("category_name_pt")
-    )
+def _sum(name: str) -> Column:
+    return F.col(f"{name}_sum")
+
+
+def _mean(name: str) -> Column:
+    return _sum(name) / F.nullif(F.col(f"{name}_n"), F.lit(0)).cast("decimal(19,0)")
 
 
 def _measures(*which: str) -> list[Column]:
-    total, usd = F.col("total"), F.col("usd")
     measures = {
-        "order_count": F.count(F.lit(1)),
-        "unique_cities": F.countDistinct("customer_city"),
-        "avg_order_value_brl": S.rounded(S.unit_mean(total)),
-        "total_revenue_brl": S.rounded(S.unit_sum(total)),
-        "avg_product_weight": S.rounded(_mean("product_weight_g")),
-        "avg_exchange_rate": S.rounded(_mean("usd_brl_rate"), 4),
-        "avg_inflation": S.rounded(_mean("inflation_rate")),
-        "avg_interest_rate": S.rounded(_mean("interest_rate")),
-        "avg_order_value_usd": S.rounded(S.unit_mean(usd, S.DOLLARS)),
-        "total_revenue_usd": S.rounded(S.unit_sum(usd, S.DOLLARS)),
-        "exchange_rate_period": S.bucket(_mean("usd_brl_rate"), *S.FX_LIMITS, S.FX_LABELS),
-        "currency_strength": S.bucket(_mean("usd_brl_rate"), S.FX_LIMITS[0], None, S.STRENGTH_LABELS),
-        "interest_rate_period": S.bucket(_mean("interest_rate"), *S.INTEREST_LIMITS, S.INTEREST_LABELS),
+        "avg_order_value_brl": lambda: S.rounded(_mean("total")),
+        "total_revenue_brl": lambda: S.rounded(_sum("total")),
+        "avg_product_weight": lambda: S.rounded(_mean("weight")),
+        "avg_exchange_rate": lambda: S.rounded(_mean("rate"), 4),
+        "avg_inflation": lambda: S.rounded(_mean("inflation")),
+        "avg_interest_rate": lambda: S.rounded(_mean("interest")),
+        "avg_order_value_usd": lambda: S.rounded(_mean("usd")),
+        "total_revenue_usd": lambda: S.rounded(_sum("usd")),
+        "exchange_rate_period": lambda: S.bucket(_mean("rate"), *S.FX_LIMITS, S.FX_LABELS),
+        "currency_strength": lambda: S.bucket(_mean("rate"), S.FX_LIMITS[0], None, S.STRENGTH_LABELS),
+        "interest_rate_period": lambda: S.bucket(
+            _mean("interest"), *S.INTEREST_LIMITS, S.INTEREST_LABELS
+        ),
     }
-    return [measures[name].alias(name) for name in which]
+    return [measures[name]().alias(name) if name in measures else F.col(name) for name in which]
+
+
+def _category(groups: DataFrame) -> DataFrame:
+    return groups.select(
+        "category_name", "category_name_pt", "order_month", "customer_state",
+        *_measures(
+            "order_count", "avg_order_value_brl", "total_revenue_brl", "avg_exchange_rate",
+            "total_revenue_usd", "exchange_rate_period",
+        ),
+    )
+
+
+def category_from_cube(cube: DataFrame) -> DataFrame:
+    known = cube.where(F.col("category_name_pt").isNotNull())
+    return _category(_coarser(known, "category_name", "category_name_pt", "order_month", "customer_state"))
+
+
+def category_wide_from_cube(cube: DataFrame) -> DataFrame:
+    groups = _coarser(cube.where(F.col(PT).isNotNull()), PT, "order_month", "customer_state")
+    return groups.select(
+        PT, "order_month", "customer_state",
+        *_measures(
+            "order_count", "unique_cities", "avg_order_value_brl", "total_revenue_brl",
+            "avg_product_weight", "avg_exchange_rate", "avg_inflation", "avg_interest_rate",
+            "avg_order_value_usd", "total_revenue_usd", "exchange_rate_period", "interest_rate_period",
+        ),
+    )
+
+
+def geo_from_cube(cube: DataFrame) -> DataFrame:
+    return cube.select(
+        *BY_PLACE,
+        *_measures(
+            "order_count", "total_revenue_brl", "avg_exchange_rate", "total_revenue_usd", "currency_strength"
+        ),
+    )
+
+
+def geo_wide_from_cube(cube: DataFrame) -> DataFrame:
+    mart = cube.select(
+        *WIDE_BY_PLACE,
+        *_measures(
+            "order_count", "total_revenue_brl", "avg_order_value_brl", "avg_exchange_rate",
+            "avg_inflation", "avg_interest_rate", "total_revenue_usd", "avg_order_value_usd",
+            "exchange_rate_period", "interest_rate_period",
+        ),
+    )
+    return mart.withColumnsRenamed(
+        {
+            "avg_interest_rate": "avg_selic",
+            "exchange_rate_period": "currency_strength",
+            "interest_rate_period": "interest_environment",
+        }
+    )
 
 
 def fct_category(
@@ -188,32 +273,23 @@ def fct_category(
     """
     known = products.where(F.col(PT).isNotNull())
     if wide:
-        sales = _sales(
-            items, orders, known.select("product_id", PT, "product_weight_g"), customers, ind, "inner",
-            fx_policy, {"ipca": "inflation_rate", "selic": "interest_rate"},
-        )
-        return sales.groupBy(PT, "order_month", "customer_state").agg(
-            *_measures(
-                "order_count", "unique_cities", "avg_order_value_brl", "total_revenue_brl",
-                "avg_product_weight", "avg_exchange_rate", "avg_inflation", "avg_interest_rate",
-                "avg_order_value_usd", "total_revenue_usd", "exchange_rate_period", "interest_rate_period",
-            )
+        return category_wide_from_cube(
+            sales_cube(items, orders, known, customers, None, ind, WIDE_BY_PLACE, True, "inner", fx_policy)
         )
     if not by_state:
         # The documented simpler form keeps items whose category is unknown.
-        sales = _sales(items, orders, _named(lookup, products), customers, ind, "inner", fx_policy)
-        return sales.groupBy("category_name", "order_month").agg(
+        keys = ("category_name", "order_month")
+        groups = sales_cube(items, orders, products, customers, lookup, ind, keys, False, "inner", fx_policy)
+        return groups.select(
+            *keys,
             *_measures(
                 "order_count", "total_revenue_brl", "avg_exchange_rate", "total_revenue_usd",
                 "exchange_rate_period",
-            )
-        )
-    sales = _sales(items, orders, _named(lookup, known), customers, ind, "inner", fx_policy)
-    return sales.groupBy("category_name", "category_name_pt", "order_month", "customer_state").agg(
-        *_measures(
-            "order_count", "avg_order_value_brl", "total_revenue_brl", "avg_exchange_rate",
-            "total_revenue_usd", "exchange_rate_period",
+            ),
         )
+    keys = ("category_name", "category_name_pt", "order_month", "customer_state")
+    return _category(
+        sales_cube(items, orders, known, customers, lookup, ind, keys, False, "inner", fx_policy)
     )
 
 
@@ -228,30 +304,7 @@ def fct_geo(
     fx_policy: str = "exact",
 ) -> DataFrame:
     """Sales per state, city, month and category; unknown categories form their own group."""
-    if wide:
-        sales = _sales(
-            items, orders, products.select("product_id", PT), customers, ind, "left",
-            fx_policy, {"ipca": "inflation_rate", "selic": "interest_rate"},
-        )
-        grouped = sales.groupBy("customer_state", "customer_city", "order_month", PT).agg(
-            *_measures(
-                "order_count", "total_revenue_brl", "avg_order_value_brl", "avg_exchange_rate",
-                "avg_inflation", "avg_interest_rate", "total_revenue_usd", "avg_order_value_usd",
-                "exchange_rate_period", "interest_rate_period",
-            )
-        )
-        return grouped.withColumnsRenamed(
-            {
-                "avg_interest_rate": "avg_selic",
-                "exchange_rate_period": "currency_strength",
-                "interest_rate_period": "interest_environment",
-            }
-        )
-    sales = _sales(items, orders, _named(lookup, products), customers, ind, "left", fx_policy)
-    return sales.groupBy(
-        "customer_state", "customer_city", "order_month", "category_name", "category_name_pt"
-    ).agg(
-        *_measures(
-            "order_count", "total_revenue_brl", "avg_exchange_rate", "total_revenue_usd", "currency_strength"
-        )
+    keys, finish = (WIDE_BY_PLACE, geo_wide_from_cube) if wide else (BY_PLACE, geo_from_cube)
+    return finish(
+        sales_cube(items, orders, products, customers, lookup, ind, keys, wide, "left", fx_policy)
     )

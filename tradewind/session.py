@@ -31,13 +31,19 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def local_session(app: str, cpus: int | str = "*", partitions: int = 8, **extra: str) -> SparkSession:
-    """A single-machine session, for tests and the benchmark."""
+    """A single-machine session, for tests and the benchmark.
+
+    Its tables are single files of one row group, which one task reads; a low broadcast
+    limit makes fact tables shuffle, so that the work after the scan is spread.
+    """
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(partitions))
+        .config("spark.sql.autoBroadcastJoinThreshold", "1MB")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
     )
     for key, value in extra.items():
