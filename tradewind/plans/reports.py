@@ -157,21 +157,22 @@ def elasticity(cat: DataFrame, k: int = 15) -> DataFrame:
     """Change of orders from strong to weak currency, in percent, largest first.
 
     0 where nothing was sold in the strong period; no rows at all unless both periods occur
-    somewhere in the data.
+    somewhere in the data. Both questions are asked of the same aggregate, so Spark reads
+    ``cat`` once and reuses the exchange.
     """
-    rows = cat.dropna(subset=["display_category", "exchange_rate_period"])
-    per = F.col("exchange_rate_period")
 
     def sold(period: str) -> Column:
-        return F.coalesce(F.sum(F.when(per == period, F.col("order_count"))), F.lit(0))
+        count = F.when(F.col("exchange_rate_period") == period, F.col("order_count"))
+        return F.coalesce(F.sum(count), F.lit(0))
 
-    per_category = rows.groupBy("display_category").agg(
-        sold(STRONG).alias("strong"), sold(WEAK).alias("weak")
+    rows = _grouped(
+        cat.where(F.col("exchange_rate_period").isNotNull()), ["display_category"],
+        sold(STRONG).alias("strong"), sold(WEAK).alias("weak"),
     )
-    both = rows.agg((F.count_if(per == STRONG) > 0) & (F.count_if(per == WEAK) > 0)).scalar()
+    both = rows.agg((F.max("strong") > 0) & (F.max("weak") > 0)).scalar()
     change = F.lit(100) * (F.col("weak") - F.col("strong")) / F.nullif(F.col("strong"), F.lit(0))
     return (
-        per_category.where(both)
+        rows.where(both)
         .select("display_category", F.coalesce(change, F.lit(0.0)).alias("elasticity"))
         .orderBy(F.desc("elasticity"), "display_category")
         .limit(k)
