@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from suite.entities import BAD_ORDERS, Entities
 from suite.marts_queries import (
-    D7, D8, FRAME, MARTS, STAR, T6, d2, d3, d4, d7, d8, frame, plain_times, t6, t7, t9, t11, t12,
+    D5, D7, D8, FRAME, MARTS, STAR, T6, d2, d3, d4, d7, d8, frame, plain_times, t6, t7, t9, t11, t12,
 )
 from suite.registry import query
 from tradewind.functions import scalars as S
@@ -44,6 +44,25 @@ GEO_COLUMNS = """customer_state, customer_city, order_month, category_name, cate
 
 query("s11_load_category", f"SELECT {CAT_COLUMNS} FROM cat", CAT)(lambda e: reports.load_category(d3(e)))
 query("s11_load_geo", f"SELECT {GEO_COLUMNS} FROM geo", GEO)(lambda e: reports.load_geo(d4(e)))
+WIDE_MARTS = {"m_wide": D5, "wide": "SELECT *, product_category_name AS display_category FROM m_wide"}
+query("s11_load_wide", "SELECT * FROM m_wide", WIDE_MARTS)(lambda e: reports.load_wide(d3(e, wide=True)))
+query(
+    "a10_kpis_wide",
+    """SELECT CAST(coalesce(sum(order_count), 0) AS BIGINT) AS total_orders,
+              CAST(coalesce(sum(CAST(total_revenue_usd AS DECIMAL(18, 4))), 0) AS DOUBLE) AS total_revenue_usd,
+              CAST(sum(CAST(avg_exchange_rate AS DECIMAL(18, 6))) AS DOUBLE) / nullif(count(avg_exchange_rate), 0)
+                AS avg_exchange_rate,
+              count(DISTINCT product_category_name) AS categories_count
+       FROM wide WHERE product_category_name IN ('SMALL', 'LARGE')""",
+    WIDE_MARTS,
+)(lambda e: reports.kpis(reports.apply_filters(d3(e, wide=True), categories=("SMALL", "LARGE"))))
+query(
+    "a12_cat_period_wide",
+    """SELECT display_category, exchange_rate_period, CAST(sum(order_count) AS BIGINT) AS order_count,
+              CAST(coalesce(sum(CAST(total_revenue_usd AS DECIMAL(18, 4))), 0) AS DOUBLE) AS total_revenue_usd
+       FROM wide GROUP BY ALL""",
+    WIDE_MARTS,
+)(lambda e: reports.category_by_period(display_category(d3(e, wide=True))))
 query("f4_date_range", f"SELECT {CAT_COLUMNS} FROM cat WHERE {IN_MONTHS}", CAT)(
     lambda e: reports.apply_filters(reports.load_category(d3(e)), months=MONTHS)
 )
@@ -228,6 +247,13 @@ query(
     f"""WITH c AS ({" UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in NAMES)})
         SELECT * FROM c UNION ALL SELECT 'total', CAST(sum(row_count) AS BIGINT) FROM c""",
 )(lambda e: profile.row_counts({n: e.table(n) for n in NAMES}))
+query(
+    "f14_like_prefix",
+    """SELECT 'part' AS table_name, count(*) AS row_count FROM part""",
+)(
+    lambda e: profile.row_counts({n: e.table(n) for n in NAMES}, total=False)
+    .where(F.col("table_name").like("p_r%"))
+)
 FRAME_DELIVERED = "f_all WHERE order_status = 'delivered'"
 
 

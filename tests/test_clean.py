@@ -39,6 +39,18 @@ def test_median_with_a_coarse_sketch(spark, n, accuracy):
     assert got == {"spread": statistics.median(range(n)), "flat": 5.0}
 
 
+@pytest.mark.parametrize("n", [4_000, 4_001])
+def test_median_of_a_group_too_large_to_order(spark, n):
+    """With room for 50 rows the tally is narrowed step by step, repeated values included."""
+    spread = spark.range(n).select(F.lit("spread").alias("k"), (F.col("id") * 7919 % n).cast("double").alias("v"))
+    steps = spark.range(n).select(F.lit("steps").alias("k"), F.floor(F.sqrt("id")).cast("double").alias("v"))
+    tail = spark.range(n).select(F.lit("tail").alias("k"), F.exp(F.col("id") / 100).alias("v"))
+    df = spread.unionByName(steps).unionByName(tail)
+    expected = df.groupBy("k").agg(F.median("v").alias("v"))
+    got = medians.medians_long(df, ["k"], ["v"], accuracy=20, window_rows=50).select("k", "median")
+    assert rows(got) == rows(expected)
+
+
 def test_approximate_median(spark):
     df = spark.range(101).selectExpr("'a' k", "cast(id AS double) v")
     assert rows(medians.medians(df, ["k"], ["v"], exact=False)) == [("a", 50.0)]

@@ -124,7 +124,7 @@ def test_median_orders_little_of_a_hot_group(spark):
 
 
 def test_a_large_ordered_limit_is_a_distributed_sort(spark):
-    df = spark.range(10).select(F.hash("id").alias("id"))
+    df = spark.read.parquet(f"{SMALL}/orders.parquet").select(F.col("o_custkey").alias("id"))
     small = reports.load_customer(df, 100, ["id"])._jdf.queryExecution().executedPlan().toString()
     large = reports.load_customer(df, 100_000, ["id"])._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in small and "TakeOrderedAndProject" not in large

@@ -85,6 +85,17 @@ def test_indicator_array_file(spark, folder):
         ind.read_indicator_series(spark, f"{folder}/b.json", "ipca").collect()
 
 
+def test_unreadable_series_are_left_out(spark, folder):
+    put(folder, "good.json", '{"data":"17/05/2017","valor":"1"}\n{"data":"31/12/2015","valor":"1"}\n')
+    put(folder, "bad.json", '{"data":"17/05/2017","valor":"1"}\n{"data":"2017-05-18","valor":"1"}\n')
+    put(folder, "empty.json", "")
+    paths = {"ipca": f"{folder}/good.json", "selic": f"{folder}/bad.json", "igpm": f"{folder}/none.json",
+             "exchange_rate_usd": f"{folder}/empty.json"}
+    got = ind.read_all_series(spark, paths)
+    assert rows(got.select("data", "series_name")) == [(dt.date(2017, 5, 17), "ipca")]
+    assert ind.read_all_series(spark, {"igpm": f"{folder}/none.json"}) is None
+
+
 def test_union_of_series(spark):
     one = spark.createDataFrame([(1, "a")], "n int, s string")
     assert rows(ind.union_series([None, one, one.select("s", "n")])) == [(1, "a"), (1, "a")]

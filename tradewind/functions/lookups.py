@@ -111,7 +111,12 @@ def translate(df: DataFrame, lookup: DataFrame, src: str, dst: str, default: str
 
 
 def display_category(df: DataFrame, lang: str = "English") -> DataFrame:
-    """Add ``display_category`` in English, Portuguese or Both."""
+    """Add ``display_category`` in English, Portuguese or Both.
+
+    The wide marts know the original name only.
+    """
+    if "category_name" not in df.columns:
+        return df.withColumn("display_category", F.col(PT))
     shown: dict[str, Column] = {
         "English": F.col("category_name"),
         "Portuguese": F.col("category_name_pt"),

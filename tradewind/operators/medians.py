@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from tradewind.session import keep
 
 ACCURACY = 10_000
+# Rows of one group that may be ordered in one task.
+WINDOW_ROWS = 1_000_000
+SPLITS = 100
 
 def _long(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
     """(keys, column, value) for every cell of ``cols`` in a row with complete keys."""
@@ -18,12 +21,59 @@ def _long(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
     return complete.select(*keys, F.inline(cells))
 
 
+def _ranked(tally: DataFrame, group: Sequence[str], order: str) -> DataFrame:
+    """Rows before and up to each row of a tally, and the two middle ranks."""
+    upto = F.sum("c").over(Window.partitionBy(*group).orderBy(order))
+    return tally.withColumn("upto", upto).withColumns(
+        {
+            "before": F.col("upto") - F.col("c"),
+            "first": F.floor((F.col("n") + 1) / 2),
+            "second": F.floor(F.col("n") / 2) + 1,
+        }
+    )
+
+
+def _narrowed(tally: DataFrame, group: Sequence[str], window_rows: int) -> DataFrame:
+    """Cut a tally down until no group has more than ``window_rows`` rows.
+
+    The values of a group are split into ranges of equal size, the ranges are counted, and
+    only those that hold a middle rank are kept; what lies below them stays as a count.
+    """
+    tally = keep(tally, "tally")
+    while True:
+        most = tally.groupBy(*group).count().agg(F.max("count")).first()[0]
+        if most is None or most <= window_rows:
+            return tally
+        points = [i / SPLITS for i in range(1, SPLITS)]
+        edges = tally.groupBy(*group).agg(F.percentile_approx("value", points, 10 * SPLITS).alias("edges"))
+        place = F.size(F.filter("edges", lambda edge: edge < F.col("value")))
+        placed = tally.join(keep(edges, "edges"), group).withColumn(
+            "part", F.when(F.col("value").isNull(), -1).otherwise(place)
+        )
+        parts = placed.groupBy(*group, "part").agg(F.sum("c").alias("c"), F.max("n").alias("n"))
+        middle = keep(
+            _ranked(parts, group, "part")
+            .where((F.col("upto") >= F.col("first")) & (F.col("before") < F.col("second")))
+            .select(*group, "part", "before", "n"),
+            "middle",
+        )
+        inside = placed.join(middle.select(*group, "part"), [*group, "part"])
+        below = middle.groupBy(*group).agg(F.min("before").alias("c"), F.max("n").alias("n"))
+        tally = keep(
+            inside.select(*group, "value", "c", "n").unionByName(
+                below.select(*group, F.lit(None).cast("double").alias("value"), "c", "n")
+            ),
+            "tally",
+        )
+
+
 def medians_long(
     df: DataFrame,
     keys: Sequence[str],
     cols: Sequence[str],
     exact: bool = True,
     accuracy: int = ACCURACY,
+    window_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
     """Median of each of ``cols`` per group, as rows (keys, column, median).
 
@@ -35,7 +85,7 @@ def medians_long(
        values, with a rank error the sketch guarantees;
     2. the values below the bracket are only counted, those inside it are counted per
        distinct value, and the middle ranks are read off. What is ordered per group is
-       about a thousandth of its rows.
+       about a thousandth of its rows, and is cut down further if that is still a lot.
 
     ``df`` is read twice. A rank outside its bracket would raise, never give a wrong value.
     """
@@ -57,16 +107,19 @@ def medians_long(
         .groupBy(*group, F.when(value >= F.col("lo"), value).alias("value"))
         .agg(F.count(F.lit(1)).alias("c"), F.max("n").alias("n"))
     )
-    # The NULL row sums up what lies below the bracket; NULLs sort first.
-    upto = Window.partitionBy(*group).orderBy("value")
-    ranked = tally.withColumn("upto", F.sum("c").over(upto))
-    first, second = F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1
-    before = F.col("upto") - F.col("c")
-
-    def at(rank: Column) -> Column:
-        return F.max(F.when((before < rank) & (rank <= F.col("upto")), value))
-
-    picked = ranked.groupBy(*group).agg(((at(first) + at(second)) / 2).alias("median"))
+    # The NULL row sums up what lies below the bracket; NULLs sort first. A bracket holds
+    # at most 2 * (margin + 1 / accuracy) of the rows of its group.
+    most = bracket.agg(F.max("n")).first()[0] or 0
+    if most * 10 / accuracy > window_rows:
+        tally = _narrowed(tally, group, window_rows)
+
+    def at(rank: str) -> Column:
+        hit = (F.col("before") < F.col(rank)) & (F.col(rank) <= F.col("upto"))
+        return F.max(F.when(hit, value))
+
+    picked = _ranked(tally, group, "value").groupBy(*group).agg(
+        ((at("first") + at("second")) / 2).alias("median")
+    )
     missed = F.raise_error(F.lit("median outside its bracket")).cast("double")
     checked = F.when(F.col("n") > 0, F.coalesce("median", missed))
     return bracket.join(picked, group, "left").select(*group, checked.alias("median"))

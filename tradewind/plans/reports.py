@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tradewind.functions.lookups import PT
 from tradewind.functions.scalars import exact_mean, exact_sum, place_label
 
 STRONG, WEAK = "Strong BRL", "Weak BRL"
@@ -33,6 +34,10 @@ def _grouped(df: DataFrame, keys: Sequence[str], *measures: Column) -> DataFrame
     return df.dropna(subset=list(keys)).groupBy(*keys).agg(*measures)
 
 
+def _category(df: DataFrame) -> str:
+    return "category_name" if "category_name" in df.columns else PT
+
+
 def load_category(mart: DataFrame) -> DataFrame:
     """The category mart as reports read it, newest month first."""
     return mart.where(F.col("category_name").isNotNull()).select(
@@ -52,9 +57,7 @@ def load_geo(mart: DataFrame) -> DataFrame:
 
 def load_wide(mart: DataFrame) -> DataFrame:
     """All columns of an older, wide mart, newest month first."""
-    return mart.where(F.col("product_category_name").isNotNull()).orderBy(
-        F.desc("order_month"), "product_category_name", "customer_state"
-    )
+    return mart.where(F.col(PT).isNotNull()).orderBy(F.desc("order_month"), PT, "customer_state")
 
 
 def load_customer(mart: DataFrame, n: int = 100_000, order_by: Sequence[str] = ()) -> DataFrame:
@@ -82,7 +85,7 @@ def apply_filters(
         low, high = (F.lit(m).cast("date") for m in months)
         df = df.where(F.col("order_month").between(low, high))
     for col, chosen in (
-        ("category_name", categories),
+        (_category(df), categories),
         ("customer_state", states),
         ("exchange_rate_period", periods),
     ):
@@ -98,7 +101,7 @@ def kpis(cat: DataFrame) -> DataFrame:
         F.coalesce(F.sum("order_count"), F.lit(0)).alias("total_orders"),
         exact_sum(F.col("total_revenue_usd")).alias("total_revenue_usd"),
         _rate(),
-        F.countDistinct("category_name").alias("categories_count"),
+        F.countDistinct(_category(cat)).alias("categories_count"),
     )
 
 

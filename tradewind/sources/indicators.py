@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import logging
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,3 +55,23 @@ def union_series(dfs: Sequence[DataFrame | None]) -> DataFrame | None:
     """All series below each other; None if there are none."""
     found = [df for df in dfs if df is not None]
     return reduce(DataFrame.unionByName, found) if found else None
+
+
+def read_all_series(
+    spark: SparkSession, paths: Mapping[str, str], start: str | None = "01/01/2016", end: str | None = None
+) -> DataFrame | None:
+    """Every series that can be read, below each other; None if there is none.
+
+    A series without a file, without records or with an unreadable date is left out and
+    logged; the others are not affected.
+    """
+    found = []
+    for name, path in paths.items():
+        try:
+            rows = read_indicator_series(spark, path, name, start, end)
+            # Parsing every date now decides whether the series can be used at all.
+            if rows.agg(F.count("data")).first()[0]:
+                found.append(rows)
+        except PySparkException as error:
+            logging.getLogger(__name__).warning("series %s left out: %s", name, error)
+    return union_series(found)
