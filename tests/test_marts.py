@@ -185,6 +185,20 @@ def test_partitioning_changes_no_digit(spark, conf):
     assert rows(mart()) == first
 
 
+def test_an_order_of_any_size(spark, shop):
+    """Totals far beyond what a single item may cost."""
+    many = spark.range(1000).selectExpr(
+        "'o1' order_id", "'p1' product_id", "'s' seller_id", "9e9D price", "0.5D freight_value"
+    )
+    order = marts.fct_orders(shop["orders"], many, shop["ind"]).where("order_id = 'o1'").first()
+    assert order.total_order_value_brl == 9_000_000_000_500.0
+    assert order.total_order_value_usd == pytest.approx(9_000_000_000_500.0 / 3.3, abs=0.01)
+    mart = marts.fct_category(
+        many, shop["orders"], shop["products"], shop["customers"], shop["lookup"], shop["ind"]
+    ).first()
+    assert mart.total_revenue_usd == pytest.approx(9_000_000_000_500.0 / 3.3, abs=0.01)
+
+
 def test_fact_orders_multiplies(spark):
     orders = spark.createDataFrame([("o", "c")], "order_id string, customer_id string").select(
         "*", F.lit("delivered").alias("order_status"),

@@ -70,10 +70,21 @@ def test_dollars(spark):
     df = spark.createDataFrame(
         [(100.0, 4.0), (10.01, 2.0), (-10.01, 2.0), (1.0, 0.0), (1.0, None), (None, 2.0)], "v double, r double"
     )
-    cents = S.dollars_to_cents(S.dollar_units(S.units(F.col("v")), F.col("r")))
+    cents = S.to_cents(S.dollars(S.units(F.col("v")), F.col("r")))
     assert apply(df, cents) == [25.0, 5.01, -5.01, None, None, None]
 
 
+def test_cents_at_the_edges(spark):
+    df = column(spark, [0.005, 1.004999, 1.995, 0.9999999999, 41979.825, -41979.825, 3.8e10, 0.0], "double")
+    assert apply(df, S.to_cents(F.col("x"))) == [0.01, 1.0, 2.0, 1.0, 41979.83, -41979.83, 3.8e10, 0.0]
+
+
+def test_fine_sums(spark):
+    df = column(spark, [0.1, 0.2, -0.3, 1 / 3, 4e12, None], "double")
+    assert float(df.agg(S.fine_sum(F.col("x"))).first()[0]) == 4000000000000.333333333
+    assert df.where("x > 1e13").agg(S.fine_sum(F.col("x"))).first()[0] is None
+
+
 def test_unit_sums_are_exact(spark):
     df = spark.createDataFrame([(0.1,), (0.2,), (-0.3,), (1e6,), (None,)], "x double")
     total, mean = df.agg(S.unit_sum(S.units(F.col("x"))), S.unit_mean(S.units(F.col("x")))).first()

@@ -8,10 +8,10 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Amounts are added up as whole numbers of 10**-digits: such a sum does not depend on the
-# order in which partial results arrive, so a rerun task or another partitioning changes no
-# digit, and it costs a fraction of decimal arithmetic per row.
-MONEY, DOLLARS = 6, 9
+# Amounts are added up as whole numbers: such a sum does not depend on the order in which
+# partial results arrive, so a rerun task or another partitioning changes no digit, and it
+# costs a fraction of decimal arithmetic per row.
+MILLION, BILLION = 10**6, 10**9
 
 # The labels of the economic classes.
 ROW_FX_LABELS = ("Strong BRL (< 3.5)", "Moderate BRL (3.5-4.5)", "Weak BRL (> 4.5)")
@@ -51,45 +51,71 @@ def month_of(col: Column) -> Column:
     return F.trunc(col, "MM")
 
 
-def units(col: Column, digits: int = MONEY) -> Column:
-    """A number as a whole count of 10**-digits, rounded to the nearest."""
-    return F.rint(col.cast("double") * F.lit(float(10**digits))).cast("bigint")
+def units(col: Column) -> Column:
+    """A number as a whole count of millionths, rounded to the nearest.
 
-
-def from_units(col: Column, digits: int = MONEY) -> Column:
-    return col / F.lit(float(10**digits))
+    Holds amounts up to 9 * 10**12; a greater one raises.
+    """
+    return F.rint(col.cast("double") * F.lit(float(MILLION))).cast("bigint")
 
 
-def dollar_units(value: Column, rate: Column) -> Column:
-    """Money units at a rate, as dollar units; NULL where the rate is missing or zero."""
-    scale = F.lit(float(10 ** (DOLLARS - MONEY)))
-    return F.rint(value.cast("double") / F.nullif(rate.cast("double"), F.lit(0.0)) * scale).cast("bigint")
+def from_units(col: Column) -> Column:
+    return col / F.lit(float(MILLION))
 
 
-def unit_sum(col: Column, digits: int = MONEY) -> Column:
-    """Exact sum of a column of units, as a decimal.
+def _halves(col: Column) -> Column:
+    """Exact sum of whole numbers, whose upper and lower bits are added up apart.
 
-    High and low bits are summed apart: neither sum overflows below 10**12 rows.
+    Neither sum overflows below 10**12 rows.
     """
     high = F.sum(F.shiftright(col, 20)).cast("decimal(19,0)")
     low = F.sum(col.bitwiseAND(F.lit(0xFFFFF).cast("bigint"))).cast("decimal(19,0)")
-    return (high * F.lit(Decimal(1 << 20)) + low) * F.lit(Decimal(1).scaleb(-digits))
+    return high * F.lit(Decimal(1 << 20)) + low
+
+
+def unit_sum(col: Column) -> Column:
+    """Exact sum of a column of units, as a decimal."""
+    return _halves(col) * F.lit(Decimal(1).scaleb(-6))
 
 
-def unit_mean(col: Column, digits: int = MONEY) -> Column:
+def unit_mean(col: Column) -> Column:
     """Exact mean of a column of units, as a decimal; NULL when there is nothing to average."""
-    return unit_sum(col, digits) / F.nullif(F.count(col), F.lit(0)).cast("decimal(19,0)")
+    return mean_of(unit_sum(col), F.count(col))
+
+
+def mean_of(total: Column, count: Column) -> Column:
+    return total / F.nullif(count, F.lit(0)).cast("decimal(19,0)")
+
+
+def dollars(units_col: Column, rate: Column) -> Column:
+    """Units at a rate, as a plain number; NULL where the rate is missing or zero."""
+    return from_units(units_col) / F.nullif(rate.cast("double"), F.lit(0.0))
+
+
+def _whole(col: Column) -> Column:
+    return F.floor(col)
+
+
+def _billionths(col: Column) -> Column:
+    """What a number exceeds its whole part by; quotients are cut off here."""
+    return F.rint((col - _whole(col)) * F.lit(float(BILLION))).cast("bigint")
+
+
+def fine_sum(col: Column) -> Column:
+    """Order-independent sum of numbers of any size, each to nine digits, as a decimal."""
+    whole = F.sum(_whole(col)).cast("decimal(19,0)")
+    return whole + (_halves(_billionths(col)) * F.lit(Decimal(1).scaleb(-9))).cast("decimal(28,9)")
 
 
 def rounded(col: Column, digits: int = 2) -> Column:
     return F.round(col, digits).cast("double")
 
 
-def dollars_to_cents(col: Column) -> Column:
-    """Dollar units as dollars and cents, halves away from zero."""
-    cent = 10 ** (DOLLARS - 2)
-    whole = F.call_function("div", F.abs(col) + F.lit(cent // 2), F.lit(cent))
-    return F.sign(col) * whole / F.lit(100.0)
+def to_cents(col: Column) -> Column:
+    """A number to two digits, halves away from zero; noise beyond nine digits is ignored."""
+    size = F.abs(col)
+    cents = F.call_function("div", _billionths(size) + F.lit(5 * MILLION), F.lit(10 * MILLION))
+    return F.sign(col) * (_whole(size) * F.lit(100) + cents) / F.lit(100.0)
 
 
 def exact_sum(col: Column, scale: int = 4) -> Column:

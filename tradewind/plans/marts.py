@@ -50,7 +50,7 @@ def fct_orders(
     rows = with_fx(rows, "order_date", ind, fx_policy)
     rows = with_monthly(rows, "order_date", ind, {"ipca": "ipca_month", "selic": "selic_month"}, monthly)
     total = F.col("price") + F.col("freight")
-    dollars = S.dollar_units(S.units(total), F.col("usd_brl_rate"))
+    rate = F.nullif(F.col("usd_brl_rate").cast("double"), F.lit(0.0))
     return rows.select(
         "order_id",
         "customer_id",
@@ -61,7 +61,7 @@ def fct_orders(
         F.col("freight").cast("double").alias("freight_value_brl"),
         total.cast("double").alias("total_order_value_brl"),
         "usd_brl_rate",
-        S.dollars_to_cents(dollars).alias("total_order_value_usd"),
+        S.to_cents(total.cast("double") / rate).alias("total_order_value_usd"),
         "ipca_month",
         "selic_month",
     )
@@ -104,22 +104,18 @@ def fct_customer_items(
         "usd_brl_rate",
         "inflation_rate",
         "interest_rate",
-        S.dollars_to_cents(S.dollar_units(_total(), rate)).alias("total_item_value_usd"),
+        S.to_cents(S.dollars(_total(), rate)).alias("total_item_value_usd"),
         S.bucket(rate, *S.FX_LIMITS, S.ROW_FX_LABELS).alias("exchange_rate_category"),
         S.bucket(interest, *S.INTEREST_LIMITS, S.ROW_INTEREST_LABELS).alias("interest_rate_category"),
     )
 
 
-# What the grouped marts add up: name, and how an item is counted in units.
-AMOUNTS = {
-    "total": (lambda: F.col("total"), S.MONEY),
-    "usd": (lambda: F.col("usd"), S.DOLLARS),
-    "rate": (lambda: S.units(F.col("usd_brl_rate")), S.MONEY),
-}
+# What the grouped marts add up: name, column, and whether it needs units first.
+AMOUNTS = {"total": ("total", False), "rate": ("usd_brl_rate", True)}
 WIDE_AMOUNTS = AMOUNTS | {
-    "weight": (lambda: S.units(F.col("product_weight_g")), S.MONEY),
-    "inflation": (lambda: S.units(F.col("inflation_rate")), S.MONEY),
-    "interest": (lambda: S.units(F.col("interest_rate")), S.MONEY),
+    "weight": ("product_weight_g", True),
+    "inflation": ("inflation_rate", True),
+    "interest": ("interest_rate", True),
 }
 BY_PLACE = ("customer_state", "customer_city", "order_month", "category_name", "category_name_pt")
 WIDE_BY_PLACE = ("customer_state", "customer_city", "order_month", PT)
@@ -160,11 +156,16 @@ def sales_cube(
         .join(sold, "order_id")
         .join(named, "product_id", how)
         .withColumns({"order_month": S.month_of(F.col("order_date")), "total": _total()})
-        .withColumn("usd", S.dollar_units(F.col("total"), F.col("usd_brl_rate")))
+        .withColumn("usd", S.dollars(F.col("total"), F.col("usd_brl_rate")))
     )
-    sums = [F.count(F.lit(1)).alias("order_count")]
-    for name, (unit, digits) in (WIDE_AMOUNTS if wide else AMOUNTS).items():
-        sums += [S.unit_sum(unit(), digits).alias(f"{name}_sum"), F.count(unit()).alias(f"{name}_n")]
+    sums = [
+        F.count(F.lit(1)).alias("order_count"),
+        S.fine_sum(F.col("usd")).alias("usd_sum"),
+        F.count("usd").alias("usd_n"),
+    ]
+    for name, (column, raw) in (WIDE_AMOUNTS if wide else AMOUNTS).items():
+        counted = S.units(F.col(column)) if raw else F.col(column)
+        sums += [S.unit_sum(counted).alias(f"{name}_sum"), F.count(column).alias(f"{name}_n")]
     return lines.groupBy(*keys).agg(*sums)
 
 
@@ -179,7 +180,7 @@ def _sum(name: str) -> Column:
 
 
 def _mean(name: str) -> Column:
-    return _sum(name) / F.nullif(F.col(f"{name}_n"), F.lit(0)).cast("decimal(19,0)")
+    return S.mean_of(_sum(name), F.col(f"{name}_n"))
 
 
 def _measures(*which: str) -> list[Column]:
