@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from conftest import SMALL, final_plan, rows
 from suite.entities import Entities
-from tradewind.operators import medians, quality
+from tradewind.operators import medians, quality, staging
 from tradewind.operators.joins import hot_values, left_join_many
 from tradewind.plans import marts, reports, star
+from tradewind.session import keep
+from tradewind.sources.tables import materialize
 
 QUERIES = contract.queries()
 
@@ -123,6 +125,41 @@ def test_median_orders_little_of_a_hot_group(spark):
     assert "Aggregate [" in window[: window.index("Join Inner")]
 
 
+def test_bucketed_tables_need_no_shuffle_on_the_order(spark, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
+    e = Entities(spark, SMALL)
+    orders = materialize(e.raw_orders, "bucketed_orders", "table", bucket_by=(4, "order_id"))
+    items = materialize(e.raw_items, "bucketed_items", "table", bucket_by=(4, "order_id"))
+    staged = staging.stg_orders(orders), staging.stg_order_items(items)
+    totals = marts.fct_orders(*staged, e.ind)
+    text = totals._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(order_id" not in text
+    assert rows(totals.select("order_id", "order_value_brl")) == rows(
+        marts.fct_orders(e.orders, e.items, e.ind).select("order_id", "order_value_brl")
+    )
+    spark.sql("DROP TABLE bucketed_orders")
+    spark.sql("DROP TABLE bucketed_items")
+
+
+def test_report_filters_reach_the_stored_mart(spark, conf):
+    conf(spark__sql__maxMetadataStringLength="1000")
+    mart = keep(QUERIES["d3_category"](spark, SMALL), "mart")
+    chosen = reports.apply_filters(reports.load_category(mart), months=("1996-01-01", "1996-12-01"), states=["NATION_1"])
+    plan = reports.monthly(chosen)._jdf.queryExecution().executedPlan().toString()
+    pushed = plan[plan.index("PushedFilters"):]
+    assert "GreaterThanOrEqual(order_month,1996-01-01)" in pushed and "EqualTo(customer_state,NATION_1)" in pushed
+    read = plan[plan.index("ReadSchema"):].split("\n")[0]
+    assert "total_revenue_brl" not in read
+
+
+def test_left_join_with_nothing_on_the_right(spark):
+    left = spark.range(3).withColumnRenamed("id", "k")
+    right = left.where("k > 5").withColumn("v", F.lit(1))
+    assert rows(left_join_many(left, right, "k", 1)) == [(0, None), (1, None), (2, None)]
+    nulls = spark.range(2).select(F.lit(None).cast("bigint").alias("k"), F.lit(1).alias("v"))
+    assert rows(left_join_many(left, nulls, "k", 1)) == [(0, None), (1, None), (2, None)]
+
+
 def test_a_large_ordered_limit_is_a_distributed_sort(spark):
     df = spark.read.parquet(f"{SMALL}/orders.parquet").select(F.col("o_custkey").alias("id"))
     small = reports.load_customer(df, 100, ["id"])._jdf.queryExecution().executedPlan().toString()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_ROWS = 5_000_000
+HOT_ROWS = 1_000_000
 SKETCH_ITEMS = 10_000
 MAX_HOT = 100
 

@@ -87,7 +87,8 @@ def medians_long(
        distinct value, and the middle ranks are read off. What is ordered per group is
        about a thousandth of its rows, and is cut down further if that is still a lot.
 
-    ``df`` is read twice. A rank outside its bracket would raise, never give a wrong value.
+    ``df`` is read twice; the bracket is stored in between, so a repeated task meets the
+    same one. A rank outside its bracket would raise, never give a wrong value.
     """
     group = [*keys, "column"]
     rows = _long(df, keys, cols)
@@ -98,7 +99,7 @@ def medians_long(
         F.count("value").alias("n"),
         F.percentile_approx("value", [0.5 - margin, 0.5 + margin], accuracy).alias("b"),
     )
-    # Written out so that its size is known: Spark then broadcasts it if, and only if, small.
+    # Stored, so that its size is known: Spark then broadcasts it if, and only if, small.
     bracket = keep(sketched.select(*group, "n", F.col("b")[0].alias("lo"), F.col("b")[1].alias("hi")), "bracket")
     value = F.col("value")
     tally = (

@@ -73,7 +73,7 @@ def in_range(df: DataFrame, col: str, lo, hi) -> DataFrame:
 
 def relationships(child: DataFrame, col: str, parent: DataFrame, key: str) -> DataFrame:
     """Child rows whose key the parent lacks; NULL keys are left out."""
-    known = parent.select(F.col(key).alias(col))
+    known = parent.select(F.col(key).alias(col)).distinct()
     return child.where(F.col(col).isNotNull()).join(known, col, "left_anti")
 
 
@@ -107,7 +107,8 @@ def _orphans(tables: Mapping[str, DataFrame], check: Check) -> DataFrame:
         .groupBy(F.col(check.column).alias("k"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    lone = keys.join(tables[parent].select(F.col(key).alias("k")), "k", "left_anti")
+    known = tables[parent].select(F.col(key).alias("k")).distinct()
+    lone = keys.join(known, "k", "left_anti")
     return lone.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
 
 

@@ -202,14 +202,29 @@ def write_table(
     out.write.mode(modes[disposition]).partitionBy(*partition_by).parquet(path)
 
 
-def materialize(df: DataFrame, name: str, kind: str, path: str | None = None) -> DataFrame:
-    """Register ``df`` as a view, or write it as a table, under ``name``."""
+def materialize(
+    df: DataFrame,
+    name: str,
+    kind: str,
+    path: str | None = None,
+    bucket_by: tuple[int, str] | None = None,
+) -> DataFrame:
+    """Register ``df`` as a view, or write it as a table, under ``name``.
+
+    A catalogue table can be bucketed, as (number of buckets, key): tables in the same
+    buckets are joined and grouped on that key without a shuffle.
+    """
     spark = df.sparkSession
     if kind == "view":
         df.createOrReplaceTempView(name)
     elif path is not None:
         df.write.mode("overwrite").parquet(path)
         spark.read.schema(df.schema).parquet(path).createOrReplaceTempView(name)
+    elif bucket_by is not None:
+        # One task per bucket writes it, so that a bucket is one file and not one per task.
+        buckets, key = bucket_by
+        rows = df.repartition(buckets, key)
+        rows.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(name)
     else:
         df.write.mode("overwrite").saveAsTable(name)
     return spark.table(name)
