@@ -32,7 +32,8 @@ def same(spark_df, relation) -> str:
     theirs = Counter(tuple(plain(row[i]) for i in order) for row in rows)
     if ours != theirs:
         lost, extra = list((theirs - ours).items()), list((ours - theirs).items())
-        return (f"{sum(ours.values())} vs {len(rows)} rows; {len(extra)} only here {extra[:2]}; {len(lost)} only there {lost[:2]}")[:700]
+        text = f"{sum(ours.values())} vs {len(rows)} rows; only here {extra[:2]}; only there {lost[:2]}"
+        return text[:700]
     types = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
              "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "int": "INTEGER"}
     there = dict(zip(relation.columns, map(str, relation.types)))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from suite.entities import BAD_ORDERS, Entities
 from suite.marts_queries import (
-    D5, D7, D8, FRAME, MARTS, STAR, T6, d2, d3, d4, d7, d8, frame, plain_times, t6, t7, t9, t11, t12,
+    D5, D7, D8, FRAME, MARTS, STAR, d2, d3, d4, d7, d8, frame, plain_times, t6, t7, t9, t11, t12,
 )
 from suite.registry import query
 from tradewind.functions import scalars as S
@@ -759,7 +759,8 @@ query(
 
 @query(
     "s6_write_table",
-    "SELECT data, valor, series_name, series_id FROM e_series UNION ALL SELECT data, valor, series_name, series_id FROM e_series",
+    """SELECT data, valor, series_name, series_id FROM e_series
+       UNION ALL SELECT data, valor, series_name, series_id FROM e_series""",
 )
 def _(e: Entities):
     path = scratch_path(e.spark, "sink")

@@ -77,7 +77,9 @@ def test_hot_keys_are_split_in_marts(spark, low_skew_limits):
 
 @pytest.mark.parametrize("min_rows", [1_000, 10**9])
 def test_left_join_with_a_hot_right_side(spark, low_skew_limits, min_rows):
-    left = spark.range(1000, numPartitions=4).select(F.nullif("id", F.lit(13)).alias("order_id"), (F.col("id") * 2).alias("x"))
+    left = spark.range(1000, numPartitions=4).select(
+        F.nullif("id", F.lit(13)).alias("order_id"), (F.col("id") * 2).alias("x")
+    )
     right = hot(spark).select("order_id", "tag")
     joined = left_join_many(left, right, "order_id", min_rows)
     plain = left.join(right, "order_id", "left")
@@ -107,7 +109,8 @@ def test_hot_keys_in_checks(spark, low_skew_limits):
         quality.Check("items", "order_id", "relationships", "warn", ("orders", "order_id")),
         quality.Check("items", "order_id", "unique"),
     ]
-    got = {r.check_name.split(": ")[1]: r.failures for r in quality.run_checks({"items": items, "orders": parents}, checks).collect()}
+    results = quality.run_checks({"items": items, "orders": parents}, checks)
+    got = {r.check_name.split(": ")[1]: r.failures for r in results.collect()}
     keys = items.groupBy("order_id").count()
     assert got == {
         "relationships": items.where("order_id = 0").count(), "unique": keys.where("count > 1").count(),

@@ -149,10 +149,37 @@ def test_jdbc_options():
     assert (split["partitionColumn"], split["numPartitions"]) == ("id", "8")
 
 
+def test_jdbc_reader_passes_its_options_on():
+    calls = []
+
+    class Reader:
+        read = property(lambda self: self)
+
+        def format(self, name):
+            calls.append(name)
+            return self
+
+        def options(self, **options):
+            calls.append(options)
+            return self
+
+        def load(self):
+            return "frame"
+
+    got = tables.read_jdbc_tables(Reader(), "jdbc:x:y", ["a", "b"], {"user": "me"}, {"b": ("id", 0, 9, 3)})
+    assert got == {"a": "frame", "b": "frame"} and calls[0] == "jdbc"
+    assert calls[1] == tables.jdbc_options("jdbc:x:y", "a") | {"user": "me"}
+    assert calls[3] == tables.jdbc_options("jdbc:x:y", "b", "id", 0, 9, 3) | {"user": "me"}
+
+
 def test_source_catalogue(spark):
     root = scratch_path(spark, "cat")
     spark.range(2).write.parquet(f"{root}/{tables.SOURCES['orders']}")
     assert tables.read_sources(spark, root, ["orders"])["orders"].count() == 2
+    tables.ensure_database(spark, "shop_sources")
+    spark.range(3).write.saveAsTable(f"shop_sources.`{tables.SOURCES['indicators']}`")
+    assert tables.read_sources(spark, "shop_sources", ["indicators"], catalogued=True)["indicators"].count() == 3
+    spark.sql("DROP DATABASE shop_sources CASCADE")
 
 
 def test_load_time(spark):

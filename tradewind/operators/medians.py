@@ -14,11 +14,27 @@ ACCURACY = 10_000
 WINDOW_ROWS = 1_000_000
 SPLITS = 100
 
+def _complete(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.dropna(subset=list(keys)) if keys else df
+
+
 def _long(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    """(keys, column, value) for every cell of ``cols`` in a row with complete keys."""
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols])
-    complete = df.dropna(subset=list(keys)) if keys else df
-    return complete.select(*keys, F.inline(cells))
+    """(keys, column, value) for every cell of ``cols``."""
+    cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols]
+    return df.select(*keys, F.inline(F.array(*cells)))
+
+
+def _sketch(df: DataFrame, keys: Sequence[str], cols: Sequence[str], at, accuracy: int) -> DataFrame:
+    """(keys, column, n, b): the number of values of each column, and quantiles of them."""
+    cells = [
+        F.struct(
+            F.lit(c).alias("column"),
+            F.count(c).alias("n"),
+            F.percentile_approx(F.col(c).cast("double"), at, accuracy).alias("b"),
+        )
+        for c in cols
+    ]
+    return df.groupBy(*keys).agg(F.array(*cells).alias("cells")).select(*keys, F.inline("cells"))
 
 
 def _ranked(tally: DataFrame, group: Sequence[str], order: str) -> DataFrame:
@@ -91,19 +107,16 @@ def medians_long(
     same one. A rank outside its bracket would raise, never give a wrong value.
     """
     group = [*keys, "column"]
-    rows = _long(df, keys, cols)
+    df = _complete(df, keys)
     if not exact:
-        return rows.groupBy(*group).agg(F.percentile_approx("value", 0.5, accuracy).alias("median"))
+        return _sketch(df, keys, cols, 0.5, accuracy).select(*group, F.col("b").alias("median"))
     margin = 4 / accuracy
-    sketched = rows.groupBy(*group).agg(
-        F.count("value").alias("n"),
-        F.percentile_approx("value", [0.5 - margin, 0.5 + margin], accuracy).alias("b"),
-    )
+    sketched = _sketch(df, keys, cols, [0.5 - margin, 0.5 + margin], accuracy)
     # Stored, so that its size is known: Spark then broadcasts it if, and only if, small.
     bracket = keep(sketched.select(*group, "n", F.col("b")[0].alias("lo"), F.col("b")[1].alias("hi")), "bracket")
     value = F.col("value")
     tally = (
-        rows.join(bracket, group)
+        _long(df, keys, cols).join(bracket, group)
         .where(value <= F.col("hi"))
         .groupBy(*group, F.when(value >= F.col("lo"), value).alias("value"))
         .agg(F.count(F.lit(1)).alias("c"), F.max("n").alias("n"))

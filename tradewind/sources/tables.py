@@ -170,8 +170,12 @@ def read_jdbc_tables(
     }
 
 
-def read_sources(spark: SparkSession, root: str, names: Sequence[str] = tuple(SOURCES)) -> dict[str, DataFrame]:
-    """Stored source tables by their logical name."""
+def read_sources(
+    spark: SparkSession, root: str, names: Sequence[str] = tuple(SOURCES), catalogued: bool = False
+) -> dict[str, DataFrame]:
+    """Source tables by their logical name, from a folder or from the database ``root``."""
+    if catalogued:
+        return {name: spark.table(f"`{root}`.`{SOURCES[name]}`") for name in names}
     return {name: spark.read.parquet(f"{root}/{SOURCES[name]}") for name in names}
 
 
