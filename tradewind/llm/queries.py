@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import minhash
-from tradewind.session import configure
+from tradewind.llm import minhash, quality, shards
+from tradewind.session import configure, keep
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -38,6 +38,27 @@ def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
 
 
+@query("op3_quality_rules")
+def op3(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    found, _ = quality.scored(docs, ["doc_id"], keep)
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return found.select("doc_id", *base, "base_failed", "kept", "posterior")
+
+
+@query("op4_sharding")
+def op4(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select(
+        "doc_id",
+        (F.octet_length(text).cast("long") + 8).alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.xxhash64("text").alias("text_print"),
+    )
+    found = shards.sharded(rows, ["doc_id", "size", "text_print"], 24, seed=17)
+    law, grown = F.lit("rows").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    return found.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
+
+
 @query("op5_minhash_near_dedup")
 def op5(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     found = minhash.one_per_group(minhash.near_duplicates(docs, ["doc_id"], percent=85))
