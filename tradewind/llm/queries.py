@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import minhash, quality, shards
+from tradewind.llm import minhash, packing, quality, shards
 from tradewind.session import configure, keep
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +64,9 @@ def op4(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 def op5(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     found = minhash.one_per_group(minhash.near_duplicates(docs, ["doc_id"], percent=85))
     return found.select("doc_id", F.col("n_shingles").cast("long").alias("n_shingles"), "component_id", "kept")
+
+
+@query("op8_packing")
+def op8(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    found = packing.packed(docs, ["doc_id"], public_tokenizers.path("word_bpe_49k.json"))
+    return found.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
