@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import minhash, packing, quality, shards
+from tradewind.llm import minhash, packing, quality, secrets, shards
 from tradewind.session import configure, keep
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,6 +66,25 @@ def op5(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     return found.select("doc_id", F.col("n_shingles").cast("long").alias("n_shingles"), "component_id", "kept")
 
 
+@query("op6_secret_scan")
+def op6(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    found = secrets.with_secrets(docs, ["doc_id"])
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def number(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"].isin([r.kind for r in secrets.BASE_RULES]))
+    return found.select(
+        "doc_id",
+        *[number(r.kind) for r in secrets.BASE_RULES],
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
 @query("op8_packing")
 def op8(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     found = packing.packed(docs, ["doc_id"], public_tokenizers.path("word_bpe_49k.json"))
