@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import minhash, packing, quality, secrets, shards
+from tradewind.llm import decontaminate, minhash, packing, quality, secrets, shards
 from tradewind.session import configure, keep
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,20 @@ def op6(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 def op8(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     found = packing.packed(docs, ["doc_id"], public_tokenizers.path("word_bpe_49k.json"))
     return found.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+@query("op9_benchmark_decontamination")
+def op9(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Pairs of documents and benchmark items that overlap, with their longest overlap."""
+    benchmark = spark.read.parquet(f"{folder}/benchmark.parquet")
+    found = decontaminate.overlaps(docs, benchmark, ["doc_id"])
+    best = F.max(F.struct("n_equal", F.negative("n_words").alias("n"), F.negative("text_start").alias("t"), F.negative("item_start").alias("i")))
+    found = found.groupBy("doc_id", "item_id").agg(best.alias("b"))
+    return found.select(
+        "doc_id",
+        "item_id",
+        F.negative("b.t").alias("text_start"),
+        F.negative("b.i").alias("item_start"),
+        F.negative("b.n").alias("n_words"),
+        F.col("b.n_equal").alias("n_equal"),
+    )
