@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import decontaminate, minhash, packing, quality, secrets, shards
+from tradewind.llm import decontaminate, kneser_ney, minhash, packing, quality, secrets, shards
 from tradewind.session import configure, keep
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,16 @@ def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
 
 
+@query("op1_kneser_ney")
+def op1(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    part = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7))
+    held_out = F.coalesce(part == 2, F.lit(False))
+    model = kneser_ney.train(docs.where(~held_out), order=2)
+    found = kneser_ney.scored(docs, model, ["doc_id"])
+    tokens = F.lit(model.tokens).cast("long").alias("train_tokens")
+    return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", tokens, "base_score", "score")
+
+
 @query("op3_quality_rules")
 def op3(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     found, _ = quality.scored(docs, ["doc_id"], keep)
