@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import decontaminate, kneser_ney, minhash, packing, quality, secrets, shards
+from tradewind.llm import decontaminate, kneser_ney, minhash, packing, quality, secrets, shards, wrappers
 from tradewind.session import configure, keep
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,6 +95,12 @@ def op6(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     )
 
 
+@query("op7_wrapper_induction", table="pages")
+def op7(spark: SparkSession, pages: DataFrame, folder: str) -> DataFrame:
+    found = wrappers.extracted(pages)
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 @query("op8_packing")
 def op8(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     found = packing.packed(docs, ["doc_id"], public_tokenizers.path("word_bpe_49k.json"))
