@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import decontaminate, kneser_ney, minhash, packing, quality, secrets, shards, wrappers
+from tradewind.llm import boosting, decontaminate, kneser_ney, minhash, packing, quality, secrets, shards, wrappers
 from tradewind.session import configure, keep
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,3 +122,15 @@ def op9(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
         F.negative("b.n").alias("n_words"),
         F.col("b.n_equal").alias("n_equal"),
     )
+
+
+@query("op10_quality_trees")
+def op10(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    part = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5))
+    held_out = F.coalesce(part == 0, F.lit(False))
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", F.col("quality").alias("label"))
+    found = keep(boosting.featured(docs, ["doc_id"]), "features")
+    model = boosting.train(found, labels.where(~held_out))
+    scores = boosting.scored(found, model, ["doc_id"])
+    predicted = (F.col("score") >= 0.3).cast("int").alias("predicted")
+    return scores.select("doc_id", held_out.alias("held_out"), "score", predicted)
