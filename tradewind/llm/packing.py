@@ -28,31 +28,42 @@ STRIDE = 64
 # Windows are settled in portions of about so many tokens; the open end is carried on.
 PORTION = 1 << 20
 END = 2
+_END = np.array([END], "<u4").tobytes()
 
 
-class _Words(dict):
-    """Ids of byte strings without white space; forgets all when it holds too many."""
-
-    def __init__(self, tokenizer, most: int = 200_000):
-        super().__init__()
-        self.tokenizer, self.most = tokenizer, most
-
-    def __missing__(self, word: bytes) -> list[int]:
-        ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-        if len(word) <= 64:
-            if len(self) >= self.most:
-                self.clear()
-            self[word] = ids
-        return ids
+class Words:
+    """Ids of words, by a tokenizer that takes A-Z as a-z and never joins characters over white space.
 
+    Words are known from earlier texts or are encoded many at a time; the known ones are
+    forgotten when there are too many.
+    """
 
-def token_ids(text: str | None, words: _Words) -> np.ndarray:
-    """Ids of a whole text, with the end mark. The tokenizer never joins words over a space."""
-    found: list[int] = []
-    for word in (text or "").encode().split():
-        found += words[word]
-    found.append(END)
-    return np.array(found, np.uint32)
+    def __init__(self, tokenizer, most: int = 600_000):
+        self.tokenizer, self.most = tokenizer, most
+        self.known: dict[bytes, bytes] = {}  # four bytes for each id
+
+    def learn(self, words: set[bytes]) -> None:
+        new = list(words.difference(self.known))
+        if len(self.known) + len(new) > self.most:
+            self.known.clear()
+            new = list(words)
+        for at in range(0, len(new), 1000):
+            part = [w.decode() for w in new[at : at + 1000]]
+            found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            ends = np.cumsum([len(w) + 1 for w in part])
+            starts = np.array(found.offsets, np.int64).reshape(-1, 2)[:, 0]
+            cuts = [0, *(4 * np.searchsorted(starts, ends)).tolist()]
+            ids = np.array(found.ids, "<u4").tobytes()
+            each = [ids[first:last] for first, last in zip(cuts[:-1], cuts[1:], strict=True)]
+            self.known.update(zip(new[at : at + 1000], each, strict=True))
+
+    def ids(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+        """Ids of whole texts, each with the end mark."""
+        for at in range(0, len(texts), 64):
+            split = [(t or "").encode().lower().split() for t in texts[at : at + 64]]
+            self.learn(set().union(*split))
+            for words in split:
+                yield np.frombuffer(b"".join([*map(self.known.__getitem__, words), _END]), "<u4")
 
 
 def sentence_ends(tokenizer) -> np.ndarray:
@@ -151,7 +162,7 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str, length: int, portion: in
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
-    words, ends = _Words(tokenizer), sentence_ends(tokenizer)
+    words, ends = Words(tokenizer), sentence_ends(tokenizer)
     # Rows in two partitions must not share a sequence.
     base = pyspark.TaskContext.get().partitionId() << 40
     ids_of: dict[int, tuple] = {}
@@ -162,10 +173,9 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str, length: int, portion: in
         n = 0
         for batch in batches:
             schema = batch.schema
-            columns = [batch.column(i) for i in range(batch.num_columns - 1)]
-            for row, text in enumerate(batch.column(batch.num_columns - 1)):
-                ids = token_ids(text.as_py(), words)
-                ids_of[n] = (*(c[row].as_py() for c in columns), len(ids))
+            columns = [batch.column(i).to_pylist() for i in range(batch.num_columns - 1)]
+            for row, ids in enumerate(words.ids(batch.column("text").to_pylist())):
+                ids_of[n] = (*(c[row] for c in columns), len(ids))
                 yield ids
                 n += 1
 
@@ -184,7 +194,7 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str, length: int, portion: in
         for gone in range(last, doc):
             ids_of.pop(gone, None)
         last = doc
-        out.append((*ids_of[doc], start, len(ids), ids.astype("<u4").tobytes(), base + window, offset))
+        out.append((*ids_of[doc], start, len(ids), ids.tobytes(), base + window, offset))
         if len(out) >= 2000:
             yield made()
     if out:
