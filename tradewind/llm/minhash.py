@@ -24,7 +24,7 @@ BANDS = 16
 BAND_ROWS = 4
 SHINGLE_WORDS = 5
 # Members of a bucket are compared in blocks of about so many.
-BLOCK_ROWS = 256
+BLOCK_ROWS = 128
 # Pairs whose signatures agree on a share of coordinates this far below the threshold are not
 # read in full: over four standard deviations of the agreement at the threshold.
 SLACK = 0.2
@@ -86,6 +86,14 @@ def _sketches(size: int, n: int):
     return run
 
 
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets share ``percent`` of their union."""
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def _verified(percent: int, n: int):
     """Keep the pairs whose full sets share ``percent`` of their union."""
 
@@ -108,58 +116,87 @@ def _verified(percent: int, n: int):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                linked = []
+                chosen = []
                 recent_b = sets(part.column("b"), part.column("text_b"))
                 keep_b = dict(recent)
                 recent.clear()
                 for x, y in zip(sets(part.column("a"), part.column("text_a")), recent_b, strict=True):
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    linked.append(100 * both >= percent * (len(x) + len(y) - both))
+                    chosen.append(_linked(x, y, percent))
                 recent.clear()
                 recent.update(keep_b)
-                chosen = part.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
-                if chosen.num_rows:
-                    yield chosen
+                links = part.select(["a", "b"]).filter(pa.array(chosen, pa.bool_()))
+                if links.num_rows:
+                    yield links
 
     return run
 
 
-def _alike(size: int, least: float):
-    """Pairs of different components in a block pair whose signatures agree enough."""
+def _first_meeting(x: np.ndarray, y: np.ndarray, rows: int) -> np.ndarray:
+    """The first band in which each signature of ``y`` equals ``x``."""
+    same = (y == x).reshape(len(y), len(x) // rows, rows).all(axis=2)
+    return same.argmax(axis=1)
+
+
+def _joining(percent: int, n: int, band_rows: int, least: float):
+    """Links that join different components, of the members of a block pair of a bucket.
+
+    Each pair is looked at in the first bucket it shares, in order of falling agreement of the
+    signatures, and read in full unless links found before have joined its components.
+    """
+
+    def links(band: int, rows: list[tuple]) -> list[tuple[int, int]]:
+        v, component, right, marks, texts = zip(*rows, strict=True)
+        marks = np.frombuffer(b"".join(marks), np.uint32).reshape(len(rows), -1)
+        component, right = np.array(component), np.array(right)
+        same = not right.any()  # a block with itself
+        left = np.flatnonzero(~right)
+        other = left if same else np.flatnonzero(right)
+        pairs = []
+        for i in left:
+            to = other[other > i] if same else other
+            to = to[component[to] != component[i]]
+            share = (marks[to] == marks[i]).mean(axis=1)
+            to, share = to[share >= least], share[share >= least]
+            first = _first_meeting(marks[i], marks[to], band_rows) == band
+            pairs += [(-s, i, j) for s, j in zip(share[first].tolist(), to[first].tolist(), strict=True)]
+        above: dict[int, int] = {}
+
+        def top(c: int) -> int:
+            while c in above:
+                c = above[c]
+            return c
+
+        sets: dict[int, np.ndarray] = {}
+        wanted = sorted({k for _, i, j in pairs for k in (int(i), j)})
+        for row, last, words, at in blocks_of_words(pa.array([texts[k] for k in wanted], pa.large_string())):
+            for k in range(row, last):
+                sets[wanted[k]] = shingle_set(words[at[k - row] : at[k - row + 1]], n)
+        out = []
+        for _, i, j in sorted(pairs):
+            one, two = top(int(component[i])), top(int(component[j]))
+            if one != two and _linked(sets[int(i)], sets[j], percent):
+                above[max(one, two)] = min(one, two)
+                out.append((v[i], v[j]))
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-            v = np.array([r[0] for r in rows], np.int64)
-            component = np.array([r[1] for r in rows], np.int64)
-            right = np.array([r[2] for r in rows], bool)
-            marks = np.frombuffer(b"".join(r[3] for r in rows), np.uint32).reshape(len(rows), size)
-            same = not right.any()  # a block with itself
-            left = np.flatnonzero(~right)
-            other = left if same else np.flatnonzero(right)
-            a, b = [], []
-            for i in left:
-                to = other[other > i] if same else other
-                to = to[component[to] != component[i]]
-                close = to[(marks[to] == marks[i]).sum(axis=1) >= least * size]
-                a.append(np.full(len(close), v[i]))
-                b.append(v[close])
-            a, b = np.concatenate(a or [v[:0]]), np.concatenate(b or [v[:0]])
-            if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+        def made(key: tuple, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+            if found := links(key[-1], rows):
+                a, b = zip(*found, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
         key, held = None, []
+        names = ("v", "component", "right", "signature", "text")
         for batch in batches:
-            c = {name: batch.column(name).to_pylist() for name in batch.schema.names}
-            for k, *row in zip(
-                zip(c["bucket"], c["low"], c["high"], strict=True), c["v"], c["component"], c["right"], c["signature"], strict=True
-            ):
+            keys = zip(*[batch.column(c).to_pylist() for c in ("bucket", "low", "high", "band")], strict=True)
+            for k, *row in zip(keys, *[batch.column(c).to_pylist() for c in names], strict=True):
                 if k != key and held:
-                    yield from pairs(held)
+                    yield from made(key, held)
                     held = []
                 key = k
                 held.append(tuple(row))
         if held:
-            yield from pairs(held)
+            yield from made(key, held)
 
     return run
 
@@ -192,8 +229,8 @@ def near_duplicates(
 
     - texts with equal sets are one vertex from here on;
     - each member of a bucket is checked against the bucket's first and last member;
-    - members that are not yet connected are compared by signature, block by block, and those
-      that agree well enough are checked too.
+    - members that are not yet connected are compared block by block: by signature, and those
+      that agree well enough in full. Only links that join two components leave a task.
     """
     spark = rows.sparkSession
     size = bands * band_rows
@@ -212,54 +249,51 @@ def near_duplicates(
     )
     width = 4 * band_rows
     band = [F.xxhash64(F.lit(i), F.substring("signature", 1 + i * width, width)) for i in range(bands)]
-    members = vertices.select("v", F.explode(F.array(*band)).alias("bucket"))
+    members = vertices.select("v", F.posexplode(F.array(*band)).alias("band", "bucket"))
     buckets = keep(
         members.groupBy("bucket").agg(F.min("v").alias("first"), F.max("v").alias("last")).where("first < last"),
         "buckets",
     )
     members = keep(members.join(buckets, "bucket"), "members")
-    stars = members.select(F.col("v").alias("a"), F.explode(F.array("first", "last")).alias("b"))
-    stars = keep(stars.where("a <> b").select(F.greatest("a", "b").alias("b"), F.least("a", "b").alias("a")).distinct(), "stars")
+    stars = members.select(F.col("v").alias("a"), F.explode(F.array("first", "last")).alias("b")).where("a <> b")
+    stars = stars.select(F.greatest("a", "b").alias("b"), F.least("a", "b").alias("a")).distinct()
 
+    # A text for each vertex that meets another one. The vertices of copies are many at any
+    # size, so the texts are always shuffled, whatever a small table would allow.
     met = keep(members.select("v").distinct().join(vertices, "v"), "met")
-    wanted = keep(met.select("v", "text_print").distinct(), "wanted")
-    texts = with_print.select("text_print", "text").join(wanted, "text_print")
-    texts = keep(texts.groupBy("v").agg(F.min("text").alias("text")), "texts")
+    texts = with_print.select("text_print", "text").join(met.hint("merge"), "text_print")
+    texts = keep(texts.groupBy("v").agg(F.min("signature").alias("signature"), F.min("text").alias("text")), "texts")
 
-    def linked(pairs: DataFrame) -> DataFrame:
-        return _with_text(pairs, texts).mapInArrow(_verified(percent, shingle_words), "a long, b long")
-
-    links = keep(linked(stars), "links")
+    verified = _with_text(stars, texts).mapInArrow(_verified(percent, shingle_words), "a long, b long")
+    links = keep(verified, "links")
     labels = keep(components(links), "labels")
 
-    # Buckets whose members are still in several components.
+    # Buckets whose members are still in several components; one of two members is decided.
     placed = members.join(labels, "v", "left").select(
-        "bucket", "v", F.coalesce("component", "v").alias("component")
+        "band", "bucket", "v", F.coalesce("component", "v").alias("component")
     )
     placed = keep(placed, "placed")
     mixed = placed.groupBy("bucket").agg(
         F.count("*").alias("n"), F.min("component").alias("first"), F.max("component").alias("last")
     )
-    # A bucket of two has been decided by its star.
-    mixed = keep(mixed.where("first < last and n > 2").select("bucket", F.ceil(F.col("n") / BLOCK_ROWS).alias("blocks")), "mixed")
-    open_rows = placed.join(mixed, "bucket").join(met.select("v", "signature"), "v")
+    mixed = mixed.where("first < last and n > 2")
+    mixed = keep(mixed.select("bucket", F.ceil(F.col("n") / BLOCK_ROWS).alias("blocks")), "mixed")
     block = F.pmod(F.xxhash64("v", F.lit(7)), F.col("blocks"))
-    open_rows = open_rows.withColumn("block", block).withColumn(
-        "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    )
-    blocks = open_rows.select(
+    numbers = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
+    blocks = placed.join(mixed, "bucket").withColumn("block", block).withColumn("other", F.explode(numbers))
+    blocks = blocks.select(
+        "band",
         "bucket",
         F.least("block", "other").alias("low"),
         F.greatest("block", "other").alias("high"),
         (F.col("block") > F.col("other")).alias("right"),
         "v",
         "component",
-        "signature",
     )
-    blocks = blocks.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high", "right", "v")
-    close = blocks.mapInArrow(_alike(size, percent / 100 - SLACK), "a long, b long")
-    close = close.select(F.greatest("a", "b").alias("b"), F.least("a", "b").alias("a")).distinct()
-    more = linked(keep(close.join(stars, ["a", "b"], "left_anti"), "close"))
+    keys = ["bucket", "low", "high", "band"]
+    blocks = blocks.join(texts, "v").repartition(*keys).sortWithinPartitions(*keys, "right", "v")
+    joining = _joining(percent, shingle_words, band_rows, percent / 100 - SLACK)
+    more = blocks.mapInArrow(joining, "a long, b long")
     links = keep(links.unionByName(more), "links")
     labels = keep(components(links), "labels")
 
