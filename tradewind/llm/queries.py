@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import boosting, decontaminate, kneser_ney, minhash, packing, quality, secrets, shards, wrappers
+from tradewind.llm import boosting, decontaminate, kneser_ney, minhash, packing, paragraphs, quality, secrets, shards, wrappers
 from tradewind.session import configure, keep
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,6 +49,11 @@ def op1(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", tokens, "base_score", "score")
 
 
+@query("op2_paragraph_dedup")
+def op2(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    return paragraphs.repeated_spans(docs).drop("text_key")
+
+
 @query("op3_quality_rules")
 def op3(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     found, _ = quality.scored(docs, ["doc_id"], keep)
