@@ -43,10 +43,9 @@ class Words:
         self.known: dict[bytes, bytes] = {}  # four bytes for each id
 
     def learn(self, words: set[bytes]) -> None:
-        new = list(words.difference(self.known))
-        if len(self.known) + len(new) > self.most:
+        if len(self.known) + len(words) > self.most:
             self.known.clear()
-            new = list(words)
+        new = list(words)
         for at in range(0, len(new), 1000):
             part = [w.decode() for w in new[at : at + 1000]]
             found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
@@ -61,9 +60,27 @@ class Words:
         """Ids of whole texts, each with the end mark."""
         for at in range(0, len(texts), 64):
             split = [(t or "").encode().lower().split() for t in texts[at : at + 64]]
-            self.learn(set().union(*split))
-            for words in split:
-                yield np.frombuffer(b"".join([*map(self.known.__getitem__, words), _END]), "<u4")
+            found = [list(map(self.known.get, words)) for words in split]
+            new = {w for words, got in zip(split, found, strict=True) if None in got for w, x in zip(words, got, strict=True) if x is None}
+            if new:
+                self.learn(new)
+            for words, got in zip(split, found, strict=True):
+                if None in got:
+                    got = [self.known[w] if x is None else x for w, x in zip(words, got, strict=True)]
+                got.append(_END)
+                yield np.frombuffer(b"".join(got), "<u4")
+
+
+def worker_words(path: str) -> Words:
+    """The words known to this worker process, which outlive its tasks."""
+    import tokenizers
+
+    kept = vars(tokenizers).setdefault("words_of_tradewind", {})
+    if path not in kept:
+        tokenizer = tokenizers.Tokenizer.from_file(path)
+        tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
+        kept[path] = Words(tokenizer)
+    return kept[path]
 
 
 def sentence_ends(tokenizer) -> np.ndarray:
@@ -158,11 +175,8 @@ def _windows(docs: Iterator[np.ndarray], ends: np.ndarray, length: int, portion:
 
 
 def _pack(batches: Iterator[pa.RecordBatch], path: str, length: int, portion: int) -> Iterator[pa.RecordBatch]:
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
-    words, ends = Words(tokenizer), sentence_ends(tokenizer)
+    words = worker_words(path)
+    ends = sentence_ends(words.tokenizer)
     # Rows in two partitions must not share a sequence.
     base = pyspark.TaskContext.get().partitionId() << 40
     ids_of: dict[int, tuple] = {}
