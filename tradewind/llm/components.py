@@ -8,14 +8,25 @@ from pyspark.sql import functions as F
 from tradewind.session import keep
 
 
-def _star(pairs: DataFrame, keep_above: bool) -> DataFrame:
+# Small tables are written as few files: so many rows for each.
+FILE_ROWS = 200_000
+
+
+def stored(df: DataFrame, label: str, rows: int) -> DataFrame:
+    """Write a table of at most about ``rows`` rows; the number of files follows from that."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    files = rows // FILE_ROWS + 1
+    return keep(df.coalesce(files) if files < parts else df, label)
+
+
+def _star(pairs: DataFrame, keep_above: bool, rows: int) -> DataFrame:
     """Hang the neighbours ``b`` of each ``a`` below the least of them and ``a``.
 
     The least neighbours are written before they are joined, so that both sides of the join
     are plain shuffles and a vertex with very many neighbours is split.
     """
     least = pairs.groupBy("a").agg(F.min("b").alias("least"))
-    least = keep(least.select("a", F.least("a", "least").alias("least")), "least")
+    least = stored(least.select("a", F.least("a", "least").alias("least")), "least", rows)
     hung = pairs.join(least, "a")
     if keep_above:
         return hung.where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))
@@ -39,8 +50,8 @@ def components(edges: DataFrame) -> DataFrame:
     seen = _print_of(now)
     while seen[0]:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        large = keep(_star(both, keep_above=True).distinct(), "edges")
-        now = keep(_star(large, keep_above=False).distinct(), "edges")
+        large = stored(_star(both, True, 2 * seen[0]).distinct(), "edges", seen[0])
+        now = stored(_star(large, False, seen[0]).distinct(), "edges", 2 * seen[0])
         before, seen = seen, _print_of(now)
         if seen == before:
             break

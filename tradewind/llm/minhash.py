@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.components import components
+from tradewind.llm.components import components, stored
 from tradewind.llm.text import blocks_of_words, shingles
 from tradewind.session import keep
 
@@ -176,14 +176,14 @@ def _joining(percent: int, n: int, band_rows: int, least: float):
             one, two = top(int(component[i])), top(int(component[j]))
             if one != two and _linked(sets[int(i)], sets[j], percent):
                 above[max(one, two)] = min(one, two)
-                out.append((v[i], v[j]))
+                out.append((v[i], v[j], int(component[i]), int(component[j])))
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def made(key: tuple, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
             if found := links(key[-1], rows):
-                a, b = zip(*found, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                columns = [pa.array(c, pa.int64()) for c in zip(*found, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "one", "two"])
 
         key, held = None, []
         names = ("v", "component", "right", "signature", "text")
@@ -247,20 +247,19 @@ def near_duplicates(
         .agg(F.min("text_print").alias("text_print"), F.min("signature").alias("signature")),
         "vertices",
     )
+    n_bands = bands * vertices.count()
     width = 4 * band_rows
     band = [F.xxhash64(F.lit(i), F.substring("signature", 1 + i * width, width)) for i in range(bands)]
     members = vertices.select("v", F.posexplode(F.array(*band)).alias("band", "bucket"))
-    buckets = keep(
-        members.groupBy("bucket").agg(F.min("v").alias("first"), F.max("v").alias("last")).where("first < last"),
-        "buckets",
-    )
-    members = keep(members.join(buckets, "bucket"), "members")
+    buckets = members.groupBy("bucket").agg(F.min("v").alias("first"), F.max("v").alias("last"))
+    buckets = stored(buckets.where("first < last"), "buckets", n_bands)
+    members = stored(members.join(buckets, "bucket"), "members", n_bands)
     stars = members.select(F.col("v").alias("a"), F.explode(F.array("first", "last")).alias("b")).where("a <> b")
     stars = stars.select(F.greatest("a", "b").alias("b"), F.least("a", "b").alias("a")).distinct()
 
     # A text for each vertex that meets another one. The vertices of copies are many at any
     # size, so the texts are always shuffled, whatever a small table would allow.
-    met = keep(members.select("v").distinct().join(vertices, "v"), "met")
+    met = stored(members.select("v").distinct().join(vertices, "v"), "met", n_bands)
     texts = with_print.select("text_print", "text").join(met.hint("merge"), "text_print")
     texts = keep(texts.groupBy("v").agg(F.min("signature").alias("signature"), F.min("text").alias("text")), "texts")
 
@@ -272,12 +271,12 @@ def near_duplicates(
     placed = members.join(labels, "v", "left").select(
         "band", "bucket", "v", F.coalesce("component", "v").alias("component")
     )
-    placed = keep(placed, "placed")
+    placed = stored(placed, "placed", n_bands)
     mixed = placed.groupBy("bucket").agg(
         F.count("*").alias("n"), F.min("component").alias("first"), F.max("component").alias("last")
     )
     mixed = mixed.where("first < last and n > 2")
-    mixed = keep(mixed.select("bucket", F.ceil(F.col("n") / BLOCK_ROWS).alias("blocks")), "mixed")
+    mixed = stored(mixed.select("bucket", F.ceil(F.col("n") / BLOCK_ROWS).alias("blocks")), "mixed", n_bands)
     block = F.pmod(F.xxhash64("v", F.lit(7)), F.col("blocks"))
     numbers = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
     blocks = placed.join(mixed, "bucket").withColumn("block", block).withColumn("other", F.explode(numbers))
@@ -293,9 +292,15 @@ def near_duplicates(
     keys = ["bucket", "low", "high", "band"]
     blocks = blocks.join(texts, "v").repartition(*keys).sortWithinPartitions(*keys, "right", "v")
     joining = _joining(percent, shingle_words, band_rows, percent / 100 - SLACK)
-    more = blocks.mapInArrow(joining, "a long, b long")
-    links = keep(links.unionByName(more), "links")
-    labels = keep(components(links), "labels")
+    more = keep(blocks.mapInArrow(joining, "a long, b long, one long, two long"), "more")
+    # These links join components as a whole.
+    joined = components(more.select(F.col("one").alias("a"), F.col("two").alias("b")))
+    joined = keep(joined.select(F.col("v").alias("was"), F.col("component").alias("now")), "joined")
+    # A vertex without a link so far was its own component.
+    alone = joined.select(F.col("was").alias("v"), F.col("was").alias("component"))
+    labels = labels.unionByName(alone).distinct()
+    labels = labels.join(joined, F.col("component") == F.col("was"), "left")
+    labels = keep(labels.select("v", F.coalesce("now", "component").alias("component")), "labels")
 
     out = sketched.drop("signature", "text_print").join(labels, "v", "left")
     group = F.when(F.col("n_shingles") > 0, F.coalesce("component", "v")).alias("group")

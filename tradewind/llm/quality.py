@@ -12,6 +12,7 @@ rows at any number of texts, are the only thing the driver sees.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -131,9 +132,13 @@ RULES = (
 )
 
 
-def votes(rules: Sequence[Rule] = RULES) -> dict[str, Column]:
-    """A vote column for each rule, over the columns of ``statistics``."""
-    return {f"vote_{r.name}": F.expr(f"CASE WHEN n_words = 0 THEN 0 WHEN {r.bad} THEN -1 WHEN {r.good} THEN 1 ELSE 0 END") for r in rules}
+def with_votes(docs: DataFrame, inside: str, rules: Sequence[Rule] = RULES) -> DataFrame:
+    """``docs`` whose struct column ``inside`` of statistics gets a vote of each rule too."""
+    names = docs.schema[inside].dataType.names
+    votes = [f"CASE WHEN n_words = 0 THEN 0 WHEN {r.bad} THEN -1 WHEN {r.good} THEN 1 ELSE 0 END AS vote_{r.name}" for r in rules]
+    known = re.compile(r"\b(" + "|".join(names) + r")\b")
+    struct = ", ".join([f"s.{n} AS {n}" for n in names] + [known.sub(r"s.\1", v) for v in votes])
+    return docs.withColumn(inside, F.expr(f"get(transform(array(`{inside}`), s -> struct({struct})), 0)"))
 
 
 @dataclass(frozen=True)
@@ -149,16 +154,16 @@ class Model:
         """How often a rule that votes is right on good and on bad texts."""
         return {n: (1 - g, b) for n, g, b in zip(self.rules, self.good, self.bad, strict=True)}
 
-    def log_odds(self) -> Column:
-        """Of a text being good, over the vote columns; a rule that abstains says nothing."""
+    def log_odds(self, inside: str) -> Column:
+        """Of a text being good, over its votes in ``inside``; a rule that abstains says nothing."""
         odds = F.lit(math.log(self.prior / (1 - self.prior)))
         for name, g, b in zip(self.rules, self.good, self.bad, strict=True):
-            vote = F.col(f"vote_{name}")
+            vote = F.col(f"{inside}.vote_{name}")
             odds = odds + F.when(vote == -1, math.log(g / b)).when(vote == 1, math.log((1 - g) / (1 - b))).otherwise(0.0)
         return odds
 
-    def posterior(self) -> Column:
-        return 1 / (1 + F.exp(-self.log_odds()))
+    def posterior(self, inside: str) -> Column:
+        return 1 / (1 + F.exp(-self.log_odds(inside)))
 
 
 # Before any data, a rule that votes calls one of 2000 good texts and one of seven bad texts
@@ -202,18 +207,31 @@ def fit(patterns: Sequence[tuple[tuple[int, ...], int]], rules: Sequence[str], r
     return model
 
 
-def scored(docs: DataFrame, ids: Sequence[str], store: Callable[[DataFrame, str], DataFrame], rules: Sequence[Rule] = RULES) -> tuple[DataFrame, Model]:
+def fit_votes(docs: DataFrame, inside: str, rules: Sequence[Rule] = RULES) -> Model:
+    """The model of the votes in the struct column ``inside``."""
+    names = [r.name for r in rules]
+    counts = docs.groupBy(*[F.col(f"{inside}.vote_{n}") for n in names]).count().collect()
+    return fit([(tuple(r[:-1]), r[-1]) for r in counts], names)
+
+
+def base_failed(inside: str) -> Column:
+    n_words, repeats = F.col(f"{inside}.n_words"), F.col(f"{inside}.n_repeat_words")
+    return (n_words < 10) | (100 * repeats > 20 * n_words)
+
+
+def verdict(model: Model, inside: str) -> Column:
+    """Whether a text stays: it passes the base rules and is more likely good than bad."""
+    return ~base_failed(inside) & (model.posterior(inside) >= 0.5)
+
+
+def scored(docs: DataFrame, ids: Sequence[str], store: Callable[[DataFrame, str], DataFrame]) -> tuple[DataFrame, Model]:
     """The columns ``ids``, statistics, votes, posterior, base_failed and kept of each text.
 
     ``docs`` has a column ``text``. Texts without words get no votes and fail the base rules.
     Rows stay as they are: repeated ids and null ids are scored like others. ``store`` writes
     a frame to the shared folder and reads it back.
     """
-    found = docs.select(*ids, statistics(F.col("text")).alias("__s"))
-    found = store(found.select(*ids, "__s.*").withColumns(votes(rules)), "votes")
-    names = [r.name for r in rules]
-    counts = found.groupBy(*[f"vote_{n}" for n in names]).count().collect()
-    model = fit([(tuple(r[:-1]), r[-1]) for r in counts], names)
-    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    found = found.withColumns({"posterior": model.posterior(), "base_failed": failed})
-    return found.withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= 0.5)), model
+    found = store(with_votes(docs.select(*ids, statistics(F.col("text")).alias("quality")), "quality"), "votes")
+    model = fit_votes(found, "quality")
+    made = [model.posterior("quality").alias("posterior"), base_failed("quality").alias("base_failed")]
+    return found.select(*ids, "quality.*", *made, verdict(model, "quality").alias("kept")), model
