@@ -40,6 +40,12 @@ _PARTS = "kind string, bucket int, blob binary, distinct long, total long, n1 lo
 _FIGURES = ("distinct", "total", "n1", "n2", "n3", "n4")
 
 
+def word_of(text: str) -> np.uint64:
+    """The hash that stands for one word."""
+    ((_, _, words, _),) = blocks_of_words(pa.array([text]))
+    return words[0] & WORD_BITS
+
+
 def gram_keys(words: np.ndarray) -> np.ndarray:
     """A hash for each row of word hashes."""
     out = np.full(len(words), words.shape[1], np.uint64)
