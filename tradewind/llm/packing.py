@@ -19,6 +19,8 @@ import pyarrow as pa
 import pyspark
 from pyspark.sql import DataFrame
 
+from tradewind.llm.text import BLOCK_BYTES, power_tables, text_blocks, word_hashes, word_spans
+
 LENGTH = 4096
 # Cost, in tokens of padding, of a cut inside a document at a sentence end, and elsewhere.
 SENTENCE_CUT = 8
@@ -28,47 +30,78 @@ STRIDE = 64
 # Windows are settled in portions of about so many tokens; the open end is carried on.
 PORTION = 1 << 20
 END = 2
-_END = np.array([END], "<u4").tobytes()
+_END = np.uint32(END)
 
 
 class Words:
     """Ids of words, by a tokenizer that takes A-Z as a-z and never joins characters over white space.
 
-    Words are known from earlier texts or are encoded many at a time; the known ones are
-    forgotten when there are too many.
+    Words are found by their 64-bit hashes among those of earlier texts: in sorted arrays, or,
+    if they are new, in a dictionary that is merged into the arrays from time to time. Unknown
+    words are encoded many at a time. When there are too many known words they are forgotten.
     """
 
-    def __init__(self, tokenizer, most: int = 600_000):
-        self.tokenizer, self.most = tokenizer, most
-        self.known: dict[bytes, bytes] = {}  # four bytes for each id
-
-    def learn(self, words: set[bytes]) -> None:
-        if len(self.known) + len(words) > self.most:
-            self.known.clear()
-        new = list(words)
-        for at in range(0, len(new), 1000):
-            part = [w.decode() for w in new[at : at + 1000]]
+    def __init__(self, tokenizer, most: int = 3_000_000, recent: int = 200_000):
+        self.tokenizer, self.most, self.most_recent = tokenizer, most, recent
+        self.forget()
+
+    def forget(self) -> None:
+        self.keys, self.places = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.recent: dict[int, int] = {}
+        self.pool = np.zeros(0, np.uint32)  # ids of all known words, one after the other
+        self.edges = np.zeros(1, np.int64)  # where each known word begins in it
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of each word, -1 if it is not known."""
+        out = np.full(len(hashes), -1, np.int64)
+        if len(self.keys):
+            at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
+            hit = self.keys[at] == hashes
+            out[hit] = self.places[at[hit]]
+        if self.recent:
+            rest = np.flatnonzero(out < 0)
+            out[rest] = [self.recent.get(h, -1) for h in hashes[rest].tolist()]
+        return out
+
+    def learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
+        """Add words that are not known yet."""
+        if len(self.recent) >= self.most_recent:
+            keys = np.concatenate([self.keys, np.array(list(self.recent), np.uint64)])
+            places = np.concatenate([self.places, np.array(list(self.recent.values()), np.int64)])
+            order = np.argsort(keys)
+            self.keys, self.places, self.recent = keys[order], places[order], {}
+        first = len(self.edges) - 1
+        self.recent.update(zip(hashes.tolist(), range(first, first + len(words)), strict=True))
+        pools, edges = [self.pool], [self.edges]
+        for at in range(0, len(words), 1000):
+            part = [w.decode() for w in words[at : at + 1000]]
             found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
             ends = np.cumsum([len(w) + 1 for w in part])
             starts = np.array(found.offsets, np.int64).reshape(-1, 2)[:, 0]
-            cuts = [0, *(4 * np.searchsorted(starts, ends)).tolist()]
-            ids = np.array(found.ids, "<u4").tobytes()
-            each = [ids[first:last] for first, last in zip(cuts[:-1], cuts[1:], strict=True)]
-            self.known.update(zip(new[at : at + 1000], each, strict=True))
+            edges.append(edges[-1][-1] + np.searchsorted(starts, ends))
+            pools.append(np.array(found.ids, np.uint32))
+        self.pool, self.edges = np.concatenate(pools), np.concatenate(edges)
 
-    def ids(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+    def ids(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """Ids of whole texts, each with the end mark."""
-        for at in range(0, len(texts), 64):
-            split = [(t or "").encode().lower().split() for t in texts[at : at + 64]]
-            found = [list(map(self.known.get, words)) for words in split]
-            new = {w for words, got in zip(split, found, strict=True) if None in got for w, x in zip(words, got, strict=True) if x is None}
-            if new:
-                self.learn(new)
-            for words, got in zip(split, found, strict=True):
-                if None in got:
-                    got = [self.known[w] if x is None else x for w, x in zip(words, got, strict=True)]
-                got.append(_END)
-                yield np.frombuffer(b"".join(got), "<u4")
+        tables = power_tables(max(1, min(BLOCK_BYTES, texts.nbytes)))
+        for _, _, data, offsets in text_blocks(texts):
+            starts, ends, rows = word_spans(data, offsets)
+            hashes, _ = word_hashes(data, offsets, tables)
+            distinct, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+            if len(self.edges) + len(distinct) > self.most:
+                self.forget()
+            new = np.flatnonzero(self.find(distinct) < 0)
+            if len(new):
+                raw, at = data.tobytes().lower(), first[new]
+                words = [raw[s:e] for s, e in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
+                self.learn(distinct[new], words)
+            known = self.find(distinct)[which]
+            begin, size = self.edges[known], self.edges[known + 1] - self.edges[known]
+            after = np.concatenate([[0], np.cumsum(size)])
+            found = self.pool[np.repeat(begin - after[:-1], size) + np.arange(after[-1])]
+            for low, high in zip(after[rows[:-1]], after[rows[1:]], strict=True):
+                yield np.append(found[low:high], _END)
 
 
 def worker_words(path: str) -> Words:
@@ -188,7 +221,7 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str, length: int, portion: in
         for batch in batches:
             schema = batch.schema
             columns = [batch.column(i).to_pylist() for i in range(batch.num_columns - 1)]
-            for row, ids in enumerate(words.ids(batch.column("text").to_pylist())):
+            for row, ids in enumerate(words.ids(batch.column("text"))):
                 ids_of[n] = (*(c[row] for c in columns), len(ids))
                 yield ids
                 n += 1
