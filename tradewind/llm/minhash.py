@@ -8,7 +8,6 @@ share a band meet in a bucket. Their links are then decided on the full shingle
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm.components import components, stored
-from tradewind.llm.text import blocks_of_words, shingles
+from tradewind.llm.text import blocks_of_words, mixed, shingles
 from tradewind.session import keep
 
 BANDS = 16
@@ -50,36 +49,65 @@ def _permuted(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def signature(found: np.ndarray, size: int) -> np.ndarray:
-    """``size`` coordinates of a set of shingle hashes; the set must not be empty."""
-    once = _scattered((found >> np.uint64(32)).astype(np.uint32))
-    shifts = np.arange(1, size + 1, dtype=np.uint32)[:, None]
-    least = np.full(size, 0xFFFFFFFF, np.uint32)
-    for at in range(0, len(once), 4096):
-        part = _permuted(once[None, at : at + 4096] + shifts)
-        np.minimum(least, part.min(axis=1), out=least)
-    return least
-
-
 def shingle_set(words: np.ndarray, n: int) -> np.ndarray:
     """The distinct shingle hashes of a text, sorted."""
     return np.unique(shingles(words, n))
 
 
+def shingle_sets(words: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The shingle sets of many texts, one after the other, and the sizes of all."""
+    lengths = np.diff(rows)
+    counts = np.maximum(lengths - n + 1, 0)
+    before = np.cumsum(counts) - counts
+    at = np.arange(counts.sum()) + np.repeat(rows[:-1] - before, counts)
+    found = [shingles(words, n)[at] if len(at) else words[:0]]
+    owner = [np.repeat(np.arange(len(lengths)), counts)]
+    for i in np.flatnonzero((lengths > 0) & (lengths < n)):
+        found.append(shingles(words[rows[i] : rows[i + 1]], n))
+        owner.append([i])
+    found, owner = np.concatenate(found), np.concatenate(owner).astype(np.int64)
+    order = np.lexsort((found, owner))
+    found, owner = found[order], owner[order]
+    new = np.ones(len(found), bool)
+    new[1:] = (found[1:] != found[:-1]) | (owner[1:] != owner[:-1])
+    return found[new], np.bincount(owner[new], minlength=len(lengths))
+
+
+def signatures(found: np.ndarray, counts: np.ndarray, size: int) -> np.ndarray:
+    """``size`` coordinates of each of the sets that ``shingle_sets`` gives, but the empty ones."""
+    counts = counts[counts > 0]
+    starts = np.cumsum(counts) - counts
+    once = _scattered((found >> np.uint64(32)).astype(np.uint32))
+    out = np.empty((len(counts), size), np.uint32)
+    for k in range(size if len(counts) else 0):
+        out[:, k] = np.minimum.reduceat(_permuted(once + np.uint32(k + 1)), starts)
+    return out
+
+
+def set_prints(found: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """A number for each set; that of empty sets is 0."""
+    out = np.zeros(len(counts), np.uint64)
+    full = counts > 0
+    if full.any():
+        starts = (np.cumsum(counts) - counts)[full]
+        out[full] = mixed(np.add.reduceat(mixed(found + np.uint64(1)), starts) + counts[full].astype(np.uint64))
+    return out
+
+
 def _sketches(size: int, n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts, prints, signatures = [], [], []
+            sizes, prints, marks = [], [], []
             for _, _, words, rows in blocks_of_words(batch.column("text")):
-                for start, end in zip(rows[:-1], rows[1:], strict=True):
-                    found = shingle_set(words[start:end], n)
-                    counts.append(len(found))
-                    digest = hashlib.blake2b(found.tobytes(), digest_size=8).digest()
-                    prints.append(int.from_bytes(digest, "little", signed=True))
-                    signatures.append(signature(found, size).tobytes() if len(found) else None)
+                found, counts = shingle_sets(words, rows, n)
+                sizes.append(counts)
+                prints.append(set_prints(found, counts).view(np.int64))
+                rest = iter(signatures(found, counts, size))
+                marks += [next(rest).tobytes() if c else None for c in counts.tolist()]
             kept = [batch.column(i) for i in range(batch.num_columns - 1)]
+            sizes, prints = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (sizes, prints))
             yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(counts, pa.int64()), pa.array(prints, pa.int64()), pa.array(signatures, pa.binary())],
+                [*kept, pa.array(sizes, pa.int64()), pa.array(prints, pa.int64()), pa.array(marks, pa.binary())],
                 names=[*batch.schema.names[:-1], "n_shingles", "v", "signature"],
             )
 
@@ -272,14 +300,14 @@ def near_duplicates(
         "band", "bucket", "v", F.coalesce("component", "v").alias("component")
     )
     placed = stored(placed, "placed", n_bands)
-    mixed = placed.groupBy("bucket").agg(
+    open_buckets = placed.groupBy("bucket").agg(
         F.count("*").alias("n"), F.min("component").alias("first"), F.max("component").alias("last")
     )
-    mixed = mixed.where("first < last and n > 2")
-    mixed = stored(mixed.select("bucket", F.ceil(F.col("n") / BLOCK_ROWS).alias("blocks")), "mixed", n_bands)
+    open_buckets = open_buckets.where("first < last and n > 2")
+    open_buckets = stored(open_buckets.select("bucket", F.ceil(F.col("n") / BLOCK_ROWS).alias("blocks")), "open", n_bands)
     block = F.pmod(F.xxhash64("v", F.lit(7)), F.col("blocks"))
     numbers = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
-    blocks = placed.join(mixed, "bucket").withColumn("block", block).withColumn("other", F.explode(numbers))
+    blocks = placed.join(open_buckets, "bucket").withColumn("block", block).withColumn("other", F.explode(numbers))
     blocks = blocks.select(
         "band",
         "bucket",

@@ -29,7 +29,7 @@ BAND_ROWS = 2
 REACH = 6
 # Paragraphs of fewer words are not looked at, and spans of fewer words are not reported.
 LEAST_WORDS = 8
-LEAST_SPAN = 28
+LEAST_SPAN = 20
 
 
 def tuned_bands(percent: int = PERCENT, rows: int = BAND_ROWS, recall: float = RECALL) -> int:
@@ -54,12 +54,12 @@ def cut(data: np.ndarray, offsets: np.ndarray, tables) -> tuple[np.ndarray, ...]
     ends_line[rows[1:][np.diff(rows) > 0] - 1] = True
     line = np.concatenate([[0], np.cumsum(ends_line[:-1])])
     last = np.ones(len(words), bool)
-    for k in range(1, REACH + 1):
+    for k in range(1, min(REACH, len(words) - 1) + 1):
         beside = line[k:] == line[:-k]
         last[k:] &= ~beside | (words[k:] < words[:-k])
         last[:-k] &= ~beside | (words[:-k] <= words[k:])
     # Near the ends of a line a cut would not see enough words on one side.
-    for k in range(REACH):
+    for k in range(min(REACH, len(words))):
         last[: len(last) - k] &= ~ends_line[k:]
         last[k + 1 :] &= ~ends_line[: len(last) - k - 1]
         last[: min(k + 1, len(last))] = False
@@ -172,7 +172,8 @@ def repeated_spans(docs: DataFrame, percent: int = PERCENT, least_span: int = LE
     """Spans of texts that repeat what stands elsewhere, to be removed.
 
     Returns doc_id, text_key, start, end, n_words and kept_doc_id, the text in which the first
-    copy of the span's beginning stays. The first copy is that with the least doc_id (nulls
+    copy of the span's longest paragraph stays. n_words counts the words of repeated paragraphs;
+    a paragraph of fewer than LEAST_WORDS between two of them goes with them. The first copy is that with the least doc_id (nulls
     first), then place; it may be in the same text. A null or empty text has no spans.
     """
     found = repeated_paragraphs(docs, percent).where("group is not null").dropDuplicates(["text_key", "paragraph"])
@@ -190,7 +191,7 @@ def repeated_spans(docs: DataFrame, percent: int = PERCENT, least_span: int = LE
         F.min("start").alias("start"),
         F.max("end").alias("end"),
         F.sum("n_words").alias("n_words"),
-        F.min_by("kept_doc_id", "paragraph").alias("kept_doc_id"),
+        F.max_by("kept_doc_id", F.struct("n_words", F.negative("paragraph").alias("p"))).alias("kept_doc_id"),
     )
     return out.where(F.col("n_words") >= least_span).drop("span")
 
