@@ -98,7 +98,10 @@ def test_elasticity(cat):
 def test_loads(cat, spark):
     got = reports.load_category(cat.withColumn("category_name", F.nullif("category_name", F.lit("pcs"))))
     assert [r.category_name for r in got.collect()] == ["art", "toys", "toys"]
-    assert reports.load_customer(cat, 2).count() == 2
+    assert reports.load_customer(cat).count() == cat.count()
+    assert reports.load_customer(cat, 2, ["category_name"]).count() == 2
+    with pytest.raises(ValueError, match="order"):
+        reports.load_customer(cat, 2)
     assert rows(reports.load_customer(cat, 1, ["category_name"]).select("category_name")) == [("art",)]
     wide = cat.withColumnRenamed("category_name_pt", "product_category_name")
     assert reports.load_wide(wide).first().order_month == FEB
@@ -108,6 +111,9 @@ def test_newest_per_key(spark):
     old = spark.createDataFrame([("a", "x", 1), ("b", "y", 5)], "k string, v string, t int")
     new = spark.createDataFrame([("a", "z", 2), ("c", "w", 1), ("b", "late", 4)], "k string, v string, t int")
     assert rows(outlook.newest_per_key(old, new, ["k"], "t")) == [("a", "z", 2), ("b", "y", 5), ("c", "w", 1)]
+    # A correction with the same time replaces the stored row.
+    fixed = spark.createDataFrame([("b", "a", 5)], "k string, v string, t int")
+    assert rows(outlook.newest_per_key(old, fixed, ["k"], "t")) == [("a", "x", 1), ("b", "a", 5)]
 
 
 def test_year_over_year(spark):

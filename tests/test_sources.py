@@ -1,14 +1,18 @@
 """Readers and writers."""
 
 import datetime as dt
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from conftest import rows
 from tradewind.operators.quality import Check, run_checks
-from tradewind.session import RUNTIME_SETTINGS, keep, scratch_path, shared_dir
+from tradewind.session import RUNTIME_SETTINGS, drop_scratch, keep, scratch_path, scratch_root, shared_dir
 from tradewind.sources import indicators as ind
 from tradewind.sources import tables
 
@@ -64,6 +68,20 @@ def test_csv_load_parses_date_columns(spark, folder):
     assert rows(stated.select("id", "n")) == [(1, 5), (2, 6)]
 
 
+def test_csv_columns_are_found_by_name(spark, folder):
+    spec = {"raw_sellers": tables.ENTITIES["raw_sellers"]}
+    put(folder, "my_sellers_dataset.csv", "seller_state,extra,seller_city,seller_id,seller_zip_code_prefix\nSP,x,Itu,s1,13300\n")
+    got = tables.read_entities(spark, folder, spec)["raw_sellers"]
+    assert [r.asDict() for r in got.collect()] == [
+        {"seller_id": "s1", "seller_zip_code_prefix": "13300", "seller_city": "Itu", "seller_state": "SP"}
+    ]
+    path = put(folder, "b.csv", "n,id\n5,1\n")
+    stated = tables.load_csv(spark, path, scratch_path(spark, "b"), schema=T.StructType.fromDDL("id int, n int"))
+    assert rows(stated.select("id", "n")) == [(1, 5)]
+    with pytest.raises(ValueError, match="no column m"):
+        tables.load_csv(spark, path, scratch_path(spark, "c"), schema=T.StructType.fromDDL("id int, m int"))
+
+
 def test_indicator_records(spark, folder):
     put(folder, "s.json", '{"data":"17/05/2017","valor":"3.14"}\n{"data":"18/05/2017","valor":"n/d"}\n')
     got = ind.read_indicator_series(spark, f"{folder}/s.json", "selic").drop("extracted_at")
@@ -91,9 +109,14 @@ def test_unreadable_series_are_left_out(spark, folder):
     put(folder, "empty.json", "")
     paths = {"ipca": f"{folder}/good.json", "selic": f"{folder}/bad.json", "igpm": f"{folder}/none.json",
              "exchange_rate_usd": f"{folder}/empty.json"}
-    got = ind.read_all_series(spark, paths)
-    assert rows(got.select("data", "series_name")) == [(dt.date(2017, 5, 17), "ipca")]
-    assert ind.read_all_series(spark, {"igpm": f"{folder}/none.json"}) is None
+    got = ind.read_all_series(spark, paths, skip_failed=True)
+    # All dates count, however old, unless the caller bounds them.
+    assert rows(got.select("data", "series_name")) == [(dt.date(2015, 12, 31), "ipca"), (dt.date(2017, 5, 17), "ipca")]
+    assert ind.read_all_series(spark, {"ipca": paths["ipca"]}, "01/01/2016").count() == 1
+    assert ind.read_all_series(spark, {"igpm": f"{folder}/none.json"}, skip_failed=True) is None
+    for name in ("selic", "igpm", "exchange_rate_usd"):
+        with pytest.raises((PySparkException, ind.EmptySeriesError)):
+            ind.read_all_series(spark, {"ipca": paths["ipca"], name: paths[name]})
 
 
 def test_union_of_series(spark):
@@ -192,3 +215,16 @@ def test_shared_folder_and_settings(spark):
     assert all(spark.conf.get(k) == v for k, v in RUNTIME_SETTINGS.items())
     df = spark.range(5).withColumn("s", F.lit("x"))
     assert keep(df, "five").schema.simpleString() == df.schema.simpleString() and keep(df, "five").count() == 5
+
+
+def test_a_run_can_remove_what_it_left(spark, folder):
+    """In a session of its own, so that no other test loses its data."""
+    code = (
+        "from tradewind.session import *\nimport os\n"
+        f"s = local_session('own', 1, 1, **{{'spark.checkpoint.dir': '{folder}'}})\n"
+        "keep(s.range(3), 'x'), keep(s.range(3), 'y')\n"
+        "assert len(os.listdir(scratch_root(s))) == 2 and scratch_root(s).startswith(shared_dir(s))\n"
+        "drop_scratch(s)\nassert not os.path.exists(scratch_root(s))\n"
+    )
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(__file__).parents[1], timeout=120)
+    assert scratch_path(spark, "z").startswith(scratch_root(spark)) and drop_scratch

@@ -93,6 +93,30 @@ def test_unit_sums_are_exact(spark):
     assert tuple(empty) == (None, None)
 
 
+def test_unit_sums_of_many_large_amounts(spark):
+    big = spark.range(2_000_000).select(F.lit(9e12).alias("x"))
+    assert int(big.agg(S.unit_sum(S.units(F.col("x")))).first()[0]) == 2_000_000 * 9 * 10**12
+    signs = spark.createDataFrame([(-9e12,), (-0.000001,), (9e12,), (-1.5,)], "x double")
+    assert str(signs.agg(S.unit_sum(S.units(F.col("x")))).first()[0]) == "-1.500001"
+
+
+def test_a_mean_of_added_up_sums_keeps_its_digits(spark):
+    """201 rates whose mean lies just below a half: sums of sums must not widen the digits away."""
+    rates = [(i % 3, 3.1234) for i in range(101)] + [(i % 3, 3.1235) for i in range(100)]
+    assert sum(round(r * 10**4) for _, r in rates) / 201 < 31234.5
+    cube = spark.createDataFrame(rates, "k int, rate double").groupBy("k").agg(
+        S.unit_sum(S.units(F.col("rate"))).alias("s"), F.count("rate").alias("n")
+    )
+    mean = cube.agg(S.mean_of(F.sum("s"), F.sum("n")).alias("m"))
+    assert mean.select(S.rounded(F.col("m"), 4)).first()[0] == 3.1234
+
+
+def test_infinite_amounts_are_no_numbers(spark):
+    df = spark.createDataFrame([("inf",), ("-Infinity",), ("NaN",), ("1.5",), ("x",)], "t string")
+    got = df.agg(S.unit_sum(S.units(S.safe_cast(F.col("t"), "double"))), F.count(S.safe_cast(F.col("t"), "double"))).first()
+    assert (float(got[0]), got[1]) == (1.5, 1)
+
+
 def test_unit_sum_passes_64_bits(spark):
     """A sum beyond the range of a 64-bit count of units."""
     big = spark.range(4000).select((F.lit(9e12) + F.col("id") * 0).alias("x"))

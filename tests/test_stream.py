@@ -20,9 +20,12 @@ def test_resumes_and_updates_open_windows(spark):
     root = scratch_path(spark, "stream")
     src, out, ckpt = f"{root}/in", f"{root}/out", f"{root}/ckpt"
 
+    late = 0
+
     def run():
         events = spark.readStream.schema(SCHEMA).parquet(src)
-        intake.run_intake(intake.windowed_totals(events), out, ckpt)
+        nonlocal late
+        late = intake.run_intake(intake.windowed_totals(events, delay="10 minutes"), out, ckpt)
         return rows(intake.latest_totals(spark.read.parquet(out)).select(
             F.minute("window_start"), "event_type", "events", "total"))
 
@@ -38,7 +41,19 @@ def test_resumes_and_updates_open_windows(spark):
     batch(spark, (40, 0, "buy", 1.0)).coalesce(1).write.mode("append").parquet(src)
     run()
     batch(spark, (0, 10, "buy", 100.0)).coalesce(1).write.mode("append").parquet(src)
+    assert late == 0
     assert run() == expected + [(40, "buy", 1, 1.0)]
+    assert late == 1
+
+
+def test_without_a_delay_no_event_is_too_late(spark):
+    root = scratch_path(spark, "stream")
+    for event in ((40, 0, "buy", 1.0), (0, 10, "buy", 100.0)):
+        batch(spark, event).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        events = spark.readStream.schema(SCHEMA).parquet(f"{root}/in")
+        assert intake.run_intake(intake.windowed_totals(events), f"{root}/out", f"{root}/ckpt") == 0
+    got = intake.latest_totals(spark.read.parquet(f"{root}/out")).select(F.minute("window_start"), "total")
+    assert rows(got) == [(0, 100.0), (40, 1.0)]
 
 
 def test_table_and_stream_agree(spark):

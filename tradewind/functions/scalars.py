@@ -26,12 +26,12 @@ INTEREST_LIMITS = (7, 12)
 def safe_cast(col: Column, to: str, from_float: bool = False) -> Column:
     """Cast, giving NULL for what does not convert.
 
-    A float goes to an integer by rounding half away from zero, and text that spells a
-    not-a-number is no number.
+    A float goes to an integer by rounding half away from zero. Text that spells a
+    not-a-number or an infinity is no number.
     """
     if to in ("double", "float"):
         number = col.try_cast(to)
-        return F.when(~F.isnan(number), number)
+        return F.when(F.abs(number) < F.lit(float("inf")), number)
     if from_float and to in ("bigint", "int"):
         col = F.round(F.when(~F.isnan(col), col))
     return col.try_cast(to)
@@ -64,13 +64,15 @@ def from_units(col: Column) -> Column:
 
 
 def _halves(col: Column) -> Column:
-    """Exact sum of whole numbers, whose upper and lower bits are added up apart.
+    """Exact sum of whole numbers, whose upper, middle and lower bits are added up apart.
 
-    Neither sum overflows below 10**12 rows.
+    None of the three sums overflows below 10**12 rows, whatever the numbers.
     """
-    high = F.sum(F.shiftright(col, 20)).cast("decimal(19,0)")
-    low = F.sum(col.bitwiseAND(F.lit(0xFFFFF).cast("bigint"))).cast("decimal(19,0)")
-    return high * F.lit(Decimal(1 << 20)) + low
+    part = F.lit(0xFFFFF).cast("bigint")
+    high = F.sum(F.shiftright(col, 40)).cast("decimal(19,0)") * F.lit(Decimal(1 << 40))
+    middle = F.sum(F.shiftright(col, 20).bitwiseAND(part)).cast("decimal(19,0)") * F.lit(Decimal(1 << 20))
+    low = F.sum(col.bitwiseAND(part)).cast("decimal(19,0)")
+    return (high + middle + low).cast("decimal(28,0)")
 
 
 def unit_sum(col: Column) -> Column:
@@ -84,7 +86,8 @@ def unit_mean(col: Column) -> Column:
 
 
 def mean_of(total: Column, count: Column) -> Column:
-    return total / F.nullif(count, F.lit(0)).cast("decimal(19,0)")
+    """A quotient with 15 digits, however wide ``total`` has become by adding up sums."""
+    return total.cast("decimal(32,9)") / F.nullif(count, F.lit(0)).cast("decimal(19,0)")
 
 
 def dollars(units_col: Column, rate: Column) -> Column:

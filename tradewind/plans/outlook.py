@@ -16,12 +16,15 @@ def newest_per_key(old: DataFrame, new: DataFrame, keys: Sequence[str], updated_
     """Incremental load: of the rows of each key in both frames, the one updated last.
 
     An aggregate, not a window: a key with very many versions is reduced before the shuffle.
-    On equal times the greater row wins, so the outcome does not depend on row order.
+    On equal times a new row wins over an old one, and of two from the same frame the greater
+    one, so the outcome does not depend on row order.
     """
-    rows = old.unionByName(new)
-    rest = [c for c in rows.columns if c not in keys and c != updated_at]
-    latest = F.max(F.struct(updated_at, *rest)).alias("latest")
-    return rows.groupBy(*keys).agg(latest).select(*keys, "latest.*").select(*rows.columns)
+    columns = old.columns
+    rest = [c for c in columns if c not in keys and c != updated_at]
+    marked = [df.select(*columns, F.lit(i).alias("__new")) for i, df in enumerate((old, new))]
+    latest = F.max(F.struct(updated_at, "__new", *rest)).alias("latest")
+    rows = marked[0].unionByName(marked[1])
+    return rows.groupBy(*keys).agg(latest).select(*keys, "latest.*").select(*columns)
 
 
 def drill_down(customer_items: DataFrame) -> DataFrame:

@@ -60,9 +60,12 @@ def load_wide(mart: DataFrame) -> DataFrame:
     return mart.where(F.col(PT).isNotNull()).orderBy(F.desc("order_month"), PT, "customer_state")
 
 
-def load_customer(mart: DataFrame, n: int = 100_000, order_by: Sequence[str] = ()) -> DataFrame:
-    """At most ``n`` rows of the item mart; which ones is open unless ``order_by`` says."""
-    return (mart.orderBy(*order_by) if order_by else mart).limit(n)
+def load_customer(mart: DataFrame, n: int | None = None, order_by: Sequence[str] = ()) -> DataFrame:
+    """The item mart; with ``n`` that many rows of it, the first in the order ``order_by``."""
+    if n is not None and not order_by:
+        raise ValueError("a limit needs an order, or which rows it keeps is open")
+    ordered = mart.orderBy(*order_by) if order_by else mart
+    return ordered if n is None else ordered.limit(n)
 
 
 def default_selection(df: DataFrame, col: str, n: int = 5) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -60,14 +62,29 @@ def shared_dir(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="tradewind-")
+    folder = tempfile.mkdtemp(prefix="tradewind-")  # one machine only: gone when it ends
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """The folder of this application's intermediate data, below the shared folder."""
+    return f"{shared_dir(spark)}/tradewind/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/tradewind/{label}-{uuid.uuid4().hex}"
+    """A fresh path for intermediate data of this application."""
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove all intermediate data of this application.
+
+    For the end of a run: frames that have not been written elsewhere can no longer be read.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def keep(df: DataFrame, label: str) -> DataFrame:

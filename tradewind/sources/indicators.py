@@ -22,6 +22,10 @@ SERIES = {
 }
 
 
+class EmptySeriesError(ValueError):
+    """A series without a single record."""
+
+
 def read_indicator_series(
     spark: SparkSession,
     path: str,
@@ -58,20 +62,28 @@ def union_series(dfs: Sequence[DataFrame | None]) -> DataFrame | None:
 
 
 def read_all_series(
-    spark: SparkSession, paths: Mapping[str, str], start: str | None = "01/01/2016", end: str | None = None
+    spark: SparkSession,
+    paths: Mapping[str, str],
+    start: str | None = None,
+    end: str | None = None,
+    skip_failed: bool = False,
 ) -> DataFrame | None:
-    """Every series that can be read, below each other; None if there is none.
+    """Every series, below each other; None if there is none.
 
-    A series without a file, without records or with an unreadable date is left out and
-    logged; the others are not affected.
+    A series without a file, without records between ``start`` and ``end`` or with an
+    unreadable date raises. With ``skip_failed`` it is left out and logged instead, and the
+    others are not affected.
     """
     found = []
     for name, path in paths.items():
         try:
             rows = read_indicator_series(spark, path, name, start, end)
             # Parsing every date now decides whether the series can be used at all.
-            if rows.agg(F.count("data")).first()[0]:
-                found.append(rows)
-        except PySparkException as error:
+            if not rows.agg(F.count("data")).first()[0]:
+                raise EmptySeriesError(f"series {name} has no records")
+            found.append(rows)
+        except (PySparkException, EmptySeriesError) as error:
+            if not skip_failed:
+                raise
             logging.getLogger(__name__).warning("series %s left out: %s", name, error)
     return union_series(found)

@@ -97,12 +97,27 @@ def _csv(spark: SparkSession, multi_line: bool):
     return spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
 
 
+def _by_header(spark: SparkSession, path: str, multi_line: bool, schema: T.StructType) -> DataFrame:
+    """The columns of ``schema`` by their names in the header, in whatever order they stand.
+
+    Further columns are left out. A missing one raises, and so does a file whose header
+    differs from that of the first.
+    """
+    types = {f.name: f.dataType for f in schema.fields}
+    header = _csv(spark, multi_line).csv(path).columns
+    if missing := [c for c in types if c not in header]:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    as_read = T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in header])
+    rows = _csv(spark, multi_line).option("enforceSchema", False).schema(as_read).csv(path)
+    return rows.select(*[F.col(f"`{c}`") for c in types])
+
+
 def read_entities(
     spark: SparkSession, root: str, specs: Mapping[str, Entity] = ENTITIES
 ) -> dict[str, DataFrame]:
     """The raw entities below ``root``, every column as text."""
     return {
-        name: _csv(spark, spec.multi_line).schema(spec.schema).csv(f"{root}/{spec.path}")
+        name: _by_header(spark, f"{root}/{spec.path}", spec.multi_line, spec.schema)
         for name, spec in specs.items()
     }
 
@@ -117,19 +132,21 @@ def load_csv(
     table: str,
     mode: str = "overwrite",
     schema: T.StructType | None = None,
-    multi_line: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Load a headed CSV file as a Parquet table at the path ``table``.
 
     Columns named like dates become timestamps (unreadable values NULL). The others get the
-    type their values have, which costs a pass of its own unless a ``schema`` is given.
+    type their values have, which costs a pass of its own unless a ``schema`` is given; its
+    columns are found by name. With ``multi_line`` quoted values may hold line ends, and each
+    file is read by one task.
     """
     reader = _csv(spark, multi_line)
     found = schema or reader.option("inferSchema", True).csv(path).schema
     as_read = T.StructType(
         [T.StructField(f.name, T.StringType() if is_time_column(f.name) else f.dataType) for f in found.fields]
     )
-    raw = reader.option("inferSchema", False).schema(as_read).csv(path)
+    raw = _by_header(spark, path, multi_line, as_read)
     times = {c: F.try_to_timestamp(F.col(f"`{c}`")) for c in raw.columns if is_time_column(c)}
     (raw.withColumns(times) if times else raw).write.mode(mode).parquet(table)
     return spark.read.parquet(table)

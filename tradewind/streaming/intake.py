@@ -14,13 +14,16 @@ def windowed_totals(
     kind: str = "event_type",
     value: str = "value",
     width: str = "1 minute",
-    delay: str = "10 minutes",
+    delay: str | None = None,
 ) -> DataFrame:
     """Events and summed value per tumbling window and kind, for a stream or a table.
 
-    On a stream, state older than ``delay`` behind the newest event is dropped.
+    Without ``delay`` every event counts, however late, and a stream keeps the state of all
+    its windows. With it, windows that ended longer than that before the newest event are
+    closed; events that come later are left out, and Spark reports their number in the
+    progress of the query (numRowsDroppedByWatermark), which ``run_intake`` returns.
     """
-    rows = events.withWatermark(ts, delay) if events.isStreaming else events
+    rows = events.withWatermark(ts, delay) if events.isStreaming and delay is not None else events
     return (
         rows.groupBy(F.window(ts, width), kind)
         .agg(F.count(F.lit(1)).alias("events"), unit_sum(units(F.col(value))).cast("double").alias("total"))
@@ -28,9 +31,11 @@ def windowed_totals(
     )
 
 
-def run_intake(totals: DataFrame, out: str, checkpoint: str) -> None:
+def run_intake(totals: DataFrame, out: str, checkpoint: str) -> int:
     """Process everything available and stop; a later call goes on from there.
 
+    Returns how many partial totals came too late for their window and were left out.
+
     Each micro-batch stores the windows it changed, under its own batch number: a batch that
     is repeated after a failure overwrites itself.
     """
@@ -38,14 +43,15 @@ def run_intake(totals: DataFrame, out: str, checkpoint: str) -> None:
     def store(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-    (
+    query = (
         totals.writeStream.outputMode("update")
         .foreachBatch(store)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
-        .awaitTermination()
     )
+    query.awaitTermination()
+    return sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
 
 
 def latest_totals(stored: DataFrame, kind: str = "event_type") -> DataFrame:
