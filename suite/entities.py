@@ -19,6 +19,9 @@ CATEGORY_NAMES = [("ECONOMY", "budget"), ("SMALL", "compact"), ("LARGE", "bulky"
 FIRST_DAY, DAYS = "1995-01-01", 2557
 BAD_ORDERS = (11, 12)
 
+# The kinds of events, each a series of its own.
+EVENT_SERIES = ("click", "error", "purchase", "signup", "view")
+
 # Stated, so that no file has to be opened to plan a query.
 SCHEMAS = {
     "region": "r_regionkey INT, r_name STRING",
@@ -36,6 +39,11 @@ SCHEMAS = {
 }
 
 
+def moved(key, where):
+    """The key, or its negative ``where`` the row is to be an orphan: it stays in its table."""
+    return F.when(where, -key).otherwise(key)
+
+
 class Entities:
     """Entities over the tables in one folder."""
 
@@ -92,8 +100,8 @@ class Entities:
     @cached_property
     def raw_products(self) -> DataFrame:
         key, size = F.col("p_partkey"), F.col("p_size")
-        return self.table("part").where(key % 97 != 0).select(
-            key.alias("product_id"),
+        return self.table("part").select(
+            moved(key, key % 97 == 0).alias("product_id"),
             F.when(key % 50 != 0, F.col("p_type")).alias("product_category_name"),
             F.length("p_name").cast("bigint").alias("product_name_lenght"),
             (F.length("p_name") * 10).cast("bigint").alias("product_description_lenght"),
@@ -112,9 +120,8 @@ class Entities:
             F.struct(F.lit(1).cast("bigint").alias("payment_sequential"), F.col("o_totalprice").alias("payment_value")),
             F.struct(F.lit(2).cast("bigint").alias("payment_sequential"), F.lit(10.5).alias("payment_value")),
         )
-        paid = self.table("orders").where(key % 13 != 0)
-        return paid.select(
-            key.alias("order_id"), F.inline(plans),
+        return self.table("orders").select(
+            moved(key, key % 13 == 0).alias("order_id"), F.inline(plans),
             F.when(key % 50 != 0, F.get(kinds, (key % 4).cast("int"))).alias("payment_type"),
             (key % 24 + 1).alias("payment_installments"),
         ).where((F.col("payment_sequential") == 1) | (F.col("order_id") % 4 == 0))
@@ -122,11 +129,10 @@ class Entities:
     @cached_property
     def raw_reviews(self) -> DataFrame:
         key = F.col("o_orderkey")
-        written = self.table("orders").where(key % 7 != 0)
         number = F.when(key % 9 == 0, F.sequence(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-        return written.select(key, "o_orderdate", F.explode(number).alias("number")).select(
+        return self.table("orders").select(key, "o_orderdate", F.explode(number).alias("number")).select(
             F.concat(key.cast("string"), F.lit("-"), F.col("number").cast("string")).alias("review_id"),
-            key.alias("order_id"),
+            moved(key, key % 7 == 0).alias("order_id"),
             F.when(key % 10 != 0, key % 5 + F.col("number") % 2).alias("review_score"),
             F.lit("title").alias("review_comment_title"),
             (F.col("o_orderdate") + F.make_dt_interval(F.lit(20))).alias("review_creation_date"),
@@ -144,10 +150,11 @@ class Entities:
 
     @cached_property
     def raw_geo(self) -> DataFrame:
-        """Positions by zip prefix: some repeat, some prefixes and one whole state have none."""
+        """Positions by zip prefix: some repeat, some customers' prefixes and one whole state have none."""
         key, nation = F.col("c_custkey"), F.col("c_nationkey")
-        return self.table("customer").where((nation != 24) & (key % 100 % 7 != 0)).select(
-            (nation * 100 + key % 100).cast("string").alias("geolocation_zip_code_prefix"),
+        elsewhere = F.when((nation == 24) | (key % 100 % 7 == 0), 100_000).otherwise(0)
+        return self.table("customer").select(
+            (nation * 100 + key % 100 + elsewhere).cast("string").alias("geolocation_zip_code_prefix"),
             (key % 300 / F.lit(8.0) - F.lit(30.0)).alias("geolocation_lat"),
             (nation / F.lit(4.0) - F.lit(60.0)).alias("geolocation_lng"),
             F.concat(F.lit("Place "), (key % 3).cast("string")).alias("geolocation_city"),
@@ -250,7 +257,7 @@ CTES = {
                c_mktsegment AS customer_city, n_name AS customer_state
         FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     "e_products": """
-        SELECT p_partkey AS product_id,
+        SELECT CASE WHEN p_partkey % 97 = 0 THEN -p_partkey ELSE p_partkey END AS product_id,
                CASE WHEN p_partkey % 50 <> 0 THEN p_type END AS product_category_name,
                CAST(length(p_name) AS BIGINT) AS product_name_lenght,
                CAST(length(p_name) * 10 AS BIGINT) AS product_description_lenght,
@@ -259,34 +266,38 @@ CTES = {
                CAST(CASE WHEN p_partkey % 19 <> 0 THEN p_size + 1 END AS DOUBLE) AS product_length_cm,
                CAST(CASE WHEN p_partkey % 23 <> 0 THEN p_size + 2 END AS DOUBLE) AS product_height_cm,
                CAST(CASE WHEN p_partkey % 29 <> 0 THEN p_size * 2 END AS DOUBLE) AS product_width_cm
-        FROM part WHERE p_partkey % 97 <> 0""",
+        FROM part""",
     "e_payments": """
-        SELECT o_orderkey AS order_id, s AS payment_sequential,
+        SELECT CASE WHEN o_orderkey % 13 = 0 THEN -o_orderkey ELSE o_orderkey END AS order_id,
+               s AS payment_sequential,
                CASE WHEN o_orderkey % 50 <> 0 THEN
                  CASE o_orderkey % 4 WHEN 0 THEN 'credit_card' WHEN 1 THEN 'boleto'
                                      WHEN 2 THEN 'voucher' ELSE 'debit_card' END END AS payment_type,
                o_orderkey % 24 + 1 AS payment_installments,
                CASE s WHEN 1 THEN o_totalprice ELSE 10.5 END AS payment_value
         FROM orders, (VALUES (CAST(1 AS BIGINT)), (CAST(2 AS BIGINT))) n(s)
-        WHERE o_orderkey % 13 <> 0 AND (s = 1 OR o_orderkey % 4 = 0)""",
+        WHERE s = 1 OR o_orderkey % 4 = 0""",
     "e_reviews": """
-        SELECT o_orderkey || '-' || n AS review_id, o_orderkey AS order_id,
+        SELECT o_orderkey || '-' || n AS review_id,
+               CASE WHEN o_orderkey % 7 = 0 THEN -o_orderkey ELSE o_orderkey END AS order_id,
                CASE WHEN o_orderkey % 10 <> 0 THEN o_orderkey % 5 + n % 2 END AS review_score,
                'title' AS review_comment_title,
                o_orderdate + INTERVAL 20 DAY AS review_creation_date,
                o_orderdate + INTERVAL 22 DAY AS review_answer_timestamp
         FROM orders, (VALUES (1), (2)) v(n)
-        WHERE o_orderkey % 7 <> 0 AND (n = 1 OR o_orderkey % 9 = 0)""",
+        WHERE n = 1 OR o_orderkey % 9 = 0""",
     "e_sellers": """
         SELECT s_suppkey AS seller_id, CAST(s_suppkey % 100 AS VARCHAR) AS seller_zip_code_prefix,
                'City ' || s_nationkey AS seller_city, 'S' || s_nationkey AS seller_state
         FROM supplier""",
     "e_geo": """
-        SELECT CAST(c_nationkey * 100 + c_custkey % 100 AS VARCHAR) AS geolocation_zip_code_prefix,
+        SELECT CAST(c_nationkey * 100 + c_custkey % 100
+                    + CASE WHEN c_nationkey = 24 OR c_custkey % 100 % 7 = 0 THEN 100000 ELSE 0 END AS VARCHAR)
+                 AS geolocation_zip_code_prefix,
                CAST(c_custkey % 300 AS DOUBLE) / 8 - 30 AS geolocation_lat,
                CAST(c_nationkey AS DOUBLE) / 4 - 60 AS geolocation_lng,
                'Place ' || (c_custkey % 3) AS geolocation_city, 'BR' AS geolocation_state
-        FROM customer WHERE c_nationkey <> 24 AND c_custkey % 100 % 7 <> 0""",
+        FROM customer""",
     "e_lookup": f"SELECT * FROM (VALUES {_LOOKUP}) v(product_category_name, product_category_name_english)",
     "e_days": f"SELECT k, DATE '{FIRST_DAY}' + CAST(k AS INTEGER) AS d FROM range(0, {DAYS}) r(k)",
     # rate in hundredths, inflation in hundredths, interest in tenths

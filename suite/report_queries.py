@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from suite.entities import BAD_ORDERS, Entities
+from suite.entities import BAD_ORDERS, EVENT_SERIES, Entities
 from suite.marts_queries import (
     D5, D7, D8, FRAME, MARTS, STAR, d2, d3, d4, d7, d8, frame, plain_times, t6, t7, t9, t11, t12,
 )
@@ -749,10 +749,10 @@ def _(e: Entities):
 
 query(
     "u1_union",
-    "SELECT series_name, count(*) AS records FROM e_series WHERE series_name IN ('click', 'view') GROUP BY 1",
+    "SELECT series_name, count(*) AS records FROM e_series GROUP BY 1",
 )(
     lambda e: series.union_series(
-        [e.series.where(F.col("series_name") == n) for n in ("click", "view")] + [None]
+        [e.series.where(F.col("series_name") == n) for n in EVENT_SERIES] + [None]
     ).groupBy("series_name").agg(F.count("*").alias("records"))
 )
 
