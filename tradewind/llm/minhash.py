@@ -126,32 +126,23 @@ def _verified(percent: int, n: int):
     """Keep the pairs whose full sets share ``percent`` of their union."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        recent: dict[int, np.ndarray] = {}
-
-        def sets(ids: pa.Array, texts: pa.Array) -> list[np.ndarray]:
-            ids = ids.to_pylist()
-            todo = [i for i, v in enumerate(ids) if v not in recent]
-            todo = list({ids[i]: i for i in todo}.values())
-            made = {}
-            for row, last, words, rows in blocks_of_words(texts.take(pa.array(todo, pa.int64()))):
+        # Pairs come in runs with the same text on one side, whose set is made once.
+        recent: dict[str, dict[int, np.ndarray]] = {"a": {}, "b": {}}
+
+        def sets(part: pa.RecordBatch, side: str) -> list[np.ndarray]:
+            ids, known = part.column(side).to_pylist(), dict(recent[side])
+            todo = list({v: i for i, v in enumerate(ids) if v not in known}.values())
+            texts = part.column(f"text_{side}").take(pa.array(todo, pa.int64()))
+            for row, last, words, rows in blocks_of_words(texts):
                 for i in range(row, last):
-                    made[ids[todo[i]]] = shingle_set(words[rows[i - row] : rows[i - row + 1]], n)
-            out = [made[v] if v in made else recent[v] for v in ids]
-            recent.clear()  # the next batch may begin with the text that ends this one
-            recent[ids[-1]] = out[-1]
-            return out
+                    known[ids[todo[i]]] = shingle_set(words[rows[i - row] : rows[i - row + 1]], n)
+            recent[side] = {ids[-1]: known[ids[-1]]}
+            return [known[v] for v in ids]
 
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                chosen = []
-                recent_b = sets(part.column("b"), part.column("text_b"))
-                keep_b = dict(recent)
-                recent.clear()
-                for x, y in zip(sets(part.column("a"), part.column("text_a")), recent_b, strict=True):
-                    chosen.append(_linked(x, y, percent))
-                recent.clear()
-                recent.update(keep_b)
+                chosen = [_linked(x, y, percent) for x, y in zip(sets(part, "a"), sets(part, "b"), strict=True)]
                 links = part.select(["a", "b"]).filter(pa.array(chosen, pa.bool_()))
                 if links.num_rows:
                     yield links
