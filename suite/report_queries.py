@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from suite.entities import BAD_ORDERS, EVENT_SERIES, Entities
 from suite.marts_queries import (
-    D5, D7, D8, FRAME, MARTS, STAR, d2, d3, d4, d7, d8, frame, plain_times, t6, t7, t9, t11, t12,
+    D3, D4, D5, D7, D8, FRAME, MARTS, STAR, d2, d3, d4, d7, d8, frame, plain_times, t6, t7, t9, t11, t12,
 )
 from suite.registry import query
 from tradewind.functions import scalars as S
@@ -810,6 +810,19 @@ def _(e: Entities):
     return profile.row_counts(stored, total=False)
 
 
+def stored_mart(e: Entities, name: str) -> DataFrame:
+    """A grouped mart as the whole run stores it: added up again from the sales cube."""
+    raw = {
+        "orders": e.raw_orders, "order_items": e.raw_items, "customers": e.raw_customers,
+        "products": e.raw_products, "payments": e.raw_payments, "indicators": e.raw_indicators,
+    }
+    return build.build_marts(build.stage(raw), e.lookup)[name]
+
+
+query("d3_category_stored", D3)(lambda e: stored_mart(e, "fct_category_performance_economics"))
+query("d4_geo_stored", D4)(lambda e: stored_mart(e, "fct_geographic_sales_economics"))
+
+
 # ---- stream --------------------------------------------------------------------------
 
 WINDOWS = """SELECT time_bucket(INTERVAL 60 MINUTE, ts) AS window_start, event_type, count(*) AS events,
