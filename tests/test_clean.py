@@ -148,3 +148,18 @@ def test_sample_and_peek(spark):
     assert profile.sample_rows(spark.range(100), 3, 1).count() == 3
     assert rows(profile.peek(spark.range(100), 2, "id")) == [(0,), (1,)]
     assert profile.peek(spark.range(100), 2).count() == 2
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(st.tuples(st.sampled_from("ab"), st.one_of(st.none(), st.integers(-9, 9)), st.integers(1, 4)), min_size=1, max_size=40),
+    st.sampled_from([3, 1000]),
+)
+def test_weighted_median_equals_repeated_rows(spark, data, window_rows):
+    df = spark.createDataFrame([(k, None if v is None else float(v), n) for k, v, n in data], "k string, v double, n long")
+    groups = {}
+    for k, v, n in data:
+        if v is not None:
+            groups.setdefault(k, []).extend([float(v)] * n)
+    got = medians.weighted_medians(df, ["k"], ["v"], "n", window_rows).collect()
+    assert {r.k: r.v for r in got} == {k: statistics.median(v) for k, v in groups.items()}

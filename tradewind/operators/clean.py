@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.functions.lookups import PT
-from tradewind.operators.medians import fill_with_group_median, fill_with_median
+from tradewind.operators.medians import fill_with_median, weighted_medians
 from tradewind.operators.staging import PRODUCT_SIZES
+from tradewind.session import keep
 
 
 def dedupe(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
@@ -74,8 +75,18 @@ def fill_payment_type(df: DataFrame) -> DataFrame:
 def fill_geo(df: DataFrame, city_col: str = "customer_city") -> DataFrame:
     """Missing coordinates: the median of the city, then the median of everything.
 
-    The second median is taken after the first fill. ``df`` is read several times, so pass
-    a frame that is cheap to read, such as a stored table.
+    The second median is taken after the first fill. Both come from one count of the places
+    of each city, so ``df`` is read twice: for the count and for the fill.
     """
     where = ["geolocation_lat", "geolocation_lng"]
-    return fill_with_median(fill_with_group_median(df, city_col, where), where)
+    places = keep(df.groupBy(city_col, *where).agg(F.count(F.lit(1)).alias("_rows")), "places")
+    city = weighted_medians(places, [city_col], where, "_rows")
+    city = keep(city.withColumnsRenamed({c: f"_{c}" for c in where}), "city-medians")
+
+    def filled(rows: DataFrame, whole: Column | None = None) -> DataFrame:
+        joined = rows.join(city, city_col, "left")
+        found = {c: F.coalesce(c, f"_{c}", *([] if whole is None else [whole[c]])) for c in where}
+        return joined.select(*[found[c].alias(c) if c in found else F.col(c) for c in rows.columns])
+
+    whole = weighted_medians(filled(places), [], where, "_rows")
+    return filled(df, whole.select(F.struct(*where).alias("m")).scalar())

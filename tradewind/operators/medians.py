@@ -83,6 +83,43 @@ def _narrowed(tally: DataFrame, group: Sequence[str], window_rows: int) -> DataF
         )
 
 
+def _picked(tally: DataFrame, group: Sequence[str]) -> DataFrame:
+    """(group, median) from a tally that holds the middle ranks."""
+    value = F.col("value")
+
+    def at(rank: str) -> Column:
+        hit = (F.col("before") < F.col(rank)) & (F.col(rank) <= F.col("upto"))
+        return F.max(F.when(hit, value))
+
+    return _ranked(tally, group, "value").groupBy(*group).agg(
+        ((at("first") + at("second")) / 2).alias("median")
+    )
+
+
+def weighted_medians(
+    df: DataFrame, keys: Sequence[str], cols: Sequence[str], weight: str, window_rows: int = WINDOW_ROWS
+) -> DataFrame:
+    """One row per group with values, each of ``cols`` holding the median of its counted values.
+
+    For tallies: a row stands for ``weight`` rows. NULL values are skipped, and rows with a
+    NULL key belong to no group. Distinct values are ranked per group; of a group with more
+    than ``window_rows`` of them only those near the middle are.
+    """
+    group = [*keys, "column"]
+    cells = [
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"), F.col(weight).alias("c")) for c in cols
+    ]
+    long = _complete(df, keys).select(*keys, F.inline(F.array(*cells))).where(F.col("value").isNotNull())
+    tally = keep(long.groupBy(*group, "value").agg(F.sum("c").alias("c")), "tally")
+    sizes = keep(tally.groupBy(*group).agg(F.sum("c").alias("n"), F.count("*").alias("_values")), "sizes")
+    most = sizes.agg(F.max("_values")).first()[0] or 0
+    tally = tally.join(sizes.drop("_values"), group)
+    if most > window_rows:
+        tally = _narrowed(tally, group, window_rows)
+    wide = [F.max(F.when(F.col("column") == c, F.col("median"))).alias(c) for c in cols]
+    return _picked(tally, group).groupBy(*keys).agg(*wide)
+
+
 def medians_long(
     df: DataFrame,
     keys: Sequence[str],
@@ -126,14 +163,7 @@ def medians_long(
     most = bracket.agg(F.max("n")).first()[0] or 0
     if most * 10 / accuracy > window_rows:
         tally = _narrowed(tally, group, window_rows)
-
-    def at(rank: str) -> Column:
-        hit = (F.col("before") < F.col(rank)) & (F.col(rank) <= F.col("upto"))
-        return F.max(F.when(hit, value))
-
-    picked = _ranked(tally, group, "value").groupBy(*group).agg(
-        ((at("first") + at("second")) / 2).alias("median")
-    )
+    picked = _picked(tally, group)
     missed = F.raise_error(F.lit("median outside its bracket")).cast("double")
     checked = F.when(F.col("n") > 0, F.coalesce("median", missed))
     return bracket.join(picked, group, "left").select(*group, checked.alias("median"))
