@@ -14,19 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.llm import decontaminate, minhash, packing, quality, secrets
+from tradewind.llm.columns import all_columns, spare_name
 from tradewind.session import configure, keep, scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def _named(docs: DataFrame, made: str) -> str:
-    """``made``, lengthened until no column of ``docs`` has that name in any case."""
-    taken = {c.lower() for c in docs.columns}
-    while made.lower() in taken:
-        made += "_"
-    return made
-
-
 def _stored(docs: DataFrame, label: str) -> DataFrame:
     """Write whole documents, packed more tightly than short tables are."""
     path = scratch_path(docs.sparkSession, label)
@@ -39,11 +32,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, folder: str) -> DataFram
     or over a fifth of the words in repeated windows) and those that are more likely bad than
     good by the rules' votes. A null text has no words."""
     configure(spark)
-    mark = _named(docs, "votes")
+    mark = spare_name(docs, "votes")
     counted = docs.withColumn(mark, quality.statistics(F.col("text")))
     counted = _stored(quality.with_votes(counted, mark), "votes")
     model = quality.fit_votes(counted, mark)
-    return counted.where(quality.verdict(model, mark)).select(*docs.columns)
+    return counted.where(quality.verdict(model, mark)).select(*all_columns(docs))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -53,34 +46,34 @@ def near_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     the rows of a group with its least id, or of all if none has an id, one stays.
     """
     configure(spark)
-    row = _named(docs, "row_print")
-    marked = docs.withColumn(row, F.xxhash64(*docs.columns))
+    row = spare_name(docs, "row_print")
+    marked = docs.withColumn(row, F.xxhash64(*all_columns(docs)))
     rows = marked.select("doc_id", F.col(row).alias("row_print"), "text")
     found = keep(minhash.near_duplicates(rows, ["doc_id", "row_print"], percent=85), "groups")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_print"))["row_print"]
     groups = found.groupBy(F.coalesce("group", "row_print").alias("group")).agg(first.alias("chosen"))
     chosen = keep(groups.select(F.col("chosen").alias(row)), "chosen")
-    return marked.join(chosen.hint("merge"), row, "left_semi").dropDuplicates([row]).select(*docs.columns)
+    return marked.join(chosen.hint("merge"), row, "left_semi").dropDuplicates([row]).select(*all_columns(docs))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that overlap an item of the table ``benchmark`` go."""
     configure(spark)
-    row = _named(docs, "row_print")
-    marked = docs.withColumn(row, F.xxhash64(*docs.columns))
+    row = spare_name(docs, "row_print")
+    marked = docs.withColumn(row, F.xxhash64(*all_columns(docs)))
     benchmark = spark.read.parquet(f"{folder}/benchmark.parquet")
     rows = marked.select(F.col(row).alias("row_print"), "text")
     leaked = keep(decontaminate.contaminated(rows, benchmark, ["row_print"]), "leaked")
-    return marked.join(leaked.withColumnRenamed("row_print", row), row, "left_anti").select(*docs.columns)
+    return marked.join(leaked.withColumnRenamed("row_print", row), row, "left_anti").select(*all_columns(docs))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Secrets are replaced by the name of their kind in brackets; documents stay. n_chars,
     where there is such a column, follows the text."""
     configure(spark)
-    others, mark = [c for c in docs.columns if c != "text"], _named(docs, "n_spans")
+    others, mark = [c for c in docs.columns if c != "text"], spare_name(docs, "n_spans")
     renamed = {c: f"c{i}" for i, c in enumerate(others)}
-    rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in renamed.items()], "text")
+    rows = docs.select(*[c.alias(renamed.get(n, n)) for n, c in zip(docs.columns, all_columns(docs), strict=True)])
     found = secrets.with_secrets(rows, list(renamed.values()))
     text = secrets.redacted(F.col("text"), F.col("spans")).alias("text")
     clean = found.select(*[F.col(n).alias(c) for c, n in renamed.items()], text, F.size("spans").alias(mark))
@@ -88,7 +81,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
         kind = docs.schema["n_chars"].dataType
         follows = F.when(F.col(mark) > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars"))
         clean = clean.withColumn("n_chars", follows)
-    return clean.select(*[f"`{c}`" for c in docs.columns])
+    return clean.select(*all_columns(docs))
 
 
 def pack(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

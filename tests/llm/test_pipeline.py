@@ -2,6 +2,7 @@
 
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tradewind.session import keep
@@ -72,7 +73,7 @@ def test_odd_tables(spark, table, odd_pairs, name, stage):
 
 
 def test_columns_in_another_order_and_none_but_two(spark, table):
-    docs = table([(1, "secret=abcdefgh " + "word " * 9)]).select("v", "text", "doc_id")
+    docs = table([(1, "secret=abcdefgh " + "word " * 9)]).select("v", "text", "doc_id").withColumn("a.b `c`", F.lit(1))
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, SMALL).columns == docs.columns
 

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tradewind.llm.columns import all_columns, spare_name
 from tradewind.llm.minhash import SHINGLE_WORDS, _permuted, _scattered, near_duplicates
 from tradewind.llm.text import mixed, power_tables, text_blocks, word_hashes, word_spans
 from tradewind.session import keep
@@ -142,8 +143,8 @@ def _chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("text_key", F.xxhash64("doc_id", F.lit(3), "text"))
+def _keyed(docs: DataFrame, name: str = "text_key") -> DataFrame:
+    return docs.withColumn(name, F.xxhash64("doc_id", F.lit(3), "text"))
 
 
 def repeated_paragraphs(docs: DataFrame, percent: int = PERCENT, recall: float = RECALL, least: int = LEAST_WORDS) -> DataFrame:
@@ -198,10 +199,11 @@ def repeated_spans(docs: DataFrame, percent: int = PERCENT, least_span: int = LE
 
 def without_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
     """``docs`` with the spans of ``repeated_spans`` taken out of their texts."""
-    cuts = found.groupBy("text_key").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("__cuts"))
-    joined = _keyed(docs).join(cuts, "text_key", "left")
+    key, cuts = spare_name(docs, "text_key"), spare_name(docs, "cuts")
+    listed = F.sort_array(F.collect_list(F.struct("start", "end"))).alias(cuts)
+    joined = _keyed(docs, key).join(found.groupBy(F.col("text_key").alias(key)).agg(listed), key, "left")
     rest = F.aggregate(
-        "__cuts",
+        cuts,
         F.struct(F.lit("").alias("done"), F.lit(0).cast("long").alias("at")),
         lambda s, x: F.struct(
             F.concat(s["done"], F.substring("text", (s["at"] + 1).cast("int"), (x["start"] - s["at"]).cast("int"))).alias("done"),
@@ -209,4 +211,5 @@ def without_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
         ),
         lambda s: F.concat(s["done"], F.substring("text", (s["at"] + 1).cast("int"), F.length("text"))),
     )
-    return joined.withColumn("text", F.when(F.col("__cuts").isNull(), F.col("text")).otherwise(rest)).select(*docs.columns)
+    text = F.when(F.col(cuts).isNull(), F.col("text")).otherwise(rest)
+    return joined.withColumn("text", text).select(*all_columns(docs))
