@@ -109,3 +109,30 @@ def test_bands_are_tuned():
     bands = paragraphs.tuned_bands(80, 2, 0.98)
     assert 1 - (1 - 0.64) ** bands >= 0.98 > 1 - (1 - 0.64) ** (bands - 1)
     assert np.isclose(paragraphs.RECALL, 0.98)
+
+
+def removed(table, texts):
+    out = {d: set() for d, _ in texts}
+    for r in paragraphs.repeated_spans(table(texts)).collect():
+        out[r.doc_id] |= set(range(len(dict(texts)[r.doc_id][: r.start].split()), len(dict(texts)[r.doc_id][: r.end].split())))
+    return out
+
+
+def test_passages_of_51_words_are_removed_whole(table):
+    texts, places = [], {}
+    for k in range(150):
+        passage = prose(20_000 + k, 51 + k % 10, 40_000)
+        for copy in range(2):
+            head = prose(30_000 + 2 * k + copy, 40 + 7 * copy, 40_000)
+            texts.append((2 * k + copy, head + " " + passage + " " + prose(40_000 + 2 * k + copy, 45, 40_000)))
+        places[2 * k + 1] = range(47, 47 + 51 + k % 10)
+    out = removed(table, texts)
+    assert all(not out[2 * k] for k in range(150))
+    assert all(set(places[d]) <= out[d] for d in places)
+    # Hardly anything else goes: a paragraph at the edge may be alike though a word differs.
+    assert sum(len(out[d]) for d in places) <= 1.02 * sum(len(p) for p in places.values())
+
+
+def test_copies_that_overlap_keep_the_first(table):
+    out = removed(table, [(1, "word " * 300), (2, prose(1, 30) + " " + "word " * 100)])
+    assert 0 < len(out[1]) <= 300 - paragraphs.SEED and out[2] >= set(range(30, 130))

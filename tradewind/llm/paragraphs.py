@@ -5,8 +5,15 @@ the least among the REACH words before and after it. The cuts depend on the word
 alone, so a passage that stands in two texts is cut alike in both, wherever in a line it begins.
 
 Paragraphs that share a band of their signature with another one are compared in full and
-grouped by their links; the first paragraph of each group stays. Neighbouring paragraphs to be
-removed make a span, and spans of enough words are the result.
+grouped by their links; the first paragraph of each group stays.
+
+Passages that are repeated word by word need not hold a whole paragraph. Of each PASSAGE - SEED + 1
+neighbouring windows of SEED words the one with the least hash is a seed, so two copies of any
+PASSAGE words share a seed. From shared seeds the match is extended word by word to its ends;
+line ends and spaces do not matter. The first copy of each stretch of words stays here too.
+
+Neighbouring paragraphs and stretches to be removed make a span, and spans of enough words are
+the result.
 """
 
 from __future__ import annotations
@@ -31,6 +38,10 @@ REACH = 6
 # Paragraphs of fewer words are not looked at, and spans of fewer words are not reported.
 LEAST_WORDS = 8
 LEAST_SPAN = 20
+# Any repeat of PASSAGE words is found by a seed of SEED words, at most PASSAGE - SEED words from
+# either end of the repeat.
+SEED = 20
+PASSAGE = 51
 
 
 def tuned_bands(percent: int = PERCENT, rows: int = BAND_ROWS, recall: float = RECALL) -> int:
@@ -118,11 +129,12 @@ def _chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     tables = power_tables()
     for batch in batches:
         asked = batch.column("asked").to_pylist()
-        row_of, out = [], [[], [], [], [], []]
+        row_of, out = [], [[], [], [], [], [], []]
         for base, _, data, offsets in text_blocks(batch.column("text")):
             text, start, stop, _, starts, ends = cut(data, offsets, tables)
             points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
             first = np.searchsorted(text, np.arange(len(offsets)))
+            rows = np.searchsorted(starts, offsets)
             for i in range(len(offsets) - 1):
                 for number in sorted(asked[base + i]):
                     p = first[i] + number
@@ -131,26 +143,150 @@ def _chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     low, high = starts[start[p]], ends[stop[p] - 1]
                     row_of.append(base + i)
                     places = points[low] - points[offsets[i]], points[high] - points[offsets[i]]
-                    found = (number, *places, stop[p] - start[p], data[low:high].tobytes().decode())
+                    found = (number, *places, stop[p] - start[p], start[p] - rows[i], data[low:high].tobytes().decode())
                     for column, value in zip(out, found, strict=True):
                         column.append(value)
         names = [c for c in batch.schema.names if c not in ("text", "asked")]
         kept = [batch.column(c).take(pa.array(row_of, pa.int64())) for c in names]
-        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
+        kinds = [pa.int32(), *[pa.int64()] * 4, pa.string()]
         yield pa.RecordBatch.from_arrays(
             [*kept, *[pa.array(c, k) for c, k in zip(out, kinds, strict=True)]],
-            names=[*names, "paragraph", "start", "end", "n_words", "text"],
+            names=[*names, "paragraph", "start", "end", "n_words", "first", "text"],
         )
 
 
+def _sums(words: np.ndarray, tables) -> tuple[np.ndarray, np.ndarray]:
+    """What ``_stretch_hashes`` needs to hash any stretch of these words."""
+    up, down = tables if len(words) <= len(tables[0]) else power_tables(len(words))
+    sums = np.zeros(len(words) + 1, np.uint64)
+    np.cumsum(words * up[: len(words)], out=sums[1:])
+    return sums, down
+
+
+def _stretch_hashes(sums: tuple[np.ndarray, np.ndarray], first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    return mixed((sums[0][last] - sums[0][first]) * sums[1][first] + (last - first).astype(np.uint64))
+
+
+def seeds(words: np.ndarray, rows: np.ndarray, sums) -> np.ndarray:
+    """Where the seeds of a block of texts begin; ``rows`` are the first words of the texts."""
+    n = PASSAGE - SEED + 1
+    count = len(words) - PASSAGE + 1
+    if count <= 0:
+        return np.zeros(0, np.int64)
+    at = np.arange(len(words) - SEED + 1)
+    hashes = _stretch_hashes(sums, at, at + SEED)
+    least, where = hashes[n - 1 :].copy(), at[n - 1 :].copy()
+    for k in range(n - 2, -1, -1):
+        found = hashes[k : count + k]
+        where = np.where(found <= least, at[k : count + k], where)
+        np.minimum(least, found, out=least)
+    end = rows[np.searchsorted(rows, at[:count], "right")]
+    return np.unique(where[at[:count] + PASSAGE <= end])
+
+
+def _placed(batch, row, keys, first, last, text, rows, starts, ends, points, offsets) -> pa.RecordBatch:
+    """Stretches of words of a block as rows with their places in their texts."""
+    low, high = points[starts[first]] - points[offsets[text]], points[ends[last - 1]] - points[offsets[text]]
+    ids = [batch.column(c).take(pa.array(row + text)) for c in ("doc_id", "text_key")]
+    places = [first - rows[text], last - rows[text], low, high]
+    return pa.RecordBatch.from_arrays(
+        [*ids, pa.array(keys.view(np.int64)), *[pa.array(x.astype(np.int64)) for x in places]],
+        names=["doc_id", "text_key", "key", "first", "last", "start", "end"],
+    )
+
+
+def _seeded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The seeds of each text, and the stretches from each seed to the end of the next one."""
+    tables = power_tables()
+    for batch in batches:
+        for row, _, data, offsets in text_blocks(batch.column("text")):
+            starts, ends, rows = word_spans(data, offsets)
+            words, _ = word_hashes(data, offsets, tables)
+            sums = _sums(words, tables)
+            at = seeds(words, rows, sums)
+            if not len(at):
+                continue
+            text = np.searchsorted(rows, at, "right") - 1
+            next_too = np.flatnonzero(text[1:] == text[:-1])
+            first = np.concatenate([at, at[next_too]])
+            last = np.concatenate([at, at[next_too + 1]]) + SEED
+            text = np.concatenate([text, text[next_too]])
+            points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+            keys = _stretch_hashes(sums, first, last)
+            yield _placed(batch, row, keys, first, last, text, rows, starts, ends, points, offsets)
+
+
+def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All stretches that begin after or end before an anchor of a text, with the anchor in their key."""
+    tables = power_tables()
+    for batch in batches:
+        anchors = batch.column("anchors").to_pylist()
+        for row, end, data, offsets in text_blocks(batch.column("text")):
+            starts, ends, rows = word_spans(data, offsets)
+            words, _ = word_hashes(data, offsets, tables)
+            sums = _sums(words, tables)
+            listed = [(i, a["first"], a["last"], a["key"], a["side"]) for i in range(end - row) for a in anchors[row + i]]
+            if not listed:
+                continue
+            text, first, last, key, side = (np.array(x, np.int64) for x in zip(*listed, strict=True))
+            n = PASSAGE - SEED
+            text, first, last, key, side = (np.repeat(x, n) for x in (text, first, last, key, side))
+            m = np.tile(np.arange(1, n + 1), len(listed))
+            low = np.where(side > 0, last, first - m) + rows[text]
+            high = np.where(side > 0, last + m, first) + rows[text]
+            fits = (low >= rows[text]) & (high <= rows[text + 1])
+            text, low, high, key, side = (x[fits] for x in (text, low, high, key, side))
+            if not len(low):
+                continue
+            keys = mixed(_stretch_hashes(sums, low, high) + mixed(key.view(np.uint64) + side.view(np.uint64)))
+            points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+            yield _placed(batch, row, keys, low, high, text, rows, starts, ends, points, offsets)
+
+
+def _shared(members: DataFrame, label: str) -> DataFrame:
+    """The members whose key another one has too, with the first place of that key."""
+    keys = keep(members.groupBy("key").count().where("count > 1").select("key"), f"{label}-keys")
+    met = members.join(keys.hint("merge"), "key").dropDuplicates(["text_key", "key", "first", "last"])
+    met = keep(met, f"{label}-met")
+    place = F.min(F.struct("doc_id", "text_key", F.col("first").alias("at"), "last")).alias("copy")
+    places = keep(met.groupBy("key").agg(place, F.count("*").alias("n")).where("n > 1").drop("n"), f"{label}-places")
+    return keep(met.join(places, "key"), label)
+
+
+def repeated_stretches(docs: DataFrame) -> DataFrame:
+    """Stretches of words that stand more than once: doc_id, text_key, key, first, last (in words),
+    start, end (in code points), kind, and ``copy``, the first place with these words.
+
+    Any PASSAGE words that stand at two places are covered by stretches at both.
+    """
+    keyed = _keyed(docs.select("doc_id", "text"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, text_key long, key long, first long, last long, start long, end long"
+    found = _shared(keyed.select("doc_id", "text_key", "text").mapInArrow(_seeded, schema), "stretches")
+    own, links = found.where(F.col("last") - F.col("first") == SEED), found.where(F.col("last") - F.col("first") > SEED)
+    # A match may end anywhere behind or before a seed if the way to the next one is not shared.
+    sides = [
+        own.join(links.select("text_key", end), ["text_key", end], "left_anti").select("key", F.lit(side).cast("long").alias("side"))
+        for end, side in (("first", 1), ("last", -1))
+    ]
+    opened = keep(sides[0].unionByName(sides[1]).distinct(), "opened")
+    anchor = F.struct("first", "last", "key", "side")
+    anchors = own.select("text_key", "key", "first", "last").join(opened, "key").groupBy("text_key").agg(F.collect_list(anchor).alias("anchors"))
+    anchors = keep(anchors, "anchors")
+    texts = keyed.join(anchors.hint("merge"), "text_key").select("doc_id", "text_key", "text", "anchors")
+    more = _shared(texts.mapInArrow(_extended, schema), "extended")
+    return found.withColumn("kind", F.lit(1)).unionByName(more.withColumn("kind", F.lit(2)))
+
+
 def _keyed(docs: DataFrame, name: str = "text_key") -> DataFrame:
     return docs.withColumn(name, F.xxhash64("doc_id", F.lit(3), "text"))
 
 
 def repeated_paragraphs(docs: DataFrame, percent: int = PERCENT, recall: float = RECALL, least: int = LEAST_WORDS) -> DataFrame:
-    """Paragraphs that have a near copy: doc_id, text_key, paragraph, start, end, n_words, group.
+    """Paragraphs that have a near copy: doc_id, text_key, paragraph, start, end, n_words, first, group.
 
-    ``docs`` has doc_id and text. Positions count code points, the end is exclusive. Copies are
+    ``docs`` has doc_id and text. Positions count code points, the end is exclusive; first is
+    the number of the paragraph's first word. Copies are
     linked by 100 * shared five-word shingles >= percent * all of them. Rows equal in doc_id
     and text are one text; rows with equal or null ids and other texts are texts of their own.
     """
@@ -163,8 +299,8 @@ def repeated_paragraphs(docs: DataFrame, percent: int = PERCENT, recall: float =
     met = keep(met, "asked")
     kind = docs.schema["doc_id"].dataType.simpleString()
     chosen = keyed.join(met.hint("merge"), "text_key").select("doc_id", "text_key", "text", "asked")
-    schema = f"doc_id {kind}, text_key long, paragraph int, start long, end long, n_words long, text string"
-    ids = ["doc_id", "text_key", "paragraph", "start", "end", "n_words"]
+    schema = f"doc_id {kind}, text_key long, paragraph int, start long, end long, n_words long, first long, text string"
+    ids = ["doc_id", "text_key", "paragraph", "start", "end", "n_words", "first"]
     units = keep(chosen.mapInArrow(_chosen, schema), "paragraphs")
     return near_duplicates(units, ids, percent, SHINGLE_WORDS, bands=10, band_rows=3)
 
@@ -173,26 +309,37 @@ def repeated_spans(docs: DataFrame, percent: int = PERCENT, least_span: int = LE
     """Spans of texts that repeat what stands elsewhere, to be removed.
 
     Returns doc_id, text_key, start, end, n_words and kept_doc_id, the text in which the first
-    copy of the span's longest paragraph stays. n_words counts the words of repeated paragraphs;
-    a paragraph of fewer than LEAST_WORDS between two of them goes with them. The first copy is that with the least doc_id (nulls
-    first), then place; it may be in the same text. A null or empty text has no spans.
+    copy of the span's longest paragraph or stretch stays. n_words counts the repeated words;
+    fewer than LEAST_WORDS others between two repeats go with them. The first copy is that with
+    the least doc_id (nulls first), then place; it may be in the same text. A null or empty text
+    has no spans.
     """
     found = repeated_paragraphs(docs, percent).where("group is not null").dropDuplicates(["text_key", "paragraph"])
     found = keep(found.drop("n_shingles"), "grouped")
-    first = F.min(F.struct("doc_id", "text_key", "paragraph")).alias("first")
+    first = F.min(F.struct("doc_id", "text_key", F.col("first").alias("at"), "paragraph")).alias("copy")
     firsts = keep(found.groupBy("group").agg(first, F.count("*").alias("n")).where("n > 1"), "firsts")
     copies = found.join(firsts, "group")
-    same = (F.col("text_key") == F.col("first.text_key")) & (F.col("paragraph") == F.col("first.paragraph"))
-    copies = copies.where(~same).withColumn("kept_doc_id", F.col("first.doc_id"))
-    order = Window.partitionBy("text_key").orderBy("paragraph")
-    # One paragraph that is too short to be looked at does not end a span.
-    new = F.coalesce(F.col("paragraph") - F.lag("paragraph").over(order) > 2, F.lit(True)).cast("int")
+    same = (F.col("text_key") == F.col("copy.text_key")) & (F.col("paragraph") == F.col("copy.paragraph"))
+    places = ["doc_id", "text_key", "first", "last", "start", "end", F.col("copy.doc_id").alias("kept_doc_id")]
+    copies = copies.where(~same).withColumn("last", F.col("first") + F.col("n_words")).select(*places, F.lit(0).alias("kind"))
+    stretches = repeated_stretches(docs)
+    # What overlaps its own first copy, seed included, would take that away too.
+    seed = F.when(F.col("kind") == 2, SEED).otherwise(0)
+    apart = (F.col("text_key") != F.col("copy.text_key")) | (F.col("first") >= F.col("copy.last") + seed)
+    copies = copies.unionByName(stretches.where(apart).select(*places, "kind"))
+    before = Window.partitionBy("text_key").orderBy("first", "last", "kind").rowsBetween(Window.unboundedPreceding, -1)
+    copies = copies.withColumn("done", F.max("last").over(before))
+    # A few words between two repeats do not end a span.
+    new = F.coalesce(F.col("first") - F.col("done") >= LEAST_WORDS, F.lit(True)).cast("int")
+    order = Window.partitionBy("text_key").orderBy("first", "last", "kind").rowsBetween(Window.unboundedPreceding, 0)
     copies = copies.withColumn("span", F.sum(new).over(order))
+    added = F.greatest(F.lit(0).cast("long"), F.col("last") - F.greatest("first", F.coalesce("done", F.lit(0).cast("long"))))
+    size = F.struct((F.col("last") - F.col("first")).alias("n"), F.negative("first").alias("f"), "kind")
     out = copies.groupBy("doc_id", "text_key", "span").agg(
         F.min("start").alias("start"),
         F.max("end").alias("end"),
-        F.sum("n_words").alias("n_words"),
-        F.max_by("kept_doc_id", F.struct("n_words", F.negative("paragraph").alias("p"))).alias("kept_doc_id"),
+        F.sum(added).alias("n_words"),
+        F.max_by("kept_doc_id", size).alias("kept_doc_id"),
     )
     return out.where(F.col("n_words") >= least_span).drop("span")
 
