@@ -136,3 +136,31 @@ def test_passages_of_51_words_are_removed_whole(table):
 def test_copies_that_overlap_keep_the_first(table):
     out = removed(table, [(1, "word " * 300), (2, prose(1, 30) + " " + "word " * 100)])
     assert 0 < len(out[1]) <= 300 - paragraphs.SEED and out[2] >= set(range(30, 130))
+
+
+def wrapped(text, n):
+    words = text.split()
+    return "\n".join(" ".join(words[i : i + n]) for i in range(0, len(words), n))
+
+
+def test_line_ends_do_not_hide_a_passage(table):
+    """Verse, and copies that are wrapped at other columns, as paragraphs and as spans."""
+    texts, clean = [], [(900 + k, wrapped(prose(70_000 + k, 200, 40_000), 3 + k)) for k in range(10)]
+    for k in range(12):
+        passage = prose(50_000 + k, 90, 40_000)
+        for copy, n in enumerate([(5, 5), (7, 12), (3, 10)][k % 3]):
+            head = prose(60_000 + 2 * k + copy, 30, 40_000)
+            texts.append((2 * k + copy, head + "\n" + wrapped(passage, n) + "\n" + prose(61_000 + 2 * k + copy, 30, 40_000)))
+    found = paragraphs.repeated_paragraphs(table(texts + clean), across=True).where("group is not null").collect()
+    groups = {}
+    for r in found:
+        groups.setdefault(r["group"], set()).add(r.doc_id)
+    covered = {d: set() for d, _ in texts}
+    for r in found:
+        if len(groups[r["group"]]) > 1:
+            covered[r.doc_id] |= set(range(r.first, r.first + r.n_words))
+    for k in range(12):
+        assert len(covered[2 * k + 1] & set(range(30, 120))) >= 45
+    out = removed(table, texts + clean)
+    assert all(set(range(30, 120)) <= out[2 * k + 1] and not out[2 * k] for k in range(12))
+    assert not any(out[d] for d, _ in clean)

@@ -3,6 +3,8 @@
 A paragraph here is a line or a part of one: long lines are cut after each word whose hash is
 the least among the REACH words before and after it. The cuts depend on the words around them
 alone, so a passage that stands in two texts is cut alike in both, wherever in a line it begins.
+Where lines are short or broken at other places the same rule is applied to the words as if they
+stood in one line, and these parts are paragraphs too.
 
 Paragraphs that share a band of their signature with another one are compared in full and
 grouped by their links; the first paragraph of each group stays.
@@ -52,17 +54,18 @@ def tuned_bands(percent: int = PERCENT, rows: int = BAND_ROWS, recall: float = R
     return bands
 
 
-def cut(data: np.ndarray, offsets: np.ndarray, tables) -> tuple[np.ndarray, ...]:
+def cut(data: np.ndarray, offsets: np.ndarray, tables, lines: bool = True) -> tuple[np.ndarray, ...]:
     """The paragraphs of a block of texts, as arrays: text, first word, word after the last;
-    and the words' hashes, byte starts and byte ends."""
+    and the words' hashes, byte starts and byte ends. Without ``lines`` a text is one line."""
     starts, ends, rows = word_spans(data, offsets)
     words, _ = word_hashes(data, offsets, tables)
     if len(words) == 0:
         none = np.zeros(0, np.int64)
         return none, none, none, words, starts, ends
-    breaks = np.concatenate([[0], np.cumsum(data == 10)])
     ends_line = np.zeros(len(words), bool)
-    ends_line[:-1] = breaks[starts[1:]] > breaks[ends[:-1]]
+    if lines:
+        breaks = np.concatenate([[0], np.cumsum(data == 10)])
+        ends_line[:-1] = breaks[starts[1:]] > breaks[ends[:-1]]
     ends_line[rows[1:][np.diff(rows) > 0] - 1] = True
     line = np.concatenate([[0], np.cumsum(ends_line[:-1])])
     last = np.ones(len(words), bool)
@@ -82,6 +85,19 @@ def cut(data: np.ndarray, offsets: np.ndarray, tables) -> tuple[np.ndarray, ...]
     return text, start, stop, words, starts, ends
 
 
+def cut_twice(data: np.ndarray, offsets: np.ndarray, tables, across: bool) -> tuple[np.ndarray, ...]:
+    """``cut``; with ``across``, each text's further paragraphs over line ends come after its others."""
+    text, start, stop, words, starts, ends = cut(data, offsets, tables)
+    if across and len(words):
+        other, low, high, *_ = cut(data, offsets, tables, lines=False)
+        n = len(words) + 1
+        new = ~np.isin(low * n + high, start * n + stop)
+        text, start, stop = (np.concatenate([a, b[new]]) for a, b in ((text, other), (start, low), (stop, high)))
+        order = np.argsort(text, kind="stable")
+        text, start, stop = text[order], start[order], stop[order]
+    return text, start, stop, words, starts, ends
+
+
 def _window_hashes(words: np.ndarray, n: int) -> np.ndarray:
     """A hash for the n words from each place on, whatever paragraph they are in."""
     out = words[: max(0, len(words) - n + 1)].copy()
@@ -106,12 +122,12 @@ def band_hashes(words: np.ndarray, start: np.ndarray, stop: np.ndarray, n: int,
     return mixed(out + np.arange(bands, dtype=np.uint64))
 
 
-def _banded(batches: Iterator[pa.RecordBatch], n: int, bands: int, rows: int, least: int) -> Iterator[pa.RecordBatch]:
+def _banded(batches: Iterator[pa.RecordBatch], n: int, bands: int, rows: int, least: int, across: bool) -> Iterator[pa.RecordBatch]:
     tables = power_tables()
     for batch in batches:
         keys = batch.column("text_key").to_numpy()
         for first, _, data, offsets in text_blocks(batch.column("text")):
-            text, start, stop, words, _, _ = cut(data, offsets, tables)
+            text, start, stop, words, _, _ = cut_twice(data, offsets, tables, across)
             number = np.arange(len(text)) - np.searchsorted(text, text)
             long = stop - start >= max(least, n)
             if not long.any():
@@ -124,14 +140,14 @@ def _banded(batches: Iterator[pa.RecordBatch], n: int, bands: int, rows: int, le
             )
 
 
-def _chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _chosen(batches: Iterator[pa.RecordBatch], across: bool) -> Iterator[pa.RecordBatch]:
     """The paragraphs of each text whose numbers are asked for, with their places in code points."""
     tables = power_tables()
     for batch in batches:
         asked = batch.column("asked").to_pylist()
         row_of, out = [], [[], [], [], [], [], []]
         for base, _, data, offsets in text_blocks(batch.column("text")):
-            text, start, stop, _, starts, ends = cut(data, offsets, tables)
+            text, start, stop, _, starts, ends = cut_twice(data, offsets, tables, across)
             points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
             first = np.searchsorted(text, np.arange(len(offsets)))
             rows = np.searchsorted(starts, offsets)
@@ -282,17 +298,19 @@ def _keyed(docs: DataFrame, name: str = "text_key") -> DataFrame:
     return docs.withColumn(name, F.xxhash64("doc_id", F.lit(3), "text"))
 
 
-def repeated_paragraphs(docs: DataFrame, percent: int = PERCENT, recall: float = RECALL, least: int = LEAST_WORDS) -> DataFrame:
+def repeated_paragraphs(docs: DataFrame, percent: int = PERCENT, recall: float = RECALL, least: int = LEAST_WORDS, across: bool = False) -> DataFrame:
     """Paragraphs that have a near copy: doc_id, text_key, paragraph, start, end, n_words, first, group.
 
     ``docs`` has doc_id and text. Positions count code points, the end is exclusive; first is
     the number of the paragraph's first word. Copies are
     linked by 100 * shared five-word shingles >= percent * all of them. Rows equal in doc_id
     and text are one text; rows with equal or null ids and other texts are texts of their own.
+    With ``across`` the paragraphs that a text has if line ends are spaces are added; a copy may
+    then overlap another one of its text.
     """
     keyed = _keyed(docs.select("doc_id", "text"))
     bands = tuned_bands(percent, BAND_ROWS, recall)
-    banded = partial(_banded, n=SHINGLE_WORDS, bands=bands, rows=BAND_ROWS, least=least)
+    banded = partial(_banded, n=SHINGLE_WORDS, bands=bands, rows=BAND_ROWS, least=least, across=across)
     members = keyed.select("text_key", "text").mapInArrow(banded, "bucket long, text_key long, paragraph int")
     shared = keep(members.groupBy("bucket").count().where("count > 1").select("bucket"), "shared")
     met = members.join(shared.hint("merge"), "bucket").groupBy("text_key").agg(F.collect_set("paragraph").alias("asked"))
@@ -301,7 +319,7 @@ def repeated_paragraphs(docs: DataFrame, percent: int = PERCENT, recall: float =
     chosen = keyed.join(met.hint("merge"), "text_key").select("doc_id", "text_key", "text", "asked")
     schema = f"doc_id {kind}, text_key long, paragraph int, start long, end long, n_words long, first long, text string"
     ids = ["doc_id", "text_key", "paragraph", "start", "end", "n_words", "first"]
-    units = keep(chosen.mapInArrow(_chosen, schema), "paragraphs")
+    units = keep(chosen.mapInArrow(partial(_chosen, across=across), schema), "paragraphs")
     return near_duplicates(units, ids, percent, SHINGLE_WORDS, bands=10, band_rows=3)
 
 
@@ -314,12 +332,13 @@ def repeated_spans(docs: DataFrame, percent: int = PERCENT, least_span: int = LE
     the least doc_id (nulls first), then place; it may be in the same text. A null or empty text
     has no spans.
     """
-    found = repeated_paragraphs(docs, percent).where("group is not null").dropDuplicates(["text_key", "paragraph"])
+    found = repeated_paragraphs(docs, percent, across=True).where("group is not null").dropDuplicates(["text_key", "paragraph"])
     found = keep(found.drop("n_shingles"), "grouped")
-    first = F.min(F.struct("doc_id", "text_key", F.col("first").alias("at"), "paragraph")).alias("copy")
+    first = F.min(F.struct("doc_id", "text_key", F.col("first").alias("at"), (F.col("first") + F.col("n_words")).alias("last"))).alias("copy")
     firsts = keep(found.groupBy("group").agg(first, F.count("*").alias("n")).where("n > 1"), "firsts")
     copies = found.join(firsts, "group")
-    same = (F.col("text_key") == F.col("copy.text_key")) & (F.col("paragraph") == F.col("copy.paragraph"))
+    # In the text of the first copy, what overlaps it is no other copy.
+    same = (F.col("text_key") == F.col("copy.text_key")) & (F.col("first") < F.col("copy.last"))
     places = ["doc_id", "text_key", "first", "last", "start", "end", F.col("copy.doc_id").alias("kept_doc_id")]
     copies = copies.where(~same).withColumn("last", F.col("first") + F.col("n_words")).select(*places, F.lit(0).alias("kind"))
     stretches = repeated_stretches(docs)
