@@ -109,3 +109,15 @@ def test_memory_maps_need_a_mounted_folder():
     assert kneser_ney.local_path("file:///a/b%20c") == "/a/b c"
     with pytest.raises(ValueError, match="mounted"):
         kneser_ney.local_path("s3a://bucket/x")
+
+
+def test_trigram_query_equals_brute_force(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").collect()
+    held = {r.doc_id: zlib.crc32(str(r.doc_id).encode()) % 7 == 2 for r in docs}
+    want, total = brute(3, [r.text for r in docs if not held[r.doc_id]], [r.text for r in docs])
+    got = {r.doc_id: r for r in queries()["op1_kneser_ney_trigram"](spark, SMALL).collect()}
+    assert len(got) == len(docs)
+    for r, (score, base, known) in zip(docs, want, strict=True):
+        g = got[r.doc_id]
+        assert (g.held_out, g.train_tokens, g.n_known) == (held[r.doc_id], total, known)
+        assert (g.score, g.base_score) == pytest.approx((score, base))

@@ -39,16 +39,26 @@ def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
 
 
-@query("op1_kneser_ney")
-def op1(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+def _language_model(docs: DataFrame, order: int) -> DataFrame:
+    """Scores of all documents under a model of those that are not held out."""
     part = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7))
     held_out = F.coalesce(part == 2, F.lit(False))
-    model = kneser_ney.train(docs.where(~held_out), order=2)
+    model = kneser_ney.train(docs.where(~held_out), order=order)
     found = kneser_ney.scored(docs, model, ["doc_id"])
     tokens = F.lit(model.tokens).cast("long").alias("train_tokens")
     return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", tokens, "base_score", "score")
 
 
+@query("op1_kneser_ney")
+def op1(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    return _language_model(docs, 2)
+
+
+@query("op1_kneser_ney_trigram")
+def op1_trigram(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    return _language_model(docs, 3)
+
+
 @query("op2_paragraph_dedup")
 def op2(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     return paragraphs.repeated_spans(docs).drop("text_key")
