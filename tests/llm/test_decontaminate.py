@@ -1,6 +1,9 @@
 """Benchmark overlaps against every diagonal compared word by word."""
 
 import random
+from itertools import combinations
+
+import numpy as np
 
 from tradewind.llm import decontaminate
 from tradewind.llm.queries import queries
@@ -87,3 +90,30 @@ def test_long_texts_and_far_hits(spark, table):
     text = " ".join([prose(1, 60_000, 50_000), item, prose(2, 60_000, 50_000), item, prose(3, 60_000, 50_000)])
     out = decontaminate.overlaps(table([(1, text)]), spark.createDataFrame([(9, item)], "item_id long, text string"), ["doc_id"]).collect()
     assert sorted((r.text_start, r.n_words) for r in out) == [(60_000, 50), (120_050, 50)]
+
+
+def test_every_accepted_pattern_has_a_seed():
+    for n in (12, 13, 14, 20, 24):
+        for k in range(5):
+            for changed in combinations(range(n), k):
+                equal = np.ones(n, bool)
+                equal[list(changed)] = False
+                first, length, same = decontaminate.best_segment(equal)
+                if same >= min(decontaminate.LEAST, n - 2):
+                    hits = [equal[first + i] or m != "1" for mask in decontaminate.MASKS for i, m in enumerate(mask)]
+                    assert any(all(hits[i : i + 10]) for i in range(0, len(hits), 10)), (n, changed)
+
+
+def test_periodic_changes_and_short_items(spark, table):
+    items = [(k, prose(300 + k, 40)) for k in range(6)] + [(10 + n, prose(400 + n, n, 90_000)) for n in range(1, 12)]
+    pairs = []
+    for k, text in items[:6]:
+        words = [f"other{i}" if i % 6 == k else w for i, w in enumerate(text.split())]
+        pairs.append((k, prose(500 + k, 30, 70_000) + " " + " ".join(words) + " " + prose(600 + k, 30, 70_000)))
+    for item, text in items[6:]:
+        pairs.append((item, prose(700 + item, 20, 3) + "\n" + text.upper() + " " + prose(800 + item, 20, 3)))
+    pairs += [(100 + n, " ".join([*prose(400 + n, n, 90_000).split()[:-1], "different"])) for n in range(1, 12)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    out = decontaminate.overlaps(table(pairs), benchmark, ["doc_id"]).collect()
+    assert sorted({(r.doc_id, r.item_id) for r in out}) == [(i, i) for i, _ in items]
+    assert all(r.n_equal == r.n_words == r.item_id - 10 and r.text_start == 20 for r in out if r.item_id > 10)

@@ -20,20 +20,27 @@ from pyspark.sql import functions as F
 from tradewind.llm.text import blocks_of_words, mixed
 from tradewind.session import keep
 
-# Windows of 12 words of which 8 count. With a word changed anywhere, a passage of 14 words
-# still has a window and a mask that do not see it.
-MASKS = ("110101101110", "111011010101", "101110110011")
+# Masks of 10 words that leave out words 5 and 6, 7 and 8, or 9 (from 0). Before a segment that
+# counts most reaches its first changed word it has 5 equal words, and 9 before the second (see
+# MISS), so of its first 10 words at most one is changed, none before word 5: one of the masks
+# hits there, whatever the pattern of changes.
+MASKS = ("1111100111", "1111111001", "1111111110")
 # Hashes of the benchmark are marked in so many bits, at two places each, so that texts need
 # not be shuffled to find that they have no hit. The size is fixed; with a benchmark so large
 # that most bits are set more windows are shuffled, and the result is the same.
 FILTER_BITS = 24
 # A segment of the diagonal counts one for an equal word and MISS for another one, which it
 # outweighs at 80 % equal words. It is an overlap from LEAST equal words, or all but two words
-# of a shorter item.
+# of an item of LEAST words or one more. Items of fewer than LEAST words must stand there whole.
 MISS = -4
 LEAST = 12
 
 
+def _wanted(n: int) -> int:
+    """How many equal words make an overlap with an item of n words."""
+    return n if n < LEAST else min(LEAST, n - 2)
+
+
 def _seeds(words: np.ndarray, mask: str, salt: int) -> np.ndarray:
     """Hashes of all windows under a mask; empty if there are fewer words than the mask has."""
     width = len(mask)
@@ -58,7 +65,10 @@ def _item_seeds(batches: Iterator[pa.RecordBatch], masks: Sequence[str]) -> Iter
         for _, _, words, rows in blocks_of_words(batch.column("text")):
             for first, last in zip(rows[:-1], rows[1:], strict=True):
                 own = words[first:last]
-                found = [_seeds(own, m, i) for i, m in enumerate(masks)]
+                if 0 < len(own) < LEAST:
+                    found = [_seeds(own, "1" * len(own), len(masks) + len(own))]
+                else:
+                    found = [_seeds(own, m, i) for i, m in enumerate(masks)]
                 words_of.append(own.tobytes())
                 seeds_of.append(np.concatenate(found).view(np.int64))
                 at_of.append(np.concatenate([np.arange(len(f)) for f in found]))
@@ -68,20 +78,21 @@ def _item_seeds(batches: Iterator[pa.RecordBatch], masks: Sequence[str]) -> Iter
         )
 
 
-def _regions(batches: Iterator[pa.RecordBatch], masks: Sequence[str], marks, margin: int) -> Iterator[pa.RecordBatch]:
-    """The stretches of each text around windows whose hash may be in the benchmark."""
+def _regions(batches: Iterator[pa.RecordBatch], masks: Sequence[tuple[str, int]], marks, margin: int) -> Iterator[pa.RecordBatch]:
+    """The stretches of each text around windows whose hash may be in the benchmark; ``masks`` come
+    with their salts."""
     marked = np.unpackbits(np.frombuffer(marks.value, np.uint8)).view(bool)
-    width = len(masks[0])
+    widest = max(len(m) for m, _ in masks)
     for batch in batches:
         row_of, starts, words_of, seeds_of, at_of = [], [], [], [], []
         for row, _, words, rows in blocks_of_words(batch.column("text")):
             found, at = [], []
-            for i, m in enumerate(masks):
-                seeds = _seeds(words, m, i)
+            for m, salt in masks:
+                seeds = _seeds(words, m, salt)
                 one, two = _bits(seeds)
                 hit = np.flatnonzero(marked[one] & marked[two])
                 owner = np.searchsorted(rows, hit, "right")
-                hit = hit[hit + width <= rows[np.minimum(owner, len(rows) - 1)]]
+                hit = hit[hit + len(m) <= rows[np.minimum(owner, len(rows) - 1)]]
                 found.append(seeds[hit])
                 at.append(hit)
             found, at = np.concatenate(found), np.concatenate(at)
@@ -94,7 +105,7 @@ def _regions(batches: Iterator[pa.RecordBatch], masks: Sequence[str], marks, mar
             for first, last in zip([0, *apart], [*apart, len(at)], strict=True):
                 text = owner[first]
                 start = max(rows[text], at[first] - margin)
-                end = min(rows[text + 1], at[last - 1] + width + margin)
+                end = min(rows[text + 1], at[last - 1] + widest + margin)
                 row_of.append(row + int(text))
                 starts.append(int(start - rows[text]))
                 words_of.append(words[start:end].tobytes())
@@ -127,7 +138,7 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             text, item = np.frombuffer(text, np.uint64), np.frombuffer(item, np.uint64)
             low, high = max(0, -diagonal), min(len(item), len(text) - diagonal)
             first, length, equal = best_segment(item[low:high] == text[low + diagonal : high + diagonal])
-            if equal >= min(LEAST, len(item) - 2):
+            if equal >= _wanted(len(item)):
                 chosen.append(i)
                 starts.append(start + low + first + diagonal)
                 item_starts.append(low + first)
@@ -148,7 +159,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, ids: Sequence[str], masks: S
     item_id, text_start, item_start, n_words (length of the overlap in words) and n_equal.
     Words are compared in lower case.
     Items of equal words are one, under the least item_id, which is null only if all of theirs
-    are; an item with fewer words than a mask gives no result, nor does a null or empty text.
+    are; an item of fewer than LEAST words is found where all its words stand, and a null or empty
+    one nowhere.
     Rows of ``docs`` stay apart even if their ids are equal or null; a text that holds an item
     in two places gives two rows.
     """
@@ -164,6 +176,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, ids: Sequence[str], masks: S
     seeds = keep(seeds.select("item", F.col("s.seeds").alias("seed"), F.col("s.at").alias("item_at")), "seeds")
     longest = items.agg(F.max(F.octet_length("words"))).first()[0]
     margin = (longest or 0) // 8
+    n_words = F.octet_length("words") / 8
+    short = sorted(int(x.n) for x in items.where(n_words < LEAST).select(n_words.alias("n")).distinct().collect())
+    salted = (*((m, i) for i, m in enumerate(masks)), *(("1" * n, len(masks) + n) for n in short))
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -178,7 +193,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, ids: Sequence[str], masks: S
     rows = docs.select(*ids, F.lower("text").alias("text"))
     fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields[:-1])
     regions = rows.mapInArrow(
-        partial(_regions, masks=tuple(masks), marks=marks, margin=margin),
+        partial(_regions, masks=salted, marks=marks, margin=margin),
         f"{fields}start long, words binary, seeds array<long>, at array<long>",
     )
     regions = keep(regions.withColumn("region", F.monotonically_increasing_id()), "regions")
