@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import boosting, decontaminate, kneser_ney, minhash, packing, paragraphs, quality, secrets, shards, wrappers
+from tradewind.llm import boosting, decontaminate, kneser_ney, minhash, negatives, packing, paragraphs, quality, secrets, shards, wrappers
 from tradewind.session import configure, keep
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -149,3 +149,37 @@ def op10(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     scores = boosting.scored(found, model, ["doc_id"])
     predicted = (F.col("score") >= 0.3).cast("int").alias("predicted")
     return scores.select("doc_id", held_out.alias("held_out"), "score", predicted)
+
+
+@query(
+    "op11_hard_negatives",
+    table="embeddings",
+    sql="""
+    WITH whole AS (
+      SELECT row_number() OVER () AS row, vec_id,
+             CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+      FROM embeddings
+      WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scores AS (
+      SELECT a.row, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+             list_inner_product(a.v, b.v)::BIGINT AS score
+      FROM whole a JOIN whole b ON a.vec_id % 100 = 0 AND b.vec_id IS DISTINCT FROM a.vec_id),
+    positives AS (
+      SELECT row, anchor_id, vec_id AS positive_id, score AS positive_score,
+             row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id) AS place
+      FROM scores WHERE same QUALIFY place <= 5)
+    SELECT p.anchor_id, p.positive_id,
+           row_number() OVER (PARTITION BY p.row, p.place ORDER BY n.score DESC, n.vec_id)::INTEGER AS rank,
+           n.vec_id AS negative_id, p.positive_score, n.score AS negative_score
+    FROM positives p JOIN scores n
+      ON n.row = p.row AND NOT n.same
+         AND 30 * p.positive_score <= 100 * n.score AND 100 * n.score <= 90 * p.positive_score
+    QUALIFY rank <= 10
+    """,
+)
+def op11(spark: SparkSession, vectors: DataFrame, folder: str) -> DataFrame:
+    moved = F.when(F.pmod("vec_id", F.lit(7)) == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = vectors.select("vec_id", moved.alias("label"), "embedding")
+    return negatives.hard_negatives(rows, F.pmod("vec_id", F.lit(100)) == 0)
