@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import boosting, decontaminate, kneser_ney, minhash, negatives, packing, paragraphs, quality, secrets, shards, wrappers
+from tradewind.llm import alignment, boosting, decontaminate, kneser_ney, minhash, negatives, packing, paragraphs, quality, secrets, shards, toxicity, wrappers
 from tradewind.session import configure, keep
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -183,3 +183,22 @@ def op11(spark: SparkSession, vectors: DataFrame, folder: str) -> DataFrame:
     moved = F.when(F.pmod("vec_id", F.lit(7)) == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     rows = vectors.select("vec_id", moved.alias("label"), "embedding")
     return negatives.hard_negatives(rows, F.pmod("vec_id", F.lit(100)) == 0)
+
+
+@query("op12_toxicity")
+def op12(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    part = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4))
+    held_out = F.coalesce(part == 2, F.lit(False))
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", F.col("toxic").alias("label"))
+    model = toxicity.train(docs, labels.where(~held_out))
+    scores = toxicity.scored(docs, model, ["doc_id"])
+    predicted = (F.col("score") >= 0.3).cast("int").alias("predicted")
+    return scores.select("doc_id", held_out.alias("held_out"), "score", predicted)
+
+
+@query("op13_token_alignment")
+def op13(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    found = alignment.linked(docs, ["doc_id"], *paths)
+    numbers = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
+    return found.select("doc_id", *numbers, F.col("groups").alias("groups_sha256"))
