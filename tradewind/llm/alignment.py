@@ -117,6 +117,9 @@ class Aligner:
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         self.a_bytes, self.b_bytes = _a_bytes(self.a), _b_bytes(self.b)
         self.a_size, self.b_size = (np.array([len(x) for x in known], np.int64) for known in (self.a_bytes, self.b_bytes))
+        names = [str(i) for i in range(max(len(self.a_bytes), len(self.b_bytes)))]
+        self.names, self.widths = np.array(names, object), np.array([len(n) for n in names], np.int64)
+        self.marks = np.array([",", "|", ";"], object)
         # Should a token hold a space behind something else, texts are left whole.
         self.cut = not any(_CROSSING.search(x.decode(errors="replace")) for x in (*self.a_bytes, *self.b_bytes))
         self.forget()
@@ -158,7 +161,7 @@ class Aligner:
         piece[of_a] = np.repeat(np.arange(len(new)), n_a)
         n_groups = np.bincount(piece, minlength=len(new))
         n_links = np.bincount(piece, in_a * in_b, minlength=len(new)).astype(np.int64)
-        self._write(a, b, np.cumsum(in_a), np.cumsum(in_b), np.cumsum(n_groups))
+        self._write(a, of_a, b, of_b, piece, len(new))
         pairs, links, many = self._pairs(a, of_a, b, of_b, piece, n, len(new))
         self.pairs, self.links = np.concatenate([self.pairs, pairs]), np.concatenate([self.links, links])
         self.edges = np.concatenate([self.edges, self.edges[-1] + np.cumsum(many)])
@@ -166,17 +169,19 @@ class Aligner:
         self.sound = np.concatenate([self.sound, sound])
         self.index.update(zip(new, range(len(self.index), len(self.index) + len(new)), strict=True))
 
-    def _write(self, a, b, a_ends, b_ends, group_ends) -> None:
-        """Note the groups of each piece as text."""
-        a_text, b_text = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        a_at, b_at, written = 0, 0, []
-        for a_end, b_end in zip(a_ends.tolist(), b_ends.tolist(), strict=True):
-            written.append(f"{','.join(a_text[a_at:a_end])}|{','.join(b_text[b_at:b_end])}")
-            a_at, b_at = a_end, b_end
-        at = 0
-        for end in group_ends.tolist():
-            self.texts.append(";".join(written[at:end]))
-            at = end
+    def _write(self, a, of_a, b, of_b, piece, pieces: int) -> None:
+        """Note the groups of each piece as text: ids in order, each with the mark that follows it."""
+        group = np.concatenate([of_a, of_b])
+        order = np.argsort(group, kind="stable")  # of each group the tokens of A, then those of B
+        ids, of_b_too = np.concatenate([a, b])[order], order >= len(a)
+        group = group[order]
+        ends = np.append(group[1:] != group[:-1], True) if len(group) else np.zeros(0, bool)
+        turns = np.append(of_b_too[1:] != of_b_too[:-1], True) if len(group) else ends
+        mark = np.where(ends, 2, np.where(turns, 1, 0))
+        text = "".join((self.names[ids] + self.marks[mark]).tolist())
+        width = np.bincount(piece[group], self.widths[ids] + 1, pieces).astype(np.int64) if len(group) else np.zeros(pieces, np.int64)
+        stops = np.cumsum(width).tolist()
+        self.texts += [text[i : max(i, j - 1)] for i, j in zip([0, *stops], stops, strict=False)]
 
     def _pairs(self, a, of_a, b, of_b, piece, n: int, pieces: int):
         """Distinct pairs of each piece, the links of each, and the number of pairs of each piece.
@@ -205,7 +210,7 @@ class Aligner:
         at = size = 0
         for i, p in enumerate(new):
             size += len(p)
-            if size > 20_000 or i + 1 == len(new):
+            if size > 1_000_000 or i + 1 == len(new):
                 self.learn(new[at : i + 1])
                 at, size = i + 1, 0
         which = np.fromiter(map(self.index.__getitem__, flat), np.int64, len(flat))
@@ -213,8 +218,7 @@ class Aligner:
         sound = np.bincount(row, ~self.sound[which], minlength=len(texts)) == 0
         good = sound[row]
         which_good, row_good = which[good], row[good]
-        sizes = np.zeros((len(texts), 4), np.int64)
-        np.add.at(sizes, row_good, self.sizes[which_good])
+        sizes = np.stack([np.bincount(row_good, c, len(texts)).astype(np.int64) for c in self.sizes[which_good].T], axis=1)
         ends, listed = np.cumsum(n).tolist(), which.tolist()
         written = [
             ";".join([self.texts[i] for i in listed[end - m : end]]) if fine else ""
