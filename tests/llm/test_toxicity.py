@@ -134,13 +134,13 @@ def test_held_out_labels(spark):
 def test_features_of_the_sample_are_those_of_scoring(trained):
     texts = ["you grobian grobian! gr0bian", "grobiane", "x", "a vermintide of words said \"vermintide\""]
     words = toxicity.words_of(texts)
-    hits = toxicity.hits_of(words, toxicity.Automaton(trained.terms), frozenset())
+    hits = toxicity.hits_of(words, toxicity.Automaton(trained.terms, trained.allowed), frozenset())
     met = []
     for i in range(len(texts)):
         own = np.flatnonzero(hits.row == i)
         bits = hits.context[own] @ (1 << np.arange(5))
         met.append({"n": int(words.first[i + 1] - words.first[i]), "word": [words[w] for w in hits.word[own]], "term": hits.term[own], "edits": hits.edits[own], "context": bits})
-    real = toxicity.hits_of(words, toxicity.Automaton(trained.terms), trained.harmless)
+    real = toxicity.hits_of(words, toxicity.Automaton(trained.terms, trained.allowed), trained.harmless)
     assert np.allclose(toxicity._sample_features(met, trained), trained.features(words, real))
 
 

@@ -14,6 +14,7 @@ model over the hits of a text gives its score.
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
@@ -33,14 +34,18 @@ from tradewind.session import keep
 SAMPLE_ROWS = 20_000
 # Terms of a lexicon at most, by evidence.
 MOST_TERMS = 2_000
-# A term stands in so many toxic texts of the sample at least, has this evidence (the logarithm of
-# a likelihood ratio), and at least this share of its texts are toxic.
-LEAST_TEXTS, LEAST_EVIDENCE, LEAST_SHARE = 4, 12.0, 0.4
+# Units that are looked at closer at most: those in most toxic texts.
+MOST_UNITS = 100_000
+# A term stands in so many toxic texts of the sample, and in this share of them, at least; it has
+# this evidence (the logarithm of a likelihood ratio), and this share of its texts are toxic.
+LEAST_TEXTS, LEAST_PART, LEAST_EVIDENCE, LEAST_SHARE = 4, 0.004, 12.0, 0.4
+# Misspellings are looked for of terms of whose texts at least this share is toxic.
+SURE_SHARE = 0.9
 PREFIXES = range(4, 9)
 # Words on either side of a hit that make up its context.
 WINDOW = 8
 # States of an automaton at most before it is built afresh.
-MOST_STATES = 20_000
+MOST_STATES = 100_000
 QUOTES = frozenset('"„“”«»')
 # Words that report or mention speech, and words that address someone.
 REPORTING = frozenset(
@@ -69,13 +74,14 @@ class Automaton:
     if a word may end in s. State 0 is the start and 1 is dead.
     """
 
-    def __init__(self, terms: Sequence[tuple[str, bool]]):
+    def __init__(self, terms: Sequence[tuple[str, bool]], allowed: Sequence[int] | None = None):
         self.terms = list(terms)
+        self.allowed = [allowed_edits(*t) for t in self.terms] if allowed is None else list(allowed)
         self.children: list[dict[str, int]] = [{}]
         self.ends: list[list[int]] = [[]]
         self.reach = [0]
-        for number, (term, prefix) in enumerate(self.terms):
-            edits, node = allowed_edits(term, prefix), 0
+        for number, (term, _) in enumerate(self.terms):
+            edits, node = self.allowed[number], 0
             self.reach[0] = max(self.reach[0], edits)
             for letter in term:
                 if letter not in self.children[node]:
@@ -110,7 +116,7 @@ class Automaton:
                 if edits < self.reach[child] and nodes.get(child, edits + 2) > edits + 1:
                     nodes[child] = edits + 1
                     open_nodes.append((child, edits + 1))
-        met = {(e, t) for n, e in nodes.items() for t in self.ends[n] if self.terms[t][1] and e <= allowed_edits(*self.terms[t])}
+        met = {(e, t) for n, e in nodes.items() for t in self.ends[n] if self.terms[t][1] and e <= self.allowed[t]}
         return frozenset(nodes.items()), frozenset([min(seen | met)]) if seen or met else seen
 
     def _number(self, nodes: frozenset, seen: frozenset) -> int:
@@ -118,7 +124,7 @@ class Automaton:
         if key in self.numbers:
             return self.numbers[key]
         number = self.numbers[key] = len(self.states)
-        ends = [(e, t) for n, e in nodes for t in self.ends[n] if e <= allowed_edits(*self.terms[t])]
+        ends = [(e, t) for n, e in nodes for t in self.ends[n] if e <= self.allowed[t]]
         self.states.append(key)
         self.accepts.append(min([*ends, *seen], default=None))
         if number >= len(self.step):
@@ -270,6 +276,7 @@ class Model:
     """What a score is made of. ``odds[term, edits]`` is the log odds that a text with such a hit is toxic."""
 
     terms: list[tuple[str, bool]]
+    allowed: list[int]
     odds: np.ndarray
     harmless: frozenset[str] = frozenset()
     context: np.ndarray = field(default_factory=CONTEXT.copy)
@@ -322,7 +329,8 @@ def chosen_terms(units: list[tuple[str, bool, int, int]], toxic: int, clean: int
         return whole
 
     ranked = [(evidence(p, n), not prefix, len(u), u, prefix, p, n) for u, prefix, p, n in units]
-    fit = [r for r in ranked if r[0] >= LEAST_EVIDENCE and r[5] >= LEAST_TEXTS and r[5] >= LEAST_SHARE * (r[5] + r[6])]
+    least = max(LEAST_TEXTS, LEAST_PART * toxic)
+    fit = [r for r in ranked if r[0] >= LEAST_EVIDENCE and r[5] >= least and r[5] >= LEAST_SHARE * (r[5] + r[6])]
     best_word: dict[str, int] = {}  # for each beginning, the most toxic texts that one fit word of it has
     for _, _, _, u, prefix, p, _ in fit:
         for k in range(1, (0 if prefix else len(u)) + 1):
@@ -356,38 +364,60 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             row = last
 
 
-def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _print(words: list[str]) -> int:
+    """The least hash of three words in a row: the same for most near copies of a text."""
+    runs = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    return min(zlib.crc32(r.encode()) for r in runs)
+
+
+def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in _blocks(batches):
-        words = words_of(batch.column(1).to_pylist())
-        own = [sorted({words[i] for i in range(a, b)}) for a, b in zip(words.first[:-1], words.first[1:], strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.list_(pa.string()))], names=["toxic", "words"])
+        words = words_of(batch.column(2).to_pylist())
+        own = [[words[i] for i in range(a, b)] for a, b in zip(words.first[:-1], words.first[1:], strict=True)]
+        prints = pa.array([_print(w) if w else None for w in own], pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), prints], names=["row", "toxic", "print"])
+
+
+def _units(batches: Iterator[pa.RecordBatch], asked: frozenset[tuple[str, bool]] | None) -> Iterator[pa.RecordBatch]:
+    """In how many texts of a block each unit stands: words, and beginnings of longer words."""
+    for batch in _blocks(batches):
+        words, found = words_of(batch.column(0).to_pylist()), Counter()
+        for a, b in zip(words.first[:-1].tolist(), words.first[1:].tolist(), strict=True):
+            own = {words[i] for i in range(a, b)}
+            units = {(w, False) for w in own}
+            units.update((w[:k], True) for w in own for k in PREFIXES if len(w) > k)
+            found.update(units if asked is None else units & asked)
+        columns = [pa.array([u for u, _ in found], pa.string()), pa.array([p for _, p in found], pa.bool_()), pa.array(list(found.values()), pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names=["unit", "prefix", "n"])
 
 
 def lexicon(sample: DataFrame) -> tuple[list[tuple[str, bool, int, int]], int, int]:
     """Terms with the toxic and clean texts that hold them, and the numbers of such texts.
 
-    ``sample`` has toxic, 0 or 1, and text. Only units with enough toxic texts come to the driver.
+    ``sample`` has row, toxic (0 or 1) and text. Of near copies one counts, since a text that was copied often
+    would make terms of all its words. At most MOST_UNITS units come to the driver.
     """
-    words = keep(sample.select("toxic", "text").mapInArrow(_distinct_words, "toxic int, words array<string>"), "words")
-    sizes = words.agg(F.count_if(F.col("toxic") == 1).alias("p"), F.count_if(F.col("toxic") == 0).alias("n")).first()
-    unit = lambda w, prefix: F.struct(w.alias("unit"), F.lit(prefix).alias("prefix"))
-    whole = F.transform("words", lambda w: unit(w, False))
-    begun = [
-        F.transform(F.filter("words", lambda w, k=k: F.length(w) > k), lambda w, k=k: unit(F.substring(w, 1, k), True))
-        for k in PREFIXES
-    ]
-    units = words.select("toxic", F.inline(F.array_distinct(F.concat(whole, *begun))))
-    found = units.groupBy("unit", "prefix").agg(F.sum("toxic").alias("p"), F.sum(1 - F.col("toxic")).alias("n"))
-    found = found.where((F.col("p") >= LEAST_TEXTS) & (F.col("p") >= LEAST_SHARE * (F.col("p") + F.col("n"))))
-    # By evidence, the strongest first; a unit yields to its neighbours in length, hence more than are kept.
-    strongest = found.orderBy(F.desc(F.col("p") / (F.col("n") + 1)), F.desc("p"), "unit", "prefix").limit(20 * MOST_TERMS)
-    rows = [(r.unit, r.prefix, r.p, r.n) for r in strongest.collect()]
-    return chosen_terms(rows, sizes.p, sizes.n), sizes.p, sizes.n
+    prints = keep(sample.select("row", "toxic", "text").mapInArrow(_prints, "row long, toxic int, print long"), "prints")
+    first = prints.where("print is not null").groupBy("print").agg(F.min(F.struct("row", "toxic")).alias("first"))
+    first = keep(first.select("first.row", "first.toxic"), "first-copies")
+    sizes = first.agg(F.count_if(F.col("toxic") == 1).alias("p"), F.count_if(F.col("toxic") == 0).alias("n")).first()
+    texts = sample.drop("toxic").join(first, "row")
+
+    def counted(toxic: int, asked: frozenset | None) -> DataFrame:
+        units = texts.where(F.col("toxic") == toxic).select("text").mapInArrow(partial(_units, asked=asked), "unit string, prefix boolean, n long")
+        return units.groupBy("unit", "prefix").agg(F.sum("n").alias("n"))
+
+    least = max(LEAST_TEXTS, LEAST_PART * sizes.p)
+    often = counted(1, None).where(F.col("n") >= least).orderBy(F.desc("n"), "unit", "prefix").limit(MOST_UNITS).collect()
+    in_toxic = {(r.unit, r.prefix): r.n for r in often}
+    in_clean = {(r.unit, r.prefix): r.n for r in counted(0, frozenset(in_toxic)).collect()} if in_toxic else {}
+    units = [(u, prefix, p, in_clean.get((u, prefix), 0)) for (u, prefix), p in in_toxic.items()]
+    return chosen_terms(units, sizes.p, sizes.n), sizes.p, sizes.n
 
 
-def _sample_hits(batches: Iterator[pa.RecordBatch], terms: list[tuple[str, bool]]) -> Iterator[pa.RecordBatch]:
+def _sample_hits(batches: Iterator[pa.RecordBatch], terms: list[tuple[str, bool]], allowed: list[int]) -> Iterator[pa.RecordBatch]:
     """(text number, toxic, number of words, and of each hit: word, term, edits, context)."""
-    automaton = Automaton(terms)
+    automaton = Automaton(terms, allowed)
     for batch in _blocks(batches):
         words = words_of(batch.column(2).to_pylist())
         hits = hits_of(words, automaton, frozenset())
@@ -413,8 +443,9 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     sample, _ = stored(sample.select(F.monotonically_increasing_id().alias("row"), "toxic", "text"), "toxic-sample")
     found, toxic, clean = lexicon(sample)
     terms = [(u, prefix) for u, prefix, _, _ in found]
+    allowed = [allowed_edits(u, prefix) if p >= SURE_SHARE * (p + n) else 0 for u, prefix, p, n in found]
     fields = "row long, toxic int, n long, word array<string>, term array<long>, edits array<long>, context array<long>"
-    met = sample.mapInArrow(partial(_sample_hits, terms=terms), fields).orderBy("row").toArrow().to_pylist()
+    met = sample.mapInArrow(partial(_sample_hits, terms=terms, allowed=allowed), fields).toArrow().sort_by("row").to_pylist()
     base = np.log((toxic + 0.5) / (clean + 0.5))
 
     # Misspellings that clean texts use, unless they are a small part of what toxic texts have of them.
@@ -423,7 +454,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
         for w in {w for w, e in zip(r["word"], r["edits"], strict=True) if e}:
             uses.setdefault(w, [0, 0])[r["toxic"]] += 1
     harmless = frozenset(w for w, (n, p) in uses.items() if n and p <= 3 * n)
-    most = max([1, *(allowed_edits(*t) for t in terms)])
+    most = max([1, *allowed])
     odds = np.zeros((len(terms), most + 1))
     tally: Counter = Counter()
     for r in met:
@@ -435,7 +466,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
             before = 1 / (1 + np.exp(1.5 * e - odds[i, 0]))
             p, n = tally[i, e, 1] + 4 * before, tally[i, e, 0] + 4 * (1 - before)
             odds[i, e] = np.log(p / n)
-    model = Model(terms, odds, harmless)
+    model = Model(terms, allowed, odds, harmless)
 
     flat = [
         (r["toxic"], odds[t, e], c)
@@ -477,7 +508,7 @@ def _sample_features(met: list[dict], model: Model) -> np.ndarray:
 
 
 def _scored(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    automaton = Automaton(model.terms)
+    automaton = Automaton(model.terms, model.allowed)
     for batch in _blocks(batches):
         words = words_of(batch.column(batch.num_columns - 1).to_pylist())
         hits = hits_of(words, automaton, model.harmless)
