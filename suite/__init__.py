@@ -1,6 +1,13 @@
 """The queries over the given tables and their SQL twins."""
 
-from suite import marts_queries, report_queries  # noqa: F401  (register their queries)
+from suite import (  # noqa: F401  (register their queries)
+    marts_queries,
+    reach_queries,
+    report_queries,
+    store_queries,
+    stream_queries,
+    upkeep_queries,
+)
 from suite.registry import ORACLES, QUERIES
 
 

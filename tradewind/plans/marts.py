@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tradewind.functions import scalars as S
 from tradewind.functions.lookups import EN, PT, translate
+from tradewind.operators.distinct import distinct_sketch
 from tradewind.operators.indicators import with_fx, with_monthly
 
 # The statuses that count as a sale.
@@ -117,6 +118,8 @@ WIDE_AMOUNTS = AMOUNTS | {
     "inflation": ("inflation_rate", True),
     "interest": ("interest_rate", True),
 }
+# Whose different values a group can keep a sketch of.
+REACH = {"orders": "order_id", "customers": "customer_unique_id"}
 BY_PLACE = ("customer_state", "customer_city", "order_month", "category_name", "category_name_pt")
 WIDE_BY_PLACE = ("customer_state", "customer_city", "order_month", PT)
 
@@ -132,15 +135,18 @@ def sales_cube(
     wide: bool = False,
     how: str = "left",
     fx_policy: str = "exact",
+    reach: bool = False,
 ) -> DataFrame:
     """Counts and exact sums of sold items per ``keys``: all that the grouped marts need.
 
     One pass over the items; coarser marts come from the result by adding it up further.
     The wide form keeps the original category name and adds weight, inflation and interest.
+    With ``reach`` a group also keeps mergeable sketches of its orders and customers.
     """
+    who = ["customer_id", "customer_city", "customer_state", *["customer_unique_id"] * reach]
     sold = _sold_orders(
         orders.select("order_id", "customer_id", "order_status", "order_purchase_timestamp"),
-        customers.select("customer_id", "customer_city", "customer_state"),
+        customers.select(*who),
         ind, fx_policy,
     )
     if wide:
@@ -149,7 +155,8 @@ def sales_cube(
     else:
         both = translate(products.select("product_id", PT), lookup, PT, EN, default=None)
         named = both.select(
-            "product_id", F.coalesce(EN, PT).alias("category_name"), F.col(PT).alias("category_name_pt")
+            "product_id", F.coalesce(EN, PT).alias("category_name"), F.col(PT).alias("category_name_pt"),
+            F.lit(True).alias("product_known"),
         )
     lines = (
         items.select("order_id", "product_id", "price", "freight_value")
@@ -166,6 +173,8 @@ def sales_cube(
     for name, (column, raw) in (WIDE_AMOUNTS if wide else AMOUNTS).items():
         counted = S.units(F.col(column)) if raw else F.col(column)
         sums += [S.unit_sum(counted).alias(f"{name}_sum"), F.count(column).alias(f"{name}_n")]
+    if reach:
+        sums += [distinct_sketch(F.col(c)).alias(f"{n}_sketch") for n, c in REACH.items()]
     return lines.groupBy(*keys).agg(*sums)
 
 
@@ -229,6 +238,15 @@ def category_wide_from_cube(cube: DataFrame) -> DataFrame:
     )
 
 
+def category_month_from_cube(groups: DataFrame) -> DataFrame:
+    return groups.select(
+        "category_name", "order_month",
+        *_measures(
+            "order_count", "total_revenue_brl", "avg_exchange_rate", "total_revenue_usd", "exchange_rate_period"
+        ),
+    )
+
+
 def geo_from_cube(cube: DataFrame) -> DataFrame:
     return cube.select(
         *BY_PLACE,
@@ -281,13 +299,7 @@ def fct_category(
         # The documented simpler form keeps items whose category is unknown.
         keys = ("category_name", "order_month")
         groups = sales_cube(items, orders, products, customers, lookup, ind, keys, False, "inner", fx_policy)
-        return groups.select(
-            *keys,
-            *_measures(
-                "order_count", "total_revenue_brl", "avg_exchange_rate", "total_revenue_usd",
-                "exchange_rate_period",
-            ),
-        )
+        return category_month_from_cube(groups)
     keys = ("category_name", "category_name_pt", "order_month", "customer_state")
     return _category(
         sales_cube(items, orders, known, customers, lookup, ind, keys, False, "inner", fx_policy)

@@ -78,13 +78,24 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of any file system; none if it does not exist."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in system.listStatus(where)] if system.exists(where) else []
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Remove all intermediate data of this application.
 
     For the end of a run: frames that have not been written elsewhere can no longer be read.
     """
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    remove_folder(spark, scratch_root(spark))
 
 
 def keep(df: DataFrame, label: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewind.session import keep
+from tradewind.sources.curve import along_curve
 
 
 class Entity(NamedTuple):
@@ -204,20 +205,27 @@ def write_table(
     partition_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
     stamp: str | None = None,
+    curve_by: Sequence[str] = (),
+    files: int | None = None,
 ) -> None:
     """Write ``df`` in exactly the given columns and types, replacing or appending.
 
     ``partition_by`` makes one folder per value. Rows are brought together by it (or else by
     ``cluster_by``) in files of even size: a large value is split, small ones share a file.
-    Within a file they are sorted by ``cluster_by``. ``stamp`` names a load-time column to
-    add.
+    Within a file they are sorted by ``cluster_by``. With ``curve_by`` instead, files follow a
+    space-filling curve through those columns, and a filter on any of them skips files;
+    ``files`` is their number. ``stamp`` names a load-time column to add.
     """
     modes = {"WRITE_TRUNCATE": "overwrite", "WRITE_APPEND": "append"}
     target = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     out = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.fields])
     if stamp:
         out = out.withColumn(stamp, F.current_timestamp())
-    if partition_by or cluster_by:
+    if curve_by:
+        if partition_by or cluster_by:
+            raise ValueError("curve_by stands alone")
+        out = along_curve(out, curve_by, files)
+    elif partition_by or cluster_by:
         out = out.hint("rebalance", *[F.col(c) for c in partition_by or cluster_by])
         out = out.sortWithinPartitions(*partition_by, *cluster_by)
     out.write.mode(modes[disposition]).partitionBy(*partition_by).parquet(path)
