@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewind.functions.scalars import month_of, unit_mean, units
+from tradewind.operators.asof import asof_join
 
 FX_SERIES = "exchange_rate_usd"
 
@@ -59,16 +60,20 @@ def with_fx(
 ) -> DataFrame:
     """Add the exchange rate of the day.
 
-    ``exact`` leaves days without a published rate NULL; ``ffill`` carries the last one.
+    ``exact`` leaves days without a published rate NULL; ``ffill`` carries the last one, up to
+    ``end``, by default today or the last observation.
     """
+    rates = series(ind, FX_SERIES, name)
     if policy == "exact":
-        rates = series(ind, FX_SERIES, name)
-    elif policy == "ffill":
-        rates = ffill_daily(ind, FX_SERIES, end=end).withColumnRenamed("indicator_value", name)
-    else:
+        return df.join(rates.withColumnRenamed("indicator_date", date_col), date_col, "left")
+    if policy != "ffill":
         raise ValueError(f"unknown policy {policy!r}: use 'exact' or 'ffill'")
-    rates = rates.withColumnRenamed("indicator_date", date_col)
-    return df.join(rates, date_col, "left")
+    known = asof_join(df, rates.where(F.col(name).isNotNull()), date_col, "indicator_date")
+    if end is None:
+        last = F.greatest(rates.agg(F.max("indicator_date")).scalar(), F.current_date())
+    else:
+        last = F.lit(end).cast("date")
+    return known.withColumn(name, F.when(F.col(date_col) <= last, F.col(name)))
 
 
 def with_monthly(
