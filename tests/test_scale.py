@@ -7,7 +7,7 @@ import __spark_entry__ as contract
 from conftest import SMALL, final_plan, rows
 from suite.entities import Entities
 from tradewind.operators import medians, quality, staging
-from tradewind.operators.joins import hot_values, left_join_many
+from tradewind.operators.joins import hot_values, left_join_many, salted_left_join
 from tradewind.plans import marts, reports, star
 from tradewind.session import keep
 from tradewind.sources.tables import materialize
@@ -185,3 +185,47 @@ def test_row_checks_of_a_table_share_one_scan(spark):
 def test_listing_files_reads_no_contents(spark):
     plan = quality.recency(spark, {"a": f"{SMALL}/orders.parquet"}, F.current_timestamp())
     assert "content" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def keyed(spark, sizes, columns):
+    """Rows of the keys 0, 1, ...: as many of each as ``sizes`` says."""
+    ends = [sum(sizes[: i + 1]) for i in range(len(sizes))]
+    key = F.size(F.filter(F.array(*map(F.lit, ends)), lambda e: e <= F.col("id")))
+    return keep(spark.range(ends[-1], numPartitions=4).select(key.alias("k"), F.col("id").alias(columns)), columns)
+
+
+@pytest.mark.parametrize("min_rows", [1, 20, 700, 10**9])
+def test_salted_joins_equal_plain_ones(spark, min_rows):
+    """Keys hot on either side, on both, and on neither; keys that one side lacks; null keys; equal rows."""
+    left = keyed(spark, [900, 3, 40, 2, 0, 500, 7], "x").withColumn("k", F.nullif("k", F.lit(6)))
+    right = keyed(spark, [2, 800, 30, 0, 600, 0, 5], "y").withColumn("k", F.nullif("k", F.lit(6)))
+    left = left.withColumn("x", F.when(F.col("k") == 2, 1).otherwise(F.col("x")))
+    joined, plain = salted_left_join(left, right, "k", min_rows), left.join(right, "k", "left")
+    assert joined.columns == plain.columns and rows(joined) == rows(plain)
+
+
+def test_a_hundred_and_fifty_hot_keys_are_spread(spark, conf):
+    """No key and no task gets much more than the others, without Spark's own splitting."""
+    conf(
+        spark__sql__adaptive__enabled="false", spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__shuffle__partitions="64",
+    )
+    left = keyed(spark, [60] * 150, "x")
+    right = keyed(spark, [400] * 150 + [1] * 50, "y")
+    joined = salted_left_join(left, right, "k", 50)
+    sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert sum(sizes) == 150 * 60 * 400
+    assert len(sizes) >= 64 and max(sizes) < 3 * sorted(sizes)[len(sizes) // 2]
+
+
+def test_one_place_for_each_prefix(spark):
+    geo = spark.createDataFrame(
+        [("1", "b", "S"), ("1", "a", "S"), ("1", "b", "S"), ("2", "y", "S"), ("2", "x", "S")],
+        "geolocation_zip_code_prefix string, geolocation_city string, geolocation_state string",
+    )
+    raw = spark.createDataFrame(
+        [(i, f"u{i}", "CITY", "S", p) for i, p in enumerate(["1", "2", "3"])],
+        "customer_id int, customer_unique_id string, customer_city string, customer_state string, customer_zip_code_prefix string",
+    )
+    found = staging.strict_customers(raw, geo).select("customer_id", "geolocation_city")
+    assert rows(found) == [(0, "b"), (1, "x"), (2, None)]
+    assert staging.strict_customers(raw, geo, all_places=True).count() == 6

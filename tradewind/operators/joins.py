@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tradewind.session import keep
+
 HOT_ROWS = 1_000_000
 SKETCH_ITEMS = 10_000
 MAX_HOT = 100
@@ -36,3 +38,52 @@ def left_join_many(left: DataFrame, right: DataFrame, key: str, min_rows: int =
     is_hot = F.col(key).isin(hot)
     cold = left.where(F.col(key).isNull() | ~is_hot).join(right.where(~is_hot), key, "left")
     return cold.unionByName(left.where(is_hot).join(right.where(is_hot), key, "inner"))
+
+
+# Rows of a sample, about, that a key needs to count as hot.
+_SEEN = 2_000
+
+
+def _parts(df: DataFrame, key: str, min_rows: int, name: str) -> DataFrame:
+    """Keys with at least about ``min_rows`` rows, and how many parts of that size they make.
+
+    Counted in a sample just large enough to tell: it only decides which rows take which route.
+    """
+    share = min(1.0, _SEEN / min_rows)
+    keys = df.where(F.col(key).isNotNull()).select(key)
+    keys = keys.sample(False, share, seed=5) if share < 1 else keys
+    counted = keys.groupBy(key).agg((F.count("*") / F.lit(share * min_rows)).alias("n"))
+    return counted.where(F.col("n") >= 1).select(key, F.ceil("n").cast("int").alias(name))
+
+
+def salted_left_join(left: DataFrame, right: DataFrame, key: str, min_rows: int = HOT_ROWS) -> DataFrame:
+    """``left`` LEFT JOIN ``right`` where any number of keys may own many rows on either side.
+
+    Rows of each key are counted on both sides. A key with more than ``min_rows`` of them is cut into
+    parts of about that many rows, on both sides, and each part of one side meets each part of the
+    other in a group of its own; so a task holds a few parts, however large a key is and however
+    many are. Which part a row goes to follows from its columns. The table of hot keys has at
+    most a row for every ``min_rows`` rows; it is stored, and Spark broadcasts it if it is small.
+
+    A left row with a null key, or with a key that the right side lacks, comes once, with NULLs.
+    """
+    sizes = _parts(left, key, min_rows, "__a").join(_parts(right, key, min_rows, "__b"), key, "full")
+    grid = keep(sizes.select(key, *[F.coalesce(c, F.lit(1)).alias(c) for c in ("__a", "__b")]), "hot-keys")
+    if grid.isEmpty():
+        return left.join(right, key, "left")
+    columns = [*left.columns, *[c for c in right.columns if c != key]]
+    cold = left.join(grid, key, "left_anti").join(right.join(grid, key, "left_anti"), key, "left").select(*columns)
+
+    def dealt(df: DataFrame, own: str, other: str, seed: int) -> DataFrame:
+        part = F.pmod(F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in df.columns]), F.col(own)).cast("int")
+        every = F.explode(F.sequence(F.lit(0), F.col(other) - 1))
+        return df.join(grid, key).select(*df.columns, "__b", part.alias(f"_{own}"), every.alias(f"_{other}"))
+
+    hot_left = dealt(left, "__a", "__b", 1)
+    hot_right = dealt(right, "__b", "__a", 2).drop("__b")
+    on = [key, "___a", "___b"]
+    # With a single right part each left row stands once, and may find nothing. With more the
+    # key is there for certain, and a part that has got no rows must not add any.
+    single = hot_left.where("__b = 1").join(hot_right, on, "left").select(*columns)
+    many = hot_left.where("__b > 1").join(hot_right, on, "inner").select(*columns)
+    return cold.unionByName(single).unionByName(many)

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from tradewind.functions.lookups import EN, PT, translate
 from tradewind.functions.scalars import clean_trim, safe_cast
-from tradewind.operators.joins import left_join_many
+from tradewind.operators.joins import salted_left_join
 
 ORDER_TIMES = (
     "order_purchase_timestamp",
@@ -86,17 +86,21 @@ def stg_indicators(raw: DataFrame) -> DataFrame:
     )
 
 
-def strict_customers(raw: DataFrame, geo: DataFrame) -> DataFrame:
-    """Customers with every raw geolocation row of their zip prefix.
+def strict_customers(raw: DataFrame, geo: DataFrame, all_places: bool = False) -> DataFrame:
+    """Customers with the place of their zip prefix: the one most geolocation rows name, of equal
+    ones the first by name.
 
-    The geolocation rows are not unique per prefix, so customers repeat.
+    With ``all_places`` they come with every raw geolocation row of the prefix, as the planned
+    star model has it. Those are not unique per prefix, so customers repeat: as many rows as
+    customers times places.
     """
-    places = geo.select(
-        F.col("geolocation_zip_code_prefix").alias("customer_zip_code_prefix"),
-        "geolocation_city",
-        "geolocation_state",
-    )
-    return left_join_many(raw, places, "customer_zip_code_prefix").select(
+    prefix, place = "customer_zip_code_prefix", ("geolocation_city", "geolocation_state")
+    places = geo.select(F.col("geolocation_zip_code_prefix").alias(prefix), *place)
+    if not all_places:
+        counted = places.groupBy(prefix, *place).agg(F.count("*").alias("n"))
+        first = F.min(F.struct(F.negative("n").alias("n"), *place)).alias("first")
+        places = counted.groupBy(prefix).agg(first).select(prefix, *[f"first.{c}" for c in place])
+    return salted_left_join(raw, places, "customer_zip_code_prefix").select(
         "customer_id",
         "customer_unique_id",
         F.lower("customer_city").alias("customer_city"),

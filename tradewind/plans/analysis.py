@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tradewind.functions.lookups import PT, reverse, translate
 from tradewind.operators.clean import fill_geo, fill_orders, fill_payment_type
-from tradewind.operators.joins import left_join_many
+from tradewind.operators.joins import salted_left_join
 from tradewind.operators.staging import zip_centroids
 from tradewind.session import keep
 
@@ -32,11 +32,11 @@ def analysis_frame(
     them several times, two columns at a time.
     """
     rows = fill_orders(orders, bad_ids)
-    rows = left_join_many(rows, items.select("order_id", "product_id", "seller_id", "price"), "order_id")
-    rows = left_join_many(
+    rows = salted_left_join(rows, items.select("order_id", "product_id", "seller_id", "price"), "order_id")
+    rows = salted_left_join(
         rows, payments.select("order_id", "payment_type", "payment_value", "payment_installments"), "order_id"
     )
-    rows = left_join_many(rows, reviews.select("order_id", "review_score", "review_creation_date"), "order_id")
+    rows = salted_left_join(rows, reviews.select("order_id", "review_score", "review_creation_date"), "order_id")
     who = customers.select(
         "customer_id", "customer_unique_id", "customer_city", "customer_state", "customer_zip_code_prefix"
     )

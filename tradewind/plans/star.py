@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from tradewind.functions.lookups import EN, PT
-from tradewind.operators.joins import HOT_ROWS, left_join_many
+from tradewind.operators.joins import HOT_ROWS, salted_left_join
 from tradewind.operators.staging import PRODUCT_SIZES
 
 
@@ -30,7 +30,7 @@ def fact_orders(
         payments.select("order_id", "payment_type", "payment_installments", "payment_value"),
         reviews.select("order_id", "review_score"),
     ):
-        rows = left_join_many(rows, side, "order_id", min_hot_rows)
+        rows = salted_left_join(rows, side, "order_id", min_hot_rows)
     people = customers.select("customer_id", "customer_unique_id", "customer_city", "customer_state")
     rows = rows.join(people, "customer_id", "left")
     rows = rows.join(products.select("product_id", EN), "product_id", "left")
@@ -66,7 +66,7 @@ def fact_orders(
 def fact_reviews(orders: DataFrame, reviews: DataFrame, min_hot_rows: int = HOT_ROWS) -> DataFrame:
     """Every order with each of its reviews, or with none."""
     side = reviews.select("order_id", "review_score", "review_creation_date")
-    return left_join_many(orders.select("order_id", "customer_id"), side, "order_id", min_hot_rows)
+    return salted_left_join(orders.select("order_id", "customer_id"), side, "order_id", min_hot_rows)
 
 
 def dim_customers(stg: DataFrame) -> DataFrame:
