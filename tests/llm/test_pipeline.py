@@ -31,7 +31,7 @@ def test_run_equals_stages_by_hand(spark, tokenizer):  # noqa: F811
     left = keep(corpus_pipeline.quality_rules(spark, docs, SMALL), "left")  # its own test has the verdicts
     assert left.columns == docs.columns
     texts = {r.doc_id: r.text for r in left.collect()}
-    texts = {i: texts[i] for i, (_, _, kept) in near(list(texts.items())).items() if kept}
+    texts = {i: texts[i] for i, (_, _, kept) in near(list(texts.items()), 80).items() if kept}
     leaked = {d for d, _ in overlaps([(i, t) for i, t in texts.items() if len(t) < 4000], items)}
     out = {}
     for r in corpus_pipeline.run(spark, SMALL).collect():

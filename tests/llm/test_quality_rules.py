@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from tradewind.llm import quality
 from tradewind.llm.queries import queries
@@ -87,3 +88,12 @@ def test_fit_finds_the_rates_of_a_mixture():
     assert all(g <= quality.FALSE_ALARM for g in model.good)
     # The order of the counts does not matter.
     assert quality.fit(list(counts.items())[::-1], ["a", "b", "c", "d"]) == model
+
+
+def test_sentences_end_in_any_script(spark, table):
+    """Prose that ends its sentences with other full stops is not called a single long sentence."""
+    ends = {1: ".", 2: "।", 3: "。", 4: "۔", 5: "։", 6: "።", 7: ""}
+    pairs = [(i, " ".join(f"word{k}" + (mark if k % 10 == 9 else "") for k in range(100))) for i, mark in ends.items()]
+    found = table(pairs).select("doc_id", quality.statistics(F.col("text")).alias("s"))
+    votes = {r.doc_id: (r.s.n_stops, r.s.vote_sentences) for r in quality.with_votes(found, "s").collect()}
+    assert votes == {i: (10, 1) if mark else (0, -1) for i, mark in ends.items()}

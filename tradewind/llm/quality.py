@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 
 SPACE = r"[\x20\x09-\x0D]"
 SYMBOLS = "[#*$%&|<>]"
+# Marks that end a sentence, in Latin and other scripts.
+STOPS = "[.!?\u0589\u061F\u06D4\u0964\u0965\u104B\u1362\u1367\u17D4\u1803\u203D\u3002\uFE52\uFF01\uFF0E\uFF1F\uFF61]"
 WINDOW = 5
 
 
@@ -99,7 +101,7 @@ def statistics(text: Column) -> Column:
                 l["n"].cast("long").alias("n_lines"),
                 w["n_doubled_words"].cast("long").alias("n_doubled_words"),
                 F.regexp_count(text, F.lit(r"\p{Lu}")).cast("long").alias("n_upper"),
-                F.regexp_count(text, F.lit(r"[.!?]")).cast("long").alias("n_stops"),
+                F.regexp_count(text, F.lit(STOPS)).cast("long").alias("n_stops"),
                 F.regexp_count(text, F.lit("!")).cast("long").alias("n_shouts"),
                 F.regexp_count(text, F.lit(r"[^\p{L}\p{M}]")).cast("long").alias("n_other"),
             ),
