@@ -40,7 +40,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, folder: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each group of near copies stays: the one with the least doc_id.
+    """One document of each group of near copies (at least 80 % of their five-word shingles in
+    common) stays: the one with the least doc_id.
 
     A document without words is in no group, unless it equals another one in all columns. Of
     the rows of a group with its least id, or of all if none has an id, one stays.
@@ -49,7 +50,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     row = spare_name(docs, "row_print")
     marked = docs.withColumn(row, F.xxhash64(*all_columns(docs)))
     rows = marked.select("doc_id", F.col(row).alias("row_print"), "text")
-    found = keep(minhash.near_duplicates(rows, ["doc_id", "row_print"], percent=85), "groups")
+    found = keep(minhash.near_duplicates(rows, ["doc_id", "row_print"], percent=80), "groups")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_print"))["row_print"]
     groups = found.groupBy(F.coalesce("group", "row_print").alias("group")).agg(first.alias("chosen"))
     chosen = keep(groups.select(F.col("chosen").alias(row)), "chosen")
