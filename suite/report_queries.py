@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from suite.entities import BAD_ORDERS, EVENT_SERIES, Entities
 from suite.marts_queries import (
-    D3, D4, D5, D7, D8, FRAME, MARTS, STAR, d2, d3, d4, d7, d8, frame, plain_times, t6, t7, t9, t11, t12,
+    D3, D4, D5, D7, D8, FRAME, LISTS, MARTS, STAR, d2, d3, d4, d7, d8, frame, plain_times, t6, t7, t9, t11, t12,
 )
 from suite.registry import query
 from tradewind.functions import scalars as S
@@ -605,7 +605,7 @@ STARRED = {
 }
 
 
-@query("q8_star_checks", OUTCOME.format(twin(checks.STAR_CHECKS, STARRED)), STAR | {"d7": D7, "d8": D8})
+@query("q8_star_checks", OUTCOME.format(twin(checks.STAR_CHECKS, STARRED)), STAR | LISTS | {"d7": D7, "d8": D8})
 def _(e: Entities):
     # Checks read stored tables: the facts and the repeated customers are written once.
     people, facts, reviews = keep(t6(e), "customers"), keep(d7(e), "facts"), keep(d8(e), "reviews")
