@@ -113,7 +113,7 @@ def test_query_equals_plain_loops(spark, tokens):
     assert got == plain_rows(docs, tokens) and len(got) == len(docs)
 
 
-@pytest.mark.parametrize("hot", [0, 3, alignment.HOT_PAIRS])
+@pytest.mark.parametrize("hot", [0, 3])
 def test_odd_texts_and_any_number_of_hot_pairs(spark, table, tokens, odd_pairs, hot):
     rows = odd_pairs + [(100 + i, t) for i, t in enumerate(TEXTS)]
     found = alignment.linked(table(rows), ["doc_id"], *PATHS, hot_pairs=hot)
