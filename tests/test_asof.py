@@ -26,9 +26,7 @@ def plain(left, right, by, strict):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("by", [(), ("k",)])
-@pytest.mark.parametrize("strict", [False, True])
-@pytest.mark.parametrize("few", [0, asof.FEW])
+@pytest.mark.parametrize("by, strict, few", [((), False, 0), (("k",), True, 0), (("k",), False, asof.FEW), ((), True, asof.FEW)])
 def test_equals_plain_loops(spark, monkeypatch, by, strict, few):
     monkeypatch.setattr(asof, "FEW", few)
     pick = random.Random(len(by) + 2 * strict)

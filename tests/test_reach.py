@@ -1,6 +1,5 @@
 """Distinct counts that add up: exact below a stated size, bounded above."""
 
-import pytest
 from pyspark.sql import functions as F
 
 from conftest import SMALL, rows
@@ -19,9 +18,8 @@ def test_exact_up_to_its_size_however_it_is_merged(spark):
     assert rows(by_h.agg(distinct_count(merged(F.col("s"), 12)))) == [(n,)]
 
 
-@pytest.mark.parametrize("log", [12, 14])
-def test_error_bound_on_ten_million_keys(spark, log):
-    n = 10_000_000
+def test_error_bound_on_ten_million_keys(spark):
+    n, log = 10_000_000, 14
     df = spark.range(2 * n, numPartitions=8).select((F.col("id") % n).alias("k"), (F.col("id") % 16).alias("g"))
     whole = df.groupBy("g").agg(distinct_sketch(F.col("k"), log).alias("s")).agg(distinct_count(merged(F.col("s"), log)).alias("n"))
     (found,) = whole.first()
