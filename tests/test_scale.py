@@ -200,8 +200,10 @@ def test_salted_joins_equal_plain_ones(spark, min_rows):
     left = keyed(spark, [900, 3, 40, 2, 0, 500, 7], "x").withColumn("k", F.nullif("k", F.lit(6)))
     right = keyed(spark, [2, 800, 30, 0, 600, 0, 5], "y").withColumn("k", F.nullif("k", F.lit(6)))
     left = left.withColumn("x", F.when(F.col("k") == 2, 1).otherwise(F.col("x")))
-    joined, plain = salted_left_join(left, right, "k", min_rows), left.join(right, "k", "left")
-    assert joined.columns == plain.columns and rows(joined) == rows(plain)
+    plain = left.join(right, "k", "left")
+    for count_left in (True, False):
+        joined = salted_left_join(left, right, "k", min_rows, count_left)
+        assert joined.columns == plain.columns and rows(joined) == rows(plain)
 
 
 def test_a_hundred_and_fifty_hot_keys_are_spread(spark, conf):

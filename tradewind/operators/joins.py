@@ -56,7 +56,9 @@ def _parts(df: DataFrame, key: str, min_rows: int, name: str) -> DataFrame:
     return counted.where(F.col("n") >= 1).select(key, F.ceil("n").cast("int").alias(name))
 
 
-def salted_left_join(left: DataFrame, right: DataFrame, key: str, min_rows: int = HOT_ROWS) -> DataFrame:
+def salted_left_join(
+    left: DataFrame, right: DataFrame, key: str, min_rows: int = HOT_ROWS, count_left: bool = True
+) -> DataFrame:
     """``left`` LEFT JOIN ``right`` where any number of keys may own many rows on either side.
 
     Rows of each key are counted on both sides. A key with more than ``min_rows`` of them is cut into
@@ -65,9 +67,16 @@ def salted_left_join(left: DataFrame, right: DataFrame, key: str, min_rows: int
     many are. Which part a row goes to follows from its columns. The table of hot keys has at
     most a row for every ``min_rows`` rows; it is stored, and Spark broadcasts it if it is small.
 
+    With ``count_left=False`` only the right side is counted and cut: for a left side that is itself a
+    chain of joins, which counting would run once more. Spark can split a preserved side itself.
+
     A left row with a null key, or with a key that the right side lacks, comes once, with NULLs.
     """
-    sizes = _parts(left, key, min_rows, "__a").join(_parts(right, key, min_rows, "__b"), key, "full")
+    sizes = _parts(right, key, min_rows, "__b")
+    if count_left:
+        sizes = _parts(left, key, min_rows, "__a").join(sizes, key, "full")
+    else:
+        sizes = sizes.withColumn("__a", F.lit(1))
     grid = keep(sizes.select(key, *[F.coalesce(c, F.lit(1)).alias(c) for c in ("__a", "__b")]), "hot-keys")
     if grid.isEmpty():
         return left.join(right, key, "left")

@@ -32,11 +32,12 @@ def analysis_frame(
     them several times, two columns at a time.
     """
     rows = fill_orders(orders, bad_ids)
-    rows = salted_left_join(rows, items.select("order_id", "product_id", "seller_id", "price"), "order_id")
-    rows = salted_left_join(
-        rows, payments.select("order_id", "payment_type", "payment_value", "payment_installments"), "order_id"
-    )
-    rows = salted_left_join(rows, reviews.select("order_id", "review_score", "review_creation_date"), "order_id")
+    for side in (
+        items.select("order_id", "product_id", "seller_id", "price"),
+        payments.select("order_id", "payment_type", "payment_value", "payment_installments"),
+        reviews.select("order_id", "review_score", "review_creation_date"),
+    ):
+        rows = salted_left_join(rows, side, "order_id", count_left=False)
     who = customers.select(
         "customer_id", "customer_unique_id", "customer_city", "customer_state", "customer_zip_code_prefix"
     )

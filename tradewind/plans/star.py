@@ -30,7 +30,7 @@ def fact_orders(
         payments.select("order_id", "payment_type", "payment_installments", "payment_value"),
         reviews.select("order_id", "review_score"),
     ):
-        rows = salted_left_join(rows, side, "order_id", min_hot_rows)
+        rows = salted_left_join(rows, side, "order_id", min_hot_rows, count_left=False)
     people = customers.select("customer_id", "customer_unique_id", "customer_city", "customer_state")
     rows = rows.join(people, "customer_id", "left")
     rows = rows.join(products.select("product_id", EN), "product_id", "left")
