@@ -2,9 +2,14 @@
 
 from pyspark.sql import functions as F
 
-from conftest import rows
-from tradewind.operators import staging
+import suite
+from conftest import SMALL, rows
+from suite import report_queries
+from suite.entities import Entities
+from suite.marts_queries import COPIES, d7, t6
+from tradewind.operators import quality, staging
 from tradewind.operators.joins import repeated
+from tradewind.session import keep
 
 
 def test_rows_come_as_often_as_they_say(spark):
@@ -33,3 +38,33 @@ def test_customers_of_a_crowded_prefix_are_made_by_many_tasks(spark):
     ]
     counted = staging.strict_customers(raw, geo, all_places=True, copies="n")
     assert counted.count() == 400 and rows(repeated(counted, "n")) == rows(got)
+
+
+CHECKS = [
+    quality.Check("facts", "k", "unique"),
+    quality.Check("facts", "k", "not_null"),
+    quality.Check("facts", "v", "accepted_values", "error", ("a",)),
+    quality.Check("facts", "v", "expression", "warn", "v <> 'b'"),
+    quality.Check("facts", "k", "relationships", "warn", ("parents", "k")),
+    quality.Check("parents", "k", "unique"),
+]
+
+
+def test_checks_of_counted_rows_equal_those_of_all_rows(spark):
+    facts = spark.createDataFrame([(1, "a", 1), (2, "b", 3), (3, "b", 1), (3, None, 2), (None, "a", 5), (4, "c", 1)], "k int, v string, n bigint")
+    parents = spark.createDataFrame([(1,), (3,)], "k int")
+    want = quality.run_checks({"facts": repeated(facts, "n"), "parents": parents}, CHECKS)
+    got = quality.run_checks({"facts": facts, "parents": parents}, CHECKS, {"facts": "n"})
+    assert rows(got) == rows(want) and [r.failures for r in got.orderBy("check_name").collect()] != [0] * len(CHECKS)
+
+
+def test_facts_are_stored_without_their_copies(spark, monkeypatch):
+    """The places of a prefix multiply customers and orders; what is written does not grow with them."""
+    e = Entities(spark, SMALL)
+    everywhere = e.raw_geo.withColumn("_", F.explode(F.sequence(F.lit(1), F.lit(50)))).drop("_")
+    once, often = (d7(e, t).count() for t in (t6(e, COPIES), staging.strict_customers(e.raw_customers, everywhere, True, COPIES)))
+    assert once == often and repeated(d7(e), COPIES).count() > once
+    stored = {}
+    monkeypatch.setattr(report_queries, "keep", lambda df, label: stored.setdefault(label, keep(df, label)))
+    suite.queries()["q8_star_checks"](spark, SMALL).collect()
+    assert stored["facts"].count() == once < repeated(d7(e), COPIES).count()
