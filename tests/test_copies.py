@@ -68,3 +68,12 @@ def test_facts_are_stored_without_their_copies(spark, monkeypatch):
     monkeypatch.setattr(report_queries, "keep", lambda df, label: stored.setdefault(label, keep(df, label)))
     suite.queries()["q8_star_checks"](spark, SMALL).collect()
     assert stored["facts"].count() == once < repeated(d7(e), COPIES).count()
+
+
+def test_facts_meet_customers_and_products_before_they_multiply(spark, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
+    e = Entities(spark, SMALL)
+    plan = d7(e)._jdf.queryExecution().optimizedPlan().toString()
+    # The outermost joins are those on the order.
+    joins = [line for line in plan.splitlines() if "Join LeftOuter" in line]
+    assert len(joins) >= 6 and all("order_id" in line for line in joins[:3])
