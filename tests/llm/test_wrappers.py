@@ -183,3 +183,24 @@ def test_the_header_of_an_article_stays():
         )
         want.append("\n\n".join([f"Title {k}", f"{lead} {k}", *body]))
     assert wrappers.main_texts(pages) == want
+
+
+@pytest.mark.parametrize("n", [60, 170])
+def test_long_lists_match_as_short_ones_do(n):
+    """The partners of a list's head stand behind a new run of children that is longer than any band."""
+    pick = random.Random(n)
+    inner = "".join
+    items = ["<li>" + inner(pick.choice(("<b>x</b>", "<i>x</i>", "<u>x</u>")) for _ in range(6)) + "</li>" for _ in range(n)]
+    new = ["<li><s>n</s></li>"] * (n // 2)
+    a, b = (dom.parse("<ul><p>h</p>" + inner(x) + "<p>t</p></ul>") for x in (items + new[:3], new + items + ["<li><q>z</q></li>"]))
+    dom.shape(a), dom.shape(b)
+    assert len(dom.matched(a, b)) == weight(a, b)
+
+
+def test_lists_of_ten_thousand_children_end_in_seconds():
+    pages = ["<ul>" + "".join(f"<li>{'<b>x</b>' * ((k * i) % 40)}</li>" for i in range(10_000)) + "</ul>" for k in (1, 3)]
+    start = time.time()
+    trees = [dom.parse(p) for p in pages]
+    for t in trees:
+        dom.shape(t)
+    assert len(dom.matched(*trees)) > 10_000 and time.time() - start < 30

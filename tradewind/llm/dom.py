@@ -5,6 +5,9 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from html import unescape
+from math import isqrt
+
+import numpy as np
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # Their content is text up to their end tag.
@@ -111,11 +114,6 @@ def shape(node: Node) -> int:
     return node.shape
 
 
-# Lists of children with more pairs than this are matched in a band around their diagonal.
-_ALL_PAIRS = 40_000
-_BAND = 24
-
-
 def _ends(xs: list[Node], ys: list[Node]) -> tuple[int, int]:
     """How many children agree at the head, and at the tail of the rest."""
     head = 0
@@ -127,24 +125,17 @@ def _ends(xs: list[Node], ys: list[Node]) -> tuple[int, int]:
     return head, tail
 
 
-def _columns(i: int, rows: int, columns: int) -> range:
-    """The places on the right that place i of ``rows`` on the left may be matched with."""
-    if rows * columns <= _ALL_PAIRS:
-        return range(columns)
-    middle = i * columns // rows
-    return range(max(0, middle - _BAND), min(columns, middle + columns // rows + _BAND + 1))
-
-
 def _candidates(xs: list[Node], ys: list[Node]) -> Iterator[tuple[Node, Node]]:
-    """The pairs of children whose weights a match of two lists may ask for."""
+    """The pairs of children whose weights a match of two lists may ask for, one for each pair of shapes."""
     head, tail = _ends(xs, ys)
     yield from zip(xs[:head], ys[:head], strict=True)
     yield from zip(xs[len(xs) - tail :], ys[len(ys) - tail :], strict=True)
-    left, right = xs[head : len(xs) - tail], ys[head : len(ys) - tail]
-    for i, x in enumerate(left if right else []):
-        for j in _columns(i, len(left), len(right)):
-            if x.symbol == right[j].symbol:
-                yield x, right[j]
+    left, right = ({n.shape: n for n in ns[head : len(ns) - tail]} for ns in (xs, ys))
+    alike: dict[tuple[str, str], list[Node]] = {}
+    for y in right.values():
+        alike.setdefault(y.symbol, []).append(y)
+    for x in left.values():
+        yield from ((x, y) for y in alike.get(x.symbol, ()))
 
 
 def _weigh(a: Node, b: Node, known: dict) -> None:
@@ -166,44 +157,71 @@ def _weigh(a: Node, b: Node, known: dict) -> None:
 
 def _aligned(xs: list[Node], ys: list[Node], known: dict) -> list[tuple[Node, Node, int]]:
     """Children matched in order, as many nodes as possible; equal ends match at once."""
-
-    def weight(x: Node, y: Node) -> int:
-        return known[x.shape, y.shape] if x.symbol == y.symbol else 0
-
     head, tail = _ends(xs, ys)
     out = [(x, y, x.size) for x, y in zip(xs[:head], ys[:head], strict=True)]
     left, right = xs[head : len(xs) - tail], ys[head : len(ys) - tail]
-    if left and right:
-        # best[i][j]: nodes matched by the first i on the left with the first j on the right, as
-        # far as the band goes; beyond it a row stays at its last value.
-        bands = [_columns(i, len(left), len(right)) for i in range(len(left))]
-        best: list[tuple[int, list[int]]] = [(0, [0])]
-
-        def at(i: int, j: int) -> int:
-            low, values = best[i]
-            return values[min(j - low, len(values) - 1)] if j >= low else 0
-
-        for i, x in enumerate(left):
-            band = bands[i]
-            values = [at(i, band.start)]
-            for j in band:
-                w = weight(x, right[j])
-                values.append(max(at(i, j + 1), values[-1], at(i, j) + w if w else 0))
-            best.append((band.start, values))
-        i, j, found = len(left), len(right), []
-        while i and j:
-            w = weight(left[i - 1], right[j - 1]) if j - 1 in bands[i - 1] else 0
-            if w and at(i, j) == at(i - 1, j - 1) + w:
-                found.append((left[i - 1], right[j - 1], w))
-                i, j = i - 1, j - 1
-            elif at(i, j) == at(i - 1, j):
-                i -= 1
-            else:
-                j -= 1
-        out += reversed(found)
+    # A child without one of its symbol on the other side has no partner.
+    both = {x.symbol for x in left} & {y.symbol for y in right}
+    left, right = ([n for n in ns if n.symbol in both] for ns in (left, right))
+    out += _largest(left, right, known) if left else []
     return out + [(x, y, x.size) for x, y in zip(xs[len(xs) - tail :], ys[len(ys) - tail :], strict=True)]
 
 
+def _largest(left: list[Node], right: list[Node], known: dict) -> list[tuple[Node, Node, int]]:
+    """A largest match in order of all of ``left`` with all of ``right``.
+
+    best[j] after i rows: nodes matched by the first i on the left with the first j on the right. Only
+    every step-th row is stored; the way back makes the rows between two stored ones again. So memory
+    grows with the right side times the root of the left one, and no pair is left out.
+    """
+    # For each symbol its different shapes on the right, its places there, and which shape stands at each.
+    shapes: dict[tuple[str, str], dict[int, int]] = {}
+    for y in right:
+        own = shapes.setdefault(y.symbol, {})
+        own.setdefault(y.shape, len(own))
+    places = {symbol: ([], []) for symbol in shapes}
+    for j, y in enumerate(right):
+        js, which = places[y.symbol]
+        js.append(j)
+        which.append(shapes[y.symbol][y.shape])
+    at = {symbol: (np.array(js), np.array(which)) for symbol, (js, which) in places.items()}
+    weights: dict[int, np.ndarray] = {}
+
+    def after(row: np.ndarray, x: Node) -> np.ndarray:
+        if x.shape not in weights:
+            weights[x.shape] = np.array([known[x.shape, s] for s in shapes[x.symbol]], dtype=np.int32)
+        js, which = at[x.symbol]
+        new = row.copy()
+        new[js + 1] = np.maximum(row[js + 1], row[js] + weights[x.shape][which])
+        return np.maximum.accumulate(new, out=new)
+
+    step = isqrt(len(left)) + 1
+    row = np.zeros(len(right) + 1, dtype=np.int32)
+    stored = []
+    for i, x in enumerate(left):
+        if i % step == 0:
+            stored.append(row)
+        row = after(row, x)
+    j, found = len(right), []
+    for k in range(len(stored) - 1, -1, -1):
+        rows = [stored[k]]
+        for x in left[k * step : (k + 1) * step]:
+            rows.append(after(rows[-1], x))
+        for i in range(len(rows) - 1, 0, -1):
+            x = left[k * step + i - 1]
+            while j:
+                y = right[j - 1]
+                w = known[x.shape, y.shape] if x.symbol == y.symbol else 0
+                if w and rows[i][j] == rows[i - 1][j - 1] + w:
+                    found.append((x, y, w))
+                    j -= 1
+                    break
+                if rows[i][j] == rows[i - 1][j]:
+                    break
+                j -= 1
+    return found[::-1]
+
+
 def matched(a: Node, b: Node) -> list[tuple[Node, Node]]:
     """Simple tree matching: the pairs of a largest match of two trees whose shapes are set."""
     out, todo, known = [], [(a, b)] if a.symbol == b.symbol else [], {}
