@@ -219,3 +219,13 @@ def test_taking_away_everything_and_what_is_not_there(spark):
     upkeep.apply_sales_changes(store, gone, None, None, *shop.dims())
     assert kept(store) == [[], [], []] and store.months("cube") == []
     assert store.months("items") == [None] and store.read("items").count() == 60
+
+
+def test_cubes_of_a_change_read_only_the_rows_it_touches(spark, monkeypatch):
+    """The store's items are not scanned and shuffled once more for each step of a load."""
+    shop, seen, cube = Shop(spark, 5), [], upkeep._cube
+    store = upkeep.start_sales(spark, scratch_path(spark, "sales"), shop.frame("orders"), shop.frame("items"), *shop.dims(), shop.ind())
+    monkeypatch.setattr(upkeep, "_cube", lambda orders, items, *rest: seen.append(items) or cube(orders, items, *rest))
+    upkeep.apply_sales_changes(store, shop.changes("orders", shop.order, [3]), None, None, *shop.dims())
+    assert len(seen) == 2 and not any(store.root in f for df in seen for f in df.inputFiles())
+    assert kept(store) == expected(shop)

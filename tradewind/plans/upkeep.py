@@ -184,28 +184,34 @@ def apply_sales_changes(
         frames.append(store.read("orders").select("order_id", MONTH).join(asked, "order_id", "left_semi"))
     months = [m for m in _months_in(*frames) if m is not None]
 
-    days = d_rates.select(F.col("indicator_date").alias("order_date")).distinct()
-
-    def parts(orders: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Orders, and items, that a change touches."""
-        dated = orders.withColumn("order_date", F.to_date("order_purchase_timestamp"))
-        by_day = dated.join(days, "order_date", "left_semi").select("order_id")
-        touched = by_day.unionByName(ids).distinct()
-        return orders.join(touched, "order_id", "left_semi"), items.join(touched, "order_id", "left_semi")
-
     old_orders, old_items = store.read("orders", [*months, None]), store.read("items", [*months, None])
+    # Orders that a change touches, and whether they or their items themselves change. A change of a
+    # day touches the same orders before and after: those that move are changed. The big tables meet
+    # this list once; all that follows reads the rows found.
+    days = d_rates.select(F.col("indicator_date").alias("order_date")).distinct()
+    dated = old_orders.withColumn("order_date", F.to_date("order_purchase_timestamp"))
+    by_day = dated.join(days, "order_date", "left_semi").select("order_id", F.lit(False).alias("changed"))
+    marks = by_day.unionByName(ids.withColumn("changed", F.lit(True)))
+    marks = keep(marks.groupBy("order_id").agg(F.max("changed").alias("changed")), "touched")
+    touched_orders = keep(old_orders.join(marks, "order_id"), "touched-orders")
+    touched_items = keep(old_items.join(marks, "order_id"), "touched-items")
+
+    def split(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Rows that change themselves, and others that are touched."""
+        return rows.where("changed").drop("changed"), rows.where("NOT changed").drop("changed")
+
+    (own_orders, near_orders), (own_items, near_items) = split(touched_orders), split(touched_items)
     # Only changed rows are matched one by one; all others stay as they are.
-    new_orders = keep(_applied(old_orders.join(ids, "order_id", "left_semi"), d_orders), "changed-orders")
-    matched = old_items.join(ids, "order_id", "left_semi").drop(MONTH)
-    now = _applied(matched, d_items.drop(MONTH))
+    new_orders = keep(_applied(own_orders.select(*old_orders.columns), d_orders), "changed-orders")
+    now = _applied(own_items.select(*old_items.columns).drop(MONTH), d_items.drop(MONTH))
     new_items = keep(_with_order_month(now, new_orders), "changed-items")
     other_orders, other_items = (df.join(ids, "order_id", "left_anti") for df in (old_orders, old_items))
     all_orders, all_items = other_orders.unionByName(new_orders), other_items.unionByName(new_items)
     new_rates = _applied(stored_rates, d_rates)
 
     dims = (products, customers, lookup)
-    before = _cube(*parts(old_orders, old_items), stored_rates, *dims)
-    after = _cube(*parts(all_orders, all_items), new_rates, *dims)
+    before = _cube(touched_orders.drop("changed"), touched_items.drop("changed"), stored_rates, *dims)
+    after = _cube(near_orders.unionByName(new_orders), near_items.unionByName(new_items), new_rates, *dims)
     negated = before.select(*KEYS, *[(-F.col(c)).alias(c) for c in _measures(before)])
     names = _measures(before)
     delta = after.unionByName(negated).groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in names])
@@ -224,7 +230,7 @@ def apply_sales_changes(
         own = _months_in(d_orders)
         contents["orders"] = (_within(all_orders, own), own)
     # Items move with their orders, so their months follow from the changed ones, before and after.
-    own = _months_in(old_items.join(ids, "order_id", "left_semi"), new_items)
+    own = _months_in(own_items, new_items)
     if own:
         contents["items"] = (_within(all_items, own), own)
     if rates is not None:
