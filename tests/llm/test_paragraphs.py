@@ -1,13 +1,16 @@
 """Repeated passages that were planted by hand, and paragraphs against all pairs in full."""
 
 import random
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from tradewind.llm import paragraphs
 from tradewind.llm.queries import queries
 from tradewind.llm.text import power_tables, text_blocks
+from tradewind.session import scratch_root
 
 from .conftest import SMALL, prose
 from .test_minhash import shingles
@@ -164,3 +167,75 @@ def test_line_ends_do_not_hide_a_passage(table):
     out = removed(table, texts + clean)
     assert all(set(range(30, 120)) <= out[2 * k + 1] and not out[2 * k] for k in range(12))
     assert not any(out[d] for d, _ in clean)
+
+
+def test_marks_reject_no_linked_pair():
+    """Pairs of a bucket against all pairs, over the edges of batches, and marks against the sets."""
+    pick = random.Random(5)
+    texts = []
+    for k in range(150):
+        words = prose(80_000 + k, pick.randint(8, 40), 300).split()
+        other = list(words)
+        other[pick.choice([0, -1, pick.randrange(len(words))])] = "changed"
+        texts += [" ".join(words), " ".join(other), " ".join(words[:-1]), " ".join(words + words[:6])]
+    marks = []
+    for _, _, data, offsets in text_blocks(pa.array(texts)):
+        starts, _, rows = paragraphs.word_spans(data, offsets)
+        words, _ = paragraphs.word_hashes(data, offsets, power_tables(len(data)))
+        marks.append(paragraphs.set_marks(words, rows[:-1], rows[1:], paragraphs.SHINGLE_WORDS))
+    marks, sets = np.concatenate(marks), [shingles(t) for t in texts]
+    seen = {True: 0, False: 0}
+    for i in range(len(texts)):
+        near = paragraphs.may_be_linked(marks[i], marks, 80)
+        for j in range(len(texts)):
+            linked = 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])
+            assert near[j] or not linked
+            seen[linked] += bool(near[j])
+    assert seen[True] > len(texts) and seen[False] < seen[True]
+
+    sizes = np.array([1, 2, 3, 128, 129, 1, 300, 5, 2])
+    bucket, v = np.repeat(np.arange(len(sizes)), sizes), np.arange(sizes.sum())
+    large = np.repeat(sizes > paragraphs.BUCKET_ROWS, sizes)
+    expected = {(i, j) for i in v for j in v[i + 1 :][bucket[i + 1 :] == bucket[i]] if not large[i]}
+    for step in (1, 50, 129, 1000):
+        parts = [pa.RecordBatch.from_arrays([pa.array(x[i : i + step]) for x in (bucket, v, v * 0 + 5)], names=["bucket", "v", "marks"]) for i in range(0, len(v), step)]
+        out = [p for r in paragraphs._meeting(iter(parts), 80) for p in zip(*(r.column(c).to_pylist() for c in ("a", "b")), strict=True)]
+        assert {p for p in out if p[1] is not None} == expected
+        assert sorted(a for a, b in out if b is None) == v[large].tolist()
+
+
+def test_what_is_stored_stays_small(spark):
+    """The steps of a search leave no more than twice the texts behind."""
+    folder = Path("/root/testdata/sf0.01")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0]
+    scratch = Path(scratch_root(spark).removeprefix("file:"))
+    before = {p for p in scratch.rglob("*.parquet")}
+    paragraphs.repeated_spans(docs)
+    made = sum(p.stat().st_size for p in scratch.rglob("*.parquet") if p not in before)
+    assert made <= 2 * size
+
+
+def test_many_near_copies_of_a_paragraph(table):
+    """More different near copies than a bucket compares in pairs are still one group."""
+
+    def lines(k):
+        return [f"{line} n{k}" for line in heads]
+
+    whole = [t for t in (prose(7 + k, 12, 40_000) for k in range(50)) if all(len(pieces(f"{t} n{k}")) == 1 for k in range(300))]
+    heads = whole[:2]
+    count = paragraphs.BUCKET_ROWS + 70
+    texts = [(k, "\n".join([prose(90_000 + k, 30, 40_000), *lines(k), prose(95_000 + k, 30, 40_000)])) for k in range(count)]
+    out = removed(table, texts)
+    assert not out[0] and all(out[k] >= set(range(30, 56)) for k in range(1, count))
+
+
+def test_copies_that_end_with_their_text_keep_the_first(table):
+    """The first copy goes on where later ones end; their longest common stretch is still found."""
+    passage = prose(8, 60, 40_000)
+    texts = [(1, prose(9, 40, 40_000) + " " + passage + " " + prose(10, 50, 40_000))]
+    texts += [(k, prose(200 + k, 35, 40_000) + " " + passage) for k in range(2, 6)]
+    out = removed(table, texts)
+    found = paragraphs.repeated_spans(table(texts)).collect()
+    assert not out[1] and all(out[k] >= set(range(35, 95)) for k in range(2, 6))
+    assert {r.kept_doc_id for r in found} == {1}

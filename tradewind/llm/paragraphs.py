@@ -21,15 +21,17 @@ the result.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewind.llm.columns import all_columns, spare_name
-from tradewind.llm.minhash import SHINGLE_WORDS, _permuted, _scattered, near_duplicates
+from tradewind.llm.components import components
+from tradewind.llm.minhash import SHINGLE_WORDS, _permuted, _scattered, _verified, _with_text, near_duplicates
+from tradewind.llm.scratch import removed, shuffles_dropped, stored
 from tradewind.llm.text import mixed, power_tables, text_blocks, word_hashes, word_spans
 from tradewind.session import keep
 
@@ -44,6 +46,12 @@ LEAST_SPAN = 20
 # either end of the repeat.
 SEED = 20
 PASSAGE = 51
+# Paragraphs meet in pairs in buckets of up to so many different ones; members of larger buckets
+# are compared by ``near_duplicates``, which does not make all pairs.
+BUCKET_ROWS = 128
+# Bits for the members of a shingle set, and the greatest size told apart beside them.
+MARKS = 48
+MOST = 65_535
 
 
 def tuned_bands(percent: int = PERCENT, rows: int = BAND_ROWS, recall: float = RECALL) -> int:
@@ -59,9 +67,13 @@ def cut(data: np.ndarray, offsets: np.ndarray, tables, lines: bool = True) -> tu
     and the words' hashes, byte starts and byte ends. Without ``lines`` a text is one line."""
     starts, ends, rows = word_spans(data, offsets)
     words, _ = word_hashes(data, offsets, tables)
+    return *_cut_words(data, words, starts, ends, rows, lines), words, starts, ends
+
+
+def _cut_words(data: np.ndarray, words: np.ndarray, starts: np.ndarray, ends: np.ndarray, rows: np.ndarray, lines: bool) -> tuple[np.ndarray, ...]:
     if len(words) == 0:
         none = np.zeros(0, np.int64)
-        return none, none, none, words, starts, ends
+        return none, none, none
     ends_line = np.zeros(len(words), bool)
     if lines:
         breaks = np.concatenate([[0], np.cumsum(data == 10)])
@@ -82,14 +94,16 @@ def cut(data: np.ndarray, offsets: np.ndarray, tables, lines: bool = True) -> tu
     stop = np.flatnonzero(last) + 1
     start = np.concatenate([[0], stop[:-1]])
     text = np.searchsorted(rows, start, "right") - 1
-    return text, start, stop, words, starts, ends
+    return text, start, stop
 
 
 def cut_twice(data: np.ndarray, offsets: np.ndarray, tables, across: bool) -> tuple[np.ndarray, ...]:
     """``cut``; with ``across``, each text's further paragraphs over line ends come after its others."""
-    text, start, stop, words, starts, ends = cut(data, offsets, tables)
+    starts, ends, rows = word_spans(data, offsets)
+    words, _ = word_hashes(data, offsets, tables)
+    text, start, stop = _cut_words(data, words, starts, ends, rows, True)
     if across and len(words):
-        other, low, high, *_ = cut(data, offsets, tables, lines=False)
+        other, low, high = _cut_words(data, words, starts, ends, rows, False)
         n = len(words) + 1
         new = ~np.isin(low * n + high, start * n + stop)
         text, start, stop = (np.concatenate([a, b[new]]) for a, b in ((text, other), (start, low), (stop, high)))
@@ -106,13 +120,18 @@ def _window_hashes(words: np.ndarray, n: int) -> np.ndarray:
     return mixed(out)
 
 
-def band_hashes(words: np.ndarray, start: np.ndarray, stop: np.ndarray, n: int, bands: int, rows: int) -> np.ndarray:
-    """A row of band hashes for each paragraph of at least n words."""
+def _shingles_of(words: np.ndarray, start: np.ndarray, stop: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The 32-bit numbers of the shingles of each paragraph of at least n words, and where they begin."""
     windows = _window_hashes(words, n)
     sizes = stop - start - n + 1
     edges = np.concatenate([[0], np.cumsum(sizes)])
     at = np.arange(edges[-1]) - np.repeat(edges[:-1] - start, sizes)
-    once = _scattered((windows[at] >> np.uint64(32)).astype(np.uint32))
+    return _scattered((windows[at] >> np.uint64(32)).astype(np.uint32)), edges
+
+
+def band_hashes(words: np.ndarray, start: np.ndarray, stop: np.ndarray, n: int, bands: int, rows: int) -> np.ndarray:
+    """A row of band hashes for each paragraph of at least n words."""
+    once, edges = _shingles_of(words, start, stop, n)
     out = np.zeros((len(start), bands), np.uint64)
     for b in range(bands):
         for r in range(rows):
@@ -122,53 +141,122 @@ def band_hashes(words: np.ndarray, start: np.ndarray, stop: np.ndarray, n: int,
     return mixed(out + np.arange(bands, dtype=np.uint64))
 
 
-def _banded(batches: Iterator[pa.RecordBatch], n: int, bands: int, rows: int, least: int, across: bool) -> Iterator[pa.RecordBatch]:
+def set_marks(words: np.ndarray, start: np.ndarray, stop: np.ndarray, n: int) -> np.ndarray:
+    """The size of each paragraph's shingle set, up to MOST, and above it a bit for each of its members."""
+    once, edges = _shingles_of(words, start, stop, n)
+    owner = np.repeat(np.arange(len(start), dtype=np.uint64), np.diff(edges))
+    found = np.sort(owner << np.uint64(32) | once)
+    owner = (found >> np.uint64(32))[np.concatenate([[True], found[1:] != found[:-1]])]
+    sizes = np.bincount(owner.astype(np.int64), minlength=len(start)).astype(np.uint64)
+    bits = np.bitwise_or.reduceat(np.uint64(1) << (once % np.uint32(MARKS)).astype(np.uint64), edges[:-1])
+    return bits << np.uint64(16) | np.minimum(sizes, MOST)
+
+
+def may_be_linked(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """False for two ``set_marks`` whose sets can't share ``percent`` of their union.
+
+    Linked sets of x and y members have at least percent * (x + y) / (100 + percent) in common,
+    and of the bits in which the marks differ each is due to another member that is not.
+    """
+    x, y = ((z & np.uint64(MOST)).astype(np.int64) for z in (a, b))
+    common = -(-percent * (x + y) // (100 + percent))
+    differ = np.bitwise_count((a ^ b) >> np.uint64(16)).astype(np.int64)
+    return (np.maximum(x, y) == MOST) | (differ <= x + y - 2 * common)
+
+
+def _marked(batches: Iterator[pa.RecordBatch], n: int, bands: int, rows: int, least: int, across: bool) -> Iterator[pa.RecordBatch]:
+    """Each paragraph's words as a number, marks and buckets."""
     tables = power_tables()
     for batch in batches:
-        keys = batch.column("text_key").to_numpy()
-        for first, _, data, offsets in text_blocks(batch.column("text")):
-            text, start, stop, words, _, _ = cut_twice(data, offsets, tables, across)
-            number = np.arange(len(text)) - np.searchsorted(text, text)
+        for _, _, data, offsets in text_blocks(batch.column("text")):
+            _, start, stop, words, _, _ = cut_twice(data, offsets, tables, across)
             long = stop - start >= max(least, n)
             if not long.any():
                 continue
-            found = band_hashes(words, start[long], stop[long], n, bands, rows)
-            owner = np.repeat(keys[first + text[long]], bands)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found.view(np.int64).reshape(-1)), pa.array(owner), pa.array(np.repeat(number[long], bands).astype(np.int32))],
-                names=["bucket", "text_key", "paragraph"],
-            )
+            start, stop = start[long], stop[long]
+            found = band_hashes(words, start, stop, n, bands, rows).view(np.int64)
+            columns = [_stretch_hashes(_sums(words, tables), start, stop), set_marks(words, start, stop, n)]
+            columns = [pa.array(c.view(np.int64)) for c in columns] + [pa.array(found[:, b]) for b in range(bands)]
+            yield pa.RecordBatch.from_arrays(columns, names=["v", "marks", *[f"b{b}" for b in range(bands)]])
+
+
+def _meeting(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Pairs of a bucket that may be linked, from rows sorted by bucket; of a bucket of more than
+    BUCKET_ROWS, each member alone."""
+
+    def made(a: np.ndarray, b: np.ndarray | None) -> pa.RecordBatch:
+        other = pa.array(b) if b is not None else pa.nulls(len(a), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(a), other], names=["a", "b"])
+
+    held = [np.zeros(0, np.int64)] * 3
+    large = None  # the bucket whose first rows have gone out as those of a large one
+    for batch in _and_none(batches):
+        if batch is not None:
+            held = [np.concatenate([h, batch.column(c).to_numpy()]) for h, c in zip(held, ("bucket", "v", "marks"), strict=True)]
+        bucket, v, marks = held
+        if not len(bucket):
+            continue
+        edges = np.concatenate([[0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, [len(bucket)]])
+        sizes = np.diff(edges)
+        big = (sizes > BUCKET_ROWS) | (bucket[edges[:-1]] == large if large is not None else False)
+        # The last bucket may go on in the next batch.
+        if batch is not None and not big[-1]:
+            held = [h[edges[-2] :] for h in held]
+            bucket, v, marks, sizes, big = bucket[: edges[-2]], v[: edges[-2]], marks[: edges[-2]], sizes[:-1], big[:-1]
+            large = None
+        else:
+            large = bucket[-1] if big[-1] else None
+            held = [h[:0] for h in held]
+        alone = np.repeat(big, sizes)
+        if alone.any():
+            yield made(v[alone], None)
+        bucket, v, marks = bucket[~alone], v[~alone], marks[~alone].view(np.uint64)
+        at = np.arange(len(bucket))
+        for d in range(1, BUCKET_ROWS):
+            at = at[: np.searchsorted(at, len(bucket) - d)]
+            at = at[bucket[at] == bucket[at + d]]
+            if not len(at):
+                break
+            near = at[may_be_linked(marks[at], marks[at + d], percent)]
+            if len(near):
+                yield made(v[near], v[near + d])
+
+
+def _and_none(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
+    yield from batches
+    yield None
 
 
-def _chosen(batches: Iterator[pa.RecordBatch], across: bool) -> Iterator[pa.RecordBatch]:
-    """The paragraphs of each text whose numbers are asked for, with their places in code points."""
+def _written_out(batches: Iterator[pa.RecordBatch], n: int, least: int, across: bool) -> Iterator[pa.RecordBatch]:
+    """The paragraphs of each text with their places in code points and their words."""
     tables = power_tables()
     for batch in batches:
-        asked = batch.column("asked").to_pylist()
-        row_of, out = [], [[], [], [], [], [], []]
+        names = [c for c in batch.schema.names if c != "text"]
         for base, _, data, offsets in text_blocks(batch.column("text")):
-            text, start, stop, _, starts, ends = cut_twice(data, offsets, tables, across)
+            text, start, stop, words, starts, ends = cut_twice(data, offsets, tables, across)
+            number = np.arange(len(text)) - np.searchsorted(text, text)
+            long = stop - start >= max(least, n)
+            if not long.any():
+                continue
+            text, start, stop, number = text[long], start[long], stop[long], number[long]
             points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-            first = np.searchsorted(text, np.arange(len(offsets)))
             rows = np.searchsorted(starts, offsets)
-            for i in range(len(offsets) - 1):
-                for number in sorted(asked[base + i]):
-                    p = first[i] + number
-                    if p >= first[i + 1]:
-                        continue
-                    low, high = starts[start[p]], ends[stop[p] - 1]
-                    row_of.append(base + i)
-                    places = points[low] - points[offsets[i]], points[high] - points[offsets[i]]
-                    found = (number, *places, stop[p] - start[p], start[p] - rows[i], data[low:high].tobytes().decode())
-                    for column, value in zip(out, found, strict=True):
-                        column.append(value)
-        names = [c for c in batch.schema.names if c not in ("text", "asked")]
-        kept = [batch.column(c).take(pa.array(row_of, pa.int64())) for c in names]
-        kinds = [pa.int32(), *[pa.int64()] * 4, pa.string()]
-        yield pa.RecordBatch.from_arrays(
-            [*kept, *[pa.array(c, k) for c, k in zip(out, kinds, strict=True)]],
-            names=[*names, "paragraph", "start", "end", "n_words", "first", "text"],
-        )
+            low, high = starts[start], ends[stop - 1]
+            edges = np.concatenate([[0], np.cumsum(high - low)])
+            inside = data[np.arange(edges[-1]) + np.repeat(low - edges[:-1], high - low)]
+            written = pa.Array.from_buffers(pa.large_string(), len(low), [None, pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(inside)])
+            places = [points[low] - points[offsets[text]], points[high] - points[offsets[text]], stop - start, start - rows[text]]
+            v = _stretch_hashes(_sums(words, tables), start, stop).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *[batch.column(c).take(pa.array(base + text)) for c in names],
+                    pa.array(number.astype(np.int32)),
+                    *[pa.array(x.astype(np.int64)) for x in places],
+                    pa.array(v),
+                    written.cast(pa.string()),
+                ],
+                names=[*names, "paragraph", "start", "end", "n_words", "first", "v", "text"],
+            )
 
 
 def _sums(words: np.ndarray, tables) -> tuple[np.ndarray, np.ndarray]:
@@ -232,49 +320,76 @@ def _seeded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _placed(batch, row, keys, first, last, text, rows, starts, ends, points, offsets)
 
 
-def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All stretches that begin after or end before an anchor of a text, with the anchor in their key."""
+def _extended(batches: Iterator[pa.RecordBatch], furthest: bool) -> Iterator[pa.RecordBatch]:
+    """All stretches that begin after or end before an anchor of a text, or the longest of each
+    anchor, with the anchor in their key."""
     tables = power_tables()
     for batch in batches:
-        anchors = batch.column("anchors").to_pylist()
+        anchors = batch.column("anchors")
+        lists = np.concatenate([[0], np.cumsum(anchors.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
+        fields = dict(zip(("first", "last", "key", "side"), anchors.flatten().flatten(), strict=True))
         for row, end, data, offsets in text_blocks(batch.column("text")):
+            count = lists[end] - lists[row]
+            if not count:
+                continue
             starts, ends, rows = word_spans(data, offsets)
             words, _ = word_hashes(data, offsets, tables)
             sums = _sums(words, tables)
-            listed = [(i, a["first"], a["last"], a["key"], a["side"]) for i in range(end - row) for a in anchors[row + i]]
-            if not listed:
-                continue
-            text, first, last, key, side = (np.array(x, np.int64) for x in zip(*listed, strict=True))
+            text = np.repeat(np.arange(end - row), np.diff(lists[row : end + 1]))
+            first, last, key, side = (fields[c].slice(lists[row], count).to_numpy() for c in ("first", "last", "key", "side"))
             n = PASSAGE - SEED
-            text, first, last, key, side = (np.repeat(x, n) for x in (text, first, last, key, side))
-            m = np.tile(np.arange(1, n + 1), len(listed))
+            if furthest:
+                m = np.minimum(n, np.where(side > 0, rows[text + 1] - rows[text] - last, first))
+            else:
+                text, first, last, key, side = (np.repeat(x, n) for x in (text, first, last, key, side))
+                m = np.tile(np.arange(1, n + 1), count)
             low = np.where(side > 0, last, first - m) + rows[text]
             high = np.where(side > 0, last + m, first) + rows[text]
-            fits = (low >= rows[text]) & (high <= rows[text + 1])
+            fits = (m > 0) & (low >= rows[text]) & (high <= rows[text + 1])
             text, low, high, key, side = (x[fits] for x in (text, low, high, key, side))
             if not len(low):
                 continue
             keys = mixed(_stretch_hashes(sums, low, high) + mixed(key.view(np.uint64) + side.view(np.uint64)))
             points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-            yield _placed(batch, row, keys, low, high, text, rows, starts, ends, points, offsets)
+            made = _placed(batch, row, keys, low, high, text, rows, starts, ends, points, offsets)
+            yield made.append_column("anchor", pa.array(key)).append_column("side", pa.array(side))
 
 
 def _shared(members: DataFrame, label: str) -> DataFrame:
     """The members whose key another one has too, with the first place of that key."""
-    keys = keep(members.groupBy("key").count().where("count > 1").select("key"), f"{label}-keys")
-    met = members.join(keys.hint("merge"), "key").dropDuplicates(["text_key", "key", "first", "last"])
-    met = keep(met, f"{label}-met")
+    spark = members.sparkSession
+    members, members_at = stored(members, f"{label}-all")
+    keys, keys_at = stored(members.groupBy("key").count().where("count > 1").select("key"), f"{label}-keys")
+    met, met_at = stored(members.join(keys.hint("merge"), "key").dropDuplicates(["text_key", "key", "first", "last"]), f"{label}-met")
+    removed(spark, keys_at)
+    removed(spark, members_at)
+    places, places_at = stored(_places(met).where("n > 1").drop("n"), f"{label}-places")
+    found, _ = stored(met.join(places, "key"), label)
+    removed(spark, met_at)
+    removed(spark, places_at)
+    return found
+
+
+def _places(members: DataFrame) -> DataFrame:
+    """The first place of each key, and how many there are."""
     place = F.min(F.struct("doc_id", "text_key", F.col("first").alias("at"), "last")).alias("copy")
-    places = keep(met.groupBy("key").agg(place, F.count("*").alias("n")).where("n > 1").drop("n"), f"{label}-places")
-    return keep(met.join(places, "key"), label)
+    return members.groupBy("key").agg(place, F.count("*").alias("n"))
+
+
+def _apart(reach: Column | int) -> Column:
+    """Whether a place does not overlap its first copy, with so many words behind the latter."""
+    return (F.col("text_key") != F.col("copy.text_key")) | (F.col("first") >= F.col("copy.last") + reach)
 
 
 def repeated_stretches(docs: DataFrame) -> DataFrame:
     """Stretches of words that stand more than once: doc_id, text_key, key, first, last (in words),
     start, end (in code points), kind, and ``copy``, the first place with these words.
 
-    Any PASSAGE words that stand at two places are covered by stretches at both.
+    Any PASSAGE words that stand at two places are covered by stretches at both. From an anchor
+    whose longest stretch stands elsewhere too, shorter ones are given only if they may have an
+    earlier first copy, or one that they do not overlap.
     """
+    spark = docs.sparkSession
     keyed = _keyed(docs.select("doc_id", "text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, text_key long, key long, first long, last long, start long, end long"
@@ -285,13 +400,46 @@ def repeated_stretches(docs: DataFrame) -> DataFrame:
         own.join(links.select("text_key", end), ["text_key", end], "left_anti").select("key", F.lit(side).cast("long").alias("side"))
         for end, side in (("first", 1), ("last", -1))
     ]
-    opened = keep(sides[0].unionByName(sides[1]).distinct(), "opened")
+    opened, opened_at = stored(sides[0].unionByName(sides[1]).distinct(), "opened")
     anchor = F.struct("first", "last", "key", "side")
-    anchors = own.select("text_key", "key", "first", "last").join(opened, "key").groupBy("text_key").agg(F.collect_list(anchor).alias("anchors"))
-    anchors = keep(anchors, "anchors")
-    texts = keyed.join(anchors.hint("merge"), "text_key").select("doc_id", "text_key", "text", "anchors")
-    more = _shared(texts.mapInArrow(_extended, schema), "extended")
-    return found.withColumn("kind", F.lit(1)).unionByName(more.withColumn("kind", F.lit(2)))
+
+    def with_text(anchors: DataFrame) -> DataFrame:
+        listed = anchors.groupBy("text_key").agg(F.collect_list(anchor).alias("anchors"))
+        texts = keyed.join(listed.hint("merge"), "text_key").dropDuplicates(["text_key"])
+        return texts.select("doc_id", "text_key", "text", "anchors")
+
+    def extended(texts: DataFrame, furthest: bool) -> DataFrame:
+        return texts.mapInArrow(partial(_extended, furthest=furthest), f"{schema}, anchor long, side long")
+
+    # Most anchors agree with another one as far as they are followed at all. Where their words
+    # end there, so do those of all that agree with the first of them: only this one is followed
+    # at the shorter distances, for all of them, and those that overlap their first copy.
+    anchors = own.select("text_key", "key", "first", "last").join(opened, "key")
+    ends, ends_at = stored(extended(with_text(anchors), True), "ends")
+    removed(spark, opened_at)
+    firsts, firsts_at = stored(_places(ends), "ends-first")
+    ends, met_at = stored(ends.join(firsts, "key"), "ends-met")
+    removed(spark, ends_at)
+    removed(spark, firsts_at)
+    seed = [
+        F.when(F.col("side") > 0, F.col("first") - SEED).otherwise(F.col("last")).alias("first"),
+        F.when(F.col("side") > 0, F.col("first")).otherwise(F.col("last") + SEED).alias("last"),
+    ]
+    followed = ends.where(~_apart(SEED)).select("text_key", F.col("anchor").alias("key"), "side", *seed)
+    texts, texts_at = stored(with_text(followed), "followed")
+    levels = extended(texts, False).drop("anchor", "side")
+    places, places_at = stored(_places(levels).where("n > 1").drop("n"), "extended-places")
+    more, _ = stored(levels.join(places, "key"), "extended")
+    removed(spark, texts_at)
+    # Anchors that end with their text may have an earlier copy that goes on.
+    names = [*found.drop("copy").columns, "copy"]
+    earlier = places.withColumnRenamed("copy", "earlier")
+    longest = ends.where("n > 1").join(earlier, "key", "left").withColumn("copy", F.coalesce("earlier", "copy")).select(*names)
+    longest, _ = stored(longest, "longest")
+    for path in (met_at, places_at):
+        removed(spark, path)
+    more = longest.unionByName(more.select(*names))
+    return found.select(*names).withColumn("kind", F.lit(1)).unionByName(more.withColumn("kind", F.lit(2)))
 
 
 def _keyed(docs: DataFrame, name: str = "text_key") -> DataFrame:
@@ -308,19 +456,60 @@ def repeated_paragraphs(docs: DataFrame, percent: int = PERCENT, recall: float =
     With ``across`` the paragraphs that a text has if line ends are spaces are added; a copy may
     then overlap another one of its text.
     """
+    return _grouped(docs, percent, recall, least, across)[0]
+
+
+def _grouped(docs: DataFrame, percent: int, recall: float, least: int, across: bool) -> tuple[DataFrame, list[str]]:
+    """``repeated_paragraphs``, and where the stored tables lie that it reads."""
+    spark = docs.sparkSession
     keyed = _keyed(docs.select("doc_id", "text"))
-    bands = tuned_bands(percent, BAND_ROWS, recall)
-    banded = partial(_banded, n=SHINGLE_WORDS, bands=bands, rows=BAND_ROWS, least=least, across=across)
-    members = keyed.select("text_key", "text").mapInArrow(banded, "bucket long, text_key long, paragraph int")
-    shared = keep(members.groupBy("bucket").count().where("count > 1").select("bucket"), "shared")
-    met = members.join(shared.hint("merge"), "bucket").groupBy("text_key").agg(F.collect_set("paragraph").alias("asked"))
-    met = keep(met, "asked")
+    # One band more than the recall needs: a pair that misses all of them is not looked for again.
+    bands = tuned_bands(percent, BAND_ROWS, recall) + 1
+    names = [f"b{b}" for b in range(bands)]
+    options = {"n": SHINGLE_WORDS, "least": least, "across": across}
+    marked = keyed.select("text").mapInArrow(
+        partial(_marked, bands=bands, rows=BAND_ROWS, **options), ", ".join(f"{c} long" for c in ("v", "marks", *names))
+    )
+    # Copies are one from here on.
+    values = [F.min(c).alias(c) for c in ("marks", *names)]
+    nodes, nodes_at = stored(marked.groupBy("v").agg(F.count("*").alias("n"), *values), "nodes")
+    pairs, pairs_at = [], []
+    for some in (names[: len(names) // 2], names[len(names) // 2 :]):  # some bands at a time, for the disk's sake
+        members = nodes.select(F.explode(F.array(*some)).alias("bucket"), "v", "marks")
+        members = members.repartition("bucket").sortWithinPartitions("bucket")
+        found, path = stored(members.mapInArrow(partial(_meeting, percent=percent), "a long, b long"), "pairs")
+        pairs.append(found)
+        pairs_at.append(path)
+    met = reduce(DataFrame.unionByName, pairs).distinct()
+    met, met_at = stored(met, "pairs")
+    single = F.array_compact(F.array("a", "b"))
+    wanted = nodes.where("n > 1").select("v").unionByName(met.select(F.explode(single).alias("v"))).distinct()
+    wanted, wanted_at = stored(wanted, "wanted")
+    for path in [nodes_at, *pairs_at]:
+        removed(spark, path)
+
     kind = docs.schema["doc_id"].dataType.simpleString()
-    chosen = keyed.join(met.hint("merge"), "text_key").select("doc_id", "text_key", "text", "asked")
-    schema = f"doc_id {kind}, text_key long, paragraph int, start long, end long, n_words long, first long, text string"
+    schema = f"doc_id {kind}, text_key long, paragraph int, start long, end long, n_words long, first long, v long, text string"
     ids = ["doc_id", "text_key", "paragraph", "start", "end", "n_words", "first"]
-    units = keep(chosen.mapInArrow(partial(_chosen, across=across), schema), "paragraphs")
-    return near_duplicates(units, ids, percent, SHINGLE_WORDS, bands=10, band_rows=3)
+    units = keyed.select("doc_id", "text_key", "text").mapInArrow(partial(_written_out, **options), schema)
+    units, units_at = stored(units.join(wanted.hint("merge"), "v"), "paragraphs")
+    removed(spark, wanted_at)
+
+    looked_at = met.select(F.explode(single).alias("v")).distinct()
+    texts, texts_at = stored(units.select("v", "text").join(looked_at, "v").groupBy("v").agg(F.min("text").alias("text")), "texts")
+    links = _with_text(met.where("b is not null"), texts).mapInArrow(_verified(percent, SHINGLE_WORDS), "a long, b long")
+    links = keep(links, "links")
+    crowd = met.where("b is null").select(F.col("a").alias("v"))
+    if not crowd.isEmpty():
+        crowd, _ = stored(texts.join(crowd, "v").select(F.col("v").alias("name"), "text"), "crowd")
+        grouped = keep(near_duplicates(crowd, ["name"], percent, SHINGLE_WORDS, bands=10, band_rows=3), "crowd")
+        heads = grouped.groupBy("group").agg(F.min("name").alias("b"))
+        links = links.unionByName(grouped.join(heads, "group").select(F.col("name").alias("a"), "b").where("a <> b"))
+    labels, labels_at = stored(components(links), "labels")
+    for path in (met_at, texts_at):
+        removed(spark, path)
+    found = units.join(labels, "v", "left").select(*ids, F.coalesce("component", "v").alias("group"))
+    return found, [units_at, labels_at]
 
 
 def repeated_spans(docs: DataFrame, percent: int = PERCENT, least_span: int = LEAST_SPAN) -> DataFrame:
@@ -332,20 +521,23 @@ def repeated_spans(docs: DataFrame, percent: int = PERCENT, least_span: int = LE
     the least doc_id (nulls first), then place; it may be in the same text. A null or empty text
     has no spans.
     """
-    found = repeated_paragraphs(docs, percent, across=True).where("group is not null").dropDuplicates(["text_key", "paragraph"])
-    found = keep(found.drop("n_shingles"), "grouped")
-    first = F.min(F.struct("doc_id", "text_key", F.col("first").alias("at"), (F.col("first") + F.col("n_words")).alias("last"))).alias("copy")
-    firsts = keep(found.groupBy("group").agg(first, F.count("*").alias("n")).where("n > 1"), "firsts")
+    spark = docs.sparkSession
+    with shuffles_dropped(spark):
+        found, read = _grouped(docs, percent, RECALL, LEAST_WORDS, across=True)
+        found = keep(found.dropDuplicates(["text_key", "paragraph"]), "grouped")
+        for path in read:
+            removed(spark, path)
+        first = F.min(F.struct("doc_id", "text_key", F.col("first").alias("at"), (F.col("first") + F.col("n_words")).alias("last"))).alias("copy")
+        firsts = keep(found.groupBy("group").agg(first, F.count("*").alias("n")).where("n > 1"), "firsts")
+        stretches = repeated_stretches(docs)
     copies = found.join(firsts, "group")
     # In the text of the first copy, what overlaps it is no other copy.
     same = (F.col("text_key") == F.col("copy.text_key")) & (F.col("first") < F.col("copy.last"))
     places = ["doc_id", "text_key", "first", "last", "start", "end", F.col("copy.doc_id").alias("kept_doc_id")]
     copies = copies.where(~same).withColumn("last", F.col("first") + F.col("n_words")).select(*places, F.lit(0).alias("kind"))
-    stretches = repeated_stretches(docs)
     # What overlaps its own first copy, seed included, would take that away too.
     seed = F.when(F.col("kind") == 2, SEED).otherwise(0)
-    apart = (F.col("text_key") != F.col("copy.text_key")) | (F.col("first") >= F.col("copy.last") + seed)
-    copies = copies.unionByName(stretches.where(apart).select(*places, "kind"))
+    copies = copies.unionByName(stretches.where(_apart(seed)).select(*places, "kind"))
     before = Window.partitionBy("text_key").orderBy("first", "last", "kind").rowsBetween(Window.unboundedPreceding, -1)
     copies = copies.withColumn("done", F.max("last").over(before))
     # A few words between two repeats do not end a span.
