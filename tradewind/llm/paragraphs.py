@@ -385,9 +385,9 @@ def repeated_stretches(docs: DataFrame) -> DataFrame:
     """Stretches of words that stand more than once: doc_id, text_key, key, first, last (in words),
     start, end (in code points), kind, and ``copy``, the first place with these words.
 
-    Any PASSAGE words that stand at two places are covered by stretches at both. From an anchor
-    whose longest stretch stands elsewhere too, shorter ones are given only if they may have an
-    earlier first copy, or one that they do not overlap.
+    Any PASSAGE words that stand at two places are covered by stretches at the later one. From an
+    anchor whose longest stretch stands elsewhere too, shorter ones (kind 2) are given only if
+    they may have an earlier first copy, and none that is or overlaps its first copy.
     """
     spark = docs.sparkSession
     keyed = _keyed(docs.select("doc_id", "text"))
@@ -429,7 +429,12 @@ def repeated_stretches(docs: DataFrame) -> DataFrame:
     texts, texts_at = stored(with_text(followed), "followed")
     levels = extended(texts, False).drop("anchor", "side")
     places, places_at = stored(_places(levels).where("n > 1").drop("n"), "extended-places")
-    more, _ = stored(levels.join(places, "key"), "extended")
+    sides = []
+    for side in (1, -1):  # one side at a time, for the disk's sake
+        some = texts.withColumn("anchors", F.filter("anchors", lambda x, side=side: x["side"] == side))
+        some = extended(some, False).drop("anchor", "side").join(places, "key").where(_apart(SEED))
+        sides.append(stored(some, "extended")[0])
+    more = sides[0].unionByName(sides[1])
     removed(spark, texts_at)
     # Anchors that end with their text may have an earlier copy that goes on.
     names = [*found.drop("copy").columns, "copy"]
