@@ -431,7 +431,7 @@ def repeated_stretches(docs: DataFrame) -> DataFrame:
     places, places_at = stored(_places(levels).where("n > 1").drop("n"), "extended-places")
     sides = []
     for side in (1, -1):  # one side at a time, for the disk's sake
-        some = texts.withColumn("anchors", F.filter("anchors", lambda x, side=side: x["side"] == side))
+        some = texts.withColumn("anchors", F.expr(f"filter(anchors, x -> x.side = {side})"))
         some = extended(some, False).drop("anchor", "side").join(places, "key").where(_apart(SEED))
         sides.append(stored(some, "extended")[0])
     more = sides[0].unionByName(sides[1])
