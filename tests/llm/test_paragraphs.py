@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from tradewind.llm import paragraphs
+from tradewind.llm import paragraphs, stretches
 from tradewind.llm.queries import queries
 from tradewind.llm.text import power_tables, text_blocks
 from tradewind.session import scratch_root
@@ -239,3 +239,54 @@ def test_copies_that_end_with_their_text_keep_the_first(table):
     found = paragraphs.repeated_spans(table(texts)).collect()
     assert not out[1] and all(out[k] >= set(range(35, 95)) for k in range(2, 6))
     assert {r.kept_doc_id for r in found} == {1}
+
+
+def family(k, copies, words):
+    """Texts that are alike but for two words each, at places of their own."""
+    pick, base, out = random.Random(k), prose(110_000 + k, words, 40_000).split(), []
+    for copy in range(copies):
+        some = list(base)
+        for at in (pick.randrange(words), pick.randrange(words)):
+            some[at] = f"changed{copy}"
+        out.append(" ".join(some))
+    return out
+
+
+def test_stretches_equal_brute_force(spark, table):
+    """All 51 words that stand at an earlier place too are found, and nothing that doesn't."""
+    texts = [t for k in range(6) for t in family(k, 9, 160)] + ["again and " * 60, prose(7, 25, 40_000) + " " + " ".join([prose(8, 37, 40_000)] * 9)]
+    texts = list(enumerate(texts))
+    found, numbers = stretches.repeated_stretches(paragraphs._keyed(table(texts)))
+    covered = {d: set() for d, _ in texts}
+    for r in found.join(numbers, "no").collect():
+        covered[r.doc_id] |= set(range(r.first, r.last))
+        assert texts[r.doc_id][1][r.start : r.end].split() == texts[r.doc_id][1].split()[r.first : r.last]
+    places = {n: {} for n in (stretches.SEED, stretches.PASSAGE)}
+    for n, known in places.items():
+        for d, t in texts:
+            words = t.split()
+            for at in range(len(words) - n + 1):
+                known.setdefault(tuple(words[at : at + n]), []).append((d, at))
+    for (d, at), *rest in places[stretches.PASSAGE].values():
+        assert all(set(range(i, i + stretches.PASSAGE)) <= covered[e] for e, i in rest if e != d or i >= at + stretches.PASSAGE)
+    may = {d: set() for d, _ in texts}
+    for _, *rest in places[stretches.SEED].values():
+        for d, at in rest:
+            may[d] |= set(range(at, at + stretches.SEED))
+    assert all(covered[d] <= may[d] for d, _ in texts) and sum(map(len, covered.values())) > 4000
+
+
+def test_ends_of_near_copies_take_little_room(spark, table, monkeypatch):
+    """What is stored at once for copies that differ in a few words, against their texts."""
+    texts = list(enumerate(t for k in range(30) for t in family(k, 15, 300)))
+    scratch, sizes = Path(scratch_root(spark).removeprefix("file:")), []
+    before = set(scratch.rglob("*.parquet"))
+
+    def removed(spark, path, drop=paragraphs.removed):
+        sizes.append(sum(p.stat().st_size for p in scratch.rglob("*.parquet") if p not in before))
+        drop(spark, path)
+
+    for module in (paragraphs, stretches):
+        monkeypatch.setattr(module, "removed", removed)
+    paragraphs.repeated_spans(table(texts))
+    assert max(sizes) <= 1.5 * sum(len(t) for _, t in texts)

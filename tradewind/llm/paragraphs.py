@@ -9,10 +9,8 @@ stood in one line, and these parts are paragraphs too.
 Paragraphs that share a band of their signature with another one are compared in full and
 grouped by their links; the first paragraph of each group stays.
 
-Passages that are repeated word by word need not hold a whole paragraph. Of each PASSAGE - SEED + 1
-neighbouring windows of SEED words the one with the least hash is a seed, so two copies of any
-PASSAGE words share a seed. From shared seeds the match is extended word by word to its ends;
-line ends and spaces do not matter. The first copy of each stretch of words stays here too.
+Passages that are repeated word by word need not hold a whole paragraph; ``stretches`` finds them.
+The first copy of each stretch of words stays here too.
 
 Neighbouring paragraphs and stretches to be removed make a span, and spans of enough words are
 the result.
@@ -25,13 +23,14 @@ from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewind.llm.columns import all_columns, spare_name
 from tradewind.llm.components import components
 from tradewind.llm.minhash import SHINGLE_WORDS, _permuted, _scattered, _verified, _with_text, near_duplicates
 from tradewind.llm.scratch import removed, shuffles_dropped, stored
+from tradewind.llm.stretches import PASSAGE, SEED, repeated_stretches, stretch_hashes, sums_of  # noqa: F401
 from tradewind.llm.text import mixed, power_tables, text_blocks, word_hashes, word_spans
 from tradewind.session import keep
 
@@ -42,10 +41,6 @@ REACH = 6
 # Paragraphs of fewer words are not looked at, and spans of fewer words are not reported.
 LEAST_WORDS = 8
 LEAST_SPAN = 20
-# Any repeat of PASSAGE words is found by a seed of SEED words, at most PASSAGE - SEED words from
-# either end of the repeat.
-SEED = 20
-PASSAGE = 51
 # Paragraphs meet in pairs in buckets of up to so many different ones; members of larger buckets
 # are compared by ``near_duplicates``, which does not make all pairs.
 BUCKET_ROWS = 128
@@ -175,7 +170,7 @@ def _marked(batches: Iterator[pa.RecordBatch], n: int, bands: int, rows: int, le
                 continue
             start, stop = start[long], stop[long]
             found = band_hashes(words, start, stop, n, bands, rows).view(np.int64)
-            columns = [_stretch_hashes(_sums(words, tables), start, stop), set_marks(words, start, stop, n)]
+            columns = [stretch_hashes(sums_of(words, tables), start, stop), set_marks(words, start, stop, n)]
             columns = [pa.array(c.view(np.int64)) for c in columns] + [pa.array(found[:, b]) for b in range(bands)]
             yield pa.RecordBatch.from_arrays(columns, names=["v", "marks", *[f"b{b}" for b in range(bands)]])
 
@@ -246,7 +241,7 @@ def _written_out(batches: Iterator[pa.RecordBatch], n: int, least: int, across:
             inside = data[np.arange(edges[-1]) + np.repeat(low - edges[:-1], high - low)]
             written = pa.Array.from_buffers(pa.large_string(), len(low), [None, pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(inside)])
             places = [points[low] - points[offsets[text]], points[high] - points[offsets[text]], stop - start, start - rows[text]]
-            v = _stretch_hashes(_sums(words, tables), start, stop).view(np.int64)
+            v = stretch_hashes(sums_of(words, tables), start, stop).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
                     *[batch.column(c).take(pa.array(base + text)) for c in names],
@@ -259,189 +254,6 @@ def _written_out(batches: Iterator[pa.RecordBatch], n: int, least: int, across:
             )
 
 
-def _sums(words: np.ndarray, tables) -> tuple[np.ndarray, np.ndarray]:
-    """What ``_stretch_hashes`` needs to hash any stretch of these words."""
-    up, down = tables if len(words) <= len(tables[0]) else power_tables(len(words))
-    sums = np.zeros(len(words) + 1, np.uint64)
-    np.cumsum(words * up[: len(words)], out=sums[1:])
-    return sums, down
-
-
-def _stretch_hashes(sums: tuple[np.ndarray, np.ndarray], first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    return mixed((sums[0][last] - sums[0][first]) * sums[1][first] + (last - first).astype(np.uint64))
-
-
-def seeds(words: np.ndarray, rows: np.ndarray, sums) -> np.ndarray:
-    """Where the seeds of a block of texts begin; ``rows`` are the first words of the texts."""
-    n = PASSAGE - SEED + 1
-    count = len(words) - PASSAGE + 1
-    if count <= 0:
-        return np.zeros(0, np.int64)
-    at = np.arange(len(words) - SEED + 1)
-    hashes = _stretch_hashes(sums, at, at + SEED)
-    least, where = hashes[n - 1 :].copy(), at[n - 1 :].copy()
-    for k in range(n - 2, -1, -1):
-        found = hashes[k : count + k]
-        where = np.where(found <= least, at[k : count + k], where)
-        np.minimum(least, found, out=least)
-    end = rows[np.searchsorted(rows, at[:count], "right")]
-    return np.unique(where[at[:count] + PASSAGE <= end])
-
-
-def _placed(batch, row, keys, first, last, text, rows, starts, ends, points, offsets) -> pa.RecordBatch:
-    """Stretches of words of a block as rows with their places in their texts."""
-    low, high = points[starts[first]] - points[offsets[text]], points[ends[last - 1]] - points[offsets[text]]
-    ids = [batch.column(c).take(pa.array(row + text)) for c in ("doc_id", "text_key")]
-    places = [first - rows[text], last - rows[text], low, high]
-    return pa.RecordBatch.from_arrays(
-        [*ids, pa.array(keys.view(np.int64)), *[pa.array(x.astype(np.int64)) for x in places]],
-        names=["doc_id", "text_key", "key", "first", "last", "start", "end"],
-    )
-
-
-def _seeded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The seeds of each text, and the stretches from each seed to the end of the next one."""
-    tables = power_tables()
-    for batch in batches:
-        for row, _, data, offsets in text_blocks(batch.column("text")):
-            starts, ends, rows = word_spans(data, offsets)
-            words, _ = word_hashes(data, offsets, tables)
-            sums = _sums(words, tables)
-            at = seeds(words, rows, sums)
-            if not len(at):
-                continue
-            text = np.searchsorted(rows, at, "right") - 1
-            next_too = np.flatnonzero(text[1:] == text[:-1])
-            first = np.concatenate([at, at[next_too]])
-            last = np.concatenate([at, at[next_too + 1]]) + SEED
-            text = np.concatenate([text, text[next_too]])
-            points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-            keys = _stretch_hashes(sums, first, last)
-            yield _placed(batch, row, keys, first, last, text, rows, starts, ends, points, offsets)
-
-
-def _extended(batches: Iterator[pa.RecordBatch], furthest: bool) -> Iterator[pa.RecordBatch]:
-    """All stretches that begin after or end before an anchor of a text, or the longest of each
-    anchor, with the anchor in their key."""
-    tables = power_tables()
-    for batch in batches:
-        anchors = batch.column("anchors")
-        lists = np.concatenate([[0], np.cumsum(anchors.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
-        fields = dict(zip(("first", "last", "key", "side"), anchors.flatten().flatten(), strict=True))
-        for row, end, data, offsets in text_blocks(batch.column("text")):
-            count = lists[end] - lists[row]
-            if not count:
-                continue
-            starts, ends, rows = word_spans(data, offsets)
-            words, _ = word_hashes(data, offsets, tables)
-            sums = _sums(words, tables)
-            text = np.repeat(np.arange(end - row), np.diff(lists[row : end + 1]))
-            first, last, key, side = (fields[c].slice(lists[row], count).to_numpy() for c in ("first", "last", "key", "side"))
-            n = PASSAGE - SEED
-            if furthest:
-                m = np.minimum(n, np.where(side > 0, rows[text + 1] - rows[text] - last, first))
-            else:
-                text, first, last, key, side = (np.repeat(x, n) for x in (text, first, last, key, side))
-                m = np.tile(np.arange(1, n + 1), count)
-            low = np.where(side > 0, last, first - m) + rows[text]
-            high = np.where(side > 0, last + m, first) + rows[text]
-            fits = (m > 0) & (low >= rows[text]) & (high <= rows[text + 1])
-            text, low, high, key, side = (x[fits] for x in (text, low, high, key, side))
-            if not len(low):
-                continue
-            keys = mixed(_stretch_hashes(sums, low, high) + mixed(key.view(np.uint64) + side.view(np.uint64)))
-            points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-            made = _placed(batch, row, keys, low, high, text, rows, starts, ends, points, offsets)
-            yield made.append_column("anchor", pa.array(key)).append_column("side", pa.array(side))
-
-
-def _shared(members: DataFrame, label: str) -> DataFrame:
-    """The members whose key another one has too, with the first place of that key."""
-    spark = members.sparkSession
-    members, members_at = stored(members, f"{label}-all")
-    keys, keys_at = stored(members.groupBy("key").count().where("count > 1").select("key"), f"{label}-keys")
-    met, met_at = stored(members.join(keys.hint("merge"), "key").dropDuplicates(["text_key", "key", "first", "last"]), f"{label}-met")
-    removed(spark, keys_at)
-    removed(spark, members_at)
-    places, places_at = stored(_places(met).where("n > 1").drop("n"), f"{label}-places")
-    found, _ = stored(met.join(places, "key"), label)
-    removed(spark, met_at)
-    removed(spark, places_at)
-    return found
-
-
-def _places(members: DataFrame) -> DataFrame:
-    """The first place of each key, and how many there are."""
-    place = F.min(F.struct("doc_id", "text_key", F.col("first").alias("at"), "last")).alias("copy")
-    return members.groupBy("key").agg(place, F.count("*").alias("n"))
-
-
-def _apart(reach: Column | int) -> Column:
-    """Whether a place does not overlap its first copy, with so many words behind the latter."""
-    return (F.col("text_key") != F.col("copy.text_key")) | (F.col("first") >= F.col("copy.last") + reach)
-
-
-def repeated_stretches(docs: DataFrame) -> DataFrame:
-    """Stretches of words that stand more than once: doc_id, text_key, key, first, last (in words),
-    start, end (in code points), kind, and ``copy``, the first place with these words.
-
-    Any PASSAGE words that stand at two places are covered by stretches at both. From an anchor
-    whose longest stretch stands elsewhere too, shorter ones are given only if they may have an
-    earlier first copy, or one that they do not overlap.
-    """
-    spark = docs.sparkSession
-    keyed = _keyed(docs.select("doc_id", "text"))
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, text_key long, key long, first long, last long, start long, end long"
-    found = _shared(keyed.select("doc_id", "text_key", "text").mapInArrow(_seeded, schema), "stretches")
-    own, links = found.where(F.col("last") - F.col("first") == SEED), found.where(F.col("last") - F.col("first") > SEED)
-    # A match may end anywhere behind or before a seed if the way to the next one is not shared.
-    sides = [
-        own.join(links.select("text_key", end), ["text_key", end], "left_anti").select("key", F.lit(side).cast("long").alias("side"))
-        for end, side in (("first", 1), ("last", -1))
-    ]
-    opened, opened_at = stored(sides[0].unionByName(sides[1]).distinct(), "opened")
-    anchor = F.struct("first", "last", "key", "side")
-
-    def with_text(anchors: DataFrame) -> DataFrame:
-        listed = anchors.groupBy("text_key").agg(F.collect_list(anchor).alias("anchors"))
-        texts = keyed.join(listed.hint("merge"), "text_key").dropDuplicates(["text_key"])
-        return texts.select("doc_id", "text_key", "text", "anchors")
-
-    def extended(texts: DataFrame, furthest: bool) -> DataFrame:
-        return texts.mapInArrow(partial(_extended, furthest=furthest), f"{schema}, anchor long, side long")
-
-    # Most anchors agree with another one as far as they are followed at all. Where their words
-    # end there, so do those of all that agree with the first of them: only this one is followed
-    # at the shorter distances, for all of them, and those that overlap their first copy.
-    anchors = own.select("text_key", "key", "first", "last").join(opened, "key")
-    ends, ends_at = stored(extended(with_text(anchors), True), "ends")
-    removed(spark, opened_at)
-    firsts, firsts_at = stored(_places(ends), "ends-first")
-    ends, met_at = stored(ends.join(firsts, "key"), "ends-met")
-    removed(spark, ends_at)
-    removed(spark, firsts_at)
-    seed = [
-        F.when(F.col("side") > 0, F.col("first") - SEED).otherwise(F.col("last")).alias("first"),
-        F.when(F.col("side") > 0, F.col("first")).otherwise(F.col("last") + SEED).alias("last"),
-    ]
-    followed = ends.where(~_apart(SEED)).select("text_key", F.col("anchor").alias("key"), "side", *seed)
-    texts, texts_at = stored(with_text(followed), "followed")
-    levels = extended(texts, False).drop("anchor", "side")
-    places, places_at = stored(_places(levels).where("n > 1").drop("n"), "extended-places")
-    more, _ = stored(levels.join(places, "key"), "extended")
-    removed(spark, texts_at)
-    # Anchors that end with their text may have an earlier copy that goes on.
-    names = [*found.drop("copy").columns, "copy"]
-    earlier = places.withColumnRenamed("copy", "earlier")
-    longest = ends.where("n > 1").join(earlier, "key", "left").withColumn("copy", F.coalesce("earlier", "copy")).select(*names)
-    longest, _ = stored(longest, "longest")
-    for path in (met_at, places_at):
-        removed(spark, path)
-    more = longest.unionByName(more.select(*names))
-    return found.select(*names).withColumn("kind", F.lit(1)).unionByName(more.withColumn("kind", F.lit(2)))
-
-
 def _keyed(docs: DataFrame, name: str = "text_key") -> DataFrame:
     return docs.withColumn(name, F.xxhash64("doc_id", F.lit(3), "text"))
 
@@ -529,23 +341,21 @@ def repeated_spans(docs: DataFrame, percent: int = PERCENT, least_span: int = LE
             removed(spark, path)
         first = F.min(F.struct("doc_id", "text_key", F.col("first").alias("at"), (F.col("first") + F.col("n_words")).alias("last"))).alias("copy")
         firsts = keep(found.groupBy("group").agg(first, F.count("*").alias("n")).where("n > 1"), "firsts")
-        stretches = repeated_stretches(docs)
-    copies = found.join(firsts, "group")
-    # In the text of the first copy, what overlaps it is no other copy.
-    same = (F.col("text_key") == F.col("copy.text_key")) & (F.col("first") < F.col("copy.last"))
-    places = ["doc_id", "text_key", "first", "last", "start", "end", F.col("copy.doc_id").alias("kept_doc_id")]
-    copies = copies.where(~same).withColumn("last", F.col("first") + F.col("n_words")).select(*places, F.lit(0).alias("kind"))
-    # What overlaps its own first copy, seed included, would take that away too.
-    seed = F.when(F.col("kind") == 2, SEED).otherwise(0)
-    copies = copies.unionByName(stretches.where(_apart(seed)).select(*places, "kind"))
-    before = Window.partitionBy("text_key").orderBy("first", "last", "kind").rowsBetween(Window.unboundedPreceding, -1)
-    copies = copies.withColumn("done", F.max("last").over(before))
+        stretches, numbers = repeated_stretches(_keyed(docs.select("doc_id", "text")))
+        # In the text of the first copy, what overlaps it is no other copy.
+        same = (F.col("text_key") == F.col("copy.text_key")) & (F.col("first") < F.col("copy.last"))
+        copies = found.join(firsts, "group").where(~same).withColumn("last", F.col("first") + F.col("n_words"))
+        names = ["doc_id", "text_key", "first", "last", "start", "end", "size", "from", "kind", "kept_doc_id"]
+        copies = copies.select("*", F.col("n_words").alias("size"), F.col("first").alias("from"), F.lit(0).alias("kind"), F.col("copy.doc_id").alias("kept_doc_id"))
+        kept = numbers.select(F.col("no").alias("kept"), F.col("doc_id").alias("kept_doc_id"))
+        copies = keep(copies.select(*names).unionByName(stretches.join(numbers, "no").join(kept, "kept").select(*names)), "copies")
+    order = Window.partitionBy("text_key").orderBy("first", "last", "kind")
+    copies = copies.withColumn("done", F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1)))
     # A few words between two repeats do not end a span.
     new = F.coalesce(F.col("first") - F.col("done") >= LEAST_WORDS, F.lit(True)).cast("int")
-    order = Window.partitionBy("text_key").orderBy("first", "last", "kind").rowsBetween(Window.unboundedPreceding, 0)
-    copies = copies.withColumn("span", F.sum(new).over(order))
+    copies = copies.withColumn("span", F.sum(new).over(order.rowsBetween(Window.unboundedPreceding, 0)))
     added = F.greatest(F.lit(0).cast("long"), F.col("last") - F.greatest("first", F.coalesce("done", F.lit(0).cast("long"))))
-    size = F.struct((F.col("last") - F.col("first")).alias("n"), F.negative("first").alias("f"), "kind")
+    size = F.struct("size", F.negative("from").alias("f"), "kind")
     out = copies.groupBy("doc_id", "text_key", "span").agg(
         F.min("start").alias("start"),
         F.max("end").alias("end"),
