@@ -19,20 +19,21 @@ the result.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial, reduce
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tradewind.llm import crowds, packed, sets
 from tradewind.llm.columns import all_columns, spare_name
 from tradewind.llm.components import components
-from tradewind.llm.minhash import SHINGLE_WORDS, _permuted, _scattered, _verified, _with_text, near_duplicates
+from tradewind.llm.minhash import SHINGLE_WORDS, _permuted, _scattered
 from tradewind.llm.scratch import removed, shuffles_dropped, stored
-from tradewind.llm.stretches import PASSAGE, SEED, repeated_stretches, stretch_hashes, sums_of  # noqa: F401
+from tradewind.llm.sets import BUCKET_ROWS, CROWD, MET_ROWS, MOST, PAIRS, WANTED, _meeting, may_be_linked, met_rows, packed_rows, pairs_and_crowd, set_bits  # noqa: F401
+from tradewind.llm.stretches import PASSAGE, PIECES, SEED, SEGMENTS, code_points, numbered, pieces, stretch_hashes, stretches_of, sums_of  # noqa: F401
 from tradewind.llm.text import mixed, power_tables, text_blocks, word_hashes, word_spans
-from tradewind.session import keep
 
 PERCENT = 80
 RECALL = 0.98
@@ -41,12 +42,6 @@ REACH = 6
 # Paragraphs of fewer words are not looked at, and spans of fewer words are not reported.
 LEAST_WORDS = 8
 LEAST_SPAN = 20
-# Paragraphs meet in pairs in buckets of up to so many different ones; members of larger buckets
-# are compared by ``near_duplicates``, which does not make all pairs.
-BUCKET_ROWS = 128
-# Bits for the members of a shingle set, and the greatest size told apart beside them.
-MARKS = 48
-MOST = 65_535
 
 
 def tuned_bands(percent: int = PERCENT, rows: int = BAND_ROWS, recall: float = RECALL) -> int:
@@ -60,32 +55,46 @@ def tuned_bands(percent: int = PERCENT, rows: int = BAND_ROWS, recall: float = R
 def cut(data: np.ndarray, offsets: np.ndarray, tables, lines: bool = True) -> tuple[np.ndarray, ...]:
     """The paragraphs of a block of texts, as arrays: text, first word, word after the last;
     and the words' hashes, byte starts and byte ends. Without ``lines`` a text is one line."""
-    starts, ends, rows = word_spans(data, offsets)
-    words, _ = word_hashes(data, offsets, tables)
-    return *_cut_words(data, words, starts, ends, rows, lines), words, starts, ends
-
-
-def _cut_words(data: np.ndarray, words: np.ndarray, starts: np.ndarray, ends: np.ndarray, rows: np.ndarray, lines: bool) -> tuple[np.ndarray, ...]:
-    if len(words) == 0:
+    starts, ends, rows = spans = word_spans(data, offsets)
+    words, _ = word_hashes(data, offsets, tables, spans)
+    return *_cut_words(_least(words), _line_ends(data, starts, rows, lines), rows), words, starts, ends
+
+
+def _least(words: np.ndarray) -> np.ndarray:
+    """Whether a word's hash is less than those of the REACH words before it and at most that of
+    those behind; false for words that have fewer."""
+    out = np.zeros(len(words), bool)
+    if len(words) > 2 * REACH:
+        least, width = words, 1
+        while width < REACH:
+            step = min(width, REACH - width)
+            least = np.minimum(least[:-step], least[step:])
+            width += step
+        inside = words[REACH:-REACH]
+        out[REACH:-REACH] = (inside < least[: len(inside)]) & (inside <= least[REACH + 1 :])
+    return out
+
+
+def _line_ends(data: np.ndarray, starts: np.ndarray, rows: np.ndarray, lines: bool) -> np.ndarray:
+    """Whether a line, or at least the text, ends with a word."""
+    out = np.zeros(len(starts), bool)
+    if lines and len(starts):
+        behind = np.searchsorted(starts, np.flatnonzero(data == 10))
+        out[behind[behind > 0] - 1] = True
+    out[rows[1:][np.diff(rows) > 0] - 1] = True
+    return out
+
+
+def _cut_words(least: np.ndarray, ends_line: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, ...]:
+    if len(least) == 0:
         none = np.zeros(0, np.int64)
         return none, none, none
-    ends_line = np.zeros(len(words), bool)
-    if lines:
-        breaks = np.concatenate([[0], np.cumsum(data == 10)])
-        ends_line[:-1] = breaks[starts[1:]] > breaks[ends[:-1]]
-    ends_line[rows[1:][np.diff(rows) > 0] - 1] = True
-    line = np.concatenate([[0], np.cumsum(ends_line[:-1])])
-    last = np.ones(len(words), bool)
-    for k in range(1, min(REACH, len(words) - 1) + 1):
-        beside = line[k:] == line[:-k]
-        last[k:] &= ~beside | (words[k:] < words[:-k])
-        last[:-k] &= ~beside | (words[:-k] <= words[k:])
     # Near the ends of a line a cut would not see enough words on one side.
-    for k in range(min(REACH, len(words))):
-        last[: len(last) - k] &= ~ends_line[k:]
-        last[k + 1 :] &= ~ends_line[: len(last) - k - 1]
-        last[: min(k + 1, len(last))] = False
-    last |= ends_line
+    at = np.flatnonzero(least)
+    lines = np.concatenate([[0], np.cumsum(ends_line)])
+    at = at[lines[at + REACH] == lines[at - REACH]]
+    last = ends_line.copy()
+    last[at] = True
     stop = np.flatnonzero(last) + 1
     start = np.concatenate([[0], stop[:-1]])
     text = np.searchsorted(rows, start, "right") - 1
@@ -94,13 +103,15 @@ def _cut_words(data: np.ndarray, words: np.ndarray, starts: np.ndarray, ends: np
 
 def cut_twice(data: np.ndarray, offsets: np.ndarray, tables, across: bool) -> tuple[np.ndarray, ...]:
     """``cut``; with ``across``, each text's further paragraphs over line ends come after its others."""
-    starts, ends, rows = word_spans(data, offsets)
-    words, _ = word_hashes(data, offsets, tables)
-    text, start, stop = _cut_words(data, words, starts, ends, rows, True)
+    starts, ends, rows = spans = word_spans(data, offsets)
+    words, _ = word_hashes(data, offsets, tables, spans)
+    least = _least(words)
+    text, start, stop = _cut_words(least, _line_ends(data, starts, rows, True), rows)
     if across and len(words):
-        other, low, high = _cut_words(data, words, starts, ends, rows, False)
-        n = len(words) + 1
-        new = ~np.isin(low * n + high, start * n + stop)
+        other, low, high = _cut_words(least, _line_ends(data, starts, rows, False), rows)
+        # Both are in order of their last words.
+        at = np.minimum(np.searchsorted(stop, high), len(stop) - 1)
+        new = (stop[at] != high) | (start[at] != low)
         text, start, stop = (np.concatenate([a, b[new]]) for a, b in ((text, other), (start, low), (stop, high)))
         order = np.argsort(text, kind="stable")
         text, start, stop = text[order], start[order], stop[order]
@@ -115,19 +126,27 @@ def _window_hashes(words: np.ndarray, n: int) -> np.ndarray:
     return mixed(out)
 
 
-def _shingles_of(words: np.ndarray, start: np.ndarray, stop: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The 32-bit numbers of the shingles of each paragraph of at least n words, and where they begin."""
+def _windows_of(words: np.ndarray, start: np.ndarray, stop: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles of each paragraph of at least n words, and where they begin."""
     windows = _window_hashes(words, n)
     sizes = stop - start - n + 1
     edges = np.concatenate([[0], np.cumsum(sizes)])
-    at = np.arange(edges[-1]) - np.repeat(edges[:-1] - start, sizes)
-    return _scattered((windows[at] >> np.uint64(32)).astype(np.uint32)), edges
+    return windows[np.arange(edges[-1]) - np.repeat(edges[:-1] - start, sizes)], edges
+
+
+def _shingles_of(words: np.ndarray, start: np.ndarray, stop: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The 32-bit numbers of the shingles of each paragraph of at least n words, and where they begin."""
+    found, edges = _windows_of(words, start, stop, n)
+    return _scattered((found >> np.uint64(32)).astype(np.uint32)), edges
 
 
 def band_hashes(words: np.ndarray, start: np.ndarray, stop: np.ndarray, n: int, bands: int, rows: int) -> np.ndarray:
     """A row of band hashes for each paragraph of at least n words."""
-    once, edges = _shingles_of(words, start, stop, n)
-    out = np.zeros((len(start), bands), np.uint64)
+    return _bands_of(*_shingles_of(words, start, stop, n), bands, rows)
+
+
+def _bands_of(once: np.ndarray, edges: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    out = np.zeros((len(edges) - 1, bands), np.uint64)
     for b in range(bands):
         for r in range(rows):
             shifted = _permuted(once + np.uint32(1 + b * rows + r))
@@ -138,120 +157,136 @@ def band_hashes(words: np.ndarray, start: np.ndarray, stop: np.ndarray, n: int,
 
 def set_marks(words: np.ndarray, start: np.ndarray, stop: np.ndarray, n: int) -> np.ndarray:
     """The size of each paragraph's shingle set, up to MOST, and above it a bit for each of its members."""
-    once, edges = _shingles_of(words, start, stop, n)
-    owner = np.repeat(np.arange(len(start), dtype=np.uint64), np.diff(edges))
+    return _marks_of(*_shingles_of(words, start, stop, n))
+
+
+def _marks_of(once: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    owner = np.repeat(np.arange(len(edges) - 1, dtype=np.uint64), np.diff(edges))
     found = np.sort(owner << np.uint64(32) | once)
     owner = (found >> np.uint64(32))[np.concatenate([[True], found[1:] != found[:-1]])]
-    sizes = np.bincount(owner.astype(np.int64), minlength=len(start)).astype(np.uint64)
-    bits = np.bitwise_or.reduceat(np.uint64(1) << (once % np.uint32(MARKS)).astype(np.uint64), edges[:-1])
-    return bits << np.uint64(16) | np.minimum(sizes, MOST)
+    sizes = np.bincount(owner.astype(np.int64), minlength=len(edges) - 1).astype(np.uint64)
+    return set_bits(once, edges) | np.minimum(sizes, MOST)
 
 
-def may_be_linked(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
-    """False for two ``set_marks`` whose sets can't share ``percent`` of their union.
+# A paragraph in a bucket: what tells apart its words, its marks, and 1 if it stands at several
+# places of the chunk, 2 in the first band.
+MEMBERS = {"bucket": np.uint32, "v": np.int64, "marks": np.uint64, "flags": np.uint8}
+MEMBER_ROWS = "chunk long, part int, " + ", ".join(f"{c} binary" for c in MEMBERS)
+# Where a paragraph stands: its text and first word, words, code points, number in its text.
+PLACES = {"v": np.int64, "place": np.int64, "width": np.int32, "start": np.int32, "end": np.int32, "paragraph": np.int32}
+PLACE_ROWS = ", ".join(f"{c} binary" for c in PLACES)
 
-    Linked sets of x and y members have at least percent * (x + y) / (100 + percent) in common,
-    and of the bits in which the marks differ each is due to another member that is not.
-    """
-    x, y = ((z & np.uint64(MOST)).astype(np.int64) for z in (a, b))
-    common = -(-percent * (x + y) // (100 + percent))
-    differ = np.bitwise_count((a ^ b) >> np.uint64(16)).astype(np.int64)
-    return (np.maximum(x, y) == MOST) | (differ <= x + y - 2 * common)
 
-
-def _marked(batches: Iterator[pa.RecordBatch], n: int, bands: int, rows: int, least: int, across: bool) -> Iterator[pa.RecordBatch]:
-    """Each paragraph's words as a number, marks and buckets."""
+def _bucketed(batches: Iterator[pa.RecordBatch], parts: int, n: int, bands: int, rows: int, least: int, across: bool) -> Iterator[pa.RecordBatch]:
+    """The different paragraphs of a chunk, in each of their buckets."""
     tables = power_tables()
-    for batch in batches:
-        for _, _, data, offsets in text_blocks(batch.column("text")):
+
+    def made(texts: pa.Array) -> Iterator[list[np.ndarray]]:
+        for _, _, data, offsets in text_blocks(texts, packed.BLOCK_BYTES):
             _, start, stop, words, _, _ = cut_twice(data, offsets, tables, across)
             long = stop - start >= max(least, n)
-            if not long.any():
+            if long.any():
+                start, stop = start[long], stop[long]
+                once, edges = _shingles_of(words, start, stop, n)
+                v = stretch_hashes(sums_of(words, tables), start, stop).view(np.int64)
+                yield [v, _marks_of(once, edges), _bands_of(once, edges, bands, rows)]
+
+    for batch in batches:
+        for chunk, _, texts in packed.texts_of(batch):
+            held = list(made(texts))
+            if not held:
                 continue
-            start, stop = start[long], stop[long]
-            found = band_hashes(words, start, stop, n, bands, rows).view(np.int64)
-            columns = [stretch_hashes(sums_of(words, tables), start, stop), set_marks(words, start, stop, n)]
-            columns = [pa.array(c.view(np.int64)) for c in columns] + [pa.array(found[:, b]) for b in range(bands)]
-            yield pa.RecordBatch.from_arrays(columns, names=["v", "marks", *[f"b{b}" for b in range(bands)]])
-
-
-def _meeting(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of a bucket that may be linked, from rows sorted by bucket; of a bucket of more than
-    BUCKET_ROWS, each member alone."""
-
-    def made(a: np.ndarray, b: np.ndarray | None) -> pa.RecordBatch:
-        other = pa.array(b) if b is not None else pa.nulls(len(a), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array(a), other], names=["a", "b"])
-
-    held = [np.zeros(0, np.int64)] * 3
-    large = None  # the bucket whose first rows have gone out as those of a large one
-    for batch in _and_none(batches):
-        if batch is not None:
-            held = [np.concatenate([h, batch.column(c).to_numpy()]) for h, c in zip(held, ("bucket", "v", "marks"), strict=True)]
-        bucket, v, marks = held
-        if not len(bucket):
-            continue
-        edges = np.concatenate([[0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, [len(bucket)]])
-        sizes = np.diff(edges)
-        big = (sizes > BUCKET_ROWS) | (bucket[edges[:-1]] == large if large is not None else False)
-        # The last bucket may go on in the next batch.
-        if batch is not None and not big[-1]:
-            held = [h[edges[-2] :] for h in held]
-            bucket, v, marks, sizes, big = bucket[: edges[-2]], v[: edges[-2]], marks[: edges[-2]], sizes[:-1], big[:-1]
-            large = None
-        else:
-            large = bucket[-1] if big[-1] else None
-            held = [h[:0] for h in held]
-        alone = np.repeat(big, sizes)
-        if alone.any():
-            yield made(v[alone], None)
-        bucket, v, marks = bucket[~alone], v[~alone], marks[~alone].view(np.uint64)
-        at = np.arange(len(bucket))
-        for d in range(1, BUCKET_ROWS):
-            at = at[: np.searchsorted(at, len(bucket) - d)]
-            at = at[bucket[at] == bucket[at + d]]
-            if not len(at):
-                break
-            near = at[may_be_linked(marks[at], marks[at + d], percent)]
-            if len(near):
-                yield made(v[near], v[near + d])
-
-
-def _and_none(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
-    yield from batches
-    yield None
-
-
-def _written_out(batches: Iterator[pa.RecordBatch], n: int, least: int, across: bool) -> Iterator[pa.RecordBatch]:
-    """The paragraphs of each text with their places in code points and their words."""
+            v, marks, found = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.argsort(v)
+            edges = packed.runs(v[order])
+            at = order[edges[:-1]]
+            flags = np.repeat((np.diff(edges) > 1).astype(np.uint8)[:, None], bands, axis=1)
+            flags[:, 0] |= 2
+            found = found[at].ravel()
+            low = (found & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+            members = (low, np.repeat(v[at], bands), np.repeat(marks[at], bands), flags.ravel())
+            yield packed.dealt(chunk, packed.parts_of(found, parts), dict(zip(MEMBERS, members, strict=True)))
+
+
+def _met(part: pa.Table, percent: int, parts: int) -> pa.Table:
+    """Of the buckets of a part: pairs that may be linked, members of large buckets, and for each chunk
+    its paragraphs that are looked at, or stand elsewhere too."""
+    bucket, v, marks, flags = (packed.column(part, c, k) for c, k in MEMBERS.items())
+    chunk = np.repeat(part.column("chunk").to_numpy(), packed.sizes_of(part, "v", np.int64))
+    key = np.sort(bucket.astype(np.uint64) << np.uint64(32) | np.arange(len(bucket), dtype=np.uint64))
+    at = (key & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    bucket = (key >> np.uint64(32)).astype(np.int64)
+    shared = np.diff(packed.runs(bucket)) > 1
+    shared = np.repeat(shared, np.diff(packed.runs(bucket)))
+    alone = at[~shared]
+    alone = alone[flags[alone] == 3]
+    at, bucket = at[shared], bucket[shared]
+    order = np.lexsort((chunk[at], v[at], bucket))
+    at, bucket = at[order], bucket[order]
+    new = packed.first_of(bucket, v[at])
+    first = np.flatnonzero(new)
+    count = np.diff(np.append(first, len(at)))
+    many = (count > 1) | (np.maximum.reduceat(flags[at] & 1, first) > 0 if len(first) else False)
+    copies = many & (flags[at[first]] & 2 > 0)
+    sizes = np.diff(packed.runs(bucket[first]))
+    several = np.repeat(sizes > 1, sizes)
+    columns = [bucket[first][several], v[at[first]][several], marks[at[first]][several]]
+    a, b, crowd = pairs_and_crowd(*columns, percent)
+    looked = packed.looked_up(np.unique(np.concatenate([a, b, crowd])), v[at[first]])[1]
+    group = np.cumsum(new) - 1
+    wanted = (looked | copies)[group] if len(group) else np.zeros(0, bool)
+    # The first chunk of a paragraph gives its words.
+    gives = ((looked[group] & new)[wanted] if len(group) else wanted).astype(np.uint8)
+    asked, whose, gives = (np.concatenate(x) for x in ((v[at[wanted]], v[alone]), (chunk[at[wanted]], chunk[alone]), (gives, np.zeros(len(alone), np.uint8))))
+    order = np.lexsort((gives, asked, whose))[::-1]
+    order = order[packed.first_of(whose[order], asked[order])]
+    asked, whose, gives = asked[order], whose[order], gives[order]
+    return pa.concat_tables([*met_rows(a, b, crowd, parts), packed_rows(WANTED, whose, asked, gives)])
+
+
+def _written_out(chunks: pa.Table, asked: pa.Table, parts: int, n: int, least: int, across: bool) -> pa.Table:
+    """Where the paragraphs that a chunk is asked for stand, and the sets of shingles of some, by their part."""
     tables = power_tables()
-    for batch in batches:
-        names = [c for c in batch.schema.names if c != "text"]
-        for base, _, data, offsets in text_blocks(batch.column("text")):
+    kinds = pa.schema([("chunk", pa.int64()), *((c, pa.binary()) for c in PLACES), ("part", pa.int32()), *((c, pa.binary()) for c in sets.SETS if c != "v")])
+    if not asked.num_rows:
+        return kinds.empty_table()
+    wanted, gives = packed.column(asked, "a", np.int64), packed.column(asked, "b", np.uint8)
+    order = np.lexsort((gives, wanted))[::-1]
+    order = order[packed.first_of(wanted[order])][::-1]
+    wanted, gives = wanted[order], gives[order] > 0
+    places, written = [], []
+    for chunk, nos, texts in packed.texts_of(chunks):
+        for row, _, data, offsets in text_blocks(texts, packed.BLOCK_BYTES):
             text, start, stop, words, starts, ends = cut_twice(data, offsets, tables, across)
             number = np.arange(len(text)) - np.searchsorted(text, text)
             long = stop - start >= max(least, n)
-            if not long.any():
-                continue
             text, start, stop, number = text[long], start[long], stop[long], number[long]
-            points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-            rows = np.searchsorted(starts, offsets)
-            low, high = starts[start], ends[stop - 1]
-            edges = np.concatenate([[0], np.cumsum(high - low)])
-            inside = data[np.arange(edges[-1]) + np.repeat(low - edges[:-1], high - low)]
-            written = pa.Array.from_buffers(pa.large_string(), len(low), [None, pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(inside)])
-            places = [points[low] - points[offsets[text]], points[high] - points[offsets[text]], stop - start, start - rows[text]]
             v = stretch_hashes(sums_of(words, tables), start, stop).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *[batch.column(c).take(pa.array(base + text)) for c in names],
-                    pa.array(number.astype(np.int32)),
-                    *[pa.array(x.astype(np.int64)) for x in places],
-                    pa.array(v),
-                    written.cast(pa.string()),
-                ],
-                names=[*names, "paragraph", "start", "end", "n_words", "first", "v", "text"],
-            )
+            of, known = packed.looked_up(wanted, v)
+            text, start, stop, number, v, of = text[known], start[known], stop[known], number[known], v[known], of[known]
+            if not len(v):
+                continue
+            points = code_points(data)
+            rows = np.searchsorted(starts, offsets)
+            place = (nos[row:][text] << 32) + start - rows[text]
+            low, high = points(starts[start]) - points(offsets)[text], points(ends[stop - 1]) - points(offsets)[text]
+            places.append([v, place, stop - start, low, high, number])
+            new = np.unique(of, return_index=True)[1]
+            new = new[gives[of[new]]]
+            gives[of[new]] = False
+            if len(new):
+                written.append([v[new], *sets.shingle_sets(*_windows_of(words, start[new], stop[new], n))])
+        out = []
+        if places:
+            found = [np.concatenate(x) for x in zip(*places, strict=True)]
+            order = np.argsort(found[1])
+            columns = packed.cells([a[order].astype(k, copy=False) for a, k in zip(found, PLACES.values(), strict=True)], np.array([0, len(order)]))
+            out.append(pa.Table.from_arrays([pa.array([chunk]), *columns], names=["chunk", *PLACES]))
+        if written:
+            v, sizes, members = (np.concatenate(x) for x in zip(*written, strict=True))
+            out.append(pa.Table.from_batches([sets.dealt(packed.parts_of(v, parts), v, sizes, members)]))
+    # Rows of places have no part, and rows of sets no chunk.
+    return pa.concat_tables([kinds.empty_table(), *out], promote_options="default").select(kinds.names)
 
 
 def _keyed(docs: DataFrame, name: str = "text_key") -> DataFrame:
@@ -268,60 +303,160 @@ def repeated_paragraphs(docs: DataFrame, percent: int = PERCENT, recall: float =
     With ``across`` the paragraphs that a text has if line ends are spaces are added; a copy may
     then overlap another one of its text.
     """
-    return _grouped(docs, percent, recall, least, across)[0]
+    texts, texts_at, numbers, _ = numbered(_keyed(docs.select("doc_id", "text")))
+    found, _ = _grouped(texts, percent, recall, least, across)
+    removed(docs.sparkSession, texts_at)
 
+    rows = found.mapInArrow(_paragraph_rows, "no long, paragraph int, start long, end long, n_words long, first long, `group` long")
+    return rows.join(numbers, "no").select("doc_id", "text_key", "paragraph", "start", "end", "n_words", "first", "group")
 
-def _grouped(docs: DataFrame, percent: int, recall: float, least: int, across: bool) -> tuple[DataFrame, list[str]]:
-    """``repeated_paragraphs``, and where the stored tables lie that it reads."""
-    spark = docs.sparkSession
-    keyed = _keyed(docs.select("doc_id", "text"))
+
+def _paragraph_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        place, width, start, end, number = (packed.column(batch, c, k) for c, k in PLACES.items() if c != "v")
+        columns = [place >> 32, number, start.astype(np.int64), end.astype(np.int64), width.astype(np.int64), place & 0xFFFFFFFF, packed.column(batch, "group", np.int64)]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["no", "paragraph", "start", "end", "n_words", "first", "group"])
+
+
+def _different(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+    """The different paragraphs of a chunk, by their part."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            v = np.unique(packed.column(batch.slice(row, 1), "v", np.int64))
+            yield packed.dealt(batch.column("chunk")[row].as_py(), packed.parts_of(v, parts), {"v": v})
+
+
+def _labelled(asked: pa.Table, labels: pa.Table) -> pa.Table:
+    """Those paragraphs of a part that have a link, with their component, for each chunk that asked."""
+    known, component = (labels.column(c).to_numpy() for c in ("v", "component"))
+    order = np.argsort(known)
+    known, component = known[order], component[order]
+    out = []
+    for chunk, v in zip(asked.column("chunk").to_pylist(), asked.column("v").to_pylist(), strict=True):
+        v = np.frombuffer(v, np.int64)
+        at, linked = packed.looked_up(known, v)
+        if linked.any():
+            out.append((chunk, v[linked].tobytes(), component[at[linked]].tobytes()))
+    kinds = [("chunk", pa.int64()), ("known", pa.binary()), ("component", pa.binary())]
+    return pa.Table.from_arrays([pa.array([x[i] for x in out], k) for i, (_, k) in enumerate(kinds)], names=[c for c, _ in kinds])
+
+
+def _with_group(places: pa.Table, answers: pa.Table) -> pa.Table:
+    """The paragraphs of a chunk with their groups: the component, or else the words alone."""
+    v = packed.column(places, "v", np.int64)
+    known, component = packed.column(answers, "known", np.int64), packed.column(answers, "component", np.int64)
+    order = np.argsort(known)
+    at, linked = packed.looked_up(known[order], v)
+    group = np.where(linked, component[order][at] if len(known) else 0, v)
+    return places.drop_columns("v").append_column("group", packed.cells([group], np.array([0, len(group)]))[0]) if places.num_rows else places.drop_columns("v").append_column("group", pa.array([], pa.binary()))
+
+
+def _of_groups(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+    """The first paragraph of each group in a chunk, and how many there are, by the group's part."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            one = batch.slice(row, 1)
+            group, place, width = (packed.column(one, c, k) for c, k in (("group", np.int64), ("place", np.int64), ("width", np.int32)))
+            order = np.lexsort((width, place, group))
+            edges = packed.runs(group[order])
+            at = order[edges[:-1]]
+            found = {"group": group[at], "place": place[at], "width": width[at], "n": np.diff(edges)}
+            yield packed.dealt(one.column("chunk")[0].as_py(), packed.parts_of(found["group"], parts), found)
+
+
+def _firsts(part: pa.Table) -> pa.Table:
+    """The groups of a part that have several paragraphs, with the first one, for each chunk that has some."""
+    sizes = packed.sizes_of(part, "group", np.int64)
+    group, place, width, n = (packed.column(part, c, k) for c, k in (("group", np.int64), ("place", np.int64), ("width", np.int32), ("n", np.int64)))
+    order = np.lexsort((width, place, group))
+    edges = packed.runs(group[order])
+    at = np.repeat(order[edges[:-1]], np.diff(edges))
+    several = np.repeat(np.add.reduceat(n[order], edges[:-1]) > 1, np.diff(edges))
+    back = np.empty(len(order), np.int64)
+    back[order] = np.arange(len(order))
+    at, several = at[back], several[back]
+    edges = np.concatenate([[0], np.cumsum(np.add.reduceat(several.astype(np.int64), np.cumsum(sizes) - sizes))])
+    columns = packed.cells([group[several], place[at[several]], (place + width)[at[several]]], edges)
+    return pa.Table.from_arrays([part.column("chunk"), *columns], names=["chunk", "known", "copy", "stop"])
+
+
+def _copies(places: pa.Table, firsts: pa.Table) -> pa.Table:
+    """The paragraphs of a chunk that repeat the first one of their group, as PIECES."""
+    known, copy, stop = (packed.column(firsts, c, np.int64) for c in ("known", "copy", "stop"))
+    order = np.argsort(known)
+    known, copy, stop = known[order], copy[order], stop[order]
+    group = packed.column(places, "group", np.int64)
+    place, width, start, end, _ = (packed.column(places, c, k) for c, k in PLACES.items() if c != "v")
+    at, several = packed.looked_up(known, group)
+    at, place, width, start, end = (x[several] for x in (at, place, width, start, end))
+    # In the text of the first copy, what overlaps it is no other copy.
+    other = (place >> 32 != copy[at] >> 32) | (place >= stop[at])
+    at, place, width, start, end = (x[other] for x in (at, place, width, start, end))
+    first = place & 0xFFFFFFFF
+    found = [place >> 32, first, first + width, start, end, width, first, np.zeros(len(at), np.int32), copy[at] >> 32]
+    out = pa.Table.from_batches([pieces(places.column("chunk")[0].as_py() if places.num_rows else 0, found)])
+    return out.slice(0, int(len(at) > 0))
+
+
+def _spans(found: pa.Table, least_span: int) -> pa.Table:
+    """The spans of the texts of a chunk, from all its PIECES."""
+    no, first, last, start, end, size, at, kind, kept = (packed.column(found, c, k) for c, k in PIECES.items())
+    order = np.lexsort((kind, last, first, no))
+    no, first, last, start, end, size, at, kind, kept = (x[order] for x in (no, first, last, start, end, size, at, kind, kept))
+    low, high = (no << 32) + first, (no << 32) + last
+    # A text's first word is far from the last one of the text before.
+    done = np.concatenate([[-LEAST_WORDS], np.maximum.accumulate(high)[:-1]])
+    # A few words between two repeats do not end a span.
+    edges = np.flatnonzero(low - done >= LEAST_WORDS)
+    span = np.repeat(np.arange(len(edges)), np.diff(np.append(edges, len(no))))
+    words = np.add.reduceat(np.maximum(0, high - np.maximum(low, done)), edges)
+    best = np.lexsort((kept, -kind, at, -size, span))[edges]
+    columns = [no[edges], np.minimum.reduceat(start, edges), np.maximum.reduceat(end, edges), words, kept[best]]
+    out = pa.Table.from_arrays([pa.array(c) for c in columns], names=["no", "start", "end", "n_words", "kept"])
+    return out.filter(pa.array(words >= least_span))
+
+
+def _grouped(texts: DataFrame, percent: int, recall: float, least: int, across: bool) -> tuple[DataFrame, str]:
+    """The paragraphs of each chunk that are looked at, with their groups, and where they lie."""
+    spark = texts.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # One band more than the recall needs: a pair that misses all of them is not looked for again.
     bands = tuned_bands(percent, BAND_ROWS, recall) + 1
-    names = [f"b{b}" for b in range(bands)]
     options = {"n": SHINGLE_WORDS, "least": least, "across": across}
-    marked = keyed.select("text").mapInArrow(
-        partial(_marked, bands=bands, rows=BAND_ROWS, **options), ", ".join(f"{c} long" for c in ("v", "marks", *names))
-    )
-    # Copies are one from here on.
-    values = [F.min(c).alias(c) for c in ("marks", *names)]
-    nodes, nodes_at = stored(marked.groupBy("v").agg(F.count("*").alias("n"), *values), "nodes")
-    pairs, pairs_at = [], []
-    for some in (names[: len(names) // 2], names[len(names) // 2 :]):  # some bands at a time, for the disk's sake
-        members = nodes.select(F.explode(F.array(*some)).alias("bucket"), "v", "marks")
-        members = members.repartition("bucket").sortWithinPartitions("bucket")
-        found, path = stored(members.mapInArrow(partial(_meeting, percent=percent), "a long, b long"), "pairs")
-        pairs.append(found)
-        pairs_at.append(path)
-    met = reduce(DataFrame.unionByName, pairs).distinct()
-    met, met_at = stored(met, "pairs")
-    single = F.array_compact(F.array("a", "b"))
-    wanted = nodes.where("n > 1").select("v").unionByName(met.select(F.explode(single).alias("v"))).distinct()
-    wanted, wanted_at = stored(wanted, "wanted")
-    for path in [nodes_at, *pairs_at]:
-        removed(spark, path)
+    members = texts.mapInArrow(partial(_bucketed, parts=parts, bands=bands, rows=BAND_ROWS, **options), MEMBER_ROWS)
+
+    def meeting(part: pa.Table) -> pa.Table:
+        return _met(part, percent, parts)
+
+    def written_out(chunks: pa.Table, asked: pa.Table) -> pa.Table:
+        return _written_out(chunks, asked, parts, **options)
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, text_key long, paragraph int, start long, end long, n_words long, first long, v long, text string"
-    ids = ["doc_id", "text_key", "paragraph", "start", "end", "n_words", "first"]
-    units = keyed.select("doc_id", "text_key", "text").mapInArrow(partial(_written_out, **options), schema)
-    units, units_at = stored(units.join(wanted.hint("merge"), "v"), "paragraphs")
-    removed(spark, wanted_at)
-
-    looked_at = met.select(F.explode(single).alias("v")).distinct()
-    texts, texts_at = stored(units.select("v", "text").join(looked_at, "v").groupBy("v").agg(F.min("text").alias("text")), "texts")
-    links = _with_text(met.where("b is not null"), texts).mapInArrow(_verified(percent, SHINGLE_WORDS), "a long, b long")
-    links = keep(links, "links")
-    crowd = met.where("b is null").select(F.col("a").alias("v"))
+    met, met_at = stored(members.groupBy("part").applyInArrow(meeting, MET_ROWS), "pairs")
+    asked = met.where(F.col("kind") == WANTED).select(F.col("to").alias("chunk"), "a", "b")
+    schema = f"chunk long, {PLACE_ROWS}, part int, {', '.join(f'{c} binary' for c in sets.SETS if c != 'v')}"
+    written = texts.groupBy("chunk").cogroup(asked.groupBy("chunk")).applyInArrow(written_out, schema)
+    written, written_at = stored(written, "paragraphs")
+    places = written.where("part is null").select("chunk", *PLACES)
+    known = written.where("part is not null").select("part", *sets.SETS)
+
+    pairs, crowd = (met.where(F.col("kind") == k).select(F.col("to").cast("int").alias("part"), "a", "b") for k in (PAIRS, CROWD))
     if not crowd.isEmpty():
-        crowd, _ = stored(texts.join(crowd, "v").select(F.col("v").alias("name"), "text"), "crowd")
-        grouped = keep(near_duplicates(crowd, ["name"], percent, SHINGLE_WORDS, bands=10, band_rows=3), "crowd")
-        heads = grouped.groupBy("group").agg(F.min("name").alias("b"))
-        links = links.unionByName(grouped.join(heads, "group").select(F.col("name").alias("a"), "b").where("a <> b"))
-    labels, labels_at = stored(components(links), "labels")
-    for path in (met_at, texts_at):
+        more, links = crowds.met(crowd.select("part", F.col("a").alias("v")), known, percent, parts)
+        links = links.unionByName(sets.linked(pairs.unionByName(more), known, percent, parts))
+    else:
+        links = sets.linked(pairs, known, percent, parts)
+    links, links_at = stored(links, "links")
+    removed(spark, met_at)
+    labels = components(links).select("v", "component", F.expr(f"CAST(pmod(shiftrightunsigned(v, 32), {parts}) AS INT)").alias("part"))
+
+    asked = places.select("chunk", "v").mapInArrow(partial(_different, parts=parts), "chunk long, part int, v binary")
+    answers = asked.groupBy("part").cogroup(labels.groupBy("part")).applyInArrow(_labelled, "chunk long, known binary, component binary")
+    found = places.groupBy("chunk").cogroup(answers.groupBy("chunk"))
+    kinds = ", ".join(f"{c} binary" for c in PLACES if c != "v")
+    found, found_at = stored(found.applyInArrow(_with_group, f"chunk long, {kinds}, `group` binary"), "grouped")
+    for path in (written_at, links_at):
         removed(spark, path)
-    found = units.join(labels, "v", "left").select(*ids, F.coalesce("component", "v").alias("group"))
-    return found, [units_at, labels_at]
+    return found, found_at
 
 
 def repeated_spans(docs: DataFrame, percent: int = PERCENT, least_span: int = LEAST_SPAN) -> DataFrame:
@@ -334,35 +469,26 @@ def repeated_spans(docs: DataFrame, percent: int = PERCENT, least_span: int = LE
     has no spans.
     """
     spark = docs.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def spans(chunk: pa.Table) -> pa.Table:
+        return _spans(chunk, least_span)
+
     with shuffles_dropped(spark):
-        found, read = _grouped(docs, percent, RECALL, LEAST_WORDS, across=True)
-        found = keep(found.dropDuplicates(["text_key", "paragraph"]), "grouped")
-        for path in read:
-            removed(spark, path)
-        first = F.min(F.struct("doc_id", "text_key", F.col("first").alias("at"), (F.col("first") + F.col("n_words")).alias("last"))).alias("copy")
-        firsts = keep(found.groupBy("group").agg(first, F.count("*").alias("n")).where("n > 1"), "firsts")
-        stretches, numbers = repeated_stretches(_keyed(docs.select("doc_id", "text")))
-        # In the text of the first copy, what overlaps it is no other copy.
-        same = (F.col("text_key") == F.col("copy.text_key")) & (F.col("first") < F.col("copy.last"))
-        copies = found.join(firsts, "group").where(~same).withColumn("last", F.col("first") + F.col("n_words"))
-        names = ["doc_id", "text_key", "first", "last", "start", "end", "size", "from", "kind", "kept_doc_id"]
-        copies = copies.select("*", F.col("n_words").alias("size"), F.col("first").alias("from"), F.lit(0).alias("kind"), F.col("copy.doc_id").alias("kept_doc_id"))
-        kept = numbers.select(F.col("no").alias("kept"), F.col("doc_id").alias("kept_doc_id"))
-        copies = keep(copies.select(*names).unionByName(stretches.join(numbers, "no").join(kept, "kept").select(*names)), "copies")
-    order = Window.partitionBy("text_key").orderBy("first", "last", "kind")
-    copies = copies.withColumn("done", F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1)))
-    # A few words between two repeats do not end a span.
-    new = F.coalesce(F.col("first") - F.col("done") >= LEAST_WORDS, F.lit(True)).cast("int")
-    copies = copies.withColumn("span", F.sum(new).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    added = F.greatest(F.lit(0).cast("long"), F.col("last") - F.greatest("first", F.coalesce("done", F.lit(0).cast("long"))))
-    size = F.struct("size", F.negative("from").alias("f"), "kind")
-    out = copies.groupBy("doc_id", "text_key", "span").agg(
-        F.min("start").alias("start"),
-        F.max("end").alias("end"),
-        F.sum(added).alias("n_words"),
-        F.max_by("kept_doc_id", size).alias("kept_doc_id"),
-    )
-    return out.where(F.col("n_words") >= least_span).drop("span")
+        texts, texts_at, numbers, _ = numbered(_keyed(docs.select("doc_id", "text")))
+        found, found_at = _grouped(texts, percent, RECALL, LEAST_WORDS, across=True)
+        stretches = stretches_of(texts)
+        removed(spark, texts_at)
+        firsts = found.select("chunk", "group", "place", "width").mapInArrow(
+            partial(_of_groups, parts=parts), "chunk long, part int, `group` binary, place binary, width binary, n binary"
+        )
+        firsts = firsts.groupBy("part").applyInArrow(_firsts, "chunk long, known binary, copy binary, stop binary")
+        copies = found.groupBy("chunk").cogroup(firsts.groupBy("chunk")).applyInArrow(_copies, SEGMENTS)
+        out = copies.unionByName(stretches).groupBy("chunk").applyInArrow(spans, "no long, start long, end long, n_words long, kept long")
+        out, _ = stored(out, "spans")
+        removed(spark, found_at)
+    kept = numbers.select(F.col("no").alias("kept"), F.col("doc_id").alias("kept_doc_id"))
+    return out.join(numbers, "no").join(kept, "kept").select("doc_id", "text_key", "start", "end", "n_words", "kept_doc_id")
 
 
 def without_spans(docs: DataFrame, found: DataFrame) -> DataFrame:

@@ -5,9 +5,9 @@ seed, so two copies of any PASSAGE words share a seed. From shared seeds the mat
 word by word to its ends; line ends and spaces do not matter.
 
 Texts are numbered in the order of their ids, and a place is a text's number with the number of
-a word. Stretches travel as arrays: the texts of a chunk ask each part of the keys for the first
-place of their keys there, one row for a chunk and a part, with each key once. However often a
-key stands in the texts, the task of its part gets it once from each chunk.
+a word. Stretches travel as arrays (``packed``): the texts of a chunk ask each part of the keys
+for the first place of their keys there, one row for a chunk and a part, with each key once.
+However often a key stands in the texts, the task of its part gets it once from each chunk.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tradewind.llm import packed
 from tradewind.llm.scratch import removed, stored
 from tradewind.llm.text import mixed, power_tables, text_blocks, word_hashes, word_spans
 
@@ -29,15 +30,16 @@ SEED = 20
 PASSAGE = 51
 # Ends are looked up at every STEP-th word first.
 STEP = 4
-# A chunk takes further texts until it has so many stretches.
-CHUNK = 300_000
 
 # What is known of a stretch: its key, its place, its words, their places in code points, and
 # on which side of a seed it stands (0: it holds a seed).
 KINDS = {"key": np.uint64, "place": np.int64, "width": np.int32, "start": np.int32, "end": np.int32, "side": np.int8}
 ASKED = "chunk long, part int, " + ", ".join(f"{c} binary" for c in KINDS)
-FOUND = "no long, " + ", ".join(f"{c} binary" for c in [*KINDS, "copy"][1:])
-SEGMENTS = "no long, first long, last long, start long, end long, size long, `from` long, kind int, copy long"
+FOUND = "chunk long, " + ", ".join(f"{c} binary" for c in [*KINDS, "copy"][1:])
+# What repeats an earlier copy: its text, its words, their places in code points, and of the longest
+# repeat in it the words, where it begins, what it is, and the text whose copy stays.
+PIECES = {"no": np.int64, "first": np.int64, "last": np.int64, "start": np.int64, "end": np.int64, "size": np.int64, "from": np.int64, "kind": np.int32, "kept": np.int64}
+SEGMENTS = "chunk long, " + ", ".join(f"`{c}` binary" for c in PIECES)
 
 
 def sums_of(words: np.ndarray, tables) -> tuple[np.ndarray, np.ndarray]:
@@ -52,25 +54,35 @@ def stretch_hashes(sums: tuple[np.ndarray, np.ndarray], first: np.ndarray, last:
     return mixed((sums[0][last] - sums[0][first]) * sums[1][first] + (last - first).astype(np.uint64))
 
 
+def code_points(data: np.ndarray):
+    """A function that counts the code points before places of a block."""
+    inside = np.flatnonzero((data & 0xC0) == 0x80)
+    return lambda at: at - np.searchsorted(inside, at)
+
+
 def seeds(words: np.ndarray, rows: np.ndarray, sums) -> np.ndarray:
     """Where the seeds of a block of texts begin; ``rows`` are the first words of the texts."""
     n = PASSAGE - SEED + 1
     count = len(words) - PASSAGE + 1
     if count <= 0:
         return np.zeros(0, np.int64)
-    at = np.arange(len(words) - SEED + 1)
-    hashes = stretch_hashes(sums, at, at + SEED)
-    least, where = hashes[n - 1 :].copy(), at[n - 1 :].copy()
-    for k in range(n - 2, -1, -1):
-        found = hashes[k : count + k]
-        where = np.where(found <= least, at[k : count + k], where)
-        np.minimum(least, found, out=least)
-    end = rows[np.searchsorted(rows, at[:count], "right")]
-    return np.unique(where[at[:count] + PASSAGE <= end])
+    where = np.arange(len(words) - SEED + 1)
+    least = stretch_hashes(sums, where, where + SEED)
+    # The first of the least of 1, 2, 4 ... neighbouring windows, and at last of n.
+    width = 1
+    while width < n:
+        step = min(width, n - width)
+        later = least[step:] < least[:-step]
+        where = np.where(later, where[step:], where[:-step])
+        least = np.minimum(least[step:], least[:-step])
+        width += step
+    end = rows[np.searchsorted(rows, np.arange(count), "right")]
+    where = where[np.arange(count) + PASSAGE <= end]
+    return where[packed.first_of(where)]
 
 
 def numbered(keyed: DataFrame) -> tuple[DataFrame, str, DataFrame, str]:
-    """The different texts (no, text) and where they lie; their ids (no, doc_id, text_key), likewise.
+    """The different texts in chunks and where they lie; their ids (no, doc_id, text_key), likewise.
 
     Numbers are gapless and in the order of the ids, those that are null first.
     """
@@ -82,68 +94,38 @@ def numbered(keyed: DataFrame) -> tuple[DataFrame, str, DataFrame, str]:
     # A count for each part of the sorted ids.
     parts = sorted(ids.groupBy("part").agg(F.min("at"), F.count("*")).collect())
     before = np.cumsum([0, *(n for _, _, n in parts)]).tolist()
-    shifts = spark.createDataFrame([(p, b - low) for (p, low, _), b in zip(parts, before, strict=False)], "part int, shift long")
-    shifts, shifts_at = stored(shifts, "shifts")
-    numbers = ids.join(shifts, "part").select("doc_id", "text_key", (F.col("at") + F.col("shift")).alias("no"))
+    shifts = pa.table({"part": pa.array([p for p, _, _ in parts], pa.int32()), "shift": pa.array([b - low for (_, low, _), b in zip(parts, before, strict=False)], pa.int64())})
+    numbers = ids.join(spark.createDataFrame(shifts), "part").select("doc_id", "text_key", (F.col("at") + F.col("shift")).alias("no"))
     numbers, numbers_at = stored(numbers, "numbers")
-    for path in (ids_at, shifts_at):
-        removed(spark, path)
+    removed(spark, ids_at)
     texts = keyed.select("text_key", "text").join(numbers.select("text_key", "no").hint("merge"), "text_key")
-    texts, texts_at = stored(texts.dropDuplicates(["text_key"]).select("no", "text"), "texts")
+    texts = texts.dropDuplicates(["text_key"]).select("no", "text").mapInArrow(packed.chunked, packed.CHUNKS)
+    texts, texts_at = stored(texts, "texts")
     return texts, texts_at, numbers, numbers_at
 
 
-def _array(batch: pa.RecordBatch | pa.Table, name: str, kind=None) -> np.ndarray:
-    """The numbers of a column of packed arrays, all rows one after the other."""
-    return np.frombuffer(b"".join(batch.column(name).to_pylist()), kind or KINDS.get(name, np.int64))
-
-
-def _cells(arrays: dict[str, np.ndarray], edges: np.ndarray) -> list[pa.Array]:
-    """Columns of packed arrays, cut at these edges."""
-    spans = list(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True))
-    return [pa.array([a[i:j].tobytes() for i, j in spans], pa.binary()) for a in arrays.values()]
-
+def _array(table: pa.RecordBatch | pa.Table, name: str, kind=None) -> np.ndarray:
+    return packed.column(table, name, kind or KINDS.get(name, np.int64))
 
-def _runs(x: np.ndarray) -> np.ndarray:
-    """Where runs of equal numbers begin, and the end."""
-    return np.concatenate([np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])[: len(x)]), [len(x)]])
 
-
-def _asking(made: Iterator[tuple[int, dict[str, np.ndarray]]], parts: int) -> Iterator[pa.RecordBatch]:
-    """Rows of a chunk and a part from (a text's number, stretches) of blocks of texts."""
-    chunk, held, count = None, [], 0
-
-    def out() -> Iterator[pa.RecordBatch]:
-        all_of = {c: np.concatenate([h[c] for h in held]) for c in KINDS}
-        part = ((all_of["key"] >> np.uint64(32)) % np.uint64(parts)).astype(np.int32)
-        order = np.lexsort((all_of["place"], all_of["key"], part))
-        part, edges = part[order], _runs(part[order])
-        columns = _cells({c: a[order] for c, a in all_of.items()}, edges)
-        ids = [pa.array(np.full(len(edges) - 1, chunk)), pa.array(part[edges[:-1]])]
-        yield pa.RecordBatch.from_arrays([*ids, *columns], names=["chunk", "part", *KINDS])
-
-    for no, some in made:
-        if not len(some["key"]):
-            continue
-        chunk = no if chunk is None else chunk  # no other chunk has this text
-        held.append(some)
-        count += len(some["key"])
-        if count >= CHUNK:
-            yield from out()
-            chunk, held, count = None, [], 0
-    if held:
-        yield from out()
+def _asking(chunk: int, held: list[dict[str, np.ndarray]], parts: int) -> Iterator[pa.RecordBatch]:
+    """A row for each part that the stretches of a chunk ask, the keys of each in order."""
+    all_of = {c: np.concatenate([h[c] for h in held]) for c in KINDS} if held else {"key": ()}
+    if len(all_of["key"]):
+        order = np.lexsort((all_of["place"], all_of["key"]))
+        all_of = {c: a[order] for c, a in all_of.items()}
+        yield packed.dealt(chunk, packed.parts_of(all_of["key"], parts), all_of)
 
 
 def _placed(keys, first, last, side, text, nos, rows, starts, ends, data, offsets) -> dict[str, np.ndarray]:
     """Stretches of words of a block with their places in their texts."""
-    points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+    points = code_points(data)
     out = {
         "key": keys,
         "place": (nos[text] << 32) + first - rows[text],
         "width": last - first,
-        "start": points[starts[first]] - points[offsets[text]],
-        "end": points[ends[last - 1]] - points[offsets[text]],
+        "start": points(starts[first]) - points(offsets)[text],
+        "end": points(ends[last - 1]) - points(offsets)[text],
         "side": side,
     }
     return {c: a.astype(KINDS[c], copy=False) for c, a in out.items()}
@@ -153,24 +135,24 @@ def _seeded(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.Record
     """The seeds of each text, and the stretches from each seed to the end of the next one."""
     tables = power_tables()
 
-    def made() -> Iterator[tuple[int, dict[str, np.ndarray]]]:
-        for batch in batches:
-            nos = batch.column("no").to_numpy()
-            for row, end, data, offsets in text_blocks(batch.column("text")):
-                starts, ends, rows = word_spans(data, offsets)
-                words, _ = word_hashes(data, offsets, tables)
-                sums = sums_of(words, tables)
-                at = seeds(words, rows, sums)
-                text = np.searchsorted(rows, at, "right") - 1
-                next_too = np.flatnonzero(text[1:] == text[:-1])
-                first = np.concatenate([at, at[next_too]])
-                last = np.concatenate([at, at[next_too + 1]]) + SEED
-                text = np.concatenate([text, text[next_too]])
-                keys = stretch_hashes(sums, first, last)
-                side = np.zeros(len(first), np.int8)
-                yield int(nos[row]), _placed(keys, first, last, side, text, nos[row:end], rows, starts, ends, data, offsets)
-
-    return _asking(made(), parts)
+    def made(nos: np.ndarray, texts: pa.Array) -> Iterator[dict[str, np.ndarray]]:
+        for row, end, data, offsets in text_blocks(texts, packed.BLOCK_BYTES):
+            starts, ends, rows = spans = word_spans(data, offsets)
+            words, _ = word_hashes(data, offsets, tables, spans)
+            sums = sums_of(words, tables)
+            at = seeds(words, rows, sums)
+            text = np.searchsorted(rows, at, "right") - 1
+            next_too = np.flatnonzero(text[1:] == text[:-1])
+            first = np.concatenate([at, at[next_too]])
+            last = np.concatenate([at, at[next_too + 1]]) + SEED
+            text = np.concatenate([text, text[next_too]])
+            keys = stretch_hashes(sums, first, last)
+            side = np.zeros(len(first), np.int8)
+            yield _placed(keys, first, last, side, text, nos[row:end], rows, starts, ends, data, offsets)
+
+    for batch in batches:
+        for chunk, nos, texts in packed.texts_of(batch):
+            yield from _asking(chunk, list(made(nos, texts)), parts)
 
 
 def _before(found: dict[str, np.ndarray], text: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -195,8 +177,8 @@ def _listed(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return low[row] + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count), row
 
 
-def _followed(batches: Iterator[pa.RecordBatch], parts: int, step: str) -> Iterator[pa.RecordBatch]:
-    """Stretches before and behind the shared seeds of a text.
+def _followed(chunks: pa.Table, before: pa.Table, parts: int, step: str) -> pa.Table:
+    """Stretches before and behind the shared seeds of the texts of a chunk.
 
     ``furthest``: the longest ones. ``coarse``: of ends whose longest one has no first copy apart
     from it, those of every STEP-th length. ``fine``: the lengths between that are still open. As
@@ -205,50 +187,55 @@ def _followed(batches: Iterator[pa.RecordBatch], parts: int, step: str) -> Itera
     """
     tables = power_tables()
     most = PASSAGE - SEED
-
-    def made() -> Iterator[tuple[int, dict[str, np.ndarray]]]:
-        for batch in batches:
-            nos = batch.column("no").to_numpy()
-            for row, end, data, offsets in text_blocks(batch.column("text")):
-                some = batch.slice(row, end - row)
-                sizes = [len(x) // 8 for x in some.column("place").to_pylist()]
-                text = np.repeat(np.arange(end - row), sizes)
-                found = {c: _array(some, c) for c in some.schema.names if c not in ("no", "text")}
-                starts, ends, rows = word_spans(data, offsets)
-                words, _ = word_hashes(data, offsets, tables)
-                sums = sums_of(words, tables)
-                if step == "furthest":
-                    own = found["width"] == SEED
-                    at, text = (np.tile(x[own], 2) for x in (found["place"] & 0xFFFFFFFF, text))
-                    side = np.repeat(np.array([1, -1], np.int8), own.sum())
-                elif len(text):
-                    text, at, side, apart, shared = _before(found, text)
-                else:
-                    continue
-                limit = np.minimum(most, np.where(side > 0, rows[text + 1] - rows[text] - at - SEED, at))
-                if step == "furthest":
-                    m, of = limit, np.arange(len(limit))
+    every = {c: _array(before, c) for c in before.column_names if c != "chunk"}
+
+    def made(nos: np.ndarray, texts: pa.Array) -> Iterator[dict[str, np.ndarray]]:
+        for row, end, data, offsets in text_blocks(texts, packed.BLOCK_BYTES):
+            # Places are in order, and so are the texts of a chunk.
+            low, high = np.searchsorted(every["place"], [nos[row] << 32, (nos[end - 1] + 1) << 32])
+            found = {c: a[low:high] for c, a in every.items()}
+            if low == high:
+                continue
+            text = np.searchsorted(nos[row:end], found["place"] >> 32)
+            starts, ends, rows = spans = word_spans(data, offsets)
+            words, _ = word_hashes(data, offsets, tables, spans)
+            sums = sums_of(words, tables)
+            if step == "furthest":
+                own = found["width"] == SEED
+                at, text = (np.tile(x[own], 2) for x in (found["place"] & 0xFFFFFFFF, text))
+                side = np.repeat(np.array([1, -1], np.int8), own.sum())
+            else:
+                text, at, side, apart, shared = _before(found, text)
+            limit = np.minimum(most, np.where(side > 0, rows[text + 1] - rows[text] - at - SEED, at))
+            if step == "furthest":
+                m, of = limit, np.arange(len(limit))
+            else:
+                if step == "coarse":
+                    # An end that stands elsewhere is only looked up if a copy may go on where it can't.
+                    m, of = _listed(np.ones_like(limit), np.where(apart > 0, 0, limit // STEP))
+                    m, chosen = m * STEP, m * STEP < limit[of]
                 else:
-                    if step == "coarse":
-                        # An end that stands elsewhere is only looked up if a copy may go on where it can't.
-                        m, of = _listed(np.ones_like(limit), np.where(apart > 0, 0, limit // STEP))
-                        m, chosen = m * STEP, m * STEP < limit[of]
-                    else:
-                        m, of = _listed(apart + 1, np.minimum(shared + STEP - 1, limit - 1))
-                        chosen = m % STEP > 0
-                    cut = np.flatnonzero((limit < most) & ((limit % STEP > 0) | (step == "coarse")))
-                    m, of = np.concatenate([m[chosen], limit[cut]]), np.concatenate([of[chosen], cut])
-                at, text, side = (x[of] for x in (at, text, side))
-                fits = m > 0
-                at, text, side, m = (x[fits] for x in (at, text, side, m))
-                at = at + rows[text]
-                low = np.where(side > 0, at + SEED, at - m)
-                high = low + m
-                key = stretch_hashes(sums, at, at + SEED)
-                keys = mixed(stretch_hashes(sums, low, high) + mixed(key + side.astype(np.int64).view(np.uint64)))
-                yield int(nos[row]), _placed(keys, low, high, side, text, nos[row:end], rows, starts, ends, data, offsets)
-
-    return _asking(made(), parts)
+                    m, of = _listed(apart + 1, np.minimum(shared + STEP - 1, limit - 1))
+                    chosen = m % STEP > 0
+                cut = np.flatnonzero((limit < most) & ((limit % STEP > 0) | (step == "coarse")))
+                m, of = np.concatenate([m[chosen], limit[cut]]), np.concatenate([of[chosen], cut])
+            at, text, side = (x[of] for x in (at, text, side))
+            fits = m > 0
+            at, text, side, m = (x[fits] for x in (at, text, side, m))
+            at = at + rows[text]
+            low = np.where(side > 0, at + SEED, at - m)
+            high = low + m
+            key = stretch_hashes(sums, at, at + SEED)
+            keys = mixed(stretch_hashes(sums, low, high) + mixed(key + side.astype(np.int64).view(np.uint64)))
+            yield _placed(keys, low, high, side, text, nos[row:end], rows, starts, ends, data, offsets)
+
+    out = [b for chunk, nos, texts in packed.texts_of(chunks) for b in _asking(chunk, list(made(nos, texts)), parts)] if before.num_rows else []
+    kinds = [("chunk", pa.int64()), ("part", pa.int32()), *((c, pa.binary()) for c in KINDS)]
+    return pa.Table.from_batches(out, pa.schema(kinds))
+
+
+def _following(parts: int, step: str):
+    return lambda chunks, before: _followed(chunks, before, parts, step)
 
 
 def _apart(place: np.ndarray, width: np.ndarray, copy: np.ndarray, reach: np.ndarray | int) -> np.ndarray:
@@ -262,7 +249,7 @@ def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for key, place in zip(batch.column("key").to_pylist(), batch.column("place").to_pylist(), strict=True):
             key, place = np.frombuffer(key, np.uint64), np.frombuffer(place, np.int64)
-            edges = _runs(key)
+            edges = packed.runs(key)
             at = edges[:-1]
             rows.append((key[at].tobytes(), place[at].tobytes(), (np.diff(edges) > 1).tobytes()))
         columns = [pa.array(c, pa.binary()) for c in zip(*rows, strict=True)] if rows else [pa.array([], pa.binary())] * 3
@@ -271,43 +258,41 @@ def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _answered(part: pa.Table) -> pa.Table:
     """The keys of a part that stand at several places, with the first of them, for each chunk that asked."""
-    sizes = [len(x) // 8 for x in part.column("key").to_pylist()]
+    sizes = packed.sizes_of(part, "key", np.uint64).tolist()
     key, place, many = _array(part, "key"), _array(part, "place"), _array(part, "many", bool)
     order = np.argsort(key, kind="stable")
-    edges = _runs(key[order])
+    edges = packed.runs(key[order])
     at = edges[:-1]
     run = np.empty(len(key), np.int64)
     run[order] = np.repeat(np.arange(len(at)), np.diff(edges))
     shared = ((np.diff(edges) > 1) | np.logical_or.reduceat(many[order], at))[run]
     first = np.minimum.reduceat(place[order], at)[run]
     edges = np.concatenate([[0], np.cumsum(np.add.reduceat(shared.astype(np.int64), np.cumsum([0, *sizes[:-1]])))])
-    columns = _cells({"known": key[shared], "copy": first[shared]}, edges)
+    columns = packed.cells([key[shared], first[shared]], edges)
     found = pa.Table.from_arrays([part.column("chunk"), *columns], names=["chunk", "known", "copy"])
     return found.filter(pa.array(np.diff(edges) > 0))
 
 
 def _regrouped(asked: pa.Table, answers: pa.Table, alone: bool) -> pa.Table:
-    """The stretches of a chunk that stand elsewhere too, a row for each text; with ``alone`` all,
-    with a copy of -1 those that do not."""
+    """The stretches of a chunk that stand elsewhere too, in order of their places; with ``alone``
+    all, with a copy of -1 those that do not."""
     every = {c: _array(asked, c) for c in KINDS}
     known, copy = _array(answers, "known", np.uint64), _array(answers, "copy")
     order = np.argsort(known)
     known, copy = known[order], copy[order]
-    at = np.minimum(np.searchsorted(known, every["key"]), max(0, len(known) - 1))
-    shared = known[at] == every["key"] if len(known) else np.zeros(len(every["key"]), bool)
+    at, shared = packed.looked_up(known, every["key"])
     every["copy"] = np.where(shared, copy[at] if len(known) else -1, -1)
     if not alone:
         every = {c: a[shared] for c, a in every.items()}
     order = np.argsort(every["place"], kind="stable")
     del every["key"]
-    every = {c: a[order] for c, a in every.items()}
-    no = every["place"] >> 32
-    edges = _runs(no)
-    return pa.Table.from_arrays([pa.array(no[edges[:-1]]), *_cells(every, edges)], names=["no", *every])
+    columns = packed.cells([a[order] for a in every.values()], np.array([0, len(order)]))
+    found = pa.Table.from_arrays([asked.column("chunk")[:1] if asked.num_rows else pa.array([0]), *columns], names=["chunk", *every])
+    return found.slice(0, int(len(order) > 0))
 
 
 def _met(asked: DataFrame, label: str, alone: bool = False) -> tuple[DataFrame, str]:
-    """The stretches that stand at several places with the first one, a row for each text."""
+    """The stretches that stand at several places with the first one, a row for each chunk."""
     spark = asked.sparkSession
     asked, asked_at = stored(asked, f"{label}-asked")
     once = asked.select("chunk", "part", "key", "place").mapInArrow(_once, "chunk long, part int, key binary, place binary, many binary")
@@ -324,55 +309,74 @@ def _met(asked: DataFrame, label: str, alone: bool = False) -> tuple[DataFrame,
 
 
 def _segments(batches: Iterator[pa.RecordBatch], reach: int, kind: int) -> Iterator[pa.RecordBatch]:
-    """What is a later copy, one row for the stretches of a text that overlap or touch; with the
-    longest of them: its words, where it begins, and its first copy."""
+    """What is a later copy, a piece for the stretches of a text that overlap or touch; with the
+    longest of them: its words, where it begins, and the text of its first copy."""
     for batch in batches:
-        place, width, start, end, copy = (_array(batch, c) for c in ("place", "width", "start", "end", "copy"))
-        chosen = _apart(place, width, copy, reach)
-        order = np.argsort(place[chosen], kind="stable")
-        place, width, start, end, copy = (x[chosen][order] for x in (place, width, start, end, copy))
-        if not len(place):
-            continue
-        # A text's last word is far from the next text's first.
-        stop = np.maximum.accumulate(place + width)
-        edges = np.concatenate([[0], np.flatnonzero(place[1:] > stop[:-1]) + 1, [len(place)]])
-        at = edges[:-1]
-        best = np.lexsort((copy, place, -width, np.repeat(np.arange(len(at)), np.diff(edges))))[at]
-        low = place & 0xFFFFFFFF
-        columns = [
-            *(place[at] >> 32, low[at], stop[edges[1:] - 1] & 0xFFFFFFFF, np.minimum.reduceat(start, at), np.maximum.reduceat(end, at)),
-            *(width[best], low[best]),
-        ]
-        columns = [pa.array(c.astype(np.int64)) for c in columns] + [pa.array(np.full(len(at), kind, np.int32)), pa.array(copy[best])]
-        yield pa.RecordBatch.from_arrays(columns, names=["no", "first", "last", "start", "end", "size", "from", "kind", "copy"])
+        for row in range(batch.num_rows):
+            one = batch.slice(row, 1)
+            place, width, start, end, copy = (_array(one, c) for c in ("place", "width", "start", "end", "copy"))
+            chosen = _apart(place, width, copy, reach)
+            place, width, start, end, copy = (x[chosen] for x in (place, width, start, end, copy))
+            if not len(place):
+                continue
+            # A text's last word is far from the next text's first.
+            stop = np.maximum.accumulate(place + width)
+            edges = np.concatenate([[0], np.flatnonzero(place[1:] > stop[:-1]) + 1, [len(place)]])
+            at = edges[:-1]
+            best = np.lexsort((copy, place, -width, np.repeat(np.arange(len(at)), np.diff(edges))))[at]
+            low = place & 0xFFFFFFFF
+            found = [
+                *(place[at] >> 32, low[at], stop[edges[1:] - 1] & 0xFFFFFFFF, np.minimum.reduceat(start, at), np.maximum.reduceat(end, at)),
+                *(width[best], low[best], np.full(len(at), kind), copy[best] >> 32),
+            ]
+            yield pieces(one.column("chunk")[0].as_py(), found)
 
 
-def repeated_stretches(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """What repeats an earlier copy word by word: a row for the stretches of a text that overlap or
-    touch, and the texts' numbers (doc_id, text_key, no).
+def pieces(chunk: int, found: list[np.ndarray]) -> pa.RecordBatch:
+    """A chunk's row of PIECES."""
+    found = [a.astype(k, copy=False) for a, k in zip(found, PIECES.values(), strict=True)]
+    columns = packed.cells(found, np.array([0, len(found[0])]))
+    return pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), *columns], names=["chunk", *PIECES])
 
-    The rows have no, first, last (in words), start, end (in code points), and of the longest
-    stretch its size, where it begins (``from``), its kind and the number of the text whose copy
-    stays (``kept``). Any PASSAGE words that stand at two places are covered at the later one.
-    """
-    spark = keyed.sparkSession
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array(packed.column(batch, c, k)) for c, k in PIECES.items()], names=list(PIECES))
+
+
+def stretches_of(texts: DataFrame) -> DataFrame:
+    """What repeats an earlier copy word by word, as PIECES of each chunk: one for the stretches of a
+    text that overlap or touch."""
+    spark = texts.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    texts, texts_at, numbers, _ = numbered(keyed)
     found, found_at = _met(texts.mapInArrow(partial(_seeded, parts=parts), ASKED), "seeds")
     segments = [found.mapInArrow(partial(_segments, reach=0, kind=1), SEGMENTS)]
     # Most ends agree with another one as far as they are followed at all. Of all that agree only
     # the first one is followed at the shorter distances, and those that overlap their first copy:
     # where there is a first copy at some distance, there is one at all shorter ones.
-    columns, paths, before = ["no", "place", "width", "side"], [found_at], found
+    columns, paths, before = ["chunk", "place", "width", "side"], [found_at], found
     for step in ("furthest", "coarse", "fine"):
-        open_ends = texts.join(before.select(*columns).hint("merge"), "no")
-        asked = open_ends.mapInArrow(partial(_followed, parts=parts, step=step), ASKED)
-        before, path = _met(asked, step, alone=step != "fine")
+        open_ends = texts.groupBy("chunk").cogroup(before.select(*columns).groupBy("chunk"))
+        before, path = _met(open_ends.applyInArrow(_following(parts, step), ASKED), step, alone=step != "fine")
         paths.append(path)
         segments.append(before.mapInArrow(partial(_segments, reach=SEED, kind=2), SEGMENTS))
         columns = [*columns[:4], "copy"]
-    removed(spark, texts_at)
     out, _ = stored(reduce(DataFrame.unionByName, segments), "stretches")
     for path in paths:
         removed(spark, path)
-    return out.withColumn("kept", F.shiftright("copy", 32)).drop("copy"), numbers
+    return out
+
+
+def repeated_stretches(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What repeats an earlier copy word by word: a row for the stretches of a text that overlap or
+    touch, and the texts' numbers (doc_id, text_key, no).
+
+    The rows have no, first, last (in words), start, end (in code points), and of the longest
+    stretch its size, where it begins (``from``), its kind and the number of the text whose copy
+    stays (``kept``). Any PASSAGE words that stand at two places are covered at the later one.
+    """
+    texts, texts_at, numbers, _ = numbered(keyed)
+    out = stretches_of(texts)
+    removed(keyed.sparkSession, texts_at)
+    names = ", ".join(f"`{c}` {'int' if k is np.int32 else 'long'}" for c, k in PIECES.items())
+    return out.mapInArrow(_unpacked, names), numbers

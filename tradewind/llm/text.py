@@ -13,10 +13,9 @@ import pyarrow as pa
 
 BLOCK_BYTES = 1 << 20
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[ord("A") : ord("Z") + 1] += 32
+# What a byte counts in a hash: one more than itself, or than its lower case.
+_TERMS = np.arange(1, 257, dtype=np.uint64)
+_TERMS[ord("A") : ord("Z") + 1] += np.uint64(32)
 
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
@@ -44,7 +43,7 @@ def power_tables(n: int = BLOCK_BYTES) -> tuple[np.ndarray, np.ndarray]:
     return _powers(_BASE, n), _powers(_BASE_INVERSE, n)
 
 
-def text_blocks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def text_blocks(texts: pa.Array, size: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, row after the last, bytes, offsets of its rows) of pieces of a text column."""
     texts = texts.cast(pa.large_binary()) if len(texts) else pa.array([], pa.large_binary())
     texts = pa.concat_arrays([texts.fill_null(b"")])
@@ -56,7 +55,7 @@ def text_blocks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndar
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     row = 0
     while row < n:
-        last = max(row + 1, int(np.searchsorted(offsets, offsets[row] + BLOCK_BYTES, "right")) - 1)
+        last = max(row + 1, int(np.searchsorted(offsets, offsets[row] + size, "right")) - 1)
         last = min(last, n)
         yield row, last, data[offsets[row] : offsets[last]], offsets[row : last + 1] - offsets[row]
         row = last
@@ -64,7 +63,7 @@ def text_blocks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndar
 
 def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Byte starts and ends of the words, and the first word of each row (one more at the end)."""
-    solid = ~_SPACE[data]
+    solid = (data != 0x20) & (data - np.uint8(9) > 4)
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
     before = np.empty(len(data), bool)
@@ -78,16 +77,19 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def word_hashes(
-    data: np.ndarray, offsets: np.ndarray, tables: tuple[np.ndarray, np.ndarray]
+    data: np.ndarray,
+    offsets: np.ndarray,
+    tables: tuple[np.ndarray, np.ndarray],
+    spans: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None,
 ) -> tuple[np.ndarray, np.ndarray]:
-    """A hash for each word, and the first word of each row (one more at the end)."""
-    starts, ends, rows = word_spans(data, offsets)
+    """A hash for each word, and the first word of each row (one more at the end); ``spans`` are
+    the words' if they are known."""
+    starts, ends, rows = word_spans(data, offsets) if spans is None else spans
     if len(starts) == 0:
         return np.zeros(0, np.uint64), rows
     n = len(data)
     up, down = tables if n <= len(tables[0]) else power_tables(n)
-    terms = _LOWER[data].astype(np.uint64)
-    terms += np.uint64(1)
+    terms = _TERMS[data]
     terms *= up[:n]
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(terms, out=sums[1:])
