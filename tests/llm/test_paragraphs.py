@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from tradewind.llm import paragraphs, stretches
+from tradewind.llm import crowds, minhash, packed, paragraphs, sets, stars, stretches
 from tradewind.llm.queries import queries
 from tradewind.llm.text import power_tables, text_blocks
 from tradewind.session import scratch_root
@@ -290,3 +290,81 @@ def test_ends_of_near_copies_take_little_room(spark, table, monkeypatch):
         monkeypatch.setattr(module, "removed", removed)
     paragraphs.repeated_spans(table(texts))
     assert max(sizes) <= 1.5 * sum(len(t) for _, t in texts)
+
+
+def test_texts_that_share_a_common_line_do_not_all_meet(table, monkeypatch):
+    """Paragraphs over the end of a common line are alike but under the threshold: however many, no
+    blocks of them are compared, and those that are near copies of each other are still found."""
+
+    def called(*args):
+        raise AssertionError("blocks of a bucket are compared")
+
+    monkeypatch.setattr(minhash, "_joining", called)
+    line = next(t for t in (prose(500 + k, 9, 40_000) for k in range(200)) if len(pieces(t)) == 1)
+    own = [prose(120_000 + k, 4, 40_000) for k in range(6 * paragraphs.BUCKET_ROWS)]
+    texts = [(k, f"{line}\n{words}") for k, words in enumerate(own)]
+    pair = prose(130_000, 60, 40_000)
+    texts += [(5000, f"{line}\n{pair}"), (5001, f"{line}\n{pair} more")]
+    out = removed(table, texts)
+    assert out[5001] >= set(range(9, 69)) and not out[0]
+
+
+def shingle_numbers(k, size, common, families):
+    """A set of whole numbers: common ones, those of a family, own ones."""
+    pick = random.Random(k)
+    own = {pick.getrandbits(64) for _ in range(pick.randint(0, size // 4))}
+    family = random.Random(1_000_000 + k % families)
+    return np.array(sorted(common | {family.getrandbits(64) for _ in range(size)} | own), np.uint64)
+
+
+def test_rarest_shingles_bring_all_near_copies_together(spark):
+    """Links among members of large buckets against all pairs; their components against a search."""
+    pick = random.Random(9)
+    common = {pick.getrandbits(64) for _ in range(12)}
+    members = [shingle_numbers(k, 8 + k % 5, common, 80) for k in range(400)]
+    parts, v = 5, np.arange(1, 401, dtype=np.int64) << 33
+    sizes = np.array([len(m) for m in members])
+    known = sets.dealt(packed.parts_of(v, parts), v, sizes, np.concatenate(members))
+    crowd = packed.dealt(0, packed.parts_of(v, parts), {"v": v}).drop_columns("chunk")
+    known, crowd = spark.createDataFrame(pa.Table.from_batches([known])), spark.createDataFrame(pa.Table.from_batches([crowd]))
+    pairs, links = crowds.met(crowd, known, 80, parts)
+    assert links.isEmpty()
+    met = sum(len(r.a) // 8 for r in pairs.collect())
+    found, _ = stars.stars(sets.linked(pairs, known, 80, parts), parts)
+    got = {}
+    for r in found.groupBy("part").applyInArrow(lambda t: pa.table(dict(zip(("v", "c"), stars.labels_of(t), strict=True))), "v long, c long").collect():
+        got[r.v >> 33] = r.c >> 33
+    above = list(range(401))
+
+    def top(x):
+        while above[x] != x:
+            x = above[x]
+        return x
+
+    linked = 0
+    for i in range(400):
+        for j in range(i):
+            both = len(np.intersect1d(members[i], members[j]))
+            if 100 * both >= 80 * (sizes[i] + sizes[j] - both):
+                linked += 1
+                x, y = sorted((top(i + 1), top(j + 1)))
+                above[y] = x
+    assert linked > 200 and met < 400 * 399 / 8
+    assert all(got.get(x, x) == top(x) for x in range(1, 401))
+
+
+def test_stars_reach_the_ends_of_long_chains(spark):
+    """Chains, stars, loops and repeated edges of any order."""
+    pick = random.Random(4)
+    edges = [(k, k + 1) for k in range(1, 300)] + [(1000, k) for k in range(1001, 1400)] + [(2000, 2000), (3001, 3000), (3000, 3001), (-5, -4), (-4, 7000)]
+    name = {x: pick.getrandbits(62) - 2**61 for x in sorted({x for e in edges for x in e})}
+    pick.shuffle(edges)
+    rows = spark.createDataFrame([(name[a], name[b]) for a, b in edges], "a long, b long")
+    links = rows.repartition(3).mapInArrow(lambda batches: stars.from_rows(batches, 4), stars.EDGES)
+    found, _ = stars.stars(links, 4)
+    got = found.groupBy("part").applyInArrow(lambda t: pa.table(dict(zip(("v", "c"), stars.labels_of(t), strict=True))), "v long, c long")
+    got = {r.v: r.c for r in got.collect()}
+    for group in (range(1, 301), range(1000, 1400), (3000, 3001), (-5, -4, 7000)):
+        least = min(name[x] for x in group)
+        assert all(got[name[x]] == least for x in group)
+    assert got.get(name[2000], name[2000]) == name[2000]

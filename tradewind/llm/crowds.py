@@ -10,6 +10,7 @@ shingle that is still in more than BUCKET_ROWS sets are compared by ``near_dupli
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,7 @@ from tradewind.llm import packed
 from tradewind.llm.minhash import near_duplicates
 from tradewind.llm.scratch import stored
 from tradewind.llm.sets import CROWD, MET_ROWS, PAIRS, SET_ROWS, SETS, _sorted, dealt, marks_of, met_rows, pairs_and_crowd
+from tradewind.llm.stars import EDGES, from_rows
 from tradewind.session import keep
 
 MEMBERS = {"bucket": np.uint64, "v": np.int64, "marks": np.uint64}
@@ -86,7 +88,7 @@ def _spelled(v: np.ndarray, sizes: np.ndarray, members: np.ndarray) -> pa.Table:
 
 
 def met(crowd: DataFrame, known: DataFrame, percent: int, parts: int) -> tuple[DataFrame, DataFrame]:
-    """Packed pairs (part, a, b) that may be linked, and links (a, b), among the members ``crowd``
+    """Packed pairs (part, a, b) that may be linked, and links (EDGES), among the members ``crowd``
     (part, v) of large buckets; ``known`` are all sets (SET_ROWS)."""
     spark = crowd.sparkSession
 
@@ -104,17 +106,18 @@ def met(crowd: DataFrame, known: DataFrame, percent: int, parts: int) -> tuple[D
         return _spelled(*_own(some, sets))
 
     ours, _ = stored(crowd.groupBy("part").cogroup(known.groupBy("part")).applyInArrow(own, SET_ROWS), "crowd")
-    asked = ours.select("part", "members").mapInArrow(lambda batches: _asked(batches, parts), "chunk long, part int, key binary, n binary")
+    asked = ours.select("part", "members").mapInArrow(partial(_asked, parts=parts), "chunk long, part int, key binary, n binary")
     counts = asked.groupBy("part").applyInArrow(_counted, "chunk long, key binary, n binary")
     rare = ours.groupBy("part").cogroup(counts.withColumn("chunk", F.col("chunk").cast("int")).groupBy("chunk"))
     rare = rare.applyInArrow(rarest, "chunk long, part int, bucket binary, v binary, marks binary")
     found, _ = stored(rare.groupBy("part").applyInArrow(meet, MET_ROWS), "crowd")
     pairs, rest = (found.where(F.col("kind") == k).select(F.col("to").cast("int").alias("part"), F.col("a"), F.col("b")) for k in (PAIRS, CROWD))
-    links = pairs.limit(0).select(F.col("part").cast("long").alias("a"), F.col("part").cast("long").alias("b"))
+    links = pairs.where("false")
     if not rest.isEmpty():
         rest = rest.select("part", F.col("a").alias("v")).groupBy("part").cogroup(ours.groupBy("part"))
         texts, _ = stored(rest.applyInArrow(spelled, "name long, text string"), "crowd")
         grouped = keep(near_duplicates(texts, ["name"], percent, 1, bands=10, band_rows=3), "crowd")
         heads = grouped.groupBy("group").agg(F.min("name").alias("b"))
-        links = grouped.join(heads, "group").select(F.col("name").alias("a"), "b").where("a <> b")
+        rows = grouped.join(heads, "group").select(F.col("name").alias("a"), "b").where("a <> b")
+        links = rows.mapInArrow(partial(from_rows, parts=parts), EDGES)
     return pairs, links

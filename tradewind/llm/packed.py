@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # A chunk takes further texts until it has so many bytes of them.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 # Texts are hashed in blocks that a core's cache holds.
 BLOCK_BYTES = 1 << 18
 CHUNKS = "chunk long, nos binary, offsets binary, data binary"

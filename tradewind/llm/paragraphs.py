@@ -28,10 +28,10 @@ from pyspark.sql import functions as F
 
 from tradewind.llm import crowds, packed, sets
 from tradewind.llm.columns import all_columns, spare_name
-from tradewind.llm.components import components
 from tradewind.llm.minhash import SHINGLE_WORDS, _permuted, _scattered
 from tradewind.llm.scratch import removed, shuffles_dropped, stored
 from tradewind.llm.sets import BUCKET_ROWS, CROWD, MET_ROWS, MOST, PAIRS, WANTED, _meeting, may_be_linked, met_rows, packed_rows, pairs_and_crowd, set_bits  # noqa: F401
+from tradewind.llm.stars import labels_of, stars
 from tradewind.llm.stretches import PASSAGE, PIECES, SEED, SEGMENTS, code_points, numbered, pieces, stretch_hashes, stretches_of, sums_of  # noqa: F401
 from tradewind.llm.text import mixed, power_tables, text_blocks, word_hashes, word_spans
 
@@ -211,17 +211,20 @@ def _bucketed(batches: Iterator[pa.RecordBatch], parts: int, n: int, bands: int,
 def _met(part: pa.Table, percent: int, parts: int) -> pa.Table:
     """Of the buckets of a part: pairs that may be linked, members of large buckets, and for each chunk
     its paragraphs that are looked at, or stand elsewhere too."""
+    part = part.take(pa.array(np.argsort(part.column("chunk").to_numpy())))
     bucket, v, marks, flags = (packed.column(part, c, k) for c, k in MEMBERS.items())
     chunk = np.repeat(part.column("chunk").to_numpy(), packed.sizes_of(part, "v", np.int64))
     key = np.sort(bucket.astype(np.uint64) << np.uint64(32) | np.arange(len(bucket), dtype=np.uint64))
     at = (key & np.uint64(0xFFFFFFFF)).astype(np.int64)
     bucket = (key >> np.uint64(32)).astype(np.int64)
-    shared = np.diff(packed.runs(bucket)) > 1
-    shared = np.repeat(shared, np.diff(packed.runs(bucket)))
+    sizes = np.diff(packed.runs(bucket))
+    shared = np.repeat(sizes > 1, sizes)
     alone = at[~shared]
     alone = alone[flags[alone] == 3]
     at, bucket = at[shared], bucket[shared]
-    order = np.lexsort((chunk[at], v[at], bucket))
+    # In order of the bucket, v and the chunk, which a bucket's rows come in.
+    order = np.argsort(v[at], kind="stable")
+    order = order[np.argsort(bucket[order], kind="stable")]
     at, bucket = at[order], bucket[order]
     new = packed.first_of(bucket, v[at])
     first = np.flatnonzero(new)
@@ -328,9 +331,7 @@ def _different(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.Rec
 
 def _labelled(asked: pa.Table, labels: pa.Table) -> pa.Table:
     """Those paragraphs of a part that have a link, with their component, for each chunk that asked."""
-    known, component = (labels.column(c).to_numpy() for c in ("v", "component"))
-    order = np.argsort(known)
-    known, component = known[order], component[order]
+    known, component = labels_of(labels)
     out = []
     for chunk, v in zip(asked.column("chunk").to_pylist(), asked.column("v").to_pylist(), strict=True):
         v = np.frombuffer(v, np.int64)
@@ -445,16 +446,15 @@ def _grouped(texts: DataFrame, percent: int, recall: float, least: int, across:
         links = links.unionByName(sets.linked(pairs.unionByName(more), known, percent, parts))
     else:
         links = sets.linked(pairs, known, percent, parts)
-    links, links_at = stored(links, "links")
+    labels, labels_at = stars(links, parts)
     removed(spark, met_at)
-    labels = components(links).select("v", "component", F.expr(f"CAST(pmod(shiftrightunsigned(v, 32), {parts}) AS INT)").alias("part"))
 
     asked = places.select("chunk", "v").mapInArrow(partial(_different, parts=parts), "chunk long, part int, v binary")
     answers = asked.groupBy("part").cogroup(labels.groupBy("part")).applyInArrow(_labelled, "chunk long, known binary, component binary")
     found = places.groupBy("chunk").cogroup(answers.groupBy("chunk"))
     kinds = ", ".join(f"{c} binary" for c in PLACES if c != "v")
     found, found_at = stored(found.applyInArrow(_with_group, f"chunk long, {kinds}, `group` binary"), "grouped")
-    for path in (written_at, links_at):
+    for path in (written_at, labels_at):
         removed(spark, path)
     return found, found_at
 

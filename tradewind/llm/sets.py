@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 
 from tradewind.llm import packed
 from tradewind.llm.minhash import _scattered
+from tradewind.llm.stars import EDGES, both_ways
 
 # Sets meet in pairs in buckets of up to so many different ones; members of larger buckets
 # are left to ``crowds``.
@@ -166,8 +167,8 @@ def _with_first(pairs: pa.Table, known: pa.Table, parts: int) -> pa.Table:
     return pa.Table.from_batches([dealt(packed.parts_of(b, parts), a, sizes[at] if len(at) else at, members, other=b)])
 
 
-def _both(pairs: pa.Table, known: pa.Table, percent: int) -> pa.Table:
-    """The pairs of a part that share ``percent`` of their union."""
+def _both(pairs: pa.Table, known: pa.Table, percent: int, parts: int) -> pa.Table:
+    """The pairs of a part that share ``percent`` of their union, as edges."""
     a, sizes_a, of_a = (packed.column(pairs, c, k) for c, k in SETS.items())
     b, sizes_a = packed.column(pairs, "other", np.int64), sizes_a.astype(np.int64)
     v, sizes, members = _sorted(known)
@@ -186,17 +187,17 @@ def _both(pairs: pa.Table, known: pa.Table, percent: int) -> pa.Table:
         both = np.bincount(pair_b[packed.looked_up(one, other)[1]].astype(np.int64), minlength=len(some))
         out.append(some[100 * both >= percent * (n_a + n_b - both)])
     out = np.concatenate([chosen[:0], *out])
-    return pa.Table.from_arrays([pa.array(a[out]), pa.array(b[out])], names=["a", "b"])
+    return pa.Table.from_batches([both_ways(a[out], b[out], parts)])
 
 
 def linked(pairs: DataFrame, known: DataFrame, percent: int, parts: int) -> DataFrame:
-    """The links (a, b) among packed pairs (part, a, b) of sets (SET_ROWS)."""
+    """The links (EDGES) among packed pairs (part, a, b) of sets (SET_ROWS)."""
 
     def with_first(some: pa.Table, sets: pa.Table) -> pa.Table:
         return _with_first(some, sets, parts)
 
     def both(some: pa.Table, sets: pa.Table) -> pa.Table:
-        return _both(some, sets, percent)
+        return _both(some, sets, percent, parts)
 
     sent = pairs.groupBy("part").cogroup(known.groupBy("part")).applyInArrow(with_first, f"{SET_ROWS}, other binary")
-    return sent.groupBy("part").cogroup(known.groupBy("part")).applyInArrow(both, "a long, b long")
+    return sent.groupBy("part").cogroup(known.groupBy("part")).applyInArrow(both, EDGES)

@@ -112,7 +112,7 @@ def _asking(chunk: int, held: list[dict[str, np.ndarray]], parts: int) -> Iterat
     """A row for each part that the stretches of a chunk ask, the keys of each in order."""
     all_of = {c: np.concatenate([h[c] for h in held]) for c in KINDS} if held else {"key": ()}
     if len(all_of["key"]):
-        order = np.lexsort((all_of["place"], all_of["key"]))
+        order = np.argsort(all_of["key"])
         all_of = {c: a[order] for c, a in all_of.items()}
         yield packed.dealt(chunk, packed.parts_of(all_of["key"], parts), all_of)
 
@@ -155,19 +155,18 @@ def _seeded(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.Record
             yield from _asking(chunk, list(made(nos, texts)), parts)
 
 
-def _before(found: dict[str, np.ndarray], text: np.ndarray) -> tuple[np.ndarray, ...]:
-    """The seed of each end: its text, first word and side, each once; how far a first copy that it
-    does not overlap is known to go, and how far any other one."""
+def _before(found: dict[str, np.ndarray]) -> tuple[np.ndarray, ...]:
+    """The seed of each end: its text's number, first word and side, each once; how far a first copy
+    that it does not overlap is known to go, how far any other one, and how far it was followed."""
     place, width, side, copy = (found[c] for c in ("place", "width", "side", "copy"))
-    first = place & 0xFFFFFFFF
-    at = np.where(side > 0, first - SEED, first + width)
-    order = np.lexsort((side, at, text))
-    text, at, side, width, place, copy = (x[order] for x in (text, at, side, width, place, copy))
-    new = np.concatenate([[True], (text[1:] != text[:-1]) | (at[1:] != at[:-1]) | (side[1:] != side[:-1])])[: len(at)]
-    edges = np.flatnonzero(new)
+    at = np.where(side > 0, place - SEED, place + width) << 1 | (side > 0)
+    order = np.argsort(at)
+    at, width, place, copy = (x[order] for x in (at, width, place, copy))
+    edges = packed.runs(at)[:-1]
     apart = np.maximum.reduceat(np.where(_apart(place, width, copy, SEED), width, 0), edges)
     shared = np.maximum.reduceat(np.where(copy >= 0, width, 0), edges)
-    return text[edges], at[edges], side[edges], apart, shared
+    at, side = at[edges] >> 1, np.where(at[edges] & 1, 1, -1).astype(np.int8)
+    return at >> 32, at & 0xFFFFFFFF, side, apart, shared, np.maximum.reduceat(width, edges)
 
 
 def _listed(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -187,29 +186,38 @@ def _followed(chunks: pa.Table, before: pa.Table, parts: int, step: str) -> pa.T
     """
     tables = power_tables()
     most = PASSAGE - SEED
-    every = {c: _array(before, c) for c in before.column_names if c != "chunk"}
+    kinds = pa.schema([("chunk", pa.int64()), ("part", pa.int32()), *((c, pa.binary()) for c in KINDS)])
+    found = {c: _array(before, c) for c in before.column_names if c != "chunk"}
+    if not before.num_rows or not len(found["place"]):
+        return kinds.empty_table()
+    if step == "furthest":
+        own = found["place"][found["width"] == SEED]
+        ends_of = [np.tile(own >> 32, 2), np.tile(own & 0xFFFFFFFF, 2), np.repeat(np.array([1, -1], np.int8), len(own))]
+        order = np.argsort(ends_of[0], kind="stable")
+        ends_of = [x[order] for x in ends_of]
+    else:
+        *ends_of, known = _before(found)
+        if step == "coarse":
+            # Those that are left agree with a first copy as far as they may be followed.
+            wanted = (ends_of[3] == 0) | (known < most)
+            ends_of = [x[wanted] for x in ends_of]
 
     def made(nos: np.ndarray, texts: pa.Array) -> Iterator[dict[str, np.ndarray]]:
+        # Only texts with such ends are hashed.
+        chosen = np.flatnonzero(np.isin(nos, ends_of[0]))
+        nos, texts = nos[chosen], texts.take(pa.array(chosen))
         for row, end, data, offsets in text_blocks(texts, packed.BLOCK_BYTES):
-            # Places are in order, and so are the texts of a chunk.
-            low, high = np.searchsorted(every["place"], [nos[row] << 32, (nos[end - 1] + 1) << 32])
-            found = {c: a[low:high] for c, a in every.items()}
-            if low == high:
-                continue
-            text = np.searchsorted(nos[row:end], found["place"] >> 32)
+            low, high = np.searchsorted(ends_of[0], [nos[row], nos[end - 1] + 1])
+            text, at, side, *reach = (x[low:high] for x in ends_of)
+            text = np.searchsorted(nos[row:end], text)
             starts, ends, rows = spans = word_spans(data, offsets)
             words, _ = word_hashes(data, offsets, tables, spans)
             sums = sums_of(words, tables)
-            if step == "furthest":
-                own = found["width"] == SEED
-                at, text = (np.tile(x[own], 2) for x in (found["place"] & 0xFFFFFFFF, text))
-                side = np.repeat(np.array([1, -1], np.int8), own.sum())
-            else:
-                text, at, side, apart, shared = _before(found, text)
             limit = np.minimum(most, np.where(side > 0, rows[text + 1] - rows[text] - at - SEED, at))
             if step == "furthest":
                 m, of = limit, np.arange(len(limit))
             else:
+                apart, shared = reach
                 if step == "coarse":
                     # An end that stands elsewhere is only looked up if a copy may go on where it can't.
                     m, of = _listed(np.ones_like(limit), np.where(apart > 0, 0, limit // STEP))
@@ -229,9 +237,8 @@ def _followed(chunks: pa.Table, before: pa.Table, parts: int, step: str) -> pa.T
             keys = mixed(stretch_hashes(sums, low, high) + mixed(key + side.astype(np.int64).view(np.uint64)))
             yield _placed(keys, low, high, side, text, nos[row:end], rows, starts, ends, data, offsets)
 
-    out = [b for chunk, nos, texts in packed.texts_of(chunks) for b in _asking(chunk, list(made(nos, texts)), parts)] if before.num_rows else []
-    kinds = [("chunk", pa.int64()), ("part", pa.int32()), *((c, pa.binary()) for c in KINDS)]
-    return pa.Table.from_batches(out, pa.schema(kinds))
+    out = [b for chunk, nos, texts in packed.texts_of(chunks) for b in _asking(chunk, list(made(nos, texts)), parts)]
+    return pa.Table.from_batches(out, kinds)
 
 
 def _following(parts: int, step: str):
@@ -251,7 +258,7 @@ def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             key, place = np.frombuffer(key, np.uint64), np.frombuffer(place, np.int64)
             edges = packed.runs(key)
             at = edges[:-1]
-            rows.append((key[at].tobytes(), place[at].tobytes(), (np.diff(edges) > 1).tobytes()))
+            rows.append((key[at].tobytes(), np.minimum.reduceat(place, at).tobytes(), (np.diff(edges) > 1).tobytes()))
         columns = [pa.array(c, pa.binary()) for c in zip(*rows, strict=True)] if rows else [pa.array([], pa.binary())] * 3
         yield pa.RecordBatch.from_arrays([batch.column("chunk"), batch.column("part"), *columns], names=["chunk", "part", "key", "place", "many"])
 
