@@ -33,7 +33,7 @@ from tradewind.llm.scratch import removed, shuffles_dropped, stored
 from tradewind.llm.sets import BUCKET_ROWS, CROWD, MET_ROWS, MOST, PAIRS, WANTED, _meeting, may_be_linked, met_rows, packed_rows, pairs_and_crowd, set_bits  # noqa: F401
 from tradewind.llm.stars import labels_of, stars
 from tradewind.llm.stretches import PASSAGE, PIECES, SEED, SEGMENTS, code_points, numbered, pieces, stretch_hashes, stretches_of, sums_of  # noqa: F401
-from tradewind.llm.text import mixed, power_tables, text_blocks, word_hashes, word_spans
+from tradewind.llm.text import mixed, power_tables, text_blocks, word_hashes, word_numbers, word_spans  # noqa: F401
 
 PERCENT = 80
 RECALL = 0.98
@@ -55,8 +55,8 @@ def tuned_bands(percent: int = PERCENT, rows: int = BAND_ROWS, recall: float = R
 def cut(data: np.ndarray, offsets: np.ndarray, tables, lines: bool = True) -> tuple[np.ndarray, ...]:
     """The paragraphs of a block of texts, as arrays: text, first word, word after the last;
     and the words' hashes, byte starts and byte ends. Without ``lines`` a text is one line."""
-    starts, ends, rows = spans = word_spans(data, offsets)
-    words, _ = word_hashes(data, offsets, tables, spans)
+    starts, ends, rows = word_spans(data, offsets)
+    words = word_numbers(data, starts, ends)
     return *_cut_words(_least(words), _line_ends(data, starts, rows, lines), rows), words, starts, ends
 
 
@@ -103,8 +103,8 @@ def _cut_words(least: np.ndarray, ends_line: np.ndarray, rows: np.ndarray) -> tu
 
 def cut_twice(data: np.ndarray, offsets: np.ndarray, tables, across: bool) -> tuple[np.ndarray, ...]:
     """``cut``; with ``across``, each text's further paragraphs over line ends come after its others."""
-    starts, ends, rows = spans = word_spans(data, offsets)
-    words, _ = word_hashes(data, offsets, tables, spans)
+    starts, ends, rows = word_spans(data, offsets)
+    words = word_numbers(data, starts, ends)
     least = _least(words)
     text, start, stop = _cut_words(least, _line_ends(data, starts, rows, True), rows)
     if across and len(words):
@@ -179,7 +179,7 @@ PLACE_ROWS = ", ".join(f"{c} binary" for c in PLACES)
 
 def _bucketed(batches: Iterator[pa.RecordBatch], parts: int, n: int, bands: int, rows: int, least: int, across: bool) -> Iterator[pa.RecordBatch]:
     """The different paragraphs of a chunk, in each of their buckets."""
-    tables = power_tables()
+    tables = power_tables(packed.BLOCK_BYTES // 2)
 
     def made(texts: pa.Array) -> Iterator[list[np.ndarray]]:
         for _, _, data, offsets in text_blocks(texts, packed.BLOCK_BYTES):
@@ -249,7 +249,7 @@ def _met(part: pa.Table, percent: int, parts: int) -> pa.Table:
 
 def _written_out(chunks: pa.Table, asked: pa.Table, parts: int, n: int, least: int, across: bool) -> pa.Table:
     """Where the paragraphs that a chunk is asked for stand, and the sets of shingles of some, by their part."""
-    tables = power_tables()
+    tables = power_tables(packed.BLOCK_BYTES // 2)
     kinds = pa.schema([("chunk", pa.int64()), *((c, pa.binary()) for c in PLACES), ("part", pa.int32()), *((c, pa.binary()) for c in sets.SETS if c != "v")])
     if not asked.num_rows:
         return kinds.empty_table()

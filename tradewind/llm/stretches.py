@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tradewind.llm import packed
 from tradewind.llm.scratch import removed, stored
-from tradewind.llm.text import mixed, power_tables, text_blocks, word_hashes, word_spans
+from tradewind.llm.text import mixed, power_tables, text_blocks, word_numbers, word_spans
 
 # Any repeat of PASSAGE words is found by a seed of SEED words, at most PASSAGE - SEED words from
 # either end of the repeat.
@@ -30,6 +30,7 @@ SEED = 20
 PASSAGE = 51
 # Ends are looked up at every STEP-th word first.
 STEP = 4
+LEAST_PARTS = 24
 
 # What is known of a stretch: its key, its place, its words, their places in code points, and
 # on which side of a seed it stands (0: it holds a seed).
@@ -133,12 +134,12 @@ def _placed(keys, first, last, side, text, nos, rows, starts, ends, data, offset
 
 def _seeded(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
     """The seeds of each text, and the stretches from each seed to the end of the next one."""
-    tables = power_tables()
+    tables = power_tables(packed.BLOCK_BYTES // 2)
 
     def made(nos: np.ndarray, texts: pa.Array) -> Iterator[dict[str, np.ndarray]]:
         for row, end, data, offsets in text_blocks(texts, packed.BLOCK_BYTES):
-            starts, ends, rows = spans = word_spans(data, offsets)
-            words, _ = word_hashes(data, offsets, tables, spans)
+            starts, ends, rows = word_spans(data, offsets)
+            words = word_numbers(data, starts, ends)
             sums = sums_of(words, tables)
             at = seeds(words, rows, sums)
             text = np.searchsorted(rows, at, "right") - 1
@@ -184,7 +185,7 @@ def _followed(chunks: pa.Table, before: pa.Table, parts: int, step: str) -> pa.T
     the first copy of a longer stretch is no earlier one, whether there is one is settled between
     two lengths; an end that is a first copy itself speaks for the others at all lengths it shares.
     """
-    tables = power_tables()
+    tables = power_tables(packed.BLOCK_BYTES // 2)
     most = PASSAGE - SEED
     kinds = pa.schema([("chunk", pa.int64()), ("part", pa.int32()), *((c, pa.binary()) for c in KINDS)])
     found = {c: _array(before, c) for c in before.column_names if c != "chunk"}
@@ -210,8 +211,8 @@ def _followed(chunks: pa.Table, before: pa.Table, parts: int, step: str) -> pa.T
             low, high = np.searchsorted(ends_of[0], [nos[row], nos[end - 1] + 1])
             text, at, side, *reach = (x[low:high] for x in ends_of)
             text = np.searchsorted(nos[row:end], text)
-            starts, ends, rows = spans = word_spans(data, offsets)
-            words, _ = word_hashes(data, offsets, tables, spans)
+            starts, ends, rows = word_spans(data, offsets)
+            words = word_numbers(data, starts, ends)
             sums = sums_of(words, tables)
             limit = np.minimum(most, np.where(side > 0, rows[text + 1] - rows[text] - at - SEED, at))
             if step == "furthest":
@@ -253,13 +254,12 @@ def _apart(place: np.ndarray, width: np.ndarray, copy: np.ndarray, reach: np.nda
 def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each key of a chunk and part once, with its first place there and whether it has another one."""
     for batch in batches:
-        rows = []
-        for key, place in zip(batch.column("key").to_pylist(), batch.column("place").to_pylist(), strict=True):
-            key, place = np.frombuffer(key, np.uint64), np.frombuffer(place, np.int64)
-            edges = packed.runs(key)
-            at = edges[:-1]
-            rows.append((key[at].tobytes(), np.minimum.reduceat(place, at).tobytes(), (np.diff(edges) > 1).tobytes()))
-        columns = [pa.array(c, pa.binary()) for c in zip(*rows, strict=True)] if rows else [pa.array([], pa.binary())] * 3
+        key, place = _array(batch, "key"), _array(batch, "place")
+        sizes = packed.sizes_of(batch, "key", np.uint64)
+        edges = np.append(np.flatnonzero(packed.first_of(np.repeat(np.arange(len(sizes)), sizes), key)), len(key))
+        at = edges[:-1]
+        rows = np.searchsorted(at, np.concatenate([[0], np.cumsum(sizes)]))
+        columns = packed.cells([key[at], np.minimum.reduceat(place, at) if len(at) else place, np.diff(edges) > 1], rows)
         yield pa.RecordBatch.from_arrays([batch.column("chunk"), batch.column("part"), *columns], names=["chunk", "part", "key", "place", "many"])
 
 
@@ -355,7 +355,9 @@ def stretches_of(texts: DataFrame) -> DataFrame:
     """What repeats an earlier copy word by word, as PIECES of each chunk: one for the stretches of a
     text that overlap or touch."""
     spark = texts.sparkSession
+    # Fewer and larger parts than tasks: a chunk has a row for each.
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(min(parts, LEAST_PARTS), parts // 3)
     found, found_at = _met(texts.mapInArrow(partial(_seeded, parts=parts), ASKED), "seeds")
     segments = [found.mapInArrow(partial(_segments, reach=0, kind=1), SEGMENTS)]
     # Most ends agree with another one as far as they are followed at all. Of all that agree only
