@@ -301,7 +301,7 @@ def test_texts_that_share_a_common_line_do_not_all_meet(table, monkeypatch):
 
     monkeypatch.setattr(minhash, "_joining", called)
     line = next(t for t in (prose(500 + k, 9, 40_000) for k in range(200)) if len(pieces(t)) == 1)
-    own = [prose(120_000 + k, 4, 40_000) for k in range(6 * paragraphs.BUCKET_ROWS)]
+    own = [prose(120_000 + k, 2 + k % 3, 40_000) for k in range(9 * paragraphs.BUCKET_ROWS)]
     texts = [(k, f"{line}\n{words}") for k, words in enumerate(own)]
     pair = prose(130_000, 60, 40_000)
     texts += [(5000, f"{line}\n{pair}"), (5001, f"{line}\n{pair} more")]

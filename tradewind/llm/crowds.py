@@ -3,8 +3,10 @@
 Of two sets that share ``percent`` of their union each has a member of the other among its rarest
 ones, if it looks at 100 - percent of them and one more (prefix filter). Many sets that are alike
 but under the threshold, because a common line stands in all, hold the words of that line last:
-they do not meet, and work does not grow with the square of their number. Members of a rare
-shingle that is still in more than BUCKET_ROWS sets are compared by ``near_duplicates``.
+they do not meet, and work does not grow with the square of their number. Where more than
+BUCKET_ROWS sets share a rare shingle, their sizes and the shingle's place in them tell which can
+still have enough in common (positional filter). Only sets of the same few sizes and places that
+are too many for pairs are compared by ``near_duplicates``.
 """
 
 from __future__ import annotations
@@ -20,11 +22,14 @@ from pyspark.sql import functions as F
 from tradewind.llm import packed
 from tradewind.llm.minhash import near_duplicates
 from tradewind.llm.scratch import stored
-from tradewind.llm.sets import CROWD, MET_ROWS, PAIRS, SET_ROWS, SETS, _sorted, dealt, marks_of, met_rows, pairs_and_crowd
+from tradewind.llm.sets import BUCKET_ROWS, CROWD, MET_ROWS, PAIRS, SET_ROWS, _sorted, dealt, marks_of, may_be_linked, met_rows, pairs_and_crowd
 from tradewind.llm.stars import EDGES, from_rows
 from tradewind.session import keep
 
-MEMBERS = {"bucket": np.uint64, "v": np.int64, "marks": np.uint64}
+PAIRS_AT_ONCE = 1 << 20
+# A set at one of its rarest shingles: ``rest`` counts its members from that shingle on.
+MEMBERS = {"bucket": np.uint64, "v": np.int64, "marks": np.uint64, "size": np.int32, "rest": np.int32}
+MEMBER_ROWS = "chunk long, part int, " + ", ".join(f"{c} binary" for c in MEMBERS)
 
 
 def _own(crowd: pa.Table, known: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -67,16 +72,55 @@ def _rarest(known: pa.Table, counts: pa.Table, percent: int, parts: int) -> pa.T
     order = np.lexsort((members, total, owner))
     place = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     looked = sizes - -(-percent * sizes // 100) + 1
-    order = order[(place < looked[owner]) & (total[order] > 1)]
+    chosen = (place < looked[owner]) & (total[order] > 1)
+    order, rest = order[chosen], (sizes[owner] - place)[chosen]
     rare, of = members[order], owner[order]
     marks = marks_of(members, sizes) if len(v) else np.zeros(0, np.uint64)
-    return pa.Table.from_batches([packed.dealt(0, packed.parts_of(rare, parts), {"bucket": rare, "v": v[of], "marks": marks[of]})])
+    found = (rare, v[of], marks[of], sizes[of], rest)
+    found = {c: a.astype(k, copy=False) for (c, k), a in zip(MEMBERS.items(), found, strict=True)}
+    return pa.Table.from_batches([packed.dealt(0, packed.parts_of(rare, parts), found)])
 
 
 def _meet(part: pa.Table, percent: int, parts: int) -> pa.Table:
-    bucket, v, marks = (packed.column(part, c, k) for c, k in MEMBERS.items())
+    bucket, v, marks, size, rest = (packed.column(part, c, k) for c, k in MEMBERS.items())
     order = np.lexsort((v, bucket))
-    return pa.concat_tables(met_rows(*pairs_and_crowd(bucket[order], v[order], marks[order], percent), parts))
+    bucket, v, marks, size, rest = (x[order] for x in (bucket, v, marks, size, rest))
+    edges = packed.runs(bucket)
+    large = np.repeat(np.diff(edges) > BUCKET_ROWS, np.diff(edges))
+    a, b, crowd = pairs_and_crowd(bucket[~large], v[~large], marks[~large], percent)
+    pairs, crowd = [(a, b)], [crowd]
+    for low, high in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        if high - low > BUCKET_ROWS:
+            some = slice(low, high)
+            for x, y in _classes(size[some], rest[some], percent):
+                x, y = x + low, y + low
+                if len(x) * len(y) > BUCKET_ROWS * (len(x) + len(y)):
+                    crowd.append(v[np.union1d(x, y)])
+                    continue
+                step = max(1, PAIRS_AT_ONCE // len(y))
+                for i in range(0, len(x), step):
+                    one = np.repeat(x[i : i + step], len(y))
+                    other = np.tile(y, len(one) // len(y))
+                    near = (v[one] != v[other]) & may_be_linked(marks[one], marks[other], percent)
+                    one, other = v[one[near]], v[other[near]]
+                    pairs.append((np.minimum(one, other), np.maximum(one, other)))
+    a, b = (np.concatenate(x) for x in zip(*pairs, strict=True))
+    return pa.concat_tables(met_rows(a, b, np.unique(np.concatenate(crowd)), parts))
+
+
+def _classes(size: np.ndarray, rest: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The members of each two kinds, of one size and place of the shingle, that may be linked there.
+
+    At the first shingle that two sets share, all they share is among what follows.
+    """
+    order = np.lexsort((rest, size))
+    edges = np.append(np.flatnonzero(packed.first_of(size[order], rest[order])), len(order))
+    kinds = [order[i:j] for i, j in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
+    size, rest = (x[order[edges[:-1]]].astype(np.int64) for x in (size, rest))
+    for k in range(len(kinds)):
+        common = -(-percent * (size[k] + size[k:]) // (100 + percent))
+        for other in (k + np.flatnonzero(np.minimum(rest[k], rest[k:]) >= common)).tolist():
+            yield kinds[k], kinds[other]
 
 
 def _spelled(v: np.ndarray, sizes: np.ndarray, members: np.ndarray) -> pa.Table:
@@ -109,7 +153,7 @@ def met(crowd: DataFrame, known: DataFrame, percent: int, parts: int) -> tuple[D
     asked = ours.select("part", "members").mapInArrow(partial(_asked, parts=parts), "chunk long, part int, key binary, n binary")
     counts = asked.groupBy("part").applyInArrow(_counted, "chunk long, key binary, n binary")
     rare = ours.groupBy("part").cogroup(counts.withColumn("chunk", F.col("chunk").cast("int")).groupBy("chunk"))
-    rare = rare.applyInArrow(rarest, "chunk long, part int, bucket binary, v binary, marks binary")
+    rare = rare.applyInArrow(rarest, MEMBER_ROWS)
     found, _ = stored(rare.groupBy("part").applyInArrow(meet, MET_ROWS), "crowd")
     pairs, rest = (found.where(F.col("kind") == k).select(F.col("to").cast("int").alias("part"), F.col("a"), F.col("b")) for k in (PAIRS, CROWD))
     links = pairs.where("false")
